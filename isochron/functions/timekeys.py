@@ -16,6 +16,14 @@ DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 KEY_HOUR_FORMAT = "yyyyMMddHH"
 KEY_PREFIX = "r-"
 
+# The date forms met in readings files, each with the pattern that tells it.
+FILE_DATE_FORMS = (
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
+    (r"^\d{2}-[A-Za-z]{3}-\d{4} \d{2}:\d{2}$", "dd-MMM-yyyy HH:mm"),
+    (r"^\d{2}-[A-Za-z]{3}-\d{4}$", "dd-MMM-yyyy"),
+)
+
 
 def _hours(n: Column) -> Column:
     return F.make_dt_interval(F.lit(0), n.cast("int"), F.lit(0), F.lit(0))
@@ -46,6 +54,14 @@ def reading_time(date_cell: Column, row_key: Column, fmt: str = DATETIME_FORMAT)
     )
 
 
+def file_time(text: Column) -> Column:
+    """Reading time from the date text of a file. Text of no known form is an error."""
+    parsed = F.to_timestamp_ntz(text, F.lit(DATETIME_FORMAT))
+    for pattern, fmt in reversed(FILE_DATE_FORMS):
+        parsed = F.when(text.rlike(pattern), F.to_timestamp_ntz(text, F.lit(fmt))).otherwise(parsed)
+    return parsed
+
+
 def ntz_literal(moment: datetime | str) -> Column:
     """A TIMESTAMP_NTZ literal; a plain ``lit(datetime)`` is zoned and would block Parquet pushdown."""
     if isinstance(moment, str):

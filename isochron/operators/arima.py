@@ -265,10 +265,21 @@ def arima_points(errors: DataFrame) -> DataFrame:
     )
 
 
-def arima_metrics(df: DataFrame, **model) -> DataFrame:
-    """Model metrics per series; k counts all coefficients and a non-zero constant."""
-    p, q = model.get("p", "0.9,0.1"), model.get("q", "0.5")
-    d, c, centered = model.get("d", 1), model.get("c", 0.0), model.get("centered", False)
+def model_size_and_text(
+    p: str | Sequence[float] | None = "0.9,0.1",
+    d: int = 1,
+    q: str | Sequence[float] | None = "0.5",
+    c: float = 0.0,
+    centered: bool = False,
+    **_: object,
+) -> tuple[int, str]:
+    """Number of model parameters (all coefficients and a non-zero constant) and their text."""
     ar, ma = _checked(p, q)
-    k = len(ar) + len(ma) + (0 if c == 0 else 1)
-    return model_metrics(arima_errors(df, **model), k, model_text(_spec_text(p), _spec_text(q), c, d, centered))
+    text = model_text(_spec_text(p), _spec_text(q), c, d, centered)
+    return len(ar) + len(ma) + (0 if c == 0 else 1), text
+
+
+def arima_metrics(df: DataFrame, **model) -> DataFrame:
+    """Model metrics per series."""
+    k, params = model_size_and_text(**model)
+    return model_metrics(arima_errors(df, **model), k, params)

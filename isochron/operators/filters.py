@@ -47,11 +47,9 @@ def predicate(condition: Condition) -> Column:
 
 
 def _against_extreme(df: DataFrame, condition: Condition) -> DataFrame:
-    """Compare with the column's own extreme, a one-row aggregate joined back."""
+    """Compare with the column's own extreme, a scalar subquery that runs once."""
     extreme = (F.max if condition.value == "max" else F.min)(condition.column)
-    bound = df.agg(extreme.alias("_bound"))
-    matches = _compare(F.col(condition.column), condition.op, F.col("_bound"))
-    return df.join(F.broadcast(bound), matches, "inner").select(*df.columns)  # one row
+    return df.filter(_compare(F.col(condition.column), condition.op, df.agg(extreme).scalar()))
 
 
 def keep_where(df: DataFrame, conditions: Condition | Iterable[Condition] | None = None) -> DataFrame:

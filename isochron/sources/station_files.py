@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isochron.functions.timekeys import DATETIME_FORMAT
+from isochron.functions.timekeys import file_time
 from isochron.functions.values import DECIMAL_MEASURES, WHOLE_MEASURES, blank_to_zero
 
 # File types in order of preference, and how far down a header is looked for.
@@ -121,14 +121,19 @@ def _column_names(header: Column) -> Column:
     )
 
 
-def line_cells(lines: DataFrame, date_format: str | None = None) -> DataFrame:
-    """One row per cell: ``station, file_type, line_no, ts, measure, series, raw``.
+def line_cells(lines: DataFrame) -> DataFrame:
+    """One row per cell: ``station, file_type, line_no, ts, position, measure, series,
+    raw``.
 
     ``series`` is ``<measure>_<station>``; blank cells of the numeric measures read as 0.
     """
-    cells = F.arrays_zip(_column_names(F.col("header")).alias("measure"), F.split("line", ",", -1).alias("raw"))
-    fmt = F.lit(date_format or DATETIME_FORMAT)
-    stamped = lines.withColumn("ts", F.to_timestamp_ntz(F.split_part("line", F.lit(","), F.lit(1)), fmt))
+    names = _column_names(F.col("header"))
+    cells = F.arrays_zip(
+        F.sequence(F.lit(0), F.size(names) - 1).alias("position"),
+        names.alias("measure"),
+        F.split("line", ",", -1).alias("raw"),
+    )
+    stamped = lines.withColumn("ts", file_time(F.trim(F.split_part("line", F.lit(","), F.lit(1)))))
     return (
         stamped.select("station", "file_type", "line_no", "ts", F.inline(cells))
         .filter(F.col("measure").isNotNull() & (F.col("measure") != "date"))
@@ -137,6 +142,7 @@ def line_cells(lines: DataFrame, date_format: str | None = None) -> DataFrame:
             "file_type",
             "line_no",
             "ts",
+            "position",
             "measure",
             F.concat_ws("_", "measure", "station").alias("series"),
             blank_to_zero(F.col("raw"), F.col("measure")).alias("raw"),
@@ -149,11 +155,3 @@ def measure_type(measure: str) -> str:
     if measure in DECIMAL_MEASURES:
         return "double"
     return "int" if measure in WHOLE_MEASURES or measure.startswith("i") else "string"
-
-
-def cap_rows(df: DataFrame, per: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
-    """The first ``limit`` rows of each file, for rows that already are in a table."""
-    from pyspark.sql import Window
-
-    in_file = Window.partitionBy(*per).orderBy(*order)
-    return df.withColumn("_row", F.row_number().over(in_file)).filter(F.col("_row") <= limit).drop("_row")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from isochron.functions.timekeys import hour_floor, hour_key, ntz_literal
 from isochron.functions.values import as_float32
+from isochron.operators.rows import index_rows
 
 
 def to_series(df: DataFrame, series: Column, ts: Column, value: Column, scale: int = 2) -> DataFrame:
@@ -84,3 +85,8 @@ def at_key(df: DataFrame, key: str, ts: str = "ts") -> DataFrame:
 
 def with_key(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn("key", hour_key(F.col(ts)))
+
+
+def first_rows(df: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows of each series in time order (a cap per series, not on the whole)."""
+    return index_rows(df).filter(F.col("rn") < limit).select("series", "ts", "value")
