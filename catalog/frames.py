@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isochron.sources.tables import to_series
@@ -48,21 +48,30 @@ n AS (
   FROM {source})"""
 
 
+# Short decimals can be exact rounding ties, which the last bit of a sum would then decide. Both sides
+# move values off such ties by the same amount, far below the digits compared.
+OFF_TIE = "1.37e-8"
+
+
 def rounded(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Doubles rounded for comparison; the SQL side rounds the same columns."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: off_tie_round(c, digits) for c in columns})
+
+
+def off_tie_round(name: str, digits: int) -> Column:
+    return F.round(F.col(name) + float(OFF_TIE), digits)
 
 
 def r(expression: str, name: str, digits: int = 6) -> str:
     """Rounded SQL column; adding 0 turns a negative zero positive."""
-    return f"round({expression}, {digits}) + 0.0 AS {name}"
+    return f"round(({expression}) + {OFF_TIE}::DOUBLE, {digits}) + 0.0 AS {name}"
 
 
 STAT_DIGITS = {"mean": 6, "variance": 4, "std_dev": 6, "sample_variance": 4, "sample_std_dev": 6}
 
 
 def rounded_stats(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, d) for c, d in STAT_DIGITS.items() if c in df.columns})
+    return df.withColumns({c: off_tie_round(c, d) for c, d in STAT_DIGITS.items() if c in df.columns})
 
 
 STATS_SQL = f"""count(*) AS "count", min(value) AS "min", max(value) AS "max", {r("avg(value)", "mean")},

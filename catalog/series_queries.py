@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 
 from catalog.frames import (
     METRIC_COLUMNS,
+    OFF_TIE,
     SQL_OF,
     STATS_SQL,
     daily,
     hourly,
     metrics_sql,
     numbered,
+    off_tie_round,
     r,
     rounded,
     rounded_stats,
 )
-from isochron.functions.values import as_float32
 from isochron.operators.arima import arima, arima_metrics
 from isochron.operators.differencing import difference, difference_stats
 from isochron.operators.gaps import gap_report
@@ -284,7 +285,7 @@ for source, spec, suffix in (
         ),
         f"""WITH {diff_sql(source, kind, int(size))},
 g AS (SELECT series, level, {STATS_SQL} FROM levels GROUP BY series, level)
-SELECT * REPLACE (round("min", 6) + 0.0 AS "min", round("max", 6) + 0.0 AS "max") FROM g""",
+SELECT * REPLACE ({r('"min"', '"min"')}, {r('"max"', '"max"')}) FROM g""",
     )
 
 register(
@@ -295,7 +296,7 @@ register(
 
 
 def diff_wide(df: DataFrame) -> DataFrame:
-    named = difference(df, "season,24").select(level_name("season").alias("series"), "ts", F.round("value", 6).alias("value"))
+    named = difference(df, "season,24").select(level_name("season").alias("series"), "ts", off_tie_round("value", 6).alias("value"))
     return to_wide(named, [f"{e}_season_{i}" for e in EVENT_TYPES for i in (0, 1)])
 
 
@@ -304,7 +305,7 @@ register(
     on("hourly", diff_wide),
     f"WITH {diff_sql('hourly', 'season', 24)} SELECT ts, "
     + ", ".join(
-        f"max(CASE WHEN series = '{e}' AND level = {i} THEN round(value, 6) + 0.0 END) AS {e}_season_{i}"
+        f"max(CASE WHEN series = '{e}' AND level = {i} THEN round(value + {OFF_TIE}::DOUBLE, 6) + 0.0 END) AS {e}_season_{i}"
         for e in EVENT_TYPES
         for i in (0, 1)
     )
