@@ -197,7 +197,7 @@ def _start_states(rows: DataFrame, ma: list[float], size: int) -> DataFrame:
     ends = weighed.groupBy("series", "row_block").agg(
         *[F.sum(F.coalesce("u", F.lit(0.0)) * F.col(f"w_{j}")).alias(f"end_{j}") for j in range(order)]
     )
-    # One row per block: a series of hourly rows over years 1 to 9999 has at most ~10,700 of them.
+    # One row per block: a series of hourly rows over years 1 to 9999 has at most ~28,600 of them.
     carry_columns = ", ".join(f"carry_{j} double" for j in range(order))
     return ends.groupBy("series").applyInPandas(
         _carry_pass(ma, size), f"series string, row_block bigint, {carry_columns}"

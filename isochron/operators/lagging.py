@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isochron.functions.specs import range_spec
 from isochron.functions.timekeys import hours_after
-from isochron.operators.rows import index_rows
+from isochron.operators.rows import ROWS_PER_BLOCK, index_rows, key_rows, number_rows, series_blocks
 
 
 def lag_list(lags: str | int | list[int]) -> list[int]:
@@ -23,31 +23,45 @@ def center(df: DataFrame) -> DataFrame:
     return index_rows(df).select("series", "ts", (F.col("value") - F.col("mean")).alias("value"))
 
 
-def _row_offsets(indexed: DataFrame, lags: list[int]) -> DataFrame:
-    """Per series, the row offset that stands for each lag.
+def _row_offsets(keyed: DataFrame, blocks: DataFrame, lags: list[int]) -> DataFrame:
+    """Per series, the row offset that stands for each lag: ``series, rows_<lag>..``.
 
     A lag of h hours is a queue that starts to give values back once h hours have passed, so from
-    then on it trails by a constant number of rows: the rows before ``first_ts + h``.
+    then on it trails by a constant number of rows: the rows before ``first_ts + h``. Only the blocks
+    that reach into the longest lag are looked at.
     """
+    reached = hours_after(F.col("first_ts"), max(lags))
+    near_start = blocks.filter(F.col("block_min_ts") < reached).select("series", "day_block", "first_ts")
+    early = keyed.select("series", "day_block", "ts").join(near_start, ["series", "day_block"])
     counts = [F.count_if(F.col("ts") < hours_after(F.col("first_ts"), h)).alias(f"rows_{h}") for h in lags]
-    offsets = [F.struct(F.lit(h).alias("lag"), F.col(f"rows_{h}").alias("offset")) for h in lags]
-    return indexed.groupBy("series").agg(*counts).select("series", F.array(*offsets).alias("offsets"))
+    return early.groupBy("series").agg(*counts)
 
 
 def _paired(df: DataFrame, lags: list[int], centered: bool) -> DataFrame:
-    """Rows ``series, ts, lag, x, lag_value``; ``x`` is the value the lagged one is paired with."""
-    indexed = index_rows(df)
-    # The offsets reach the rows per (series, day block), a bounded group, not per series.
-    offsets = (
-        indexed.select("series", "day_block").distinct().join(_row_offsets(indexed, lags), "series")
-    )
+    """Rows ``series, ts, x, lag_<h>..`` with the values that ``x`` is paired with, NULL where there is none.
+
+    Every row goes out once as itself and once per lag to the row it is the past of; the copies meet
+    in a bounded row block. The offsets travel with the day blocks, so no row is joined by series.
+    """
+    keyed = key_rows(df)
+    blocks = series_blocks(keyed)
+    looking_back = [h for h in lags if h > 0]
+    if looking_back:
+        blocks = blocks.join(_row_offsets(keyed, blocks, looking_back), "series")
     x: Column = F.col("value") - F.col("mean") if centered else F.col("value")
-    ahead = (
-        indexed.join(offsets, ["series", "day_block"])
-        .select("series", "rn", x.alias("lag_value"), F.inline("offsets"))
-        .select("series", (F.col("rn") + F.col("offset")).alias("rn"), "lag", "lag_value")
+    rows = number_rows(keyed, blocks).withColumn("x", x)
+    if not looking_back:
+        return rows.select("series", "ts", "x", F.col("x").alias("lag_0"))
+    places = F.array(
+        F.struct(F.lit(0).alias("lag"), F.col("rn").alias("place")),
+        *[F.struct(F.lit(h).alias("lag"), (F.col("rn") + F.col(f"rows_{h}")).alias("place")) for h in looking_back],
     )
-    return indexed.select("series", "rn", "ts", x.alias("x")).join(ahead, ["series", "rn"]).drop("rn")
+    placed = rows.filter(F.col("x").isNotNull()).select("series", "ts", "x", F.inline(places))
+    placed = placed.withColumn("row_block", F.floor(F.col("place") / ROWS_PER_BLOCK))
+    same_place = Window.partitionBy("series", "row_block").orderBy("place").rangeBetween(0, 0)
+    partners = [F.max(F.when(F.col("lag") == h, F.col("x"))).over(same_place).alias(f"lag_{h}") for h in looking_back]
+    met = placed.select("series", "ts", "x", "lag", *partners).filter(F.col("lag") == 0)
+    return met.select("series", "ts", "x", F.col("x").alias("lag_0"), *[f"lag_{h}" for h in looking_back])
 
 
 def lag_series(df: DataFrame, lags: str | int | list[int] = 1, centered: bool = False) -> DataFrame:
@@ -55,7 +69,11 @@ def lag_series(df: DataFrame, lags: str | int | list[int] = 1, centered: bool =
 
     Output: ``series, ts, lag, value``; no row where there is nothing to look back to.
     """
-    return _paired(df, lag_list(lags), centered).select("series", "ts", "lag", F.col("lag_value").alias("value"))
+    hours = lag_list(lags)
+    per_lag = F.array(*[F.struct(F.lit(h).alias("lag"), F.col(f"lag_{h}").alias("value")) for h in hours])
+    return (
+        _paired(df, hours, centered).select("series", "ts", F.inline(per_lag)).filter(F.col("value").isNotNull())
+    )
 
 
 def autocorrelation(df: DataFrame, lags: str | int | list[int] = 1, centered: bool = False) -> DataFrame:
@@ -65,29 +83,16 @@ def autocorrelation(df: DataFrame, lags: str | int | list[int] = 1, centered: bo
     autocovariance = sum(x_t * x_lagged) / n - mean^2, the mean being that of the raw values.
     """
     hours = lag_list(lags)
-    pairs = _paired(df, hours, centered)
-    product = F.col("x") * F.col("lag_value")
-    sums = pairs.groupBy("series").agg(
-        *[F.sum(F.when(F.col("lag") == h, product)).alias(f"product_{h}") for h in hours],
-        F.count_if(F.col("lag") == 0).alias("n"),
-    )
-    per_lag = sums.select(
-        "series",
-        "n",
-        F.col("product_0").alias("energy"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(h).alias("lag"), F.coalesce(f"product_{h}", F.lit(0.0)).alias("product"))
-                    for h in hours
-                ]
-            )
-        ),
+    products = [F.sum(F.col("x") * F.col(f"lag_{h}")).alias(f"product_{h}") for h in hours]
+    sums = _paired(df, hours, centered).groupBy("series").agg(*products, F.count(F.lit(1)).alias("n"))
+    per_lag = F.array(
+        *[F.struct(F.lit(h).alias("lag"), F.coalesce(f"product_{h}", F.lit(0.0)).alias("product")) for h in hours]
     )
+    listed = sums.select("series", "n", F.col("product_0").alias("energy"), F.inline(per_lag))
     # try_divide: an all-zero series has no autocorrelation
     correlation = F.try_divide(F.col("product"), F.col("energy")).alias("autocorrelation")
     if not centered:
-        return per_lag.select("series", "lag", correlation)
+        return listed.select("series", "lag", correlation)
     means = df.groupBy("series").agg(F.avg("value").alias("mean"))
     covariance = F.col("product") / F.col("n") - F.col("mean") * F.col("mean")
-    return per_lag.join(means, "series").select("series", "lag", correlation, covariance.alias("autocovariance"))
+    return listed.join(means, "series").select("series", "lag", correlation, covariance.alias("autocovariance"))
