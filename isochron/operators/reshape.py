@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,8 +71,10 @@ def merge_wide(old: DataFrame, new: DataFrame, key: str = "ts") -> DataFrame:
 
 
 def upsert_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new``, and those of ``old`` whose key ``new`` does not have."""
-    return old.join(new, list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
+    """Rows of ``new``, and those of ``old`` whose key ``new`` does not have. NULL keys match each other."""
+    same_key = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
+    kept = old.alias("old").join(new.alias("new"), same_key, "left_anti")
+    return kept.unionByName(new, allowMissingColumns=True)
 
 
 def lag_name(series: str = "series", lag: str = "lag") -> Column:

@@ -34,8 +34,9 @@ def _day_block(ts: Column, days: int) -> Column:
     return F.floor(F.unix_date(ts.cast("date")) / days)
 
 
-def key_rows(df: DataFrame, days_per_block: int = DAYS_PER_BLOCK) -> DataFrame:
-    return df.select("series", "ts", "value", _day_block(F.col("ts"), days_per_block).alias("day_block"))
+def key_rows(df: DataFrame, days_per_block: int | None = None) -> DataFrame:
+    days = days_per_block or DAYS_PER_BLOCK
+    return df.select("series", "ts", "value", _day_block(F.col("ts"), days).alias("day_block"))
 
 
 def series_blocks(keyed: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def number_rows(keyed: DataFrame, blocks: DataFrame) -> DataFrame:
     )
 
 
-def index_rows(df: DataFrame, days_per_block: int = DAYS_PER_BLOCK) -> DataFrame:
+def index_rows(df: DataFrame, days_per_block: int | None = None) -> DataFrame:
     """Add the 0-based row number in time order and per-series facts to each row.
 
     Output: ``series, ts, value, rn, prev_ts, n, first_ts, mean``. Columns nobody reads are pruned
