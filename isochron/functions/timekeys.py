@@ -46,6 +46,11 @@ def hour_key(ts: Column) -> Column:
     )
 
 
+def month_of(ts: Column) -> Column:
+    """``yyyy-MM``, by which stored readings are partitioned."""
+    return F.format_string("%04d-%02d", F.year(ts), F.month(ts))
+
+
 def reading_time(date_cell: Column, row_key: Column, fmt: str = DATETIME_FORMAT) -> Column:
     """Reading time from the date cell or, where that is absent, from the row key."""
     return F.coalesce(

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from isochron.functions.specs import range_spec
 from isochron.functions.timekeys import hours_after
-from isochron.operators.rows import ROWS_PER_BLOCK, index_rows, key_rows, number_rows, series_blocks
+from isochron.operators.rows import (
+    ROWS_PER_BLOCK,
+    block_size,
+    index_rows,
+    key_rows,
+    number_rows,
+    row_blocks,
+    series_blocks,
+)
 
 
 def lag_list(lags: str | int | list[int]) -> list[int]:
@@ -34,65 +42,83 @@ def _row_offsets(keyed: DataFrame, blocks: DataFrame, lags: list[int]) -> DataFr
     near_start = blocks.filter(F.col("block_min_ts") < reached).select("series", "day_block", "first_ts")
     early = keyed.select("series", "day_block", "ts").join(near_start, ["series", "day_block"])
     counts = [F.count_if(F.col("ts") < hours_after(F.col("first_ts"), h)).alias(f"rows_{h}") for h in lags]
-    return early.groupBy("series").agg(*counts)
+    # With at most one row per hour an offset never exceeds its lag; the row blocks rely on it.
+    too_many = F.raise_error(F.concat(F.lit("more than one row per hour in series "), F.col("series")))
+    checked = [F.when(F.col(f"rows_{h}") <= h, F.col(f"rows_{h}")).otherwise(too_many).alias(f"rows_{h}") for h in lags]
+    return early.groupBy("series").agg(*counts).select("series", *checked)
 
 
-def _paired(df: DataFrame, lags: list[int], centered: bool) -> DataFrame:
-    """Rows ``series, ts, x, lag_<h>..`` with the values that ``x`` is paired with, NULL where there is none.
+def paired_lags(
+    df: DataFrame, lags: str | int | list[int] = 1, centered: bool = False, rows_per_block: int = ROWS_PER_BLOCK
+) -> DataFrame:
+    """Each value with its lagged partners: ``series, ts, mean, lag_0, lag_<h>..``.
 
-    Every row goes out once as itself and once per lag to the row it is the past of; the copies meet
-    in a bounded row block. The offsets travel with the day blocks, so no row is joined by series.
+    ``lag_0`` is the value itself and a partner is NULL where there is nothing to look back to. With
+    ``centered`` all of them are less the mean of the series.
+
+    A row is copied, inside its row block, to the rows it is the past of; copies that meet on a row
+    are its partners. Only the halo of a block crosses the network. The offsets travel with the day
+    blocks, so no row is joined by series.
     """
+    hours = [h for h in lag_list(lags) if h > 0]
     keyed = key_rows(df)
     blocks = series_blocks(keyed)
-    looking_back = [h for h in lags if h > 0]
-    if looking_back:
-        blocks = blocks.join(_row_offsets(keyed, blocks, looking_back), "series")
     x: Column = F.col("value") - F.col("mean") if centered else F.col("value")
-    rows = number_rows(keyed, blocks).withColumn("x", x)
-    if not looking_back:
-        return rows.select("series", "ts", "x", F.col("x").alias("lag_0"))
+    if not hours:
+        return number_rows(keyed, blocks).select("series", "ts", "mean", x.alias("lag_0"))
+    rows = number_rows(keyed, blocks.join(_row_offsets(keyed, blocks, hours), "series"))
+    rows = rows.select("series", "ts", "mean", "rn", x.alias("x"), *[f"rows_{h}" for h in hours])
+    size = block_size(max(hours), rows_per_block)
     places = F.array(
         F.struct(F.lit(0).alias("lag"), F.col("rn").alias("place")),
-        *[F.struct(F.lit(h).alias("lag"), (F.col("rn") + F.col(f"rows_{h}")).alias("place")) for h in looking_back],
+        *[F.struct(F.lit(h).alias("lag"), (F.col("rn") + F.col(f"rows_{h}")).alias("place")) for h in hours],
+    )
+    placed = (
+        row_blocks(rows, max(hours), rows_per_block)
+        .select("series", "ts", "mean", "x", "row_block", F.inline(places))
+        .filter(F.floor(F.col("place") / size) == F.col("row_block"))
     )
-    placed = rows.filter(F.col("x").isNotNull()).select("series", "ts", "x", F.inline(places))
-    placed = placed.withColumn("row_block", F.floor(F.col("place") / ROWS_PER_BLOCK))
     same_place = Window.partitionBy("series", "row_block").orderBy("place").rangeBetween(0, 0)
-    partners = [F.max(F.when(F.col("lag") == h, F.col("x"))).over(same_place).alias(f"lag_{h}") for h in looking_back]
-    met = placed.select("series", "ts", "x", "lag", *partners).filter(F.col("lag") == 0)
-    return met.select("series", "ts", "x", F.col("x").alias("lag_0"), *[f"lag_{h}" for h in looking_back])
+    partners = [F.max(F.when(F.col("lag") == h, F.col("x"))).over(same_place).alias(f"lag_{h}") for h in hours]
+    met = placed.select("series", "ts", "mean", "lag", F.col("x").alias("lag_0"), *partners)
+    return met.filter(F.col("lag") == 0).drop("lag")
 
 
-def lag_series(df: DataFrame, lags: str | int | list[int] = 1, centered: bool = False) -> DataFrame:
-    """Value ``lag`` hours earlier (see :func:`_row_offsets` for series with gaps).
+def _lags_of(pairs: DataFrame) -> list[int]:
+    return [int(c.removeprefix("lag_")) for c in pairs.columns if c.startswith("lag_")]
 
-    Output: ``series, ts, lag, value``; no row where there is nothing to look back to.
-    """
-    hours = lag_list(lags)
-    per_lag = F.array(*[F.struct(F.lit(h).alias("lag"), F.col(f"lag_{h}").alias("value")) for h in hours])
-    return (
-        _paired(df, hours, centered).select("series", "ts", F.inline(per_lag)).filter(F.col("value").isNotNull())
-    )
 
+def lag_rows(pairs: DataFrame) -> DataFrame:
+    """Long form of :func:`paired_lags`: ``series, ts, lag, value``, without the empty ones."""
+    per_lag = [F.struct(F.lit(h).alias("lag"), F.col(f"lag_{h}").alias("value")) for h in _lags_of(pairs)]
+    return pairs.select("series", "ts", F.inline(F.array(*per_lag))).filter(F.col("value").isNotNull())
 
-def autocorrelation(df: DataFrame, lags: str | int | list[int] = 1, centered: bool = False) -> DataFrame:
+
+def lag_series(df: DataFrame, lags: str | int | list[int] = 1, centered: bool = False) -> DataFrame:
+    """Value ``lag`` hours earlier, for lag 0 and those asked for (see ``_row_offsets`` for gaps)."""
+    return lag_rows(paired_lags(df, lags, centered))
+
+
+def correlation(pairs: DataFrame, centered: bool = False) -> DataFrame:
     """Output: ``series, lag, autocorrelation`` and, if centred, ``autocovariance``.
 
     autocorrelation = sum(x_t * x_lagged) / sum(x_t^2), the lower sum over all rows;
     autocovariance = sum(x_t * x_lagged) / n - mean^2, the mean being that of the raw values.
     """
-    hours = lag_list(lags)
-    products = [F.sum(F.col("x") * F.col(f"lag_{h}")).alias(f"product_{h}") for h in hours]
-    sums = _paired(df, hours, centered).groupBy("series").agg(*products, F.count(F.lit(1)).alias("n"))
+    hours = _lags_of(pairs)
+    products = [F.sum(F.col("lag_0") * F.col(f"lag_{h}")).alias(f"product_{h}") for h in hours]
+    sums = pairs.groupBy("series").agg(*products, F.count(F.lit(1)).alias("n"), F.max("mean").alias("mean"))
     per_lag = F.array(
         *[F.struct(F.lit(h).alias("lag"), F.coalesce(f"product_{h}", F.lit(0.0)).alias("product")) for h in hours]
     )
-    listed = sums.select("series", "n", F.col("product_0").alias("energy"), F.inline(per_lag))
+    listed = sums.select("series", "n", "mean", F.col("product_0").alias("energy"), F.inline(per_lag))
     # try_divide: an all-zero series has no autocorrelation
-    correlation = F.try_divide(F.col("product"), F.col("energy")).alias("autocorrelation")
-    if not centered:
-        return listed.select("series", "lag", correlation)
-    means = df.groupBy("series").agg(F.avg("value").alias("mean"))
-    covariance = F.col("product") / F.col("n") - F.col("mean") * F.col("mean")
-    return listed.join(means, "series").select("series", "lag", correlation, covariance.alias("autocovariance"))
+    figures = [F.try_divide(F.col("product"), F.col("energy")).alias("autocorrelation")]
+    if centered:
+        figures.append((F.col("product") / F.col("n") - F.col("mean") * F.col("mean")).alias("autocovariance"))
+    return listed.select("series", "lag", *figures)
+
+
+def autocorrelation(df: DataFrame, lags: str | int | list[int] = 1, centered: bool = False) -> DataFrame:
+    """Autocorrelation of every series at lag 0 and the lags asked for; see :func:`correlation`."""
+    return correlation(paired_lags(df, lags, centered), centered)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from isochron import sinks
 from isochron.operators import arima as arima_ops
 from isochron.operators.differencing import difference, difference_stats
-from isochron.operators.lagging import autocorrelation, lag_series
+from isochron.operators.lagging import correlation, lag_rows, paired_lags
 from isochron.operators.metrics import model_metrics
 from isochron.operators.smoothing import sma, sma_metrics
 from isochron.operators.stats import describe_series
@@ -40,13 +40,13 @@ def analysis(df: DataFrame, num_strata: int = 1, strata_width: int = 1, out: str
 
 
 def transform(df: DataFrame, lags: str | Sequence[int] = "1", centered: bool = False, out: str | None = None) -> Result:
-    points = lag_series(df, lags, centered)
-    figures = autocorrelation(df, lags, centered)
+    pairs = paired_lags(df, lags, centered)
     if not out:
-        return Result(points, figures)
+        return Result(lag_rows(pairs), correlation(pairs, centered))
+    pairs = sinks.replace_table(pairs, f"{out}/pairs")
     return Result(
-        sinks.upsert_table(points, f"{out}/points", ["series", "ts", "lag"]),
-        sinks.upsert_table(figures, f"{out}/figures", ["series", "lag"]),
+        sinks.upsert_table(lag_rows(pairs), f"{out}/points", ["series", "ts", "lag"]),
+        sinks.upsert_table(correlation(pairs, centered), f"{out}/figures", ["series", "lag"]),
     )
 
 

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isochron import sinks
 from isochron.functions.values import analytic_value
 from isochron.operators.filters import series_with_prefix
 from isochron.operators.profile import (
@@ -18,7 +19,7 @@ from isochron.operators.profile import (
     profile_stations,
     station_gaps,
 )
-from isochron.sources.station_files import file_lines, find_files, line_cells, preferred_files
+from isochron.sources.station_files import file_lines, line_cells, list_files, open_files, preferred_files
 from isochron.sources.tables import date_range, latest_per_hour
 
 
@@ -34,8 +35,8 @@ def station_cells(
     spark: SparkSession, folder: str, stations: DataFrame, max_rows: int | None = None
 ) -> DataFrame:
     """Cells of the chosen stations' files. Files of other stations are not opened."""
-    files = find_files(spark, folder).join(stations.select("station"), "station", "left_semi")
-    return line_cells(file_lines(preferred_files(files), max_rows=max_rows))
+    files = list_files(spark, folder).join(stations.select("station"), "station", "left_semi")
+    return line_cells(file_lines(open_files(preferred_files(files)), max_rows=max_rows))
 
 
 def load_readings(
@@ -54,7 +55,10 @@ def load_readings(
     return latest if on_bad == "null" else latest.filter(F.col("value").isNotNull())
 
 
-def profile(cells: DataFrame, stations: DataFrame) -> StationProfile:
+def profile(cells: DataFrame, stations: DataFrame, out: str | None = None) -> StationProfile:
+    """With ``out`` the cells are stored first, so that the files are unzipped once for all results."""
+    if out:
+        cells = sinks.replace_table(cells, f"{out}/cells")
     files = profile_stations(cells)
     gaps = station_gaps(cells)
     return StationProfile(

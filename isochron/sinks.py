@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isochron.functions.timekeys import month_of
 from isochron.operators.profile import PROFILE_COLUMNS
 from isochron.operators.reshape import upsert_rows
 from isochron.operators.smoothing import sma_text
 
 
+READINGS_SCHEMA = "series string, ts timestamp_ntz, value double, month string"
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a result table anew; what comes back reads the stored rows."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -59,19 +63,20 @@ def upsert_readings(df: DataFrame, path: str) -> DataFrame:
     Only the months that ``df`` touches are read and rewritten.
     """
     spark = df.sparkSession
-    month = F.format_string("%04d-%02d", F.year("ts"), F.month("ts"))
-    new = df.select("series", "ts", "value", month.alias("month"))
+    new = df.select("series", "ts", "value", month_of(F.col("ts")).alias("month"))
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if fs.exists(hadoop_path):
-        old = spark.read.schema("series string, ts timestamp_ntz, value double, month string").parquet(path)
+        old = spark.read.schema(READINGS_SCHEMA).parquet(path)
         # The months touched, as literals so that the scan skips the others: 12 a year at most.
         months = [row.month for row in new.select("month").distinct().collect()]
         touched = old.filter(F.col("month").isin(months))
         new = upsert_rows(touched.select(*new.columns), new, ["series", "ts"])
-    writer = new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Rebalancing gives each month whole files of a good size and splits a month that is too large.
+    laid_out = new.hint("rebalance", F.col("month")).sortWithinPartitions("month", "series", "ts")
+    writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("month").parquet(path)
-    return spark.read.schema("series string, ts timestamp_ntz, value double, month string").parquet(path)
+    return spark.read.schema(READINGS_SCHEMA).parquet(path)
 
 
 def write_sma_text(points: DataFrame, path: str) -> None:

@@ -91,10 +91,22 @@ def preferred_files(files: DataFrame) -> DataFrame:
     return files.join(best, ["station", "file_type"], "left_semi")
 
 
-def find_files(spark: SparkSession, folder: str) -> DataFrame:
-    """All zipped readings files of a folder (or glob): ``path, content, file_type, station``."""
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Zipped readings files of a folder (or glob) by name, not opened: ``path, file_type, station``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
-    return with_file_facts(files.select("path", "content"))
+    return with_file_facts(files.select("path"))
+
+
+def open_files(files: DataFrame) -> DataFrame:
+    """Listed files with their ``content``. Only these are read, and no content is shuffled.
+
+    The paths pass through the driver, which keeps the listing of every file read anyway.
+    """
+    spark = files.sparkSession
+    paths = [row.path for row in files.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "path string, content binary, file_type string, station int")
+    return with_file_facts(spark.read.format("binaryFile").load(paths).select("path", "content"))
 
 
 def file_lines(

@@ -53,8 +53,14 @@ def date_range(df: DataFrame, begin: str | None = None, end: str | None = None,
 
 
 def read_series(spark: SparkSession, path: str, start: str | None = None, stop: str | None = None) -> DataFrame:
-    """Canonical frame stored as Parquet; the range reaches the scan as a pushed filter."""
-    return time_range(spark.read.parquet(path), start, stop)
+    """Canonical frame stored as Parquet. The range reaches the scan as a pushed filter and, where the
+    table is partitioned by month, leaves out the other months' folders."""
+    df = spark.read.parquet(path)
+    if "month" in df.columns:
+        df = df.filter(F.col("month") >= start[:7]) if start else df
+        df = df.filter(F.col("month") <= stop[:7]) if stop else df
+        df = df.drop("month")
+    return time_range(df, start, stop)
 
 
 def match_series(df: DataFrame, regexes: str | list[str], name: str = "series") -> DataFrame:

@@ -8,11 +8,11 @@ import pytest
 from conftest import hour
 from pyspark.sql import functions as F
 
-from isochron.operators import lagging, rows
+from isochron.operators import rows
 from isochron.operators.arima import arima, arima_errors, arima_metrics, coefficients
 from isochron.operators.differencing import difference
 from isochron.operators.gaps import gap_report
-from isochron.operators.lagging import autocorrelation, lag_series
+from isochron.operators.lagging import correlation, lag_rows, paired_lags
 from isochron.operators.smoothing import sma
 from isochron.operators.stats import with_stratum
 
@@ -39,7 +39,6 @@ def df(frame):
 @pytest.fixture(autouse=True)
 def small_blocks(monkeypatch):
     monkeypatch.setattr(rows, "DAYS_PER_BLOCK", 3)
-    monkeypatch.setattr(lagging, "ROWS_PER_BLOCK", 7)
 
 
 def by_series(frame, value, *extra):
@@ -121,22 +120,31 @@ def test_seasons(df, width):
     same(got, expected(lambda hours, values: {(t,): v for t, v in folds.season(values, width).items()}))
 
 
-def test_lags(df):
-    lags = [0, 1, 5, 48, 7000]
-    got = by_series(lag_series(df, lags), "value", "lag")
+@pytest.mark.parametrize(("lags", "block"), [([0, 1, 2], 5), ([0, 1, 5, 48, 7000], 5), ([3, 48], 4096)])
+def test_lags(df, lags, block):
+    got = by_series(lag_rows(paired_lags(df, lags, rows_per_block=block)), "value", "lag")
     same(
         got,
         expected(
             lambda hours, values: {
-                (t, h): v for h in lags for t, v in folds.lagged(hours, values, h).items()
+                (t, h): v for h in {0, *lags} for t, v in folds.lagged(hours, values, h).items()
             }
         ),
     )
 
 
-@pytest.mark.parametrize("centered", [False, True])
-def test_autocorrelation(df, centered):
-    rows_found = {(r["series"], r["lag"]): r for r in autocorrelation(df, "1,48", centered).collect()}
+def test_two_rows_in_an_hour_are_refused(spark):
+    half_hours = spark.sql(
+        "SELECT 's' AS series, TIMESTAMP_NTZ '2020-01-01 00:00:00' + id * INTERVAL '30' MINUTE AS ts, 1D AS value FROM range(9)"
+    )
+    with pytest.raises(Exception, match="more than one row per hour"):
+        paired_lags(half_hours, 1).collect()
+
+
+@pytest.mark.parametrize(("centered", "block"), [(False, 5), (True, 5), (True, 4096)])
+def test_autocorrelation(df, centered, block):
+    pairs = paired_lags(df, "1,48", centered, rows_per_block=block)
+    rows_found = {(r["series"], r["lag"]): r for r in correlation(pairs, centered).collect()}
     assert len(rows_found) == 3 * len(SERIES)
     for name, points in SERIES.items():
         hours, values = [h for h, _ in points], [v for _, v in points]

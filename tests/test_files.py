@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isochron.plans.stations import load_readings, profile, station_cells
-from isochron.sources.station_files import file_lines, find_files, line_cells, preferred_files
+from isochron.sources.station_files import file_lines, line_cells, list_files, open_files, preferred_files
 from isochron.sources.stations import choose_stations, read_stations
 
 STATION_TEXT = """Station details: extracted 2020
@@ -87,7 +87,7 @@ def test_choice(stations):
 
 
 def test_preferred_files(spark, folder):
-    names = {(r["station"], r["file_type"]) for r in preferred_files(find_files(spark, str(folder))).collect()}
+    names = {(r["station"], r["file_type"]) for r in preferred_files(list_files(spark, str(folder))).collect()}
     assert names == {(3904, "hly"), (575, "dly")}
 
 
@@ -119,7 +119,7 @@ def test_load(cells):
 
 
 def test_row_cap(spark, folder):
-    files = preferred_files(find_files(spark, str(folder)))
+    files = open_files(preferred_files(list_files(spark, str(folder))))
     assert file_lines(files, max_rows=1).groupBy("station").count().agg(F.max("count")).first()[0] == 1
 
 
@@ -128,7 +128,7 @@ def test_fixed_layout(spark, tmp_path):
     columns = "date," + ",".join(f"c{i}" for i in range(20))
     line = "2020-01-01 05:00:00,0,1.5,0,9.5,0,8.5,7.5,10.1,80,1010.5,0,5,0,270,2,11,0.5,30000,999,4"
     put(tmp_path, "hly8", "Legend\n" * 23 + columns + "\n" + line + "\n")
-    found = line_cells(file_lines(find_files(spark, str(tmp_path)), fixed_layout=True)).collect()
+    found = line_cells(file_lines(open_files(list_files(spark, str(tmp_path))), fixed_layout=True)).collect()
     raw = {r["series"]: r["raw"] for r in found if r["line_no"] == 0}
     assert raw["rain_7"] == "2.5" and raw["irain_7"] == "0"
     assert raw["rain_8"] == "1.5" and raw["clamt_8"] == "4" and raw["iwddir_8"] == "0" and len(raw) == 22
@@ -136,7 +136,7 @@ def test_fixed_layout(spark, tmp_path):
 
 def test_no_header_gives_no_rows(spark, tmp_path):
     put(tmp_path, "hly5", "Legend\n" * 150 + "date,rain\n2020-01-01 00:00:00,1\n")
-    assert file_lines(find_files(spark, str(tmp_path))).count() == 0
+    assert file_lines(open_files(list_files(spark, str(tmp_path)))).count() == 0
 
 
 def test_files_of_other_stations_stay_closed(spark, folder, stations, tmp_path):

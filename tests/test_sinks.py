@@ -7,6 +7,7 @@ from isochron.operators.reshape import merge_wide, to_wide, wide_to_series
 from isochron.operators.smoothing import sma, sma_metrics
 from isochron.operators.stats import series_stats
 from isochron.plans import jobs
+from isochron.sources.tables import read_series
 
 V = {"V": list(enumerate([1, 2, 4, 8, 16, 32]))}
 
@@ -56,6 +57,14 @@ def test_readings_by_month(spark, frame, path):
     assert untouched == january
 
 
+def test_range_skips_other_months(spark, frame, path):
+    sinks.upsert_readings(frame({"a": [(24 * d, d) for d in range(200)]}), path)
+    df = read_series(spark, path, "2020-02-10 00:00:00", "2020-03-02 00:00:00")
+    assert sorted(r["value"] for r in df.collect()) == list(range(40, 61))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "month" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+
+
 def test_text_and_csv(spark, frame, path, tmp_path):
     points = sma(frame(V), 3)
     sinks.write_sma_text(points, path)
