@@ -33,7 +33,14 @@ from isochron.operators.profile import (
 from isochron.operators.reshape import base_name, file_type, merge_wide, to_wide, unpivot_text, upsert_rows, wide_to_series
 from isochron.operators.stats import series_stats
 from isochron.plans.stations import load_readings
-from isochron.sources.station_files import DAILY_COLUMNS, HOURLY_COLUMNS, file_lines, line_cells, preferred_files
+from isochron.sources.station_files import (
+    DAILY_COLUMNS,
+    HOURLY_COLUMNS,
+    file_lines,
+    fixed_rows,
+    line_cells,
+    preferred_files,
+)
 from isochron.sources.stations import Correction, choose_stations, corrected, station_readings, stations_without_data
 from isochron.sources.tables import at_key, date_range, first_rows, latest_per_hour, match_series, time_range, typed_cells, with_key
 
@@ -610,6 +617,15 @@ register(
     f"""WITH {SUPPLIER_DAYS}
 SELECT 'rain_' || station AS series, ts, CAST(CAST(CAST(quantity AS DOUBLE) AS FLOAT) AS DOUBLE) AS value FROM days""",
 )
+register(
+    "zip_fixed_rows",
+    lambda spark, sf_dir: fixed_rows(
+        file_lines(supplier_files(spark, sf_dir, fixed_layout=True), fixed_layout=True), "hly"
+    ).select("station", F.col("date").alias("ts"), "irain", "rain", "rhum", "temp"),
+    f"""WITH {SUPPLIER_DAYS}
+SELECT station, ts, 0 AS irain, CAST(quantity AS DOUBLE) AS rain, 0 AS rhum, CAST(NULL AS DOUBLE) AS temp
+FROM days WHERE station % 2 = 0""",
+)
 register(
     "zip_row_cap",
     lambda spark, sf_dir: file_lines(preferred_files(supplier_files(spark, sf_dir)), max_rows=50)

@@ -12,8 +12,6 @@ from isochron.functions.timekeys import hour_floor, reading_time
 from isochron.functions.values import analytic_value, decode_cell
 from isochron.operators.filters import columns_matching
 
-MAX_PIVOT_COLUMNS = 10_000
-
 
 def unpivot_text(wide: DataFrame, regexes: str | Sequence[str] = ".*", ids: Sequence[str] = ("ts",)) -> DataFrame:
     """Long rows ``ids.., series, raw`` of the matching columns; the others are pruned from the scan."""

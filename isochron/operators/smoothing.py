@@ -10,7 +10,7 @@ from isochron.operators.metrics import model_metrics
 from isochron.operators.rows import ROWS_PER_BLOCK, in_row_block, index_rows, row_blocks
 
 # A sliding frame costs its length per row; longer windows difference a running sum of the block.
-LONGEST_FRAME = 128
+LONGEST_FRAME = 32
 
 
 def _moving_average(size: int) -> Column:

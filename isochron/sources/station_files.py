@@ -30,6 +30,7 @@ HOURLY_COLUMNS = (
 DAILY_COLUMNS = ("date", "irain", "rain")
 HOURLY_SKIP = 23
 DAILY_SKIP = 9
+BLANK_IS_ZERO = ("vappr", "rhum", "wddir")
 
 _LINES_PER_BATCH = 20_000
 _LINE_SCHEMA = "path string, station int, file_type string, header string, line_no bigint, line string"
@@ -167,3 +168,24 @@ def measure_type(measure: str) -> str:
     if measure in DECIMAL_MEASURES:
         return "double"
     return "int" if measure in WHOLE_MEASURES or measure.startswith("i") else "string"
+
+
+def fixed_rows(lines: DataFrame, file_type: str) -> DataFrame:
+    """Typed rows of the files of one type in the standard layout: ``station, date, <measures>``.
+
+    Blank cells are 0 in a few measures and missing in the others.
+    """
+    columns = {"hly": HOURLY_COLUMNS, "dly": DAILY_COLUMNS}[file_type]
+    cells = F.split("line", ",", -1)
+
+    def typed(i: int, name: str) -> Column:
+        text = F.trim(F.get(cells, F.lit(i)))
+        if name == "date":
+            return file_time(text).alias(name)
+        value = text.try_cast(measure_type(name))
+        if name in BLANK_IS_ZERO:
+            value = F.when(text == "", F.lit(0).cast(measure_type(name))).otherwise(value)
+        return value.alias(name)
+
+    own = lines.filter(F.col("file_type") == file_type)
+    return own.select("station", *[typed(i, name) for i, name in enumerate(columns)])

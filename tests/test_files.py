@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isochron.plans.stations import load_readings, profile, station_cells
-from isochron.sources.station_files import file_lines, line_cells, list_files, open_files, preferred_files
+from isochron.sources.station_files import file_lines, fixed_rows, line_cells, list_files, open_files, preferred_files
 from isochron.sources.stations import choose_stations, read_stations
 
 STATION_TEXT = """Station details: extracted 2020
@@ -128,10 +128,15 @@ def test_fixed_layout(spark, tmp_path):
     columns = "date," + ",".join(f"c{i}" for i in range(20))
     line = "2020-01-01 05:00:00,0,1.5,0,9.5,0,8.5,7.5,10.1,80,1010.5,0,5,0,270,2,11,0.5,30000,999,4"
     put(tmp_path, "hly8", "Legend\n" * 23 + columns + "\n" + line + "\n")
-    found = line_cells(file_lines(open_files(list_files(spark, str(tmp_path))), fixed_layout=True)).collect()
+    lines = file_lines(open_files(list_files(spark, str(tmp_path))), fixed_layout=True)
+    found = line_cells(lines).collect()
     raw = {r["series"]: r["raw"] for r in found if r["line_no"] == 0}
     assert raw["rain_7"] == "2.5" and raw["irain_7"] == "0"
     assert raw["rain_8"] == "1.5" and raw["clamt_8"] == "4" and raw["iwddir_8"] == "0" and len(raw) == 22
+    hourly = fixed_rows(lines, "hly").first()
+    assert (hourly["temp"], hourly["rhum"], hourly["clamt"], str(hourly["date"])) == (9.5, 80, 4, "2020-01-01 05:00:00")
+    assert sorted((r["irain"], r["rain"]) for r in fixed_rows(lines, "dly").collect() if r["rain"]) == [(0, 2.5)]
+    assert [r["rain"] for r in fixed_rows(lines, "dly").orderBy("date").collect()] == [2.5, None]
 
 
 def test_no_header_gives_no_rows(spark, tmp_path):
