@@ -75,6 +75,7 @@ def paired_lags(
     )
     placed = (
         row_blocks(rows, max(hours), rows_per_block)
+        .repartition("series", "row_block")  # before the copies are made, so that they are not shuffled
         .select("series", "ts", "mean", "x", "row_block", F.inline(places))
         .filter(F.floor(F.col("place") / size) == F.col("row_block"))
     )

@@ -60,3 +60,42 @@ def test_no_task_gets_a_whole_series(spark, frame, name, tmp_path):
         if "windowspecdefinition" in line and "value#" in line:
             assert "row_block" in line or "day_block" in line
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def _lines(df, *words):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if any(w in line for w in words)]
+
+
+def test_lag_copies_are_made_after_the_shuffle(spark, frame):
+    df = lag_series(frame({"a": [(h, h) for h in range(30)]}), "1-10")
+    steps = _lines(df, "Generate inline", "hashpartitioning(series", "Window [max")
+    window = next(i for i, line in enumerate(steps) if "Window [max" in line)
+    assert "Generate inline" in steps[window + 1] and "row_block" in steps[window + 2]
+
+
+def test_rows_cross_the_network_twice(spark, frame, tmp_path):
+    """Once to be numbered and once into row blocks; everything else exchanged is per block."""
+    path = str(tmp_path / "readings")
+    frame({"a": [(h, h) for h in range(30)]}).write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for op in (sma, differences, lambda df: arima(df, q="none")):
+            exchanges = _lines(op(spark.read.parquet(path)), "Exchange hashpartitioning")
+            assert sum("row_block" in line for line in exchanges) == 1
+            # numbering, the partial counts, and the block starts that go back to the rows
+            assert sum("day_block" in line for line in exchanges) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_results_without_broadcast(spark, connection):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("sma_points", "lag_points", "arima_full", "arima_centered", "autocorr_centered_daily"):
+            found = difference(QUERIES[name](spark, SF_DIR).toPandas(), connection.execute(ORACLES[name]).df())
+            assert found is None, (name, found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
