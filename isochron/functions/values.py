@@ -31,19 +31,25 @@ def as_float32(value: Column) -> Column:
     return value.cast("float").cast("double")
 
 
-def _number_text(raw: Column) -> Column:
-    """Only the exact spellings NaN and Infinity are numbers; Spark would take any case."""
+def _number(raw: Column, spark_type: str = "float") -> Column:
+    """Text as a number, else NULL. Spark takes ``nan`` and ``inf`` in any case; only the exact
+    spellings NaN and Infinity are numbers here. Words can only give a result that is not finite, so
+    no other cell is searched for them."""
     text = F.trim(raw)
-    word = F.lower(text).rlike("^[+-]?(nan|inf|infinity)$")
-    exact = text.rlike("^[+-]?(NaN|Infinity)$")
-    return F.when(word & ~exact, F.lit(None)).otherwise(text)
+    number = text.try_cast(spark_type)
+    if spark_type not in ("float", "double"):
+        return number.cast("double")
+    number = number.cast("double")
+    not_finite = F.isnan(number) | (F.abs(number) == float("inf"))
+    other_spelling = F.lower(text).rlike("^[+-]?(nan|inf|infinity)$") & ~text.rlike("^[+-]?(NaN|Infinity)$")
+    return F.when(not_finite & other_spelling, F.lit(None)).otherwise(number)
 
 
 def analytic_value(raw: Column, on_bad: str = "zero") -> Column:
     """Text to float32-widened double. Bad text becomes 0, or NULL for ``null`` and ``drop``."""
     if on_bad not in BAD_VALUE_POLICIES:
         raise ValueError(f"on_bad must be one of {BAD_VALUE_POLICIES}, not {on_bad!r}")
-    number = _number_text(raw).try_cast("float").cast("double")
+    number = _number(raw)
     if on_bad == "zero":
         return F.coalesce(number, F.when(raw.isNotNull(), F.lit(0.0)))
     return number
@@ -75,6 +81,6 @@ def decode_cell(series: Column, raw: Column, rules: list[tuple[str, str]], on_ba
         if spark_type == "string":
             value = analytic_value(raw, on_bad)
         else:
-            value = as_float32(_number_text(raw).try_cast(spark_type))
+            value = as_float32(_number(raw, spark_type))
         decoded = F.when(series.rlike(f"^(?:{regex})$"), value).otherwise(decoded)
     return decoded

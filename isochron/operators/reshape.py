@@ -7,9 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from isochron.functions.timekeys import hour_floor, reading_time
-from isochron.functions.values import analytic_value, decode_cell
+from isochron.functions.values import analytic_value, as_float32, decode_cell
 from isochron.operators.filters import columns_matching
 
 
@@ -28,7 +29,7 @@ def wide_to_series(
 ) -> DataFrame:
     """Canonical frame of a stored wide table.
 
-    The reading time is the ``date`` cell, else the row key. Empty cells are dropped; cells of a
+    Numeric columns are taken as they are, others as text. The reading time is the ``date`` cell, else the row key. Empty cells are dropped; cells of a
     series no type rule matches are dropped; bad text follows ``on_bad``.
     """
     names = set(wide.columns)
@@ -38,6 +39,12 @@ def wide_to_series(
         if "key" in names:
             wide = wide.filter(~F.col("key").startswith("#"))
         wide = wide.withColumn("ts", reading_time(date_cell, key))
+    chosen = columns_matching(wide.columns, regexes, never=("date", "key", "ts"))
+    if not type_rules and all(isinstance(wide.schema[c].dataType, NumericType) for c in chosen):
+        numbers = wide.select("ts", *[as_float32(F.col(f"`{c}`")).alias(c) for c in chosen])
+        return numbers.unpivot(["ts"], chosen, "series", "value").filter(F.col("value").isNotNull()).select(
+            "series", "ts", "value"
+        )
     cells = unpivot_text(wide, regexes).filter(F.col("raw").isNotNull() & (F.col("raw") != ""))
     raw = F.col("raw")
     value = decode_cell(F.col("series"), raw, type_rules, on_bad) if type_rules else analytic_value(raw, on_bad)
