@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isochron.functions.specs import range_spec
@@ -75,14 +75,19 @@ def paired_lags(
     )
     placed = (
         row_blocks(rows, max(hours), rows_per_block)
-        .repartition("series", "row_block")  # before the copies are made, so that they are not shuffled
+        .repartition("series", "row_block")  # now, so that the copies need no shuffle to meet
         .select("series", "ts", "mean", "x", "row_block", F.inline(places))
         .filter(F.floor(F.col("place") / size) == F.col("row_block"))
     )
-    same_place = Window.partitionBy("series", "row_block").orderBy("place").rangeBetween(0, 0)
-    partners = [F.max(F.when(F.col("lag") == h, F.col("x"))).over(same_place).alias(f"lag_{h}") for h in hours]
-    met = placed.select("series", "ts", "mean", "lag", F.col("x").alias("lag_0"), *partners)
-    return met.filter(F.col("lag") == 0).drop("lag")
+    own = F.col("lag") == 0
+    partners = [F.max(F.when(F.col("lag") == h, F.col("x"))).alias(f"lag_{h}") for h in hours]
+    met = placed.groupBy("series", "row_block", "place").agg(
+        F.max(F.when(own, F.col("ts"))).alias("ts"),
+        F.max(F.when(own, F.col("mean"))).alias("mean"),
+        F.max(F.when(own, F.col("x"))).alias("lag_0"),
+        *partners,
+    )
+    return met.filter(F.col("ts").isNotNull()).drop("row_block", "place")
 
 
 def _lags_of(pairs: DataFrame) -> list[int]:

@@ -40,6 +40,8 @@ def wide_to_series(
             wide = wide.filter(~F.col("key").startswith("#"))
         wide = wide.withColumn("ts", reading_time(date_cell, key))
     chosen = columns_matching(wide.columns, regexes, never=("date", "key", "ts"))
+    if not chosen:
+        raise ValueError(f"no column matches {regexes!r}")
     if not type_rules and all(isinstance(wide.schema[c].dataType, NumericType) for c in chosen):
         numbers = wide.select("ts", *[as_float32(F.col(f"`{c}`")).alias(c) for c in chosen])
         return numbers.unpivot(["ts"], chosen, "series", "value").filter(F.col("value").isNotNull()).select(

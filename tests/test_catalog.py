@@ -69,9 +69,10 @@ def _lines(df, *words):
 
 def test_lag_copies_are_made_after_the_shuffle(spark, frame):
     df = lag_series(frame({"a": [(h, h) for h in range(30)]}), "1-10")
-    steps = _lines(df, "Generate inline", "hashpartitioning(series", "Window [max")
-    window = next(i for i, line in enumerate(steps) if "Window [max" in line)
-    assert "Generate inline" in steps[window + 1] and "row_block" in steps[window + 2]
+    steps = _lines(df, "struct(lag, 0, place", "Exchange hashpartitioning")
+    assert not any("place" in line for line in steps if "Exchange" in line)
+    copies = next(i for i, line in enumerate(steps) if "struct(lag, 0, place" in line)
+    assert "row_block" in steps[copies + 1]
 
 
 def test_rows_cross_the_network_twice(spark, frame, tmp_path):
