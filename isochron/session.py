@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shipped: set[str] = set()
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     spark = (
@@ -19,3 +26,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Put this repository's Python code on every worker, once per application.
+
+    Passes in Python refer to it by module name, which a worker resolves only if it has the modules. The zip is made on
+    the driver and handed out by Spark's own file server.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="isochron-"), "isochron-code.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for top in ("isochron", "catalog"):
+            for folder, _, names in os.walk(os.path.join(ROOT, top)):
+                for name in (n for n in names if n.endswith(".py")):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, ROOT))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
