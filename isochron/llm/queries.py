@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isochron.llm import fingerprints, language
+from isochron.llm import fingerprints, html_text, language
 from isochron.llm.packing import pack
 from isochron.llm.token_counts import count_tokens
 
@@ -44,3 +44,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
