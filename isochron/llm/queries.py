@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from isochron.llm import fingerprints, html_text, language
+from isochron.llm import fingerprints, html_text, language, substring_dedup, suffix_dedup, warc
 from isochron.llm.packing import pack
 from isochron.llm.token_counts import count_tokens
 
@@ -24,6 +25,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+oracles["op1_warc"] = """
+WITH d AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+e AS (SELECT page_id, h, octet_length(encode(h)) AS payload_bytes, CAST(CAST(unhex(sha1(h)) AS BIT) AS VARCHAR) AS bits,
+             min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + list_sum(list_transform(range(5), lambda j: CAST(substr(bits, CAST(5 * i + j + 1 AS BIGINT), 1) AS BIGINT)
+             * (CAST(16 AS BIGINT) >> CAST(j AS INTEGER))))::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM e"""
+
+
+@query
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+oracles["op2_suffix_array_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, unnest(range(1, length(h) // 2 - 398)) AS i, h FROM d),
+w AS (SELECT doc_id, i, md5_number(substr(h, 2 * i - 1, 800)) AS k FROM s),
+r AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p
+        FROM w JOIN r USING (k)),
+run AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 400 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id ORDER BY i) AS g FROM hit),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM run GROUP BY doc_id, g),
+gap AS (SELECT doc_id, b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS a2 FROM span),
+first AS (SELECT doc_id, min(a) AS a, count(*) AS n_spans, sum(b - a) AS n_removed FROM span GROUP BY doc_id),
+rest AS (SELECT doc_id, string_agg(substr(h, 2 * b - 1, CASE WHEN a2 IS NULL THEN length(h) ELSE 2 * (a2 - b) END), '' ORDER BY b) AS t
+         FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN first.a IS NULL THEN h ELSE substr(h, 1, 2 * (first.a - 1)) || t END)) AS kept_sha256
+FROM d LEFT JOIN first USING (doc_id) LEFT JOIN rest USING (doc_id)"""
+
+
 @query
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
@@ -49,3 +94,24 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_earlier_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+oracles["op10_substring_dedup"] = """
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+s AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11),
+        lambda i: {'i': i, 'k': md5_number(array_to_string(w[i:i + 12], ' '))}), recursive := true) FROM d),
+f AS (SELECT k, min(doc_id) AS least FROM s GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM s JOIN f USING (k), range(13) AS t(j) WHERE doc_id > least),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+kept AS (SELECT words.doc_id, string_agg(x, ' ' ORDER BY words.p) AS t
+         FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
