@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isochron.llm import fingerprints, html_text, language, substring_dedup, suffix_dedup, warc
+from isochron.llm import fingerprints, html_text, jaccard, language, substring_dedup, suffix_dedup, warc
 from isochron.llm.packing import pack
 from isochron.llm.token_counts import count_tokens
 
@@ -69,6 +69,25 @@ SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGIN
 FROM d LEFT JOIN first USING (doc_id) LEFT JOIN rest USING (doc_id)"""
 
 
+@query
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), jaccard.Scheme(least=90, words=3))
+
+
+oracles["op3_ngram_jaccard_join"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN CASE WHEN len(w) = 0 THEN [] ELSE [array_to_string(w, ' ')] END
+        ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 90 * (a.n + b.n - i)),
+r AS (SELECT doc_id, doc_id AS o FROM d UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.o = l.x)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id"""
+
+
 @query
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
