@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isochron.llm import fingerprints, html_text, jaccard, language, substring_dedup, suffix_dedup, warc
+from isochron.llm import decontamination, fingerprints, html_text, jaccard, language, substring_dedup, suffix_dedup, warc
 from isochron.llm.packing import pack
 from isochron.llm.token_counts import count_tokens
 
@@ -88,6 +88,11 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o) AS component_
 FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id"""
 
 
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))

@@ -94,7 +94,8 @@ def pack(start: np.ndarray, count: np.ndarray, tag: np.ndarray) -> np.ndarray:
 def slices(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches in parts of some ``size`` bytes of text."""
     for batch in batches:
-        part = np.cumsum(pc.binary_length(batch[column]).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+        length = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(length.astype(np.int64)) // size
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
