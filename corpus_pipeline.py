@@ -1,4 +1,9 @@
-"""The corpus pipeline: each stage's result is written as Parquet and is the next one's documents."""
+"""The corpus pipeline: each stage's result is written as Parquet and is the next one's documents.
+
+Stages see all rows that their predecessor kept, and keep all columns of ``documents``, but for the last one, which
+gives the pieces of the packed sequences. Nulls, empty texts, repeated rows and empty tables are handled as the
+operators' docstrings say.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +11,51 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from isochron.llm import language
 from isochron.llm.common import shared_folder
+from isochron.llm.decontamination import without_contaminated
+from isochron.llm.jaccard import Scheme, one_of_each
 from isochron.llm.packing import pack
+from isochron.llm.suffix_dedup import with_unique_texts
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+LEAST_SCORE = 0.5
+"""Below it no language is likelier than all others together."""
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; those without a letter, or of no clear language, go."""
+    return language.keep_identified(docs, language.fit(docs), LEAST_SCORE)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group linked by 0.8 or more of their five-word shingles."""
+    return one_of_each(docs, Scheme(least=80, words=5))
+
+
+def unique_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 400 bytes that stand elsewhere, too; ``n_chars`` follows."""
+    return with_unique_texts(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of every document that is left, in sequences of 2048."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("best_fit_packing", pack_sequences),
+    ("language_id", identified),
+    ("ngram_jaccard_join", without_near_copies),
+    ("suffix_array_dedup", unique_texts),
+    ("benchmark_decontamination", decontaminated),
+    ("best_fit_packing", packed),
 ]
 
 ORACLE_SQL = None

@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from isochron.llm.common import gram_hashes, keyed
+from isochron.llm.common import NO_ID, gram_hashes, keyed
 from isochron.llm.repeats import GROUP, TAG, Sampling, merged, repeated_spans, slices
 
 WINDOW = 400
@@ -181,14 +182,16 @@ def byte_cutter(texts: pa.Array):
     return lambda row, a, b: rows[row][a:b]
 
 
+def repeated_bytes(docs: DataFrame, sampling: Sampling, group: int) -> DataFrame:
+    return repeated_spans(docs, byte_numbers, sampling, False, resolve(sampling), byte_cutter, group)
+
+
 def without_repeated_bytes(
     docs: DataFrame, id_col="doc_id", text_col="text", sampling: Sampling = SAMPLING, group: int = GROUP
 ) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, removed, kept``: removed spans of bytes, and the bytes that stay.
-
-    """
+    """``doc_id, n_bytes, n_removed, n_spans, removed, kept``: removed spans of bytes, and the bytes that stay."""
     given = keyed(docs, id_col, text_col).withColumn("tag", F.col("khash").bitwiseAND(TAG).cast("int"))
-    found = repeated_spans(given, byte_numbers, sampling, False, resolve(sampling), byte_cutter, group)
+    found = repeated_bytes(given, sampling, group)
     spans = "array<struct<first: int, end: int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,3 +213,48 @@ def without_repeated_bytes(
 
     joined = given.join(found, ["kid", "tag"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, removed {spans}, kept binary")
+
+
+def whole_characters(text: bytes, cuts: list[tuple[int, int]]) -> str:
+    """What stays when the cuts are narrowed to whole characters of the UTF-8 text."""
+    kept, at = [], 0
+    for a, b in cuts:
+        while a < b and text[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
+            b -= 1
+        kept.append(text[at:a])
+        at = b
+    return b"".join([*kept, text[at:]]).decode("utf-8")
+
+
+def with_unique_texts(
+    docs: DataFrame, id_col="doc_id", text_col="text", sampling: Sampling = SAMPLING, group: int = GROUP
+) -> DataFrame:
+    """Rows of ``docs`` with all their columns, repeated bytes taken out of the text as whole characters.
+
+    A text of which nothing stays is empty; a null text stays null.
+    """
+    text = F.col(text_col).cast("string")
+    given = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.coalesce(text, F.lit("")).alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("kid"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(TAG).cast("int").alias("tag"),
+    )
+    found = repeated_bytes(given.select("kid", "tag", "text"), sampling, group)
+    others = [c for c in docs.columns if c != text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, sampling.slice):
+            texts = part["text"].cast(pa.binary()).to_pylist()
+            made = [whole_characters(t, merged(s)) if s else t.decode("utf-8") for t, s in zip(texts, part["spans"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part["row"], part["empty"], pa.array(made, pa.string())], names=["row", "empty", "text"])
+
+    rest = F.struct(*(F.col(f"row.`{c}`").alias(c) for c in others)) if others else F.struct(F.lit(1).alias("none"))
+    sent = given.select(rest.alias("row"), F.col(f"row.`{text_col}`").isNull().alias("empty"), "text", "kid", "tag")
+    joined = sent.join(found, ["kid", "tag"], "left").select("row", "empty", "text", "spans")
+    schema = StructType([joined.schema["row"], StructField("empty", BooleanType()), StructField("text", StringType())])
+    back = joined.mapInArrow(run, schema)
+    text = F.when(~F.col("empty"), F.col("text")).alias(text_col)
+    return back.select(*(text if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
