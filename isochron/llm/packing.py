@@ -19,9 +19,11 @@ piece taking the remainder; equal rows are packed one by one; an empty table giv
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +33,28 @@ from pyspark.sql import functions as F
 from isochron.llm.common import stored
 from isochron.llm.token_counts import PLAIN
 
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-"""Fixed value: the split pattern of the vocabulary file, for plain texts."""
-MEMO = 800_000
+MEMO = 1_000_000
+
+
+class Memo(dict):
+    """The first ``MEMO`` units met, with their ids; ``rest`` holds those of the batch at hand that came later."""
+
+    rest: dict[str, bytes] = {}
+
+    def __missing__(self, unit: str) -> bytes:
+        return self.rest[unit]
+
+    def learn(self, found: dict[str, bytes]) -> None:
+        self.rest = found
+        if len(self) < MEMO:
+            self.update(found)
 
 
 class IdEncoder:
     """Ids of whole texts as the library gives them, as little-endian 32-bit numbers.
 
-    The library encodes each distinct pre-token of a plain text once; other texts it encodes whole.
+    In a plain text without double spaces every space that follows a word begins a pre-token, so the units between
+    spaces can be encoded one by one; the library encodes each distinct unit once. Other texts it encodes whole.
     """
 
     def __init__(self, path: str):
@@ -47,24 +62,32 @@ class IdEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def units(self, text: str) -> list[str] | None:
+        if "  " in text or text.endswith(" ") or "\0" in text or not PLAIN.fullmatch(text):
+            return None
+        if any(s in text for s in self.special):
+            return None
+        return text.replace(" ", "\0 ").split("\0")
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [not PLAIN.fullmatch(t) or any(s in t for s in self.special) for t in texts]
-        pieces = [None if w else PIECES.findall(t) for t, w in zip(texts, whole, strict=True)]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo = self.memo
-        new = list({p for found in pieces if found for p in found if p not in memo})
-        for i in range(0, len(new), 1 << 14):
-            block = new[i : i + (1 << 14)]
-            memo.update(zip(block, self.ids(block), strict=True))
-        rest = iter(self.ids([t for t, w in zip(texts, whole, strict=True) if w]))
-        return [next(rest) if p is None else b"".join(map(memo.__getitem__, p)) for p in pieces]
+        cut = [self.units(t) for t in texts]
+        new = list(set(chain.from_iterable(u for u in cut if u)) - self.memo.keys())
+        self.memo.learn(dict(zip(new, self.ids(new), strict=True)))
+        rest = iter(self.ids([t for t, u in zip(texts, cut, strict=True) if u is None]))
+        look = self.memo.__getitem__
+        return [next(rest) if u is None else b"".join(map(look, u)) for u in cut]
+
+
+@cache
+def encoder(path: str) -> IdEncoder:
+    """One for each worker process, which serves many tasks."""
+    return IdEncoder(path)
 
 
 def token_pieces(
@@ -83,7 +106,7 @@ def token_pieces(
     schema += ", ids binary" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = IdEncoder(vocabulary), np.zeros(capacity + 1, np.int64)
+        encode, seen = encoder(vocabulary), np.zeros(capacity + 1, np.int64)
         mark = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -87,3 +87,9 @@ def test_nulls_ties_long_texts(spark):
     for r in twice:
         places[r.sequence_id] += r.length
     assert max(places.values()) <= 2048 and sum(places.values()) == 2 * sum(map(len, ids.values()))
+
+
+def test_spaces_do_not_matter(spark):
+    texts = [" a", "a ", "a  b", "a \n b", "a\n b", "a \nb", "a\n\n b c\t d", "\n", " ", "a\x0bb c", "don't 'll 've", "end.\nNext one"]
+    found = IdEncoder(PATH)(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x[:-1] for x in library_ids(texts)]
