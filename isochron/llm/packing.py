@@ -19,6 +19,7 @@ piece taking the remainder; equal rows are packed one by one; an empty table giv
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -86,7 +87,8 @@ class IdEncoder:
 
 @cache
 def encoder(path: str) -> IdEncoder:
-    """One for each worker process, which serves many tasks."""
+    """One for each worker process, which serves many tasks; Spark's tasks are the parallel ones, not its threads."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return IdEncoder(path)
 
 
