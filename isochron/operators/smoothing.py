@@ -9,15 +9,33 @@ from isochron.functions.specs import range_spec
 from isochron.operators.metrics import model_metrics
 from isochron.operators.rows import ROWS_PER_BLOCK, in_row_block, index_rows, row_blocks
 
-# A sliding frame costs its length per row; longer windows difference a running sum of the block.
-LONGEST_FRAME = 32
+
+def _doubled(rows: DataFrame, longest: int) -> DataFrame:
+    """Add ``sum_1, sum_2, sum_4, ..``: the sums of that many rows up to each row, as far as there are rows.
+
+    Each is the sum before it plus the one as many rows earlier. Nothing is subtracted, so a NaN, an infinity or a very
+    large reading is gone with the row that leaves the window, whatever the window's size.
+    """
+    rows = rows.withColumn("sum_1", F.coalesce("value", F.lit(0.0)))
+    size = 1
+    while 2 * size <= longest:
+        earlier = F.coalesce(F.lag(f"sum_{size}", size).over(in_row_block()), F.lit(0.0))
+        rows = rows.withColumn(f"sum_{2 * size}", F.col(f"sum_{size}") + earlier)
+        size *= 2
+    return rows
 
 
 def _moving_average(size: int) -> Column:
-    if size <= LONGEST_FRAME:
-        return F.avg("value").over(in_row_block().rowsBetween(1 - size, 0))
-    left_behind = F.coalesce(F.lag("running_sum", size).over(in_row_block()), F.lit(0.0))
-    return (F.col("running_sum") - left_behind) / F.least(F.col("rn") + 1, F.lit(size))
+    """A window is laid out with sums of 1, 2, 4, .. rows, one for each binary digit of its size."""
+    total, at = None, 0
+    for bit in reversed(range(size.bit_length())):
+        if size >> bit & 1:
+            part = F.col(f"sum_{1 << bit}")
+            part = F.coalesce(F.lag(part, at).over(in_row_block()), F.lit(0.0)) if at else part
+            total = part if total is None else total + part
+            at += 1 << bit
+    readings = F.col("readings") - F.coalesce(F.lag("readings", size).over(in_row_block()), F.lit(0))
+    return F.try_divide(total, readings)
 
 
 def sma(df: DataFrame, windows: str | int | list[int] = 5, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
@@ -30,9 +48,8 @@ def sma(df: DataFrame, windows: str | int | list[int] = 5, rows_per_block: int =
     if not sizes or min(sizes) < 1:
         raise ValueError(f"window sizes must be at least 1: {windows!r}")
     rows = row_blocks(index_rows(df).select("series", "ts", "value", "rn"), max(sizes) - 1, rows_per_block)
-    if max(sizes) > LONGEST_FRAME:
-        so_far = in_row_block().rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("running_sum", F.sum("value").over(so_far))
+    so_far = in_row_block().rowsBetween(Window.unboundedPreceding, 0)
+    rows = _doubled(rows.withColumn("readings", F.count("value").over(so_far)), max(sizes))
     averaged = rows.select("*", *[_moving_average(n).alias(f"ma_{n}") for n in dict.fromkeys(sizes)])
     per_size = F.array(
         *[
