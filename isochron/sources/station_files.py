@@ -9,7 +9,6 @@ import io
 import re
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
-from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +17,8 @@ from pyspark.sql import functions as F
 from isochron.functions.timekeys import file_time
 from isochron.functions.values import DECIMAL_MEASURES, WHOLE_MEASURES, blank_to_zero
 
-# File types in order of preference, and how far down a header is looked for.
+# File types in order of preference.
 FILE_TYPES = ("hly", "dly")
-HEADER_WITHIN = 100
 
 # Columns of the hourly and daily files where the layout is known beforehand.
 HOURLY_COLUMNS = (
@@ -32,42 +30,47 @@ HOURLY_SKIP = 23
 DAILY_SKIP = 9
 BLANK_IS_ZERO = ("vappr", "rhum", "wddir")
 
-_LINES_PER_BATCH = 20_000
-_LINE_SCHEMA = "path string, station int, file_type string, header string, line_no bigint, line string"
+CHUNK = 1 << 20
+_CHUNK_SCHEMA = "path string, station int, file_type string, header string, first_line bigint, chunk string"
+_BLANKS = " \t\r\n\x0b\x0c"
+_LEGEND = re.compile(r":\s+-")  # fixed value: a legend line says ``name: - meaning``
+_FULL_LINE = re.compile(rf"^[{_BLANKS}]*[^{_BLANKS}]", re.M)
 
 
 def _is_preamble(line: str) -> bool:
-    return not line or line[0].isupper() or re.search(r":\s+-", line) is not None
+    return not line or line[0].isupper() or _LEGEND.search(line) is not None
 
 
-def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None) -> Callable:
-    """``mapInPandas`` function: one row per data line of each zip, in batches."""
+def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None, chunk: int) -> Callable:
+    """``mapInPandas`` function: header and text of each zip, cut at line ends into chunks of some ``chunk`` letters."""
 
-    def lines_of(content: bytes, name: str, file_type: str) -> Iterator[tuple[str, int, str]]:
+    def chunks_of(content: bytes, name: str, file_type: str) -> Iterator[tuple[str, int, str]]:
         with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(f"{name}.csv") as stream:
-            lines = (line.strip() for line in io.TextIOWrapper(stream, encoding="utf-8"))
+            text = io.TextIOWrapper(stream, encoding="utf-8")
             if known_header is not None:
                 skip, header = known_header[file_type]
-                lines = islice(lines, skip + 1, None)  # the header row follows the skipped lines
+                for _ in range(skip + 1):  # the header row follows the skipped lines
+                    text.readline()
             else:
-                header = next((line for line in islice(lines, HEADER_WITHIN) if not _is_preamble(line)), None)
+                lines = (line.strip(_BLANKS) for line in iter(text.readline, ""))
+                header = next((line for line in lines if not _is_preamble(line)), None)
                 if header is None:
-                    return
-            data = (line for line in lines if line)
-            for number, line in enumerate(islice(data, max_rows)):
-                yield header, number, line
+                    raise ValueError(f"{name}.zip has no header line")
+            number, rest = 0, ""
+            while block := text.read(chunk):
+                whole, end, rest = (rest + block).rpartition("\n")
+                if end and (max_rows is None or number < max_rows):
+                    yield header, number, whole
+                    number += len(_FULL_LINE.findall(whole))
+            if rest and (max_rows is None or number < max_rows):
+                yield header, number, rest
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
             for file in files.itertuples(index=False):
-                name = f"{file.file_type}{file.station}"
-                found = lines_of(file.content, name, file.file_type)
-                while chunk := list(islice(found, _LINES_PER_BATCH)):
-                    out = pd.DataFrame(chunk, columns=["header", "line_no", "line"])
-                    out.insert(0, "file_type", file.file_type)
-                    out.insert(0, "station", file.station)
-                    out.insert(0, "path", file.path)
-                    yield out
+                for part in chunks_of(file.content, f"{file.file_type}{file.station}", file.file_type):
+                    out = (file.path, file.station, file.file_type, *part)
+                    yield pd.DataFrame([out], columns=[c.split()[0] for c in _CHUNK_SCHEMA.split(", ")])
 
     return run
 
@@ -111,18 +114,24 @@ def open_files(files: DataFrame) -> DataFrame:
 
 
 def file_lines(
-    files: DataFrame, fixed_layout: bool = False, max_rows: int | None = None
+    files: DataFrame, fixed_layout: bool = False, max_rows: int | None = None, chunk: int = CHUNK
 ) -> DataFrame:
     """Data lines of zipped files, with their header; at most ``max_rows`` lines of each file if given.
 
     The header is the first line that is not preamble (empty, starting in upper case, or a
-    ``name: - meaning`` legend line), looked for in the first lines only. With ``fixed_layout`` the
-    number of lines to skip and the columns are those of the standard files.
+    ``name: - meaning`` legend line), however far down it stands; a file without one is an error. With
+    ``fixed_layout`` the number of lines to skip and the columns are those of the standard files. Python unzips and looks
+    for the header; chunks are split into lines by Spark.
     """
     known = None
     if fixed_layout:
         known = {"hly": (HOURLY_SKIP, ",".join(HOURLY_COLUMNS)), "dly": (DAILY_SKIP, ",".join(DAILY_COLUMNS))}
-    return files.select("path", "station", "file_type", "content").mapInPandas(_unzip(known, max_rows), _LINE_SCHEMA)
+    chunks = files.select("path", "station", "file_type", "content").mapInPandas(_unzip(known, max_rows, chunk), _CHUNK_SCHEMA)
+    lines = F.transform(F.split("chunk", "\n"), lambda line: F.trim(line, F.lit(_BLANKS)))
+    numbered = chunks.select("*", F.posexplode(F.filter(lines, lambda line: line != "")).alias("nth", "line"))
+    line_no = F.col("first_line") + F.col("nth")
+    found = numbered.select("path", "station", "file_type", "header", line_no.alias("line_no"), "line")
+    return found if max_rows is None else found.filter(F.col("line_no") < max_rows)
 
 
 def _column_names(header: Column) -> Column:

@@ -139,9 +139,26 @@ def test_fixed_layout(spark, tmp_path):
     assert [r["rain"] for r in fixed_rows(lines, "dly").orderBy("date").collect()] == [2.5, None]
 
 
-def test_no_header_gives_no_rows(spark, tmp_path):
-    put(tmp_path, "hly5", "Legend\n" * 150 + "date,rain\n2020-01-01 00:00:00,1\n")
-    assert file_lines(open_files(list_files(spark, str(tmp_path)))).count() == 0
+def test_header_below_a_long_legend(spark, tmp_path):
+    put(tmp_path, "hly5", "Legend\n" * 150 + "date,rain\n2020-01-01 00:00:00,1\n\n 2020-01-01 01:00:00,2")
+    lines = file_lines(open_files(list_files(spark, str(tmp_path)))).collect()
+    assert [(r["header"], r["line_no"], r["line"]) for r in lines] == [
+        ("date,rain", 0, "2020-01-01 00:00:00,1"), ("date,rain", 1, "2020-01-01 01:00:00,2")
+    ]
+
+
+def test_no_header_is_an_error(spark, tmp_path):
+    put(tmp_path, "hly5", "Legend\n" * 150)
+    with pytest.raises(Exception, match="hly5.zip has no header line"):
+        file_lines(open_files(list_files(spark, str(tmp_path)))).collect()
+
+
+def test_chunks_are_cut_at_line_ends(spark, tmp_path):
+    rows = [f"2020-01-{d:02d} 00:00:00,{d}" for d in range(1, 29)]
+    put(tmp_path, "hly5", "Legend\ndate,rain\r\n" + "\r\n\r\n".join(rows))
+    for cap in (None, 5):
+        found = file_lines(open_files(list_files(spark, str(tmp_path))), max_rows=cap, chunk=7).orderBy("line_no").collect()
+        assert [(r["line_no"], r["line"]) for r in found] == list(enumerate(rows[:cap]))
 
 
 def test_files_of_other_stations_stay_closed(spark, folder, stations, tmp_path):
