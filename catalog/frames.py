@@ -17,13 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One series per event type, hourly sums, with gaps."""
     events = table(spark, sf_dir, "events")
-    return to_series(events, F.col("event_type"), F.col("ts"), F.col("value"))
+    return to_series(events, F.col("event_type"), F.col("ts"), F.col("value"), 2)
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One series per supplier, quantity shipped per day."""
     lines = table(spark, sf_dir, "lineitem")
-    return to_series(lines, F.col("l_suppkey"), F.col("l_shipdate"), F.col("l_quantity"))
+    return to_series(lines, F.col("l_suppkey"), F.col("l_shipdate"), F.col("l_quantity"), 2)
 
 
 HOURLY = """hourly AS (

@@ -21,6 +21,7 @@ from catalog.frames import (
     r,
     rounded,
     rounded_stats,
+    table,
 )
 from isochron.operators.arima import arima, arima_metrics
 from isochron.operators.differencing import difference, difference_stats
@@ -30,6 +31,7 @@ from isochron.operators.reshape import lag_name, level_name, to_wide
 from isochron.operators.smoothing import sma, sma_metrics, sma_text
 from isochron.operators.stats import describe_series, series_stats, wide_stats, with_stratum
 from isochron.sinks import metrics_csv
+from isochron.sources.tables import to_series
 
 Query = Callable[[SparkSession, str], DataFrame]
 FRAMES = {"hourly": hourly, "daily": daily}
@@ -81,6 +83,7 @@ for source, windows, sizes, suffix in (
     ("hourly", "1-10", list(range(1, 11)), "_sweep"),
     ("daily", "3,7", [3, 7], "_daily"),
     ("daily", "200", [200], "_long_window"),
+    ("hourly", "33", [33], "_33"),
 ):
     register(
         f"sma_points{suffix}",
@@ -93,6 +96,49 @@ for source, windows, sizes, suffix in (
         f"WITH {sma_sql(source, sizes)} {SMA_METRICS_SQL}",
     )
 
+# NaN, infinite and very large readings planted by the hour they were taken in. Averages that hold one are
+# compared by kind; those after it must not show it any more.
+HOUR = "CAST(epoch(ts) AS BIGINT) // 3600 % 97"
+PLANTED = f"""planted AS (SELECT series, ts, CASE WHEN {HOUR} = 5 THEN 'NaN'::DOUBLE WHEN {HOUR} = 40 THEN 'Infinity'::DOUBLE
+  WHEN {HOUR} = 70 THEN 1e17 ELSE value END AS value FROM hourly)"""
+
+
+def planted(df: DataFrame) -> DataFrame:
+    hour = F.pmod(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600, F.lit(97)).cast("int")
+    odd = F.when(hour == 5, float("nan")).when(hour == 40, float("inf")).when(hour == 70, 1e17)
+    return df.withColumn("value", F.coalesce(odd, "value"))
+
+
+def sma_kinds(df: DataFrame) -> DataFrame:
+    average = F.col("moving_avg")
+    kind = F.when(F.isnan(average), "nan").when(average == float("inf"), "inf").when(average > 1e9, "large")
+    points = sma(planted(df), "4,40").select("series", "ts", "window_size", kind.alias("kind"), "moving_avg")
+    plain = F.when(F.col("kind").isNull(), off_tie_round("moving_avg", 6))
+    return points.withColumn("moving_avg", plain)
+
+
+register(
+    "sma_nan_spike",
+    on("hourly", sma_kinds),
+    f"""WITH {SQL_OF["hourly"]}, {PLANTED},
+w AS ({" UNION ALL ".join(
+    f'SELECT series, ts, {n} AS window_size, bool_or(isnan(value)) OVER x AS is_nan, bool_or(isinf(value)) OVER x AS is_inf, '
+    'bool_or(value = 1e17) OVER x AS is_large, '
+    'avg(CASE WHEN isfinite(value) AND value < 1e17 THEN value END) OVER x AS m FROM planted WINDOW x AS '
+    f'(PARTITION BY series ORDER BY ts ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)' for n in (4, 40))})
+SELECT series, ts, window_size, CASE WHEN is_nan THEN 'nan' WHEN is_inf THEN 'inf' WHEN is_large THEN 'large' END AS kind,
+  CASE WHEN NOT (is_nan OR is_inf OR is_large) THEN {r("m", "moving_avg").rsplit(" AS ", 1)[0]} END AS moving_avg FROM w""",
+)
+
+register(
+    "series_three_decimals",
+    lambda spark, sf_dir: to_series(
+        table(spark, sf_dir, "lineitem"), F.col("l_returnflag"), F.col("l_shipdate"), F.col("l_quantity") * F.lit(0.125), 3
+    ),
+    """SELECT l_returnflag AS series, CAST(date_trunc('hour', l_shipdate) AS TIMESTAMP) AS ts,
+  CAST(CAST(CAST(sum(CAST(l_quantity * 0.125 AS DECIMAL(38,3))) AS DOUBLE) AS FLOAT) AS DOUBLE) AS value
+FROM lineitem GROUP BY 1, 2""",
+)
 register(
     "metrics_export",
     on("hourly", lambda df: metrics_csv(sma_model(df, "3,5"))),

@@ -39,6 +39,7 @@ from isochron.sources.station_files import (
     file_lines,
     fixed_rows,
     line_cells,
+    measure_type,
     preferred_files,
 )
 from isochron.sources.stations import Correction, choose_stations, corrected, station_readings, stations_without_data
@@ -531,10 +532,10 @@ _FILE_SCHEMA = "path string, file_type string, station int, content binary"
 _PREAMBLE = ["Station Name: supplier", "", "date:  -  Date and Time (utc)", "rain:  -  Precipitation Amount (mm)"]
 
 
-def _zip_file(own: pd.DataFrame, fixed_layout: bool) -> pd.DataFrame:
+def _zip_file(own: pd.DataFrame, fixed_layout: bool, legend: int = 0) -> pd.DataFrame:
     station, kind = int(own["station"].iloc[0]), own["file_type"].iloc[0]
     if not fixed_layout:
-        header, preamble = "date,ind,rain,ind,temp", list(_PREAMBLE)
+        header, preamble = "date,ind,rain,ind,temp", [*_PREAMBLE, *["Legend"] * legend]
         lines = own["stamp"] + ",0," + own["rain"] + "," + own["mark"] + "," + own["temp"]
     else:
         columns = HOURLY_COLUMNS if kind == "hly" else DAILY_COLUMNS
@@ -550,7 +551,7 @@ def _zip_file(own: pd.DataFrame, fixed_layout: bool) -> pd.DataFrame:
     )
 
 
-def supplier_files(spark: SparkSession, sf_dir: str, fixed_layout: bool = False) -> DataFrame:
+def supplier_files(spark: SparkSession, sf_dir: str, fixed_layout: bool = False, legend: int = 0) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     days = lines.groupBy(F.col("l_suppkey").cast("int").alias("station"), F.col("l_shipdate").alias("ts")).agg(
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"), F.count(F.lit(1)).alias("n")
@@ -565,7 +566,7 @@ def supplier_files(spark: SparkSession, sf_dir: str, fixed_layout: bool = False)
         F.when(F.col("n") > 2, F.lit("  ")).otherwise(F.col("n").cast("string")).alias("temp"),
     )
     # A file holds one line per calendar day, so its size does not grow with the table.
-    return days.groupBy("station", "file_type").applyInPandas(lambda own: _zip_file(own, fixed_layout), _FILE_SCHEMA)
+    return days.groupBy("station", "file_type").applyInPandas(lambda own: _zip_file(own, fixed_layout, legend), _FILE_SCHEMA)
 
 
 SUPPLIER_DAYS = """days AS (
@@ -606,26 +607,47 @@ c AS (SELECT 'rain_' || station AS series, ts, CAST(CAST(CAST(quantity AS DOUBLE
       UNION ALL SELECT 'ind_temp_' || station, ts, n FROM days WHERE n > 1)
 SELECT * FROM c WHERE ts BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-12-31'""",
 )
+register(
+    "zip_long_legend",
+    lambda spark, sf_dir: file_lines(preferred_files(supplier_files(spark, sf_dir, legend=150)))
+    .groupBy("station", "file_type", "header")
+    .agg(F.count(F.lit(1)).alias("n")),
+    f"""WITH {SUPPLIER_DAYS}
+SELECT station, CASE WHEN station % 2 = 0 THEN 'hly' ELSE 'dly' END AS file_type, 'date,ind,rain,ind,temp' AS header,
+  count(*) AS n FROM days GROUP BY station""",
+)
+
+
+def fixed_files(spark: SparkSession, sf_dir: str, file_type: str) -> DataFrame:
+    """Files of one type, chosen before they are opened."""
+    return supplier_files(spark, sf_dir, fixed_layout=True).filter(F.col("file_type") == file_type)
+
+
 register(
     "zip_fixed_layout",
     lambda spark, sf_dir: load_readings(
-        line_cells(file_lines(supplier_files(spark, sf_dir, fixed_layout=True), fixed_layout=True)).filter(
-            F.col("file_type") == "dly"
-        ),
-        ["rain"],
+        line_cells(file_lines(fixed_files(spark, sf_dir, "dly"), fixed_layout=True)), ["rain"]
     ),
     f"""WITH {SUPPLIER_DAYS}
 SELECT 'rain_' || station AS series, ts, CAST(CAST(CAST(quantity AS DOUBLE) AS FLOAT) AS DOUBLE) AS value FROM days""",
 )
-register(
-    "zip_fixed_rows",
-    lambda spark, sf_dir: fixed_rows(
-        file_lines(supplier_files(spark, sf_dir, fixed_layout=True), fixed_layout=True), "hly"
-    ).select("station", F.col("date").alias("ts"), "irain", "rain", "rhum", "temp"),
-    f"""WITH {SUPPLIER_DAYS}
-SELECT station, ts, 0 AS irain, CAST(quantity AS DOUBLE) AS rain, 0 AS rhum, CAST(NULL AS DOUBLE) AS temp
-FROM days WHERE station % 2 = 0""",
-)
+
+
+def _fixed_sql(columns: tuple[str, ...], where: str) -> str:
+    """Rows of the standard layout: only the first three columns are filled."""
+    zero = {"vappr": "0::DOUBLE", "rhum": "0", "wddir": "0", "irain": "0", "rain": "CAST(quantity AS DOUBLE)"}
+    types = {"double": "DOUBLE", "int": "INTEGER", "string": "VARCHAR"}
+    cells = [f"{zero.get(c, f'CAST(NULL AS {types[measure_type(c)]})')} AS {c}" for c in columns if c != "date"]
+    blank = [c.replace("CAST(NULL AS VARCHAR)", "''") for c in cells]
+    return f"WITH {SUPPLIER_DAYS} SELECT station, ts AS \"date\", {', '.join(blank)} FROM days WHERE {where}"
+
+
+for _kind, _columns, _where in (("hly", HOURLY_COLUMNS, "station % 2 = 0"), ("dly", DAILY_COLUMNS, "true")):
+    register(
+        "zip_fixed_rows" if _kind == "hly" else "zip_fixed_daily_rows",
+        lambda spark, sf_dir, kind=_kind: fixed_rows(file_lines(fixed_files(spark, sf_dir, kind), fixed_layout=True), kind),
+        _fixed_sql(_columns, _where),
+    )
 register(
     "zip_row_cap",
     lambda spark, sf_dir: file_lines(preferred_files(supplier_files(spark, sf_dir)), max_rows=50)

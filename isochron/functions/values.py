@@ -45,11 +45,11 @@ def _number(raw: Column, spark_type: str = "float") -> Column:
     return F.when(not_finite & other_spelling, F.lit(None)).otherwise(number)
 
 
-def analytic_value(raw: Column, on_bad: str = "zero") -> Column:
+def analytic_value(raw: Column, on_bad: str = "zero", spark_type: str = "float") -> Column:
     """Text to float32-widened double. Bad text becomes 0, or NULL for ``null`` and ``drop``."""
     if on_bad not in BAD_VALUE_POLICIES:
         raise ValueError(f"on_bad must be one of {BAD_VALUE_POLICIES}, not {on_bad!r}")
-    number = _number(raw)
+    number = as_float32(_number(raw, spark_type))
     if on_bad == "zero":
         return F.coalesce(number, F.when(raw.isNotNull(), F.lit(0.0)))
     return number
@@ -74,13 +74,11 @@ def parse_type_map(spec: str) -> list[tuple[str, str]]:
 def decode_cell(series: Column, raw: Column, rules: list[tuple[str, str]], on_bad: str = "zero") -> Column:
     """Decode a text cell by the first rule whose regex matches the whole series name.
 
-    A series no rule matches decodes to NULL. Every numeric type ends as a float32-widened double.
+    A series no rule matches decodes to NULL. Every type ends as a float32-widened double, and ``on_bad`` says what
+    text becomes that is no such number.
     """
     decoded = F.lit(None).cast("double")
     for regex, spark_type in reversed(rules):
-        if spark_type == "string":
-            value = analytic_value(raw, on_bad)
-        else:
-            value = as_float32(_number(raw, spark_type))
+        value = analytic_value(raw, on_bad, "float" if spark_type == "string" else spark_type)
         decoded = F.when(series.rlike(f"^(?:{regex})$"), value).otherwise(decoded)
     return decoded

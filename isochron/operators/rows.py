@@ -62,15 +62,20 @@ def series_blocks(keyed: DataFrame) -> DataFrame:
 
 
 def number_rows(keyed: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Row number and time of the previous row for each row, with all columns of its block."""
+    """Row number and time of the previous row for each row, with all columns of its block.
+
+    Two rows of one series and hour are an error: their order, and so every result, would be arbitrary.
+    """
+    twice = F.raise_error(F.concat(F.lit("more than one row per hour in series "), F.col("series")))
+    once = lambda c: F.when(F.col("block_prev_ts") == F.col("ts"), twice).otherwise(c)
     in_block = Window.partitionBy("series", "day_block").orderBy("ts")
     numbered = keyed.withColumn("block_pos", F.row_number().over(in_block) - 1).withColumn(
         "block_prev_ts", F.lag("ts").over(in_block)
     )
     return (
         numbered.join(blocks, ["series", "day_block"])
-        .withColumn("rn", F.col("block_start") + F.col("block_pos"))
-        .withColumn("prev_ts", F.coalesce("block_prev_ts", "prior_ts"))
+        .withColumn("rn", once(F.col("block_start") + F.col("block_pos")))
+        .withColumn("prev_ts", once(F.coalesce("block_prev_ts", "prior_ts")))
         .drop("block_pos", "block_prev_ts", "block_start", "prior_ts", "block_min_ts", "day_block")
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +13,14 @@ from isochron.functions.values import as_float32
 from isochron.operators.rows import index_rows
 
 
-def to_series(df: DataFrame, series: Column, ts: Column, value: Column, scale: int = 2) -> DataFrame:
+def to_series(df: DataFrame, series: Column, ts: Column, value: Column, scale: int | None) -> DataFrame:
     """Canonical frame from raw measurements: those of one series and hour are added up.
 
-    The sum is taken in decimals of ``scale`` places, so it does not depend on the order of rows,
-    and pre-aggregated before the shuffle. The result has float32 precision.
+    With a ``scale`` the sum is taken in decimals of that many places, so it does not depend on the order of rows; give
+    the places that the measurements have, since further ones are rounded away. With None doubles are added as they are.
+    Sums are pre-aggregated before the shuffle. The result has float32 precision.
     """
-    exact = value.cast(f"decimal(18,{scale})")
+    exact = value.cast("double") if scale is None else value.cast(f"decimal(38,{scale})")
     return (
         df.select(series.cast("string").alias("series"), hour_floor(ts).alias("ts"), exact.alias("value"))
         .filter(F.col("series").isNotNull() & F.col("ts").isNotNull())
@@ -63,10 +67,29 @@ def read_series(spark: SparkSession, path: str, start: str | None = None, stop:
     return time_range(df, start, stop)
 
 
+def literal_prefix(regex: str) -> str:
+    """Characters that every match of the regex begins with, as far as they are plain to see."""
+    if "|" in regex:
+        return ""
+    plain = re.match(r"\w*", regex)[0]
+    return plain[:-1] if regex[len(plain) :][:1] in ("*", "?", "{") else plain
+
+
 def match_series(df: DataFrame, regexes: str | list[str], name: str = "series") -> DataFrame:
-    """Rows whose whole series name matches one of the regexes."""
+    """Rows whose whole series name matches one of the regexes.
+
+    Plain names become an ``IN`` and literal beginnings a ``startsWith``, which reach the scan and skip row groups of
+    a table sorted by series; what is left of a regex is matched on the rows that remain.
+    """
     listed = regexes.split(",") if isinstance(regexes, str) else regexes
-    return df.filter(F.col(name).rlike("^(?:" + "|".join(f"(?:{r})" for r in listed) + ")$"))
+    names = [r for r in listed if re.fullmatch(r"\w+", r)]
+    others = [r for r in listed if r not in names]
+    tests = [F.col(name).isin(*names)] if names else []
+    for regex in others:
+        prefix = literal_prefix(regex)
+        whole = F.col(name).rlike(f"^(?:{regex})$")
+        tests.append(F.col(name).startswith(prefix) & whole if prefix else whole)
+    return df.filter(reduce(lambda a, b: a | b, tests))
 
 
 def typed_cells(df: DataFrame, columns: dict[str, str], name: str = "series", regex: str = "") -> DataFrame:

@@ -243,3 +243,21 @@ def test_gaps(df):
         }
     )
     assert got == wanted
+
+
+def test_two_rows_of_one_hour_are_an_error(spark, frame):
+    for build in (lambda df: sma(df, 3), gap_report, lambda df: difference(df, "step,1")):
+        with pytest.raises(Exception, match="more than one row per hour in series a"):
+            build(frame({"a": [(0, 1), (1, 2), (1, 3)]})).collect()
+
+
+@pytest.mark.parametrize("size", range(31, 41))
+def test_blocks_do_not_matter_to_long_windows(frame, size):
+    values = [(h, 1e17 if h == 700 else h % 13 + 0.1) for h in range(1200)]
+    small, large = (
+        {r["ts"]: r["moving_avg"] for r in sma(frame({"a": values}), size, rows_per_block=n).collect()} for n in (256, 3072)
+    )
+    assert small == pytest.approx(large, rel=1e-12)
+    ordered = [small[t] for t in sorted(small)]
+    last = sum(v for _, v in values[-size:]) / size
+    assert ordered[-1] == pytest.approx(last) and ordered[700 + size] < 14
