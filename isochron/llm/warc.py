@@ -255,8 +255,9 @@ def read_archives(index: DataFrame, folder: str, with_data: bool = True, piece:
         index.withColumn("piece", F.floor(F.col("start") / piece))
         .groupBy("file", "piece")
         .agg(F.min("start").alias("start"), F.sum("length").alias("length"))
-        .repartition("file", "piece")
     )
+    # a row is small but stands for a whole piece, so the rows are not left to be merged by their size
+    pieces = pieces.repartition(max(1, index.select("file", F.floor(F.col("start") / piece)).distinct().count()))
     schema = "record_no long, page_id long, url string, record_type string, refers_no long, payload_digest string, "
     schema += "chunk_no int, last boolean, payload_bytes long" + ", data binary" * with_data
     names = [x.split()[0] for x in schema.split(", ")]
