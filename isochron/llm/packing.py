@@ -20,42 +20,49 @@ piece taking the remainder; equal rows are packed one by one; an empty table giv
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isochron.llm.common import stored
-from isochron.llm.token_counts import PLAIN
+from isochron.llm.repeats import slices
+from isochron.llm.token_counts import PLAIN, byte_symbols
 
-MEMO = 1_000_000
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+"""Fixed value: the split pattern of the vocabulary file, for plain texts."""
+MEMO = 800_000
+"""Units whose ids a worker keeps, the first that it meets; later ones are encoded once a slice."""
+SLICE = 1 << 22
 
 
-class Memo(dict):
-    """The first ``MEMO`` units met, with their ids; ``rest`` holds those of the batch at hand that came later."""
+class PieceIds(dict):
+    """Ids of the pre-tokens of plain texts, asked of the library's model; the first ``MEMO`` met are kept."""
 
-    rest: dict[str, bytes] = {}
+    def __init__(self, model):
+        self.model = model
+        self.shown = byte_symbols()
 
-    def __missing__(self, unit: str) -> bytes:
-        return self.rest[unit]
-
-    def learn(self, found: dict[str, bytes]) -> None:
-        self.rest = found
+    def __missing__(self, piece: str) -> bytes:
+        shown = piece.encode("utf-8").decode("latin-1").translate(self.shown)
+        ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         if len(self) < MEMO:
-            self.update(found)
+            self[piece] = ids
+        return ids
 
 
 class IdEncoder:
     """Ids of whole texts as the library gives them, as little-endian 32-bit numbers.
 
     In a plain text without double spaces every space that follows a word begins a pre-token, so the units between
-    spaces can be encoded one by one; the library encodes each distinct unit once. Other texts it encodes whole.
+    spaces can be taken one by one; the library's model gives the ids of each distinct pre-token. Other texts it encodes whole.
     """
 
     def __init__(self, path: str):
@@ -63,26 +70,43 @@ class IdEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memo = Memo()
+        self.memo: dict[str, bytes] = {}
+        self.pieces = PieceIds(self.library.model)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def units(self, text: str) -> list[str] | None:
-        if "  " in text or text.endswith(" ") or "\0" in text or not PLAIN.fullmatch(text):
-            return None
-        if any(s in text for s in self.special):
-            return None
-        return text.replace(" ", "\0 ").split("\0")
+    def is_plain(self, text: str) -> bool:
+        odd = "  " in text or text.endswith(" ") or "\0" in text or any(s in text for s in self.special)
+        return not odd and PLAIN.fullmatch(text) is not None
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.units(t) for t in texts]
-        new = list(set(chain.from_iterable(u for u in cut if u)) - self.memo.keys())
-        self.memo.learn(dict(zip(new, self.ids(new), strict=True)))
-        rest = iter(self.ids([t for t, u in zip(texts, cut, strict=True) if u is None]))
-        look = self.memo.__getitem__
-        return [next(rest) if u is None else b"".join(map(look, u)) for u in cut]
+        plain = [self.is_plain(t) for t in texts]
+        whole = iter(self.ids([t for t, p in zip(texts, plain, strict=True) if not p]))
+        own = iter(self.joined([t for t, p in zip(texts, plain, strict=True) if p]))
+        return [next(own) if p else next(whole) for p in plain]
+
+    def joined(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of plain texts: units are coded by Arrow, looked up once each, and put together by numpy."""
+        marked = pc.replace_substring(pa.array(texts, pa.large_string()), " ", "\0 ")
+        units = pc.split_pattern(marked, "\0").cast(pa.large_list(pa.large_string()))
+        bounds, coded = units.offsets.to_numpy(), units.flatten().dictionary_encode()
+        names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = list(map(self.memo.get, names))
+        unknown = [i for i, x in enumerate(found) if x is None]
+        for i in unknown:
+            found[i] = b"".join(map(self.pieces.__getitem__, PIECES.findall(names[i])))
+        if len(self.memo) < MEMO:
+            self.memo.update((names[i], found[i]) for i in unknown)
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = (np.cumsum(size) - size)[codes]
+        each = size[codes]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(first - ends + each, each) + np.arange(each.sum())]
+        cuts = np.concatenate([[0], ends])[bounds]
+        return (ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:]))
 
 
 @cache
@@ -110,25 +134,21 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = encoder(vocabulary), np.zeros(capacity + 1, np.int64)
         mark = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                rows = []
-                texts = part["text"].to_pylist()
-                for doc, p, ids in zip(part["doc_id"].to_pylist(), part["part"].to_pylist(), encode(texts), strict=True):
-                    ids += mark
-                    n = len(ids) // 4
-                    cuts = [0, *range(n % capacity or capacity, n, capacity), n]
-                    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        own = ids[4 * a : 4 * b]
-                        rows.append((doc, k, a, b - a, zlib.crc32(own), p, int(seen[b - a]), own))
-                        seen[b - a] += 1
-                columns = list(zip(*rows, strict=True))[: 7 + with_ids]
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], names=names[: len(columns)]
-                )
+        for batch in slices(batches, SLICE):
+            rows = []
+            texts = batch["text"].to_pylist()
+            for doc, p, ids in zip(batch["doc_id"].to_pylist(), batch["part"].to_pylist(), encode(texts), strict=True):
+                ids += mark
+                n = len(ids) // 4
+                cuts = [0, *range(n % capacity or capacity, n, capacity), n]
+                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    own = ids[4 * a : 4 * b]
+                    rows.append((doc, k, a, b - a, zlib.crc32(own), p, int(seen[b - a]), own))
+                    seen[b - a] += 1
+            columns = list(zip(*rows, strict=True))[: 7 + with_ids]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names[: len(columns)])
 
     return given.mapInArrow(run, schema)
 
