@@ -28,59 +28,72 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isochron.llm.common import gram_hashes, hash_words, mix, words
+from isochron.llm.common import gram_hashes, mix, words
 from isochron.llm.repeats import slices
 
 SAMPLED = 3
 MOST_TABLES = 64
 BLOCK = 1 << 24
-SLICE = 1 << 21
+SLICE = 1 << 22
+MEMO = 1_000_000
 STRETCH = 3
 MARKS = 20
 SIGNS = re.compile(r"[\W_]+")
 
 
+class WordNames(dict):
+    """Hash of the letters and digits of each word, 0 where it has none; the first ``MEMO`` words met are kept."""
+
+    def __missing__(self, word: str) -> int:
+        plain = SIGNS.sub("", word.lower())
+        name = xxhash.xxh3_64_intdigest(plain) | 1 if plain else 0
+        if len(self) < MEMO:
+            self[word] = name
+        return name
+
+
+NAMES = WordNames()
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of each text, end to end, and where each text's begin."""
     bounds, codes, distinct = words(texts)
-    plain = pa.array([SIGNS.sub("", w.lower()) for w in distinct.to_pylist()], pa.large_string())
-    hashes = hash_words(plain) | np.uint64(1)  # 0 stands for the end
-    full = np.array([len(w) > 0 for w in plain.to_pylist()], bool)[codes] if len(codes) else np.empty(0, bool)
-    before = np.concatenate([[0], np.cumsum(full)])
-    return hashes[codes][full], before[bounds]
-
-
-def walk(windows: np.ndarray, table: int, upto: int) -> np.ndarray:
-    """The first ``upto`` symbols of each window's embedding."""
-    m, n = windows.shape
-    padded = np.concatenate([windows, np.zeros((m, 1), np.uint64)], axis=1)
-    rows, at = np.arange(m), np.zeros(m, np.int64)
-    out = np.empty((upto, m), np.uint64)
+    hashes = np.fromiter(map(NAMES.__getitem__, distinct.to_pylist()), np.uint64, len(distinct))[codes]
+    full = hashes != 0  # 0 stands for the end of a text
+    return hashes[full], np.concatenate([[0], np.cumsum(full)])[bounds]
+
+
+def walk(windows: np.ndarray, sizes: np.ndarray, table: int, upto: int) -> np.ndarray:
+    """The first ``upto`` symbols of each window's embedding, by step; windows are filled up with zeros."""
+    rows, at = np.arange(len(windows)), np.zeros(len(windows), np.int64)
+    padded = np.concatenate([windows, np.zeros((len(windows), 1), np.uint64)], axis=1)
+    chance = mix(np.arange(upto, dtype=np.uint64) + np.uint64(table * 100_003 + 1))
+    out = np.empty((upto, len(windows)), np.uint64)
     for j in range(upto):
         out[j] = padded[rows, at]
-        step = mix(out[j] ^ mix(np.array([table * 100_003 + j + 1], np.uint64))) >> np.uint64(63)
-        at = np.minimum(at + step.astype(np.int64), n)
-    return out.T
+        at = np.minimum(at + (mix(out[j] ^ chance[j]) >> np.uint64(63)).astype(np.int64), sizes)
+    return out
 
 
-class Table:
-    """Sampled places of one embedding, for windows of n words."""
+def places(table: int, n: int) -> np.ndarray:
+    """The places of an embedding that a table samples, for windows of n words."""
+    return np.sort(np.random.default_rng((table, n)).choice(STRETCH * n, min(SAMPLED, STRETCH * n), replace=False))
 
-    def __init__(self, number: int, n: int):
-        self.number = number
-        rng = np.random.default_rng((number, n))
-        self.places = np.sort(rng.choice(STRETCH * n, min(SAMPLED, STRETCH * n), replace=False))
 
-    def signatures(self, windows: np.ndarray) -> np.ndarray:
-        symbols = walk(windows, self.number, int(self.places[-1]) + 1)[:, self.places]
-        total = np.zeros(len(windows), np.uint64)
-        with np.errstate(over="ignore"):
-            for column in symbols.T:
-                total = mix(total * np.uint64(31) + column)
-        return total
+def signatures(windows: np.ndarray, sizes: np.ndarray, table: int) -> np.ndarray:
+    """What a table holds of each window, and of its size."""
+    kinds, of = np.unique(sizes, return_inverse=True)
+    sampled = np.array([places(table, n) for n in kinds.tolist()]).reshape(len(kinds), -1)[of]
+    symbols = walk(windows, sizes, table, int(sampled.max()) + 1) if len(windows) else np.empty((0, 0), np.uint64)
+    total = sizes.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(sampled.shape[1] if len(windows) else 0):
+            total = mix(total * np.uint64(31) + symbols[sampled[:, k], np.arange(len(windows))])
+    return total
 
 
 def nearest(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int]:
@@ -121,12 +134,16 @@ class Items:
             marked = np.zeros(1 << MARKS, bool)
             marked[(name & np.uint64((1 << MARKS) - 1)).astype(np.int64)] = True
             self.pieces[size] = (marked, name, item, offset)
+        longest = int(self.lengths.max()) if self.words else 0
+        self.block = np.zeros((len(self.words), longest), np.uint64)
+        for i, w in enumerate(self.words):
+            self.block[i, : len(w)] = w
         self.tables = self.enough(recall) if self.words else 0
-        self.listed = {}
-        for n in set(self.lengths.tolist()):
-            own = np.flatnonzero(self.lengths == n)
-            block = np.array([self.words[i] for i in own])
-            self.listed[n] = [(t, own, t.signatures(block)) for t in (Table(k, n) for k in range(self.tables))]
+        self.listed = []
+        for t in range(self.tables):
+            found = signatures(self.block, self.lengths, t)
+            order = np.argsort(found)
+            self.listed.append((found[order], order))
 
     def enough(self, recall: float, trials: int = 400, seed: int = 5) -> int:
         """Tables that find the wanted share of items with as many random edits as are allowed."""
@@ -141,17 +158,21 @@ class Items:
             text = [int(x) | 1 for x in rng.integers(1 << 62, size=60)]
             text[30:30] = copy
             missed.append((i, np.array(text, np.uint64)))
-        missed = [(i, windows) for i, text in missed if len(windows := self.windows_of(i, text))]
-        wanted = int(len(missed) * (1 - recall))
-        for k in range(MOST_TABLES):
-            if len(missed) <= wanted:
-                return k
-            still = []
-            for i, windows in missed:
-                table = Table(k, windows.shape[1])
-                if not np.isin(table.signatures(windows), table.signatures(self.words[i][None])).any():
-                    still.append((i, windows))
-            missed = still
+        trial, item, windows = [], [], []
+        for k, (i, text) in enumerate(missed):
+            bounds = np.array([0, len(text)])
+            found = self.starts(text, bounds)
+            own = found[found[:, 2] == self.lengths[i]]
+            windows.append(self.cut(text, bounds, own[:, 0], own[:, 1], own[:, 2]))
+            trial += [k] * len(own)
+            item += [i] * len(own)
+        trial, item, windows = np.array(trial), np.array(item, np.int64), np.concatenate(windows)
+        hit = np.zeros(trials, bool)
+        for t in range(MOST_TABLES):
+            if hit.mean() >= recall:
+                return t
+            same = signatures(windows, self.lengths[item], t) == signatures(self.block, self.lengths, t)[item]
+            hit[trial[same]] = True
         return MOST_TABLES
 
     def starts(self, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -172,38 +193,30 @@ class Items:
             found.append(np.stack([row, start, self.lengths[item[piece]]], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 3), np.int64)
 
-    def cut(self, numbers: np.ndarray, bounds: np.ndarray, row: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
-        """Windows of n words; what lies outside the document is 0."""
-        at = start[:, None] + np.arange(n)
-        outside = (at < bounds[row][:, None]) | (at >= bounds[row + 1][:, None])
+    def cut(self, numbers, bounds, row, start, size) -> np.ndarray:
+        """Windows, filled up with zeros; what lies outside the document is 0, too."""
+        step = np.arange(self.block.shape[1])
+        at = start[:, None] + step
+        outside = (at < bounds[row][:, None]) | (at >= bounds[row + 1][:, None]) | (step >= size[:, None])
         out = numbers[np.clip(at, 0, max(0, len(numbers) - 1))]
         out[outside] = 0
         return out
 
-    def windows_of(self, i: int, text: np.ndarray) -> np.ndarray:
-        bounds = np.array([0, len(text)])
-        found = self.starts(text, bounds)
-        own = found[found[:, 2] == self.lengths[i]]
-        return self.cut(text, bounds, own[:, 0], own[:, 1], int(self.lengths[i]))
-
     def matches(self, numbers: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, distance, first word, end) of items that the rows hold; the nearest place of each."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         found = self.starts(numbers, bounds)
-        for n in np.unique(found[:, 2]).tolist():
-            own = found[found[:, 2] == n]
-            for at in range(0, len(own), 4096):
-                row, start = own[at : at + 4096, 0], own[at : at + 4096, 1]
-                windows = self.cut(numbers, bounds, row, start, n)
-                pairs = set()
-                for table, items, listed in self.listed[n]:
-                    name = table.signatures(windows)
-                    order = np.argsort(listed)
-                    lo, hi = (np.searchsorted(listed[order], name, side) for side in ("left", "right"))
-                    for k in np.flatnonzero(hi > lo):
-                        pairs.update((int(k), int(items[order[x]])) for x in range(lo[k], hi[k]))
-                for k, i in sorted(pairs):
-                    self.verify(numbers, bounds, int(row[k]), int(start[k]), i, best)
+        for part in range(0, len(found), 4096):
+            row, start, size = found[part : part + 4096].T
+            windows = self.cut(numbers, bounds, row, start, size)
+            pairs = set()
+            for t, (listed, items) in enumerate(self.listed):
+                name = signatures(windows, size, t)
+                lo, hi = np.searchsorted(listed, name, "left"), np.searchsorted(listed, name, "right")
+                for k in np.flatnonzero(hi > lo).tolist():
+                    pairs.update((k, int(items[x])) for x in range(lo[k], hi[k]))
+            for k, i in sorted(pairs):
+                self.verify(numbers, bounds, int(row[k]), int(start[k]), i, best)
         return [(row, i, *found) for (row, i), found in sorted(best.items())]
 
     def verify(self, numbers, bounds, row: int, start: int, i: int, best: dict) -> None:

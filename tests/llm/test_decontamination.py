@@ -98,15 +98,14 @@ def test_blocks_nulls_clashes(spark, monkeypatch):
 def test_embedding_keeps_near_windows_near():
     rng = np.random.default_rng(2)
     far, near = [], []
-    for _ in range(40):
-        a = rng.integers(1, 1 << 62, 40).astype(np.uint64)
-        b = np.delete(a, rng.integers(40))
-        b = np.append(b, rng.integers(1 << 62)).astype(np.uint64)
-        c = rng.integers(1, 1 << 62, 40).astype(np.uint64)
-        x, y, z = (dc.walk(v[None], 1, 120)[0] for v in (a, b, c))
+    for _ in range(60):
+        a, c = (rng.integers(1, 1 << 62, 40).astype(np.uint64) for _ in range(2))
+        b = a.copy()
+        b[rng.integers(40)] = 9
+        x, y, z = (dc.walk(v[None], np.array([40]), 1, 60)[:, 0] for v in (a, b, c))
         near.append((x != y).mean())
         far.append((x != z).mean())
-    assert np.median(near) < 0.8 and min(far) > 0.95
+    assert np.mean(near) < 0.5 and min(far) > 0.95
 
 
 def test_nearest_is_the_edit_distance():
