@@ -1,7 +1,8 @@
 """The five analyses. Each takes stored readings and returns its result tables.
 
 With ``out`` the point table is written first and the figures derived from it are computed from the
-stored rows, so that nothing is computed twice and a lost executor costs no earlier step.
+stored rows, so that nothing is computed twice and a lost executor costs no earlier step. Figures are also appended as
+CSV below ``out/export``, one row for each model or lag.
 """
 
 from __future__ import annotations
@@ -34,6 +35,11 @@ def readings(
     return match_series(df, columns) if columns else df
 
 
+def _exported(figures: DataFrame, out: str) -> DataFrame:
+    sinks.append_metrics_csv(figures, f"{out}/export")
+    return figures
+
+
 def analysis(df: DataFrame, num_strata: int = 1, strata_width: int = 1, out: str | None = None) -> DataFrame:
     stats = describe_series(df, num_strata, strata_width)
     return sinks.upsert_table(stats, out, ["series", "stratum"]) if out else stats
@@ -46,7 +52,7 @@ def transform(df: DataFrame, lags: str | Sequence[int] = "1", centered: bool = F
     pairs = sinks.replace_table(pairs, f"{out}/pairs")
     return Result(
         sinks.upsert_table(lag_rows(pairs), f"{out}/points", ["series", "ts", "lag"]),
-        sinks.upsert_table(correlation(pairs, centered), f"{out}/figures", ["series", "lag"]),
+        _exported(sinks.upsert_table(correlation(pairs, centered), f"{out}/figures", ["series", "lag"]), out),
     )
 
 
@@ -55,15 +61,20 @@ def differencing(df: DataFrame, spec: str = "step,1", out: str | None = None) ->
     if out:
         levels = sinks.replace_table(levels, f"{out}/points")
     stats = difference_stats(levels)
-    return Result(levels, sinks.replace_table(stats, f"{out}/figures") if out else stats)
+    return Result(levels, _exported(sinks.replace_table(stats, f"{out}/figures"), out) if out else stats)
 
 
-def moving_average(df: DataFrame, windows: str | Sequence[int] = "5", out: str | None = None) -> Result:
+def moving_average(
+    df: DataFrame, windows: str | Sequence[int] = "5", out: str | None = None, text: bool = False
+) -> Result:
+    """With ``text`` the points are also written as lines of text below ``out/text``."""
     points = sma(df, windows)
     if out:
         points = sinks.replace_table(points, f"{out}/points")
+        if text:
+            sinks.write_sma_text(points, f"{out}/text")
     metrics = sma_metrics(points)
-    return Result(points, sinks.replace_table(metrics, f"{out}/figures") if out else metrics)
+    return Result(points, _exported(sinks.replace_table(metrics, f"{out}/figures"), out) if out else metrics)
 
 
 def arima(df: DataFrame, out: str | None = None, **model) -> Result:
@@ -76,5 +87,5 @@ def arima(df: DataFrame, out: str | None = None, **model) -> Result:
         return Result(arima_ops.arima_points(errors), metrics)
     return Result(
         sinks.replace_table(arima_ops.arima_points(errors), f"{out}/points"),
-        sinks.replace_table(metrics, f"{out}/figures"),
+        _exported(sinks.replace_table(metrics, f"{out}/figures"), out),
     )

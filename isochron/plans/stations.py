@@ -56,15 +56,23 @@ def load_readings(
 
 
 def profile(cells: DataFrame, stations: DataFrame, out: str | None = None) -> StationProfile:
-    """With ``out`` the cells are stored first, so that the files are unzipped once for all results."""
+    """With ``out`` the cells are stored first, so that the files are unzipped once for all results; so are the figures
+    of each file. The profile is appended as CSV below ``out/profile`` and the summary written below ``out/summary``.
+    """
     if out:
         cells = sinks.replace_table(cells, f"{out}/cells")
     files = profile_stations(cells)
+    if out:
+        files = sinks.replace_table(files, f"{out}/files")
     gaps = station_gaps(cells)
-    return StationProfile(
+    found = StationProfile(
         profile_rows(files, gaps, stations),
         gaps,
         coverage_summary(files),
         column_availability(files),
         partial_column_holders(files),
     )
+    if out:
+        sinks.append_profile_csv(found.profile, f"{out}/profile")
+        sinks.write_summary(found.coverage, found.availability, found.partial_holders, f"{out}/summary")
+    return found

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isochron.functions.timekeys import month_of
 from isochron.operators.profile import PROFILE_COLUMNS
-from isochron.operators.reshape import upsert_rows
+from isochron.operators.reshape import merge_wide, upsert_rows
 from isochron.operators.smoothing import sma_text
 
 
@@ -22,6 +22,12 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.exists(hadoop_path)
+
+
 def _snapshots(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete snapshots below a table path, in ascending order."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -60,14 +66,14 @@ def upsert_table(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
 def upsert_readings(df: DataFrame, path: str) -> DataFrame:
     """Merge canonical rows into the long readings table, which is partitioned by month.
 
-    Only the months that ``df`` touches are read and rewritten.
+    Only the months that ``df`` touches are read and rewritten. The new rows are computed once: they are stored beside
+    the table first, and the merge reads them from there.
     """
     spark = df.sparkSession
     new = df.select("series", "ts", "value", month_of(F.col("ts")).alias("month"))
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if fs.exists(hadoop_path):
+    if _exists(spark, path):
         old = spark.read.schema(READINGS_SCHEMA).parquet(path)
+        new = replace_table(new, f"{path.rstrip('/')}-staged")
         # The months touched, as literals so that the scan skips the others: 12 a year at most.
         months = [row.month for row in new.select("month").distinct().collect()]
         touched = old.filter(F.col("month").isin(months))
@@ -79,6 +85,29 @@ def upsert_readings(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(READINGS_SCHEMA).parquet(path)
 
 
+def upsert_wide(df: DataFrame, path: str) -> DataFrame:
+    """Merge wide rows (``ts`` and a column per series) into the wide table at ``path``, which is partitioned by month.
+
+    Cells of ``df`` win, other cells stay, new columns are added. Months that ``df`` does not touch are neither read
+    nor rewritten; their files lack new columns, which then read as null.
+    """
+    spark = df.sparkSession
+    new = df.withColumn("month", month_of(F.col("ts")))
+    if _exists(spark, path):
+        new = replace_table(new, f"{path.rstrip('/')}-staged")
+        months = [row.month for row in new.select("month").distinct().collect()]  # 12 a year at most
+        old = read_wide(spark, path).filter(F.col("month").isin(months))
+        new = merge_wide(old.drop("month"), new.drop("month")).withColumn("month", month_of(F.col("ts")))
+    laid_out = new.hint("rebalance", F.col("month")).sortWithinPartitions("month", "ts")
+    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    return read_wide(spark, path).drop("month")
+
+
+def read_wide(spark: SparkSession, path: str) -> DataFrame:
+    """The wide table with the columns of all months."""
+    return spark.read.option("mergeSchema", True).parquet(path).withColumn("month", F.col("month").cast("string"))
+
+
 def write_sma_text(points: DataFrame, path: str) -> None:
     sma_text(points).write.mode("overwrite").text(path)
 

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from catalog import series_queries, station_queries
+from catalog import job_queries, series_queries, station_queries
 from catalog.compare import connect, difference
 from isochron.operators.arima import arima
 from isochron.operators.differencing import difference as differences
@@ -15,8 +15,9 @@ from isochron.operators.smoothing import sma
 from isochron.operators.stats import describe_series
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = {n: f for n, f in contract.queries().items() if n in {**series_queries.queries, **station_queries.queries}}
-ORACLES = {**series_queries.oracles, **station_queries.oracles}
+ORACLES = {**series_queries.oracles, **station_queries.oracles, **job_queries.oracles}
+OWN = {**series_queries.queries, **station_queries.queries, **job_queries.queries}
+QUERIES = {n: f for n, f in contract.queries().items() if n in OWN}
 
 
 def test_every_query_has_its_sql():
