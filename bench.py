@@ -7,8 +7,8 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
-import tempfile
 import time
 from collections.abc import Callable
 
@@ -21,12 +21,12 @@ from catalog.station_queries import order_cells, stations, supplier_files
 from isochron import sinks
 from isochron.functions.values import analytic_value
 from isochron.operators.arima import arima, arima_metrics
-from isochron.operators.differencing import difference, difference_stats
+from isochron.operators.differencing import difference, level_stats
 from isochron.operators.gaps import gap_report
 from isochron.operators.lagging import autocorrelation, lag_series
 from isochron.operators.profile import column_availability, coverage_summary, profile_stations, station_gaps
 from isochron.operators.reshape import merge_wide, to_wide, unpivot_text
-from isochron.operators.smoothing import sma, sma_metrics
+from isochron.operators.smoothing import sma, sweep_metrics
 from isochron.operators.stats import describe_series, series_stats
 from isochron.plans.stations import load_readings
 from isochron.session import local_session
@@ -35,25 +35,31 @@ from isochron.sources.stations import choose_stations, station_readings
 from isochron.sources.tables import read_series, time_range
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """Below the cluster's shared folder where one is named, else a local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    return f"{shared}/bench-{time.time_ns()}" if shared else tempfile.mkdtemp(prefix="bench-")
+RUNS = 3
+
+
+def output_folder(spark: SparkSession) -> str:
+    """``$BENCH_OUT``, else below the cluster's shared folder, else below the warehouse."""
+    root = os.environ.get("BENCH_OUT") or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{root or spark.conf.get('spark.sql.warehouse.dir')}/bench-{time.time_ns()}"
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
-    stored = scratch_folder(spark)
+    stored = output_folder(spark)
     seconds: dict[str, float] = {}
 
     def timed(name: str, action: Callable[[], object]) -> None:
         if len(sys.argv) > 1 and name not in sys.argv[1:] and not name.startswith("load"):
             return
-        started = time.perf_counter()
-        action()
-        seconds[name] = round(time.perf_counter() - started, 3)
+        took = []
+        for _ in range(1 if name.startswith("load") else RUNS):  # the first run also warms up
+            started = time.perf_counter()
+            action()
+            took.append(time.perf_counter() - started)
+        seconds[name] = round(statistics.median(took), 3)
 
     def run(name: str, build: Callable[[], DataFrame]) -> None:
         timed(name, lambda: build().write.format("noop").mode("overwrite").save())
@@ -68,8 +74,8 @@ def main() -> None:
     orders = order_cells(spark, sf_dir)
 
     run("sma", lambda: sma(days, "5"))
-    run("sma_metrics", lambda: sma_metrics(sma(days, "5")))
-    run("sma_sweep_metrics", lambda: sma_metrics(sma(days, "1-10")))
+    run("sma_metrics", lambda: sweep_metrics(days, "5"))
+    run("sma_sweep_metrics", lambda: sweep_metrics(days, "1-10"))
     run("sma_long_window", lambda: sma(days, "365"))
     run("series_stats", lambda: series_stats(days))
     run("strata_stats", lambda: describe_series(days, 8, 30))
@@ -77,7 +83,7 @@ def main() -> None:
     run("autocorrelation", lambda: autocorrelation(days, "24,168", centered=True))
     run("diff_step", lambda: difference(days, "step,2"))
     run("diff_season", lambda: difference(days, "season,30"))
-    run("diff_stats", lambda: difference_stats(difference(days, "step,2")))
+    run("diff_stats", lambda: level_stats(days, "step,2"))
     run("arima_ar", lambda: arima(days, q="none"))
     run("arima", lambda: arima(days))
     run("arima_metrics", lambda: arima_metrics(days))

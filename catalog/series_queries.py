@@ -24,11 +24,11 @@ from catalog.frames import (
     table,
 )
 from isochron.operators.arima import arima, arima_metrics
-from isochron.operators.differencing import difference, difference_stats
+from isochron.operators.differencing import difference, level_stats
 from isochron.operators.gaps import gap_report
 from isochron.operators.lagging import autocorrelation, center, lag_series
 from isochron.operators.reshape import lag_name, level_name, to_wide
-from isochron.operators.smoothing import sma, sma_metrics, sma_text
+from isochron.operators.smoothing import sma, sma_text, sweep_metrics
 from isochron.operators.stats import describe_series, series_stats, wide_stats, with_stratum
 from isochron.sinks import metrics_csv
 from isochron.sources.tables import to_series
@@ -75,7 +75,7 @@ def sma_points(df: DataFrame, windows: str) -> DataFrame:
 
 
 def sma_model(df: DataFrame, windows: str) -> DataFrame:
-    return rounded(sma_metrics(sma(df, windows)), METRIC_COLUMNS)
+    return rounded(sweep_metrics(df, windows), METRIC_COLUMNS)
 
 
 for source, windows, sizes, suffix in (
@@ -327,7 +327,7 @@ for source, spec, suffix in (
         f"diff_stats_{suffix}",
         on(
             source,
-            lambda df, s=spec: rounded(rounded_stats(difference_stats(difference(df, s))), ["min", "max"]),
+            lambda df, s=spec: rounded(rounded_stats(level_stats(df, s)), ["min", "max"]),
         ),
         f"""WITH {diff_sql(source, kind, int(size))},
 g AS (SELECT series, level, {STATS_SQL} FROM levels GROUP BY series, level)

@@ -11,19 +11,17 @@ def _log(x: Column) -> Column:
     return F.when(x == 0, F.lit(float("-inf"))).otherwise(F.log(x))
 
 
-def model_metrics(points: DataFrame, k: int, params: Column | str, by: tuple[str, ...] = ("series",)) -> DataFrame:
-    """Metrics of ``(actual, error)`` rows per group.
+def error_sums(actual: Column, error: Column) -> dict[str, Column]:
+    """Aggregates that the figures of a model are made from."""
+    return {
+        "n": F.count(F.lit(1)),
+        "mse": F.avg(error * error),
+        "maape": F.avg(F.atan2(F.abs(error), F.abs(actual))),
+    }
 
-    ``n`` in BIC counts all rows, also those whose error is NULL (not predicted). A group without a
-    single prediction gets NULL metrics. ``params`` is a text, or a column over the grouping columns.
-    """
-    params = F.lit(params) if isinstance(params, str) else params
-    error = F.col("error")
-    sums = points.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(error * error).alias("mse"),
-        F.avg(F.atan2(F.abs(error), F.abs("actual"))).alias("maape"),
-    )
+
+def model_figures(sums: DataFrame, k: int, params: Column | str, by: tuple[str, ...]) -> DataFrame:
+    """Figures from rows that have ``n, mse, maape`` and the columns ``by``."""
 
     def aic(likelihood: str) -> Column:
         return F.lit(2.0 * k) - 2.0 * _log(F.col(likelihood))
@@ -39,5 +37,15 @@ def model_metrics(points: DataFrame, k: int, params: Column | str, by: tuple[str
         aic("maape").alias("aic_maape"),
         bic("mse").alias("bic_mse"),
         bic("maape").alias("bic_maape"),
-        params.alias("params"),
+        (F.lit(params) if isinstance(params, str) else params).alias("params"),
     )
+
+
+def model_metrics(points: DataFrame, k: int, params: Column | str, by: tuple[str, ...] = ("series",)) -> DataFrame:
+    """Metrics of ``(actual, error)`` rows per group.
+
+    ``n`` in BIC counts all rows, also those whose error is NULL (not predicted). A group without a
+    single prediction gets NULL metrics. ``params`` is a text, or a column over the grouping columns.
+    """
+    sums = points.groupBy(*by).agg(*[c.alias(n) for n, c in error_sums(F.col("actual"), F.col("error")).items()])
+    return model_figures(sums, k, params, by)

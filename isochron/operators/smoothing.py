@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isochron.functions.specs import range_spec
-from isochron.operators.metrics import model_metrics
+from isochron.operators.metrics import error_sums, model_figures, model_metrics
 from isochron.operators.rows import ROWS_PER_BLOCK, in_row_block, index_rows, row_blocks
 
 
@@ -38,29 +38,33 @@ def _moving_average(size: int) -> Column:
     return F.try_divide(total, readings)
 
 
-def sma(df: DataFrame, windows: str | int | list[int] = 5, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Moving average over the last ``n`` rows (fewer during warm-up) for every window size asked for.
-
-    Output: ``series, ts, window_size, actual, moving_avg, error, sq_error``. All sizes share one
-    shuffle and one sort.
-    """
-    sizes = range_spec(windows)
+def _sizes(windows: str | int | list[int]) -> list[int]:
+    sizes = list(dict.fromkeys(range_spec(windows)))
     if not sizes or min(sizes) < 1:
         raise ValueError(f"window sizes must be at least 1: {windows!r}")
+    return sizes
+
+
+def moving_averages(df: DataFrame, sizes: list[int], rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """``series, ts, value, ma_<size>..``: one row per reading; all sizes share one shuffle and one sort."""
     rows = row_blocks(index_rows(df).select("series", "ts", "value", "rn"), max(sizes) - 1, rows_per_block)
     so_far = in_row_block().rowsBetween(Window.unboundedPreceding, 0)
     rows = _doubled(rows.withColumn("readings", F.count("value").over(so_far)), max(sizes))
-    averaged = rows.select("*", *[_moving_average(n).alias(f"ma_{n}") for n in dict.fromkeys(sizes)])
-    per_size = F.array(
-        *[
-            F.struct(F.lit(n).alias("window_size"), F.col(f"ma_{n}").alias("moving_avg"))
-            for n in dict.fromkeys(sizes)
-        ]
-    )
+    averaged = rows.select("*", *[_moving_average(n).alias(f"ma_{n}") for n in sizes])
+    return averaged.filter(~F.col("is_copy")).select("series", "ts", "value", *[f"ma_{n}" for n in sizes])
+
+
+def sma(df: DataFrame, windows: str | int | list[int] = 5, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Moving average over the last ``n`` rows (fewer during warm-up) for every window size asked for.
+
+    Output: ``series, ts, window_size, actual, moving_avg, error, sq_error``.
+    """
+    sizes = _sizes(windows)
+    per_size = [F.struct(F.lit(n).alias("window_size"), F.col(f"ma_{n}").alias("moving_avg")) for n in sizes]
     error = F.col("value") - F.col("moving_avg")
     return (
-        averaged.filter(~F.col("is_copy"))
-        .select("series", "ts", "value", F.inline(per_size))
+        moving_averages(df, sizes, rows_per_block)
+        .select("series", "ts", "value", F.inline(F.array(*per_size)))
         .select(
             "series",
             "ts",
@@ -75,9 +79,27 @@ def sma(df: DataFrame, windows: str | int | list[int] = 5, rows_per_block: int =
 
 def sma_metrics(points: DataFrame) -> DataFrame:
     """Metrics per series and window size of the output of :func:`sma`; one model parameter (k = 1)."""
-    return model_metrics(
-        points, 1, F.concat(F.lit("windowSize="), F.col("window_size")), by=("series", "window_size")
+    return model_metrics(points, 1, _named_size(), by=("series", "window_size"))
+
+
+def sweep_metrics(df: DataFrame, windows: str | int | list[int] = "1-10") -> DataFrame:
+    """What :func:`sma_metrics` gives of :func:`sma`, without a row for each reading and size.
+
+    The sums of every size are taken in one aggregation; only a row per series is then spread over the sizes.
+    """
+    sizes = _sizes(windows)
+    sums = {n: error_sums(F.col("value"), F.col("value") - F.col(f"ma_{n}")) for n in sizes}
+    found = moving_averages(df, sizes).groupBy("series").agg(
+        *[c.alias(f"{name}_{n}") for n, own in sums.items() for name, c in own.items()]
     )
+    per_size = [
+        F.struct(F.lit(n).alias("window_size"), *[F.col(f"{name}_{n}").alias(name) for name in own]) for n, own in sums.items()
+    ]
+    return model_figures(found.select("series", F.inline(F.array(*per_size))), 1, _named_size(), ("series", "window_size"))
+
+
+def _named_size() -> Column:
+    return F.concat(F.lit("windowSize="), F.col("window_size"))
 
 
 def sma_text(points: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from isochron.operators.rows import index_rows
 
 STAT_COLUMNS = ("count", "min", "max", "mean", "variance", "std_dev", "min_ts", "max_ts")
+STATS = (*STAT_COLUMNS, "sample_variance", "sample_std_dev")
 
 
 def stat_aggregates(value: str = "value", ts: str = "ts") -> list[Column]:

@@ -17,7 +17,7 @@ from isochron.operators import arima as arima_ops
 from isochron.operators.differencing import difference, difference_stats
 from isochron.operators.lagging import correlation, lag_rows, paired_lags
 from isochron.operators.metrics import model_metrics
-from isochron.operators.smoothing import sma, sma_metrics
+from isochron.operators.smoothing import sma, sma_metrics, sweep_metrics
 from isochron.operators.stats import describe_series
 from isochron.sources.tables import match_series, time_range
 
@@ -69,12 +69,12 @@ def moving_average(
 ) -> Result:
     """With ``text`` the points are also written as lines of text below ``out/text``."""
     points = sma(df, windows)
-    if out:
-        points = sinks.replace_table(points, f"{out}/points")
-        if text:
-            sinks.write_sma_text(points, f"{out}/text")
-    metrics = sma_metrics(points)
-    return Result(points, _exported(sinks.replace_table(metrics, f"{out}/figures"), out) if out else metrics)
+    if not out:
+        return Result(points, sweep_metrics(df, windows))
+    points = sinks.replace_table(points, f"{out}/points")
+    if text:
+        sinks.write_sma_text(points, f"{out}/text")
+    return Result(points, _exported(sinks.replace_table(sma_metrics(points), f"{out}/figures"), out))
 
 
 def arima(df: DataFrame, out: str | None = None, **model) -> Result:
