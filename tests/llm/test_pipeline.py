@@ -38,7 +38,7 @@ def test_names_and_columns(results):
 def test_language(results):
     given, kept = rows(results[0]), rows(results[1])
     said = rows(language.predict(results[0], language.fit(results[0])))
-    assert kept == {i: r for i, r in given.items() if said[i].lang_pred != "und" and said[i].score >= 0.5}
+    assert kept == {i: r for i, r in given.items() if said[i].lang_pred != "und" and said[i].score >= pipeline.LEAST_SCORE}
     assert len(kept) > 0.9 * len(given)
 
 
