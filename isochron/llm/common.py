@@ -65,10 +65,10 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return before[offsets], coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-def hash_words(distinct: pa.Array, seed: int = 0) -> np.ndarray:
-    """64-bit hash of each distinct word."""
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(w, seed) for w in distinct.to_pylist()), np.uint64, len(distinct))
+def hash_words(distinct: pa.Array, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each distinct word, if wanted with A-Z in lower case."""
+    h, raw = xxhash.xxh3_64_intdigest, distinct.cast(pa.large_binary()).to_pylist()
+    return np.fromiter((h(w.lower() if lower else w) for w in raw), np.uint64, len(raw))
 
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

@@ -7,15 +7,16 @@ the one shingle, without words the set is empty and links with nothing. Sets lin
 * *Light* sets enumerate their subsets of every size that an overlap with a linked set can have. The largest light size
   is where enumerating would cost more than the lists of the heavy way (``Scheme.light``).
 * *Heavy* sets are cut, by a hash of the shingles, into more parts than linked sets of their size can differ in; linked
-  sets then agree on a whole part, and on one that is not empty unless more are empty than the slack allows, in which
-  case empty parts are listed as well. Lists are inverted by the part's hash. A list of single shingles would be as
-  long as the shingle is common; one of whole parts holds little but near copies.
+  sets then agree on whole parts, and on one that is not empty unless both have more empty parts than the slack allows.
+  Lists are inverted by the part's hash. A list of single shingles would be as long as the shingle is common; one of
+  whole parts holds little but near copies. Sets with too many empty parts are also listed under the first few of their
+  shingles in hash order, of which linked sets share one.
 
 Equal sets are one node. Each list links its members to its smallest one (a star), every node is checked against the
 centre it shares most lists with, and components are formed. Lists that still hold several components are scanned
-again: members outside of their list's main component meet all others, and the pairs that size and a parity sketch
-allow (both are bounds, no estimates) are checked exactly. So no link between different components is lost, and no pairs
-within a group of copies are made.
+again: members outside of their list's main component meet all others, and the pairs that share as many lists as linked
+sets must, and that sizes and a parity sketch allow (all are bounds, no estimates), are checked exactly. So no link
+between different components is lost, and no pairs within a group of copies are made.
 
 Checks read whole texts. The members of a centre are spread over as many tasks as they need (``MEMBERS`` each), and each
 task meets the centre once.
@@ -46,6 +47,7 @@ from isochron.llm.repeats import TAG, slices
 SLICE = 1 << 21
 MEMBERS = 256
 LIST_COST = 4
+FEW = 50_000
 PARITY = 4
 
 
@@ -55,7 +57,7 @@ class Scheme:
 
     least: int = 90
     words: int = 3
-    stretch: int = 3
+    stretch: int = 2
 
     def linked(self, both: int, one: int, other: int) -> bool:
         return 100 * both >= self.least * (one + other - both) and both > 0
@@ -96,10 +98,9 @@ class Scheme:
         return 2 * (self.bounds[c + 1] - 1) * (100 - self.least) // (100 + self.least)
 
     def slack(self, c: int) -> int:
-        """Parts that may be empty before empty ones have to be listed."""
+        """Parts that may be empty: those of a small set of the class, as a rule, and some more."""
         most, extra = self.differing(c), 2
-        smallest = max(1, self.least * self.bounds[c] // 100)
-        while 2.5 * (most + 1 + extra) * exp(-smallest / (most + 1 + extra)) + 1 > extra and extra < most:
+        while 1.5 * (most + 1 + extra) * exp(-self.bounds[c] / (most + 1 + extra)) + 2 > extra and extra <= most:
             extra += 1
         return extra
 
@@ -115,8 +116,8 @@ class Scheme:
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text in ascending order, end to end, and where each text's begin."""
-    bounds, codes, distinct = words(pc.ascii_lower(texts.cast(pa.large_string())))
-    hashes = hash_words(distinct)[codes]
+    bounds, codes, distinct = words(texts)
+    hashes = hash_words(distinct, lower=True)[codes]
     size = np.diff(bounds)
     row = np.repeat(np.arange(len(size)), size)
     left = np.repeat(bounds[1:], size) - np.arange(len(codes))
@@ -156,11 +157,11 @@ def parity(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(n, -1), axis=1, bitorder="little").view("<i8")
 
 
-def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
-    """Row of each list entry, and the list's name."""
+def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of each list entry, and the list's name; and for each row its filled parts in its own class, at least 0."""
     size = np.diff(bounds)
     spread = mix(h ^ np.uint64(0x2545F4914F6CDD1D))
-    rows, names = [], []
+    rows, names, own_parts = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], np.zeros(len(size), np.int64)
     with np.errstate(over="ignore"):
         for i in np.flatnonzero((size > 0) & (size <= scheme.light)):
             own = spread[bounds[i] : bounds[i + 1]]
@@ -172,9 +173,9 @@ def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.nd
                 rows.append(np.full(len(left), i))
         # sets that a heavy one can link with are listed the heavy way, too
         heavy = np.flatnonzero(100 * size >= scheme.least * (scheme.light + 1))
-        entries = [(i, c) for i in heavy for c in scheme.classes(int(size[i]))]
+        entries = [(i, c, k == 0) for i in heavy for k, c in enumerate(scheme.classes(int(size[i])))]
         if entries:
-            row, cls = np.array(entries, np.int64).T
+            row, cls, first = np.array(entries, np.int64).T
             parts = np.array([scheme.parts(c) for c in cls])
             slack = np.array([scheme.slack(c) for c in cls])
             offset = np.cumsum(parts) - parts
@@ -189,18 +190,21 @@ def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.nd
             np.add.at(filled, offset[entry] + part, 1)
             of = np.repeat(np.arange(len(row)), parts)
             number = np.arange(len(of)) - offset[of]
-            empties = np.add.reduceat(filled == 0, offset)
-            listed = (filled > 0) | (empties > slack)[of]
             name = mix(total + mix(cls.astype(np.uint64)[of] * np.uint64(1 << 32) + number.astype(np.uint64) + np.uint64(1)))
-            rows.append(row[of][listed])
-            names.append(name[listed])
-    if not rows:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(rows), np.concatenate(names)
+            rows.append(row[of][filled > 0])
+            names.append(name[filled > 0])
+            full = np.add.reduceat((filled > 0).astype(np.int64), offset)
+            own = (first == 1) & (size[row] > scheme.light)
+            own_parts[row[own]] = full[own]
+            for i in np.unique(row[parts - full > slack]):  # too few parts to rely on
+                prefix = h[bounds[i] : bounds[i] + scheme.missing(int(size[i])) + 1]
+                names.append(mix(prefix ^ np.uint64(0x9E6C63D0876A9A47)))
+                rows.append(np.full(len(prefix), i))
+    return np.concatenate(rows), np.concatenate(names), own_parts
 
 
-LISTS = "list long, sid long, kid long, tag int, n long, p1 long, p2 long, p3 long, p4 long"
-FACTS = ["kid", "tag", "n", "p1", "p2", "p3", "p4"]
+LISTS = "list long, sid long, kid long, tag int, n long, parts long, p1 long, p2 long, p3 long, p4 long"
+FACTS = ["kid", "tag", "n", "parts", "p1", "p2", "p3", "p4"]
 
 
 def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
@@ -217,11 +221,11 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
             tag = part["tag"].to_numpy()
             bits = parity(h, bounds)
             anywhere = as_long(mix(kid.view(np.uint64) + tag.astype(np.uint64)))
-            facts = [anywhere, as_long(sid), kid, tag, size, *bits.T]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(facts, kinds, strict=True)], names=names)
-            _, one = np.unique(sid, return_index=True)  # equal sets of the slice are listed once
+            _, one, of = np.unique(sid, return_index=True, return_inverse=True)  # equal sets of the slice are listed once
             listed, held = h_of(h, bounds, one)
-            row, name = signatures(listed, held, scheme)
+            row, name, full = signatures(listed, held, scheme)
+            facts = [anywhere, as_long(sid), kid, tag, size, full[of], *bits.T]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(facts, kinds, strict=True)], names=names)
             for at in range(0, len(row), 1 << 18):
                 own = slice(at, at + (1 << 18))
                 columns = [pa.array(as_long(name[own])), pa.array(as_long(sid[one][row[own]]))]
@@ -297,6 +301,9 @@ def checked(docs: DataFrame, facts: DataFrame, pairs: DataFrame, scheme: Scheme)
         .groupBy(F.col("doc.kid").alias("kid"), F.col("doc.tag").alias("tag"))
         .agg(F.collect_set(F.struct("centre", "task", "role", "sid")).alias("calls"))
     )
+    wanted = stored(wanted, "wanted")
+    if wanted.count() <= FEW:  # some MB; beyond that the texts are shuffled
+        wanted = F.broadcast(wanted)
     sent = (
         docs.select("kid", "tag", "text")
         .join(wanted, ["kid", "tag"])
@@ -330,11 +337,15 @@ def checked(docs: DataFrame, facts: DataFrame, pairs: DataFrame, scheme: Scheme)
     return stored(ordered.select("text", "centre", "task", "role", "sid").mapInArrow(run, "a long, b long"), "links")
 
 
-def within(scheme: Scheme, a: DataFrame, b: DataFrame) -> Column:
-    """What linked sets must fulfil: sizes, and no more odd bits apart than they can differ in elements."""
+def possible(scheme: Scheme, a: dict[str, Column], b: dict[str, Column], shared: Column) -> Column:
+    """What linked sets must fulfil: no more bits apart than they can differ in elements, and lists in common.
+
+    Each element that only one has spoils one part; the larger set's filled parts that are left are listed for both.
+    """
     apart = sum(F.bit_count(a[f"p{i + 1}"].bitwiseXOR(b[f"p{i + 1}"])) for i in range(PARITY))
-    sizes = (100 * a["n"] >= scheme.least * b["n"]) & (100 * b["n"] >= scheme.least * a["n"])
-    return sizes & (apart * (100 + scheme.least) <= (a["n"] + b["n"]) * (100 - scheme.least))
+    differing = F.floor((a["n"] + b["n"]) * (100 - scheme.least) / (100 + scheme.least))
+    parts = F.when(a["n"] > b["n"], a["parts"]).when(a["n"] < b["n"], b["parts"]).otherwise(F.least(a["parts"], b["parts"]))
+    return (apart <= differing) & (shared >= parts - differing)
 
 
 def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id", text_col="text") -> DataFrame:
@@ -346,40 +357,52 @@ def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id"
     rows = stored(lists_of_several(sketch(given, scheme)), "lists")
     facts = rows.where(F.col("kid").isNotNull()).select("sid", *FACTS)
     entries = rows.where(F.col("kid").isNull()).select("list", "sid", "centre")
+    sets = stored(facts.groupBy("sid").agg(*(F.first(c).alias(c) for c in FACTS[2:])), "sets")
+
+    def of(x: str) -> DataFrame:
+        return sets.select(F.col("sid").alias(f"{x}_sid"), *(F.col(c).alias(f"{x}_{c}") for c in FACTS[2:]))
+
+    def with_facts(pairs: DataFrame) -> DataFrame:
+        """``centre, sid, shared`` with the facts of both, where linked sets can have them."""
+        both = pairs.join(of("a"), F.col("centre") == F.col("a_sid")).join(of("b"), F.col("sid") == F.col("b_sid"))
+        columns = ({c: F.col(f"{x}_{c}") for c in FACTS[2:]} for x in "ab")
+        return both.where(possible(scheme, *columns, F.col("shared")))
+
     stars = (
         entries.where("sid != centre")
         .groupBy("sid", "centre")
         .agg(F.count("*").alias("shared"))
         .groupBy("sid")
-        .agg(F.max(F.struct("shared", "centre"))["centre"].alias("centre"))
+        .agg(F.max(F.struct("shared", "centre")).alias("best"))
+        .select("sid", "best.centre", "best.shared")
     )
-    found = checked(given, facts, stars, scheme)
+    # a star is only a short cut: what falls short here has its turn below
+    likely = with_facts(stars.withColumn("shared", F.col("shared") * 4)).select("centre", "sid")
+    found = checked(given, facts, stored(likely, "stars"), scheme)
     first = components(found)
-    sets = facts.groupBy("sid").agg(*(F.first(c).alias(c) for c in FACTS[2:]))
     member = entries.select("list", "sid").join(
         first.select(F.col("node").alias("sid"), "component"), "sid", "left"
     ).select("list", "sid", F.coalesce("component", "sid").alias("component"))
     open_ = member.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    member = stored(member.join(open_.select("list"), "list").join(sets, "sid"), "open-lists")
+    member = member.join(open_.select("list"), "list").join(sets.select("sid", "n"), "sid")
     main = (
         member.groupBy("list", "component")
         .agg(F.count("*").alias("size"))
         .groupBy("list")
         .agg(F.max(F.struct("size", "component"))["component"].alias("main"))
     )
-    outside = member.join(main, "list").where("component != main").alias("a")
-    others = member.join(main, "list").alias("b")
-    a, b = outside, others
+    member = stored(member.join(main, "list"), "open-lists")
+    a, b = member.where("component != main").alias("a"), member.alias("b")
     apart = (F.col("a.component") != F.col("b.component")) & (
         (F.col("b.component") == F.col("b.main")) | (F.col("a.sid") < F.col("b.sid"))
     )
-    columns = lambda x: {c: F.col(f"{x}.{c}") for c in FACTS[2:]}
+    sizes = (100 * F.col("a.n") >= scheme.least * F.col("b.n")) & (100 * F.col("b.n") >= scheme.least * F.col("a.n"))
     pairs = (
-        a.join(b, (F.col("a.list") == F.col("b.list")) & apart & within(scheme, columns("a"), columns("b")))
-        .select(F.least("a.sid", "b.sid").alias("centre"), F.greatest("a.sid", "b.sid").alias("sid"))
-        .distinct()
+        a.join(b, (F.col("a.list") == F.col("b.list")) & apart & sizes)
+        .groupBy(F.least("a.sid", "b.sid").alias("centre"), F.greatest("a.sid", "b.sid").alias("sid"))
+        .agg(F.count("*").alias("shared"))
     )
-    more = checked(given, facts, stored(pairs, "pairs"), scheme)
+    more = checked(given, facts, stored(with_facts(pairs).select("centre", "sid"), "pairs"), scheme)
     whole = components(found.unionByName(more))
     placed = facts.join(whole.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
         "kid", "tag", "n", "sid", F.coalesce("component", "sid").alias("component")

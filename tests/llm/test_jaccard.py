@@ -1,10 +1,11 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from isochron.llm.components import components
-from isochron.llm.jaccard import Scheme, near_duplicates, one_of_each
+from isochron.llm.jaccard import Scheme, near_duplicates, one_of_each, shingle_sets
 
 
 def shingles(text, k):
@@ -113,3 +114,12 @@ def test_components(spark):
     assert all(found[a] == found[b] for a, b in edges if a != b)
     assert {found[i] for i in range(41)} == {0} and {found[100 + i] for i in range(30)} == {100}
     assert all(found[c] == c <= n for n, c in found.items())
+
+
+def test_sets_of_a_slice():
+    texts = pa.array(["É à B", "x Y", "Größe B c D", None, "b C d"]).fill_null("")
+    whole, bounds = shingle_sets(texts, 3)
+    for a in range(5):
+        part, at = shingle_sets(texts[a:], 3)
+        assert part.tolist() == whole[bounds[a] :].tolist() and at.tolist() == (bounds[a:] - bounds[a]).tolist()
+    assert whole[bounds[4]] in whole[bounds[2] : bounds[3]]
