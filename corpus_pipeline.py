@@ -7,6 +7,7 @@ operators' docstrings say.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -19,32 +20,49 @@ from isochron.llm.decontamination import without_contaminated
 from isochron.llm.jaccard import Scheme, one_of_each
 from isochron.llm.packing import pack
 from isochron.llm.suffix_dedup import with_unique_texts
+from isochron.session import ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 LEAST_SCORE = 0.3
 """Hardly above chance. Texts in two languages, and short ones among numbers, score about 0.4 to 0.5 and stay."""
 
 
+def with_code(stage: Stage) -> Stage:
+    """The stage, with this repository's code on every worker before it runs."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@with_code
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without a letter, or like no language, go."""
     return language.keep_identified(docs, language.fit(docs), LEAST_SCORE)
 
 
+@with_code
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group linked by 0.8 or more of their five-word shingles."""
     return one_of_each(docs, Scheme(least=80, words=5))
 
 
+@with_code
 def unique_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 400 bytes that stand elsewhere, too; ``n_chars`` follows."""
     return with_unique_texts(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
+@with_code
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@with_code
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of every document that is left, in sequences of 2048."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -59,6 +59,7 @@ class Runs:
     """Runs of windows with one anchor, over rows of numbers laid end to end."""
 
     def __init__(self, numbers: np.ndarray, bounds: np.ndarray, sampling: Sampling):
+        numbers = numbers.astype(np.uint64, copy=False)
         n, w = len(numbers), sampling.window
         size = np.diff(bounds)
         row = np.repeat(np.arange(len(size)), size)
@@ -79,11 +80,30 @@ class Runs:
             def covered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 return mix((total[b] - total[a]) * back[a] + mix((b - a).astype(np.uint64)))
 
-            self.covered = covered
             self.key = covered(self.anchor, self.anchor + sampling.reach)
             place = mix((self.anchor - self.start).astype(np.uint64) + np.uint64(7))
             self.cls = mix(covered(self.start, self.start + self.count + w - 1) + place)
-        self.start_in_row = self.start - bounds[self.row]
+
+
+def runs_in_parts(numbers: np.ndarray, bounds: np.ndarray, sampling: Sampling) -> Iterator[tuple]:
+    """``(key, class, row, first window in its row, windows)`` of all runs, with memory for ``slice`` numbers at a time.
+
+    A part ends where a run begins, so runs come out as if all had been read at once.
+    """
+    at, n, more = 0, len(numbers), sampling.window - 1
+    while True:
+        stop = min(n, at + max(sampling.slice, 4 * sampling.window) + more)
+        runs = Runs(numbers[at:stop], np.clip(bounds - at, 0, stop - at), sampling)
+        last = len(runs.start)
+        after = stop - more
+        if stop < n and last and runs.start[-1] + runs.count[-1] + more == stop - at:  # it may go on
+            last -= 1
+            after = at + int(runs.start[-1])
+        row, start = runs.row[:last], runs.start[:last] + at
+        yield runs.key[:last], runs.cls[:last], row, start - bounds[row], runs.count[:last]
+        if stop == n:
+            return
+        at = after
 
 
 def pack(start: np.ndarray, count: np.ndarray, tag: np.ndarray) -> np.ndarray:
@@ -119,27 +139,27 @@ def sketch(docs: DataFrame, numbers: Numbers, sampling: Sampling, earlier: bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, sampling.slice):
-            values, bounds = numbers(part["text"])
-            runs = Runs(values, bounds, sampling)
-            kid = part["kid"].to_numpy()[runs.row]
-            place = pack(runs.start_in_row, runs.count, part["tag"].to_numpy()[runs.row])
-            k, c = as_long(runs.key), as_long(runs.cls)
-            order = np.lexsort((place, kid, c, k))
-            k, c, kid, place = k[order], c[order], kid[order], place[order]
-            new = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]) if len(k) else np.empty(0, bool)
-            cls = np.cumsum(new) - 1
-            kind = np.full(len(k), OPEN)
-            if earlier:  # an earlier document of the slice has the same run
-                kind[kid > kid[np.flatnonzero(new)][cls]] = SETTLED
-            else:  # it is there several times; the first stands for all
-                several = np.bincount(cls, minlength=1)[cls] > 1
-                kind[several] = SETTLED
-                extra = new & several
-                k, c, kid, place = (np.concatenate([x, x[extra]]) for x in (k, c, kid, place))
-                kind = np.concatenate([kind, np.full(extra.sum(), WITNESS)])
-            done = kind == SETTLED
-            k = np.where(done, as_long(mix(place.view(np.uint64) ^ mix(kid.view(np.uint64)))), k)  # dealt out evenly
-            yield mark_batch(kind, k, c, kid, place)
+            for found in runs_in_parts(*numbers(part["text"]), sampling):
+                yield marks_of(*found, part["kid"].to_numpy(), part["tag"].to_numpy())
+
+    def marks_of(key, cls, row, start, count, kids, tags) -> pa.RecordBatch:
+        kid, place = kids[row], pack(start, count, tags[row])
+        k, c = as_long(key), as_long(cls)
+        order = np.lexsort((place, kid, c, k))
+        k, c, kid, place = k[order], c[order], kid[order], place[order]
+        new = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]) if len(k) else np.empty(0, bool)
+        group = np.cumsum(new) - 1
+        kind = np.full(len(k), OPEN)
+        if earlier:  # an earlier document of the slice has the same run
+            kind[kid > kid[np.flatnonzero(new)][group]] = SETTLED
+        else:  # it is there several times; the first stands for all
+            several = np.bincount(group, minlength=1)[group] > 1
+            kind[several] = SETTLED
+            extra = new & several
+            k, c, kid, place = (np.concatenate([x, x[extra]]) for x in (k, c, kid, place))
+            kind = np.concatenate([kind, np.full(extra.sum(), WITNESS)])
+        spread = as_long(mix(place.view(np.uint64) ^ mix(kid.view(np.uint64))))
+        return mark_batch(kind, np.where(kind == SETTLED, spread, k), c, kid, place)
 
     return docs.select("text", "kid", "tag").mapInArrow(run, MARK)
 

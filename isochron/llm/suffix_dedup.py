@@ -174,7 +174,7 @@ def byte_numbers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw = texts.cast(pa.large_binary())
     bounds = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
     data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
-    return data.astype(np.uint64), bounds - bounds[0]
+    return data, bounds - bounds[0]
 
 
 def byte_cutter(texts: pa.Array):

@@ -7,7 +7,7 @@ import pytest
 
 from isochron.llm import substring_dedup as sub
 from isochron.llm import suffix_dedup as suf
-from isochron.llm.repeats import Sampling
+from isochron.llm.repeats import Sampling, runs_in_parts
 
 WORDS = Sampling(5, span=4, gram=1, slice=1 << 9)
 BYTES = Sampling(12, span=8, gram=3, width="u1", slice=1 << 9)
@@ -133,3 +133,21 @@ def test_automaton_knows_the_substrings():
         asked = [rng.randrange(3) for _ in range(30)]
         longest = [max((n for n in range(i + 2) if tuple(asked[i + 1 - n : i + 1]) in known), default=0) for i in range(30)]
         assert list(automaton.matches(asked)) == longest
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_runs_do_not_depend_on_the_parts(seed):
+    rng = np.random.default_rng(seed)
+    sampling = WORDS if seed % 2 else BYTES
+    bounds = np.concatenate([[0], np.cumsum(rng.integers(0, 120, rng.integers(0, 6)))])
+    numbers = rng.integers(0, rng.integers(1, 5), bounds[-1]).astype(np.uint64)
+
+    def runs(size):
+        parts = runs_in_parts(numbers, bounds, Sampling(sampling.window, sampling.span, sampling.gram, slice=size))
+        return [row for part in parts for row in zip(*(x.tolist() for x in part))]
+
+    whole = runs(10**6)
+    assert all(runs(size) == whole for size in (1, 7, 30, 50))
+    windows = [(row, start + k) for _, _, row, start, count in whole for k in range(count)]
+    sizes = np.diff(bounds)
+    assert windows == [(r, a) for r in range(len(sizes)) for a in range(sizes[r] - sampling.window + 1)]
