@@ -8,19 +8,16 @@ from pyspark.sql import Column
 
 
 def range_spec(spec: str | int | list[int]) -> list[int]:
-    """``'5'``, ``'1,2,3'`` or an inclusive range ``'1-10'``."""
-    if isinstance(spec, int):
-        return [spec]
-    if not isinstance(spec, str):
-        return [int(n) for n in spec]
-    if not spec.strip():
-        return []
-    if "," in spec:
-        return [int(n) for n in spec.split(",")]
-    if "-" in spec:
-        first, last = spec.split("-")
-        return list(range(int(first), int(last) + 1))
-    return [int(spec)]
+    """Whole numbers and inclusive ranges of them, separated by commas: ``'5'``, ``'1,2,3'``, ``'1-10'``, ``'1-3,7'``."""
+    items = spec.split(",") if isinstance(spec, str) else [spec] if isinstance(spec, int) else spec
+    found: list[int] = []
+    for item in (str(i).strip() for i in items):
+        match = re.fullmatch(r"(-?\d+)(?:-(\d+))?|", item)
+        if not match or (not item and len(items) > 1):
+            raise ValueError(f"neither a number nor a range: {item!r} in {spec!r}")
+        if item:
+            found.extend(range(int(match[1]), int(match[2] or match[1]) + 1))
+    return found
 
 
 def differencing_spec(spec: str) -> tuple[str, int]:

@@ -65,7 +65,7 @@ def parse_type_map(spec: str) -> list[tuple[str, str]]:
     """``type(regex),type(regex)`` to ``[(regex, spark type)]``; entries of another form are skipped."""
     rules = []
     for entry in spec.split(","):
-        match = re.fullmatch(r"(\w{3,})\((.+)\)", entry.strip())
+        match = re.fullmatch(r"(\w{3,})\((.+)\)", entry.strip())  # fixed value: the form of an entry
         if match and match.group(1) in CELL_TYPES:
             rules.append((match.group(2), CELL_TYPES[match.group(1)]))
     return rules

@@ -94,6 +94,9 @@ def level_name(kind: str, series: str = "series", level: str = "level") -> Colum
     return F.concat_ws("_", series, F.lit(kind), F.col(level))
 
 
+# The patterns of a column name and of a file name.
+
+
 def base_name(column: Column) -> Column:
     """Measure of a ``<measure>_<station>`` name; empty for a name of another form."""
     return F.regexp_extract(column, r"^(.*)_\d+$", 1)

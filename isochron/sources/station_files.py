@@ -147,7 +147,8 @@ def line_cells(lines: DataFrame) -> DataFrame:
     """One row per cell: ``station, file_type, line_no, ts, position, measure, series,
     raw``.
 
-    ``series`` is ``<measure>_<station>``; blank cells of the numeric measures read as 0.
+    ``series`` is ``<measure>_<station>``; blank cells of the numeric measures read as 0. A cell that is not blank
+    beyond the header's columns is an error.
     """
     names = _column_names(F.col("header"))
     cells = F.arrays_zip(
@@ -155,10 +156,12 @@ def line_cells(lines: DataFrame) -> DataFrame:
         names.alias("measure"),
         F.split("line", ",", -1).alias("raw"),
     )
+    surplus = F.raise_error(F.concat(F.lit("more cells than the header has: "), F.col("raw"))).cast("boolean")
+    beyond = F.when(F.trim("raw") != "", surplus).otherwise(F.lit(False))
     stamped = lines.withColumn("ts", file_time(F.trim(F.split_part("line", F.lit(","), F.lit(1)))))
     return (
         stamped.select("station", "file_type", "line_no", "ts", F.inline(cells))
-        .filter(F.col("measure").isNotNull() & (F.col("measure") != "date"))
+        .filter(F.coalesce(F.col("measure") != "date", beyond))
         .select(
             "station",
             "file_type",

@@ -147,6 +147,15 @@ def test_header_below_a_long_legend(spark, tmp_path):
     ]
 
 
+def test_cells_beyond_the_header_are_an_error(spark, tmp_path):
+    put(tmp_path, "hly5", "date,rain\n2020-01-01 00:00:00,1,\n")
+    files = open_files(list_files(spark, str(tmp_path)))
+    assert [r["raw"] for r in line_cells(file_lines(files)).collect()] == ["1"]
+    put(tmp_path, "hly6", "date,rain\n2020-01-01 00:00:00,1,2\n")
+    with pytest.raises(Exception, match="more cells than the header has"):
+        line_cells(file_lines(open_files(list_files(spark, str(tmp_path))))).collect()
+
+
 def test_no_header_is_an_error(spark, tmp_path):
     put(tmp_path, "hly5", "Legend\n" * 150)
     with pytest.raises(Exception, match="hly5.zip has no header line"):

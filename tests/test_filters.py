@@ -69,7 +69,11 @@ def test_specs():
     assert range_spec("5") == [5]
     assert range_spec("3,5") == [3, 5]
     assert range_spec("1-4") == [1, 2, 3, 4]
-    assert range_spec("") == []
+    assert range_spec("") == range_spec(" ") == []
+    assert range_spec("1-3, 7") == [1, 2, 3, 7] and range_spec([2, 5]) == [2, 5] and range_spec(-1) == [-1]
+    for bad in ("1,,2", "a", "1-", "1-2-3"):
+        with pytest.raises(ValueError, match="neither a number nor a range"):
+            range_spec(bad)
     assert differencing_spec("season,12") == ("season", 12)
     assert differencing_spec("STEP,2") == ("step", 2)
     assert differencing_spec("") == ("step", 0)
