@@ -12,9 +12,9 @@ the one shingle, without words the set is empty and links with nothing. Sets lin
   whole parts holds little but near copies. Sets with too many empty parts are also listed under the first few of their
   shingles in hash order, of which linked sets share one.
 
-Equal sets are one node. Each list links its members to its smallest one (a star), every node is checked against the
-centre it shares most lists with, and components are formed. Lists that still hold several components are scanned
-again: members outside of their list's main component meet all others, and the pairs that share as many lists as linked
+Equal sets are one node. Each list has a centre (a star), every node is checked against the few centres it shares most
+lists with, and components are formed; this is done ``ROUNDS`` times, for what is outside of its list's main component.
+Lists that then still hold several components are scanned whole: members outside of their list's main component meet all others, and the pairs that share as many lists as linked
 sets must, and that sizes and a parity sketch allow (all are bounds, no estimates), are checked exactly. So no link
 between different components is lost, and no pairs within a group of copies are made.
 
@@ -48,6 +48,8 @@ SLICE = 1 << 21
 MEMBERS = 256
 LIST_COST = 4
 FEW = 50_000
+ROUNDS = 3
+STARS = 4
 PARITY = 4
 
 
@@ -244,20 +246,19 @@ def h_of(h: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarra
 
 
 def lists_of_several(rows: DataFrame) -> DataFrame:
-    """Entries of lists with several rows, each with the list's smallest set as ``centre``; and the facts.
+    """Entries of lists with several rows, and the facts.
 
     A pass over sorted rows that keeps one of them in mind, so a list may be of any length.
     """
-    schema = f"{LISTS}, centre long"
-    names = [x.split()[0] for x in schema.split(", ")]
+    names = [x.split()[0] for x in LISTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, before, centre = None, None, 0
+        held, before = None, None
         for batch in batches:
             fact = batch["kid"].is_valid()
             facts = batch.filter(fact)
             if facts.num_rows:
-                yield pa.RecordBatch.from_arrays([*facts.columns, facts["sid"]], names=names)
+                yield facts
             name, sid = (x.to_numpy() for x in batch.filter(pc.invert(fact)).columns[:2])
             if held is not None:
                 name, sid = np.concatenate([held[0], name]), np.concatenate([held[1], sid])
@@ -265,24 +266,21 @@ def lists_of_several(rows: DataFrame) -> DataFrame:
                 held = (name, sid) if len(name) else None
                 continue
             held = name[-1:], sid[-1:]
-            found, before, centre = several(name[:-1], sid[:-1], before, centre, name[-1])
-            yield found
+            yield several(name[:-1], sid[:-1], before, name[-1])
+            before = name[-2], sid[-2]
         if held is not None:
-            yield several(*held, before, centre, None)[0]
+            yield several(*held, before, None)
 
-    def several(name, sid, before, centre, after):
+    def several(name, sid, before, after):
         same = np.concatenate([[before is not None and before[0] == name[0]], name[1:] == name[:-1]])
         again = same & np.concatenate([[before is not None and before[1] == sid[0]], sid[1:] == sid[:-1]])
         more = np.append(same[1:], after is not None and after == name[-1])
-        first = np.maximum.accumulate(np.where(~same, np.arange(len(name)), -1))
-        centres = np.where(first >= 0, sid[first], centre)
         keep = (same | more) & ~again
         columns = [pa.array(name[keep]), pa.array(sid[keep])]
-        nulls = [pa.nulls(len(columns[0]), pa.int32() if n == "tag" else pa.int64()) for n in names[2:-1]]
-        found = pa.RecordBatch.from_arrays([*columns, *nulls, pa.array(centres[keep])], names=names)
-        return found, (name[-1], sid[-1]), centres[-1]
+        nulls = [pa.nulls(len(columns[0]), pa.int32() if n == "tag" else pa.int64()) for n in names[2:]]
+        return pa.RecordBatch.from_arrays([*columns, *nulls], names=names)
 
-    return rows.repartition("list").sortWithinPartitions("list", "sid").mapInArrow(run, schema)
+    return rows.repartition("list").sortWithinPartitions("list", "sid").mapInArrow(run, LISTS)
 
 
 def checked(docs: DataFrame, facts: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
@@ -348,6 +346,47 @@ def possible(scheme: Scheme, a: dict[str, Column], b: dict[str, Column], shared:
     return (apart <= differing) & (shared >= parts - differing)
 
 
+def open_lists(entries: DataFrame, sets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Entries of the lists that hold several components: ``list, sid, component, n, main``, stored.
+
+    ``main`` is the component with most members in the list, of equal ones the one with the largest name.
+    """
+    member = entries.select("list", "sid")
+    if labels is None:
+        member = member.withColumn("component", F.col("sid"))
+    else:
+        member = member.join(labels.select(F.col("node").alias("sid"), "component"), "sid", "left")
+        member = member.select("list", "sid", F.coalesce("component", "sid").alias("component"))
+    main = (
+        member.groupBy("list", "component")
+        .agg(F.count("*").alias("size"))
+        .groupBy("list")
+        .agg(F.max(F.struct("size", "component"))["component"].alias("main"), F.count("*").alias("components"))
+        .where("components > 1")
+        .select("list", "main")
+    )
+    return stored(member.join(main, "list").join(sets.select("sid", "n"), "sid"), "open-lists")
+
+
+def stars(member: DataFrame) -> DataFrame:
+    """``centre, sid, shared``: for each set outside of its lists' main components, ``STARS`` centres in each of these.
+
+    The centre of a list is one of its main component's sets, drawn by a hash, so another one in every list. ``shared``
+    counts the lists that the set has in common with the component.
+    """
+    drawn = F.struct(F.xxhash64("list", "sid").alias("drawn"), "sid")
+    centres = member.where("component = main").groupBy("list").agg(F.min(drawn)["sid"].alias("centre"))
+    tried = F.array_sort(F.collect_list(F.struct(F.xxhash64("list").alias("drawn"), "centre")))
+    few = F.slice(F.array_distinct(F.transform(tried, lambda x: x["centre"])), 1, STARS)
+    return (
+        member.where("component != main")
+        .join(centres, "list")
+        .groupBy("sid", "main")
+        .agg(F.count("*").alias("shared"), few.alias("few"))
+        .select("sid", F.explode("few").alias("centre"), "shared")
+    )
+
+
 def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id", text_col="text") -> DataFrame:
     """``kid, tag, n, component`` of each row: its set's size, and the smallest id of the documents it is linked with.
 
@@ -356,42 +395,27 @@ def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id"
     given = keyed(docs, id_col, text_col).withColumn("tag", F.col("khash").bitwiseAND(TAG).cast("int"))
     rows = stored(lists_of_several(sketch(given, scheme)), "lists")
     facts = rows.where(F.col("kid").isNotNull()).select("sid", *FACTS)
-    entries = rows.where(F.col("kid").isNull()).select("list", "sid", "centre")
+    entries = rows.where(F.col("kid").isNull()).select("list", "sid")
     sets = stored(facts.groupBy("sid").agg(*(F.first(c).alias(c) for c in FACTS[2:])), "sets")
 
     def of(x: str) -> DataFrame:
         return sets.select(F.col("sid").alias(f"{x}_sid"), *(F.col(c).alias(f"{x}_{c}") for c in FACTS[2:]))
 
-    def with_facts(pairs: DataFrame) -> DataFrame:
-        """``centre, sid, shared`` with the facts of both, where linked sets can have them."""
+    def with_facts(pairs: DataFrame, least: int) -> DataFrame:
+        """``centre, sid, shared`` with the facts of both, where linked sets can have ``least`` times as many lists."""
         both = pairs.join(of("a"), F.col("centre") == F.col("a_sid")).join(of("b"), F.col("sid") == F.col("b_sid"))
         columns = ({c: F.col(f"{x}_{c}") for c in FACTS[2:]} for x in "ab")
-        return both.where(possible(scheme, *columns, F.col("shared")))
-
-    stars = (
-        entries.where("sid != centre")
-        .groupBy("sid", "centre")
-        .agg(F.count("*").alias("shared"))
-        .groupBy("sid")
-        .agg(F.max(F.struct("shared", "centre")).alias("best"))
-        .select("sid", "best.centre", "best.shared")
-    )
-    # a star is only a short cut: what falls short here has its turn below
-    likely = with_facts(stars.withColumn("shared", F.col("shared") * 4)).select("centre", "sid")
-    found = checked(given, facts, stored(likely, "stars"), scheme)
-    first = components(found)
-    member = entries.select("list", "sid").join(
-        first.select(F.col("node").alias("sid"), "component"), "sid", "left"
-    ).select("list", "sid", F.coalesce("component", "sid").alias("component"))
-    open_ = member.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    member = member.join(open_.select("list"), "list").join(sets.select("sid", "n"), "sid")
-    main = (
-        member.groupBy("list", "component")
-        .agg(F.count("*").alias("size"))
-        .groupBy("list")
-        .agg(F.max(F.struct("size", "component"))["component"].alias("main"))
-    )
-    member = stored(member.join(main, "list"), "open-lists")
+        return both.where(possible(scheme, *columns, F.col("shared") * least))
+
+    links, tried = None, 0
+    member = open_lists(entries, sets, None)
+    while tried < ROUNDS:  # a short cut: what stars do not link has its turn below
+        tried += 1
+        found = checked(given, facts, stored(with_facts(stars(member), 2).select("centre", "sid"), "stars"), scheme)
+        links = links.unionByName(found) if links else found
+        member = open_lists(entries, sets, components(links))
+        if found.isEmpty():
+            break
     a, b = member.where("component != main").alias("a"), member.alias("b")
     apart = (F.col("a.component") != F.col("b.component")) & (
         (F.col("b.component") == F.col("b.main")) | (F.col("a.sid") < F.col("b.sid"))
@@ -402,8 +426,8 @@ def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id"
         .groupBy(F.least("a.sid", "b.sid").alias("centre"), F.greatest("a.sid", "b.sid").alias("sid"))
         .agg(F.count("*").alias("shared"))
     )
-    more = checked(given, facts, stored(with_facts(pairs).select("centre", "sid"), "pairs"), scheme)
-    whole = components(found.unionByName(more))
+    more = checked(given, facts, stored(with_facts(pairs, 1).select("centre", "sid"), "pairs"), scheme)
+    whole = components(links.unionByName(more))
     placed = facts.join(whole.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
         "kid", "tag", "n", "sid", F.coalesce("component", "sid").alias("component")
     )
