@@ -206,7 +206,8 @@ def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.nd
 
 
 LISTS = "list long, sid long, kid long, tag int, n long, parts long, p1 long, p2 long, p3 long, p4 long"
-FACTS = ["kid", "tag", "n", "parts", "p1", "p2", "p3", "p4"]
+PARITIES = ["p1", "p2", "p3", "p4"]
+FACTS = ["kid", "tag", "n", "parts", *PARITIES]
 
 
 def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
@@ -335,15 +336,20 @@ def checked(docs: DataFrame, facts: DataFrame, pairs: DataFrame, scheme: Scheme)
     return stored(ordered.select("text", "centre", "task", "role", "sid").mapInArrow(run, "a long, b long"), "links")
 
 
+def near_parity(scheme: Scheme, a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """No more odd bits apart than linked sets of these sizes can differ in elements."""
+    apart = sum(F.bit_count(a[p].bitwiseXOR(b[p])) for p in PARITIES)
+    return apart * (100 + scheme.least) <= (a["n"] + b["n"]) * (100 - scheme.least)
+
+
 def possible(scheme: Scheme, a: dict[str, Column], b: dict[str, Column], shared: Column) -> Column:
     """What linked sets must fulfil: no more bits apart than they can differ in elements, and lists in common.
 
     Each element that only one has spoils one part; the larger set's filled parts that are left are listed for both.
     """
-    apart = sum(F.bit_count(a[f"p{i + 1}"].bitwiseXOR(b[f"p{i + 1}"])) for i in range(PARITY))
     differing = F.floor((a["n"] + b["n"]) * (100 - scheme.least) / (100 + scheme.least))
     parts = F.when(a["n"] > b["n"], a["parts"]).when(a["n"] < b["n"], b["parts"]).otherwise(F.least(a["parts"], b["parts"]))
-    return (apart <= differing) & (shared >= parts - differing)
+    return near_parity(scheme, a, b) & (shared >= parts - differing)
 
 
 def open_lists(entries: DataFrame, sets: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -416,13 +422,16 @@ def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id"
         member = open_lists(entries, sets, components(links))
         if found.isEmpty():
             break
+    # the parity goes with the rows, so that pairs which merely share a passage end within the join
+    member = member.join(sets.select("sid", *PARITIES), "sid")
     a, b = member.where("component != main").alias("a"), member.alias("b")
     apart = (F.col("a.component") != F.col("b.component")) & (
         (F.col("b.component") == F.col("b.main")) | (F.col("a.sid") < F.col("b.sid"))
     )
+    columns = lambda x: {c: F.col(f"{x}{c}") for c in ("n", *PARITIES)}
     sizes = (100 * F.col("a.n") >= scheme.least * F.col("b.n")) & (100 * F.col("b.n") >= scheme.least * F.col("a.n"))
     pairs = (
-        a.join(b, (F.col("a.list") == F.col("b.list")) & apart & sizes)
+        a.join(b, (F.col("a.list") == F.col("b.list")) & apart & sizes & near_parity(scheme, columns("a."), columns("b.")))
         .groupBy(F.least("a.sid", "b.sid").alias("centre"), F.greatest("a.sid", "b.sid").alias("sid"))
         .agg(F.count("*").alias("shared"))
     )
