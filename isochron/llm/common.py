@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NO_ID = (1 << 63) - 1
 """A null id sorts after every other id."""
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A pass over batches after which the worker, which lives on, hands its free memory back to the system."""
+
+    @functools.wraps(run)
+    def passed(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return passed
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -46,10 +64,6 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def utf8_length(text: Column) -> Column:
-    return F.octet_length(text).cast("long")
-
-
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text: row bounds, code of each word, the distinct words.
 

@@ -32,14 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isochron.llm.common import gram_hashes, mix, words
+from isochron.llm.common import gram_hashes, mix, tidy, words
 from isochron.llm.repeats import slices
 
 SAMPLED = 3
 MOST_TABLES = 64
 BLOCK = 1 << 24
 SLICE = 1 << 22
-MEMO = 1_000_000
+MEMO = 120_000
 STRETCH = 3
 MARKS = 20
 SIGNS = re.compile(r"[\W_]+")
@@ -260,6 +260,7 @@ def contaminated(
     kinds = [pa.int64()] * 2 + [pa.int32()] * 3
 
     def search(block: Items):
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(batches, SLICE):
                 found = block.matches(*word_hashes(part["text"]))
@@ -287,6 +288,7 @@ def without_contaminated(
     """Rows of ``docs`` that hold no item, with all their columns, in passes without a shuffle."""
 
     def keep(block: Items):
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(batches, SLICE, text_col):
                 clean = np.ones(part.num_rows, bool)

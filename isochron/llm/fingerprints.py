@@ -25,7 +25,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isochron.llm.common import as_long, gram_hashes, hash_words, keyed, words
+from isochron.llm.common import as_long, gram_hashes, hash_words, keyed, tidy, words
 
 DIGEST = 8
 SKETCH = 256
@@ -100,6 +100,7 @@ def fingerprint(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """``doc_id, fingerprint`` of every row, in one pass without a shuffle."""
     given = keyed(docs, id_col, text_col).select("doc_id", "text")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -169,6 +170,7 @@ def edited_likeness(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
         ]
         return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, rows, chars = None, [], 0
         for batch in batches:

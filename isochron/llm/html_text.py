@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isochron.llm.common import tidy
+
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>"'<]+|"[^"]*"|'[^']*'|["'<])*?)(?:>|\Z)""",
@@ -343,6 +345,7 @@ def extract(pages: DataFrame, id_col="page_id", url_col="url", html_col="html")
         F.col(html_col).cast("string").alias("html"),
     )
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isochron.llm.common import NO_ID, as_long, gram_hashes, hash_words, keyed, mix, stored, words
+from isochron.llm.common import NO_ID, as_long, gram_hashes, hash_words, keyed, mix, stored, tidy, words
 from isochron.llm.components import components
 from isochron.llm.repeats import TAG, slices
 
@@ -213,6 +213,7 @@ FACTS = ["kid", "tag", "n", "parts", *PARITIES]
 def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """Two kinds of rows: ``list, sid`` for each list entry, and the facts of each document with a random list."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in LISTS.split(", ")]
         kinds = [pa.int32() if x.split()[1] == "int" else pa.int64() for x in LISTS.split(", ")]
@@ -253,6 +254,7 @@ def lists_of_several(rows: DataFrame) -> DataFrame:
     """
     names = [x.split()[0] for x in LISTS.split(", ")]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, before = None, None
         for batch in batches:
@@ -310,6 +312,7 @@ def checked(docs: DataFrame, facts: DataFrame, pairs: DataFrame, scheme: Scheme)
         .select("call.*", "text")
     )
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host, whose = None, None
         for part in slices(batches, SLICE):

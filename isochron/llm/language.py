@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isochron.llm.common import tidy
+
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -191,6 +193,7 @@ def predict(docs: DataFrame, network: ByteNetwork | None, id_col="doc_id", text_
         F.col(id_col).cast("long").alias("doc_id"), lettered(F.col(text_col).cast("string")).alias("text")
     )
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, lang, score in identify(batches, network, "text"):
             columns = [part["doc_id"], pa.array(lang, pa.string()), pa.array(score)]
@@ -205,6 +208,7 @@ def keep_identified(docs: DataFrame, network: ByteNetwork | None, least: float =
     while lettered_col in docs.columns:
         lettered_col += "_"
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, lang, score in identify(batches, network, lettered_col):
             good = (lang != UNKNOWN) & (score >= least)

@@ -32,13 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isochron.llm.common import stored
+from isochron.llm.common import stored, tidy
 from isochron.llm.repeats import slices
 from isochron.llm.token_counts import PLAIN, byte_symbols
 
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 """Fixed value: the split pattern of the vocabulary file, for plain texts."""
-MEMO = 800_000
+MEMO = 120_000
 """Units whose ids a worker keeps, the first that it meets; later ones are encoded once a slice."""
 SLICE = 1 << 22
 
@@ -131,6 +131,7 @@ def token_pieces(
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
     schema += ", ids binary" * with_ids
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = encoder(vocabulary), np.zeros(capacity + 1, np.int64)
         mark = np.array([end_id], "<u4").tobytes()
@@ -259,6 +260,7 @@ def pack(
     ranked = pieces.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
     out = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
+    @tidy
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, rank = batch["length"].to_numpy(), batch["rank"].to_numpy()

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isochron.llm.common import MULTIPLIER, as_long, gram_hashes, mix, stored, window_argmin
+from isochron.llm.common import MULTIPLIER, as_long, gram_hashes, mix, stored, tidy, window_argmin
 
 GROUP = 4096
 SETTLED, OPEN, WITNESS = 0, 1, 2
@@ -137,6 +137,7 @@ Numbers = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 def sketch(docs: DataFrame, numbers: Numbers, sampling: Sampling, earlier: bool) -> DataFrame:
     """Runs of every document of ``docs`` (``text, kid, tag``)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, sampling.slice):
             for found in runs_in_parts(*numbers(part["text"]), sampling):
@@ -188,6 +189,7 @@ def classify(runs: DataFrame, earlier: bool) -> DataFrame:
         shown = several & ~same & (kind == OPEN)  # one run of the class stays as a witness for others
         return np.where(alone, -1, out), 0, shown
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, before = None, None
         for batch in batches:
@@ -243,6 +245,7 @@ def repeated_spans(
     )
     w = sampling.window
 
+    @tidy
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, sampling.slice):
             take = cut(part["text"])
@@ -272,6 +275,7 @@ def repeated_spans(
         columns = list(zip(*rows, strict=True)) or [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], ["kid", "tag", "first", "end"])
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, members, rows = None, [], []
 
@@ -298,6 +302,7 @@ def repeated_spans(
     narrow = runs.where(~F.col("wide")).select("k", "kid", "place", "content", "witness")
     compared = narrow.repartition("k").sortWithinPartitions("k", "kid", "place").mapInArrow(compare, span_schema)
 
+    @tidy
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

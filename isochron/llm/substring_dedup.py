@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isochron.llm.common import hash_words, keyed, words
+from isochron.llm.common import hash_words, keyed, tidy, words
 from isochron.llm.repeats import GROUP, TAG, Sampling, merged, repeated_spans, slices
 
 WINDOW = 13
@@ -130,6 +130,7 @@ def without_earlier_passages(
     found = repeated_spans(given, word_numbers, sampling, True, resolve(sampling.window), word_cutter, group)
     spans = "array<struct<first: int, end: int>>"
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
         for part in slices(batches, sampling.slice):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from isochron.llm.common import NO_ID, gram_hashes, keyed
+from isochron.llm.common import NO_ID, gram_hashes, keyed, tidy
 from isochron.llm.repeats import GROUP, TAG, Sampling, merged, repeated_spans, slices
 
 WINDOW = 400
@@ -194,6 +194,7 @@ def without_repeated_bytes(
     found = repeated_bytes(given, sampling, group)
     spans = "array<struct<first: int, end: int>>"
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
         for part in slices(batches, sampling.slice):
@@ -245,6 +246,7 @@ def with_unique_texts(
     found = repeated_bytes(given.select("kid", "tag", "text"), sampling, group)
     others = [c for c in docs.columns if c != text_col]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, sampling.slice):
             texts = part["text"].cast(pa.binary()).to_pylist()

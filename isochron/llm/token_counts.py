@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isochron.llm.common import tidy
+
 NONE = np.int64(1) << np.int64(40)
 PLAIN = re.compile(r"[\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ]*")
 """Texts in which Python's classes agree with the tokenizer's, and which are in composed form."""
@@ -145,6 +147,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048, id_col="do
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = RankMerger(vocabulary)
         for batch in batches:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isochron.llm.common import NO_ID, shared_folder, stored
+from isochron.llm.common import NO_ID, shared_folder, stored, tidy
 
 CHUNK = 1 << 18
 ARCHIVE = 1 << 30
@@ -59,6 +59,7 @@ def record_chunks(pages: DataFrame, id_col="page_id", url_col="url", payload_col
         F.substring("payload", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("data"),
     )
 
+    @tidy
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         running = hashlib.sha1()
         for batch in batches:
@@ -163,6 +164,7 @@ def write_archives(
     )
     rows = kept.where(F.col("refers_no").isNull() | F.col("last")).drop("sha1")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, current = None, None
         names = ["record_no", "page_id", "url", "n_bytes", "digest", "refers_no"]
@@ -267,6 +269,7 @@ def read_archives(index: DataFrame, folder: str, with_data: bool = True, piece:
         columns = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], names=names)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pafs.FileSystem.from_uri(folder)
         rows, size = [], 0
