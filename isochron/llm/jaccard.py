@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from isochron.llm.common import NO_ID, as_long, gram_hashes, hash_words, keyed, mix, stored, tidy, words
 from isochron.llm.components import components
-from isochron.llm.repeats import TAG, slices
+from isochron.llm.repeats import slices
 
 SLICE = 1 << 21
 MEMBERS = 256
@@ -205,7 +205,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.nd
     return np.concatenate(rows), np.concatenate(names), own_parts
 
 
-LISTS = "list long, sid long, kid long, tag int, n long, parts long, p1 long, p2 long, p3 long, p4 long"
+LISTS = "list long, sid long, kid long, tag long, n long, parts long, p1 long, p2 long, p3 long, p4 long"
 PARITIES = ["p1", "p2", "p3", "p4"]
 FACTS = ["kid", "tag", "n", "parts", *PARITIES]
 
@@ -216,7 +216,6 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in LISTS.split(", ")]
-        kinds = [pa.int32() if x.split()[1] == "int" else pa.int64() for x in LISTS.split(", ")]
         for part in slices(batches, SLICE):
             h, bounds = shingle_sets(part["text"], scheme.words)
             sid = set_ids(h, bounds)
@@ -224,16 +223,16 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
             kid = part["kid"].to_numpy()
             tag = part["tag"].to_numpy()
             bits = parity(h, bounds)
-            anywhere = as_long(mix(kid.view(np.uint64) + tag.astype(np.uint64)))
+            anywhere = as_long(mix(kid.view(np.uint64) + tag.view(np.uint64)))
             _, one, of = np.unique(sid, return_index=True, return_inverse=True)  # equal sets of the slice are listed once
             listed, held = h_of(h, bounds, one)
             row, name, full = signatures(listed, held, scheme)
             facts = [anywhere, as_long(sid), kid, tag, size, full[of], *bits.T]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(facts, kinds, strict=True)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in facts], names=names)
             for at in range(0, len(row), 1 << 18):
                 own = slice(at, at + (1 << 18))
                 columns = [pa.array(as_long(name[own])), pa.array(as_long(sid[one][row[own]]))]
-                nulls = [pa.nulls(len(columns[0]), t) for t in kinds[2:]]
+                nulls = [pa.nulls(len(columns[0]), pa.int64()) for _ in names[2:]]
                 yield pa.RecordBatch.from_arrays([*columns, *nulls], names=names)
 
     return docs.select("text", "kid", "tag").mapInArrow(run, LISTS)
@@ -280,7 +279,7 @@ def lists_of_several(rows: DataFrame) -> DataFrame:
         more = np.append(same[1:], after is not None and after == name[-1])
         keep = (same | more) & ~again
         columns = [pa.array(name[keep]), pa.array(sid[keep])]
-        nulls = [pa.nulls(len(columns[0]), pa.int32() if n == "tag" else pa.int64()) for n in names[2:]]
+        nulls = [pa.nulls(len(columns[0]), pa.int64()) for _ in names[2:]]
         return pa.RecordBatch.from_arrays([*columns, *nulls], names=names)
 
     return rows.repartition("list").sortWithinPartitions("list", "sid").mapInArrow(run, LISTS)
@@ -397,11 +396,12 @@ def stars(member: DataFrame) -> DataFrame:
 
 
 def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id", text_col="text") -> DataFrame:
-    """``kid, tag, n, component`` of each row: its set's size, and the smallest id of the documents it is linked with.
+    """``kid, tag, n, component, node`` of each row: its set's size, and the smallest id of the documents it is linked with.
 
-    ``kid`` is the id, or ``NO_ID`` where it is null; ``tag`` tells texts with one id apart.
+    ``kid`` is the id, or ``NO_ID`` where it is null; ``tag`` tells texts with one id apart. ``node`` names the class of
+    linked documents: classes without an id, or with an id in common, have one ``component`` but are not linked.
     """
-    given = keyed(docs, id_col, text_col).withColumn("tag", F.col("khash").bitwiseAND(TAG).cast("int"))
+    given = keyed(docs, id_col, text_col).withColumnRenamed("khash", "tag")
     rows = stored(lists_of_several(sketch(given, scheme)), "lists")
     facts = rows.where(F.col("kid").isNotNull()).select("sid", *FACTS)
     entries = rows.where(F.col("kid").isNull()).select("list", "sid")
@@ -441,11 +441,11 @@ def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id"
     more = checked(given, facts, stored(with_facts(pairs, 1).select("centre", "sid"), "pairs"), scheme)
     whole = components(links.unionByName(more))
     placed = facts.join(whole.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
-        "kid", "tag", "n", "sid", F.coalesce("component", "sid").alias("component")
+        "kid", "tag", "n", F.coalesce("component", "sid").alias("node")
     )
-    least = placed.where("n > 0").groupBy("component").agg(F.min("kid").alias("least"))
-    return placed.join(least, "component", "left").select(
-        "kid", "tag", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("kid")).alias("component")
+    least = placed.where("n > 0").groupBy("node").agg(F.min("kid").alias("least"))
+    return placed.join(least, "node", "left").select(
+        "kid", "tag", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("kid")).alias("component"), "node"
     )
 
 
@@ -461,14 +461,14 @@ def one_of_each(docs: DataFrame, scheme: Scheme, id_col="doc_id", text_col="text
     """Rows of ``docs`` with all their columns, the one with the smallest id of each class of linked documents."""
     found = linked_documents(docs, scheme, id_col, text_col)
     alone = found.where("n = 0").select("kid", "tag")
-    kept = found.where("n > 0").groupBy("component").agg(F.min(F.struct("kid", "tag")).alias("doc"))
+    kept = found.where("n > 0").groupBy("node").agg(F.min(F.struct("kid", "tag")).alias("doc"))
     kept = kept.select("doc.kid", "doc.tag").unionByName(alone.distinct())
     several = found.where("n > 0").groupBy("kid", "tag").agg(F.count("*").alias("rows")).where("rows > 1")
     kept = kept.join(several, ["kid", "tag"], "left")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     named = docs.select(
         F.struct(*docs.columns).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("kid"),
-        F.xxhash64(text).bitwiseAND(TAG).cast("int").alias("tag"),
+        F.xxhash64(text).alias("tag"),
     )
     chosen = named.join(kept, ["kid", "tag"])
     single = chosen.where(F.col("rows").isNull())

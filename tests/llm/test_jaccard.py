@@ -90,6 +90,13 @@ def test_one_of_each(spark):
     assert found == sorted([(1, ""), (2, ""), (3, "a b"), (None, "zz"), (5, " \n"), (5, " \n"), (6, "x x")], key=str)
 
 
+def test_one_of_each_class_without_an_id_or_with_a_shared_one(spark):
+    rows = [(None, "one two three four"), (None, "five six seven"), (None, "five six seven"), (4, "eight nine"), (4, "ten")]
+    rows += [(None, f"text {i} of many without an id") for i in range(6000)]  # more than 24 bits tell apart
+    kept = one_of_each(frame(spark, rows), Scheme(80, 5))
+    assert rows_of(kept.select("doc_id", "text")) == sorted(set(rows), key=str)
+
+
 @pytest.mark.parametrize("least", [80, 90])
 def test_scheme(least):
     """Classes, light sizes and part counts hold for every pair of sizes that can link."""
