@@ -1,8 +1,8 @@
 """Document fingerprints by a homomorphic multiset hash of paragraphs.
 
 A paragraph (a line of the text) is hashed to a wide vector: ``DIGEST`` numbers modulo 2**64 drawn from its whole text,
-and ``SKETCH`` counts modulo 2**16, to which each of its runs of three words adds +1 or -1 at a hashed place. A
-document's fingerprint is the sum of its paragraphs' vectors. So it does not depend on their order, equal multisets of
+and ``SKETCH`` counts modulo 2**32, to which each of its runs of three words adds +1 or -1 at a hashed place; a text of
+2 GiB, the most a row holds, has fewer than 2**31 runs. A document's fingerprint is the sum of its paragraphs' vectors. So it does not depend on their order, equal multisets of
 paragraphs give equal fingerprints, and a paragraph is put in or taken out by adding or subtracting its vector.
 
 ``likeness`` of two fingerprints is the cosine of their counts, at least 0: about the share of three-word runs that the
@@ -64,12 +64,12 @@ def sketches(paragraphs: pa.Array, doc: np.ndarray, n: int) -> np.ndarray:
     sign = 1.0 - 2.0 * ((h >> np.uint64(40)) & np.uint64(1)).astype(np.float64)
     at = row * SKETCH + as_long(h & np.uint64(SKETCH - 1))
     counts = np.bincount(at, sign, n * SKETCH).reshape(n, SKETCH)
-    return counts.astype(np.int64).astype(np.uint16)  # modulo 2**16
+    return counts.astype(np.int64).astype(np.uint32)  # modulo 2**32
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Row by row, from 0 to 1."""
-    x, y = (v[1].view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[1].view(np.int32).astype(np.float64) for v in (a, b))
     size = np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
     cosine = np.divide((x * y).sum(axis=1), size, out=np.zeros(len(x)), where=size > 0)
     same = (a[0] == b[0]).all(axis=1) & (a[1] == b[1]).all(axis=1)
@@ -83,7 +83,7 @@ def texts_of(parts: tuple[np.ndarray, np.ndarray]) -> list[str]:
 
 def of_text(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(fingerprint)
-    return np.frombuffer(raw[: 8 * DIGEST], "<u8")[None], np.frombuffer(raw[8 * DIGEST :], "<u2")[None]
+    return np.frombuffer(raw[: 8 * DIGEST], "<u8")[None], np.frombuffer(raw[8 * DIGEST :], "<u4")[None]
 
 
 def changed(fingerprint: str, added: tuple[str, ...] = (), removed: tuple[str, ...] = ()) -> str:

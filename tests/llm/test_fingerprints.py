@@ -44,6 +44,16 @@ def test_whole_table(spark):
     assert all(0 <= x <= 1 for r in rows for x in (r.near_edited, r.near_next))
 
 
+def test_run_repeated_very_often(spark):
+    for n in (40_000, 100_000, 131_072):
+        one_run, half = (fp.vectors(["a b c\n" * m]) for m in (n, n // 2))
+        assert fp.likeness(one_run, half)[0] > 0.999
+        assert fp.likeness(one_run, fp.vectors(["a b c\n" * 30_000]))[0] > 0.999
+        assert abs(fp.of_text(fp.texts_of(one_run)[0])[1].view(np.int32)).max() == n
+    docs = spark.createDataFrame([(1, "a b c\n" * 40_000), (2, "z")], "doc_id long, text string")
+    assert fp.edited_likeness(docs).where("doc_id = 1").first().near_edited > 0.999
+
+
 def test_nulls_ties_repeats(spark):
     rows = [(None, "z z z"), (1, None), (3, "b" * 9), (3, "a c e"), (3, "a c e"), (7, "é" * 200_000)]
     docs = spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id long, text string, kid int, role int")
