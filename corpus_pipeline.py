@@ -59,7 +59,7 @@ def unique_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @with_code
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least_words=1)
 
 
 @with_code

@@ -1,10 +1,12 @@
 """Documents that hold benchmark items, also in changed form: CGK embeddings, bit-sampling LSH, exact edit distances.
 
-Items and documents are sequences of words (lower case, letters and digits only; other signs are dropped). An item of n
-words is in a document if a stretch of it is at most ``floor(rate * n)`` word edits away from the item.
+Items and documents are sequences of words (lower case, letters and digits only; other signs are dropped). In scripts
+that are written without spaces (Chinese, Japanese, Thai, ..) each letter with its marks is a word. An item of n words is
+in a document if a stretch of it is at most ``floor(rate * n)`` word edits away from the item.
 
 1. *Where to look.* An item cut into one piece more than the edits allowed keeps a piece whole, so a match contains one
-   of the pieces exactly. Each occurrence of a piece names the start of an item-sized window. This loses no match.
+   of the pieces exactly. Each occurrence of a piece names the start of an item-sized window. This loses no match. An
+   item that allows no edit is one piece, and needs no further step.
 2. *CGK.* A random walk turns a window into a string of three times its length, repeating or advancing by a bit drawn
    from (table, place, word). Windows that are few edits apart soon walk together again, so their strings agree in many
    places.
@@ -15,7 +17,8 @@ words is in a document if a stretch of it is at most ``floor(rate * n)`` word ed
 Nothing is shuffled. Items are collected in blocks of some ``BLOCK`` characters, whatever the size of the benchmark, and
 each block is held against all documents.
 
-Defined results: items with fewer than ``least_words`` words, or without text, match nothing; equal items (id and text)
+Defined results: items with fewer than ``least_words`` words (the registered query and the pipeline ask for 1, so that
+every item with a word counts), or without text, match nothing; equal items (id and text)
 count once; a null text holds nothing; rows that share an id are documents of their own; an empty table gives an empty
 one; other columns are ignored.
 """
@@ -23,6 +26,7 @@ one; other columns are ignored.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 
@@ -43,12 +47,26 @@ MEMO = 120_000
 STRETCH = 3
 MARKS = 20
 SIGNS = re.compile(r"[\W_]+")
+SCRIPTS = [  # written without spaces
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+    (0x3005, 0x3007), (0x3021, 0x3029), (0x3041, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+    (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F),
+    (0x20000, 0x3FFFF),
+]
+BLOCKS = "".join(f"{chr(a)}-{chr(b)}" for a, b in SCRIPTS)
+VOWELS = "".join(chr(c) for a, b in SCRIPTS if b < 0x20000 for c in range(a, b + 1) if unicodedata.category(chr(c))[0] == "M")
+UNSPACED = re.compile(f"[{BLOCKS}]")
+LETTER = re.compile(f"[{BLOCKS}][{VOWELS}]*|[^{BLOCKS}]+")
+SPLIT = 2
+"""In place of the hash of a word that holds several; hashes are odd."""
 
 
 class WordNames(dict):
     """Hash of the letters and digits of each word, 0 where it has none; the first ``MEMO`` words met are kept."""
 
     def __missing__(self, word: str) -> int:
+        if not word.isascii() and UNSPACED.search(word):
+            return SPLIT
         plain = SIGNS.sub("", word.lower())
         name = xxhash.xxh3_64_intdigest(plain) | 1 if plain else 0
         if len(self) < MEMO:
@@ -56,13 +74,47 @@ class WordNames(dict):
         return name
 
 
+class LetterNames(dict):
+    """Hash of each letter with its marks, or of each word between such letters."""
+
+    def __missing__(self, letter: str) -> int:
+        if not UNSPACED.match(letter):
+            return NAMES[letter]
+        name = xxhash.xxh3_64_intdigest(letter) | 1 if letter[0].isalnum() else 0
+        if len(self) < MEMO:
+            self[letter] = name
+        return name
+
+
 NAMES = WordNames()
+LETTERS = LetterNames()
+
+
+def split_words(distinct: list[str], hashes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the occurrences ``codes`` of words, of which some hold several, and where each occurrence's begin."""
+    split = np.flatnonzero(hashes == SPLIT).tolist()
+    held = [np.array([LETTERS[x] for x in LETTER.findall(distinct[k].lower())], np.uint64) for k in split]
+    size = np.ones(len(distinct), np.int64)
+    size[split] = [len(x) for x in held]
+    first = np.cumsum(size) - size
+    pool = np.repeat(hashes, size)
+    for k, x in zip(split, held, strict=True):
+        pool[first[k] : first[k] + len(x)] = x
+    many = size[codes]
+    bounds = np.concatenate([[0], np.cumsum(many)])
+    return pool[np.arange(bounds[-1]) + np.repeat(first[codes] - bounds[:-1], many)], bounds
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of each text, end to end, and where each text's begin."""
     bounds, codes, distinct = words(texts)
-    hashes = np.fromiter(map(NAMES.__getitem__, distinct.to_pylist()), np.uint64, len(distinct))[codes]
+    distinct = distinct.to_pylist()
+    hashes = np.fromiter(map(NAMES.__getitem__, distinct), np.uint64, len(distinct))
+    if (hashes == SPLIT).any():
+        hashes, begin = split_words(distinct, hashes, codes)
+        bounds = begin[bounds]
+    else:
+        hashes = hashes[codes]
     full = hashes != 0  # 0 stands for the end of a text
     return hashes[full], np.concatenate([[0], np.cumsum(full)])[bounds]
 
@@ -110,47 +162,71 @@ def nearest(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def occurrences(numbers: np.ndarray, bounds: np.ndarray, pieces: dict[int, tuple[np.ndarray, ...]]):
+    """``size, row, at, item, offset`` of the places in the rows where pieces of each size stand, in order of place."""
+    row_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    for size, (marked, name, item, offset) in pieces.items():
+        grams = gram_hashes(numbers, size)
+        at = np.flatnonzero(marked[(grams & np.uint64((1 << MARKS) - 1)).astype(np.int64)])
+        lo, hi = np.searchsorted(name, grams[at], "left"), np.searchsorted(name, grams[at], "right")
+        at, lo, many = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        piece = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        at = np.repeat(at, many)
+        row = row_of[at]
+        inside = at + size <= bounds[row + 1]
+        row, at, piece = row[inside], at[inside], piece[inside]
+        yield size, row, at, item[piece], offset[piece]
+
+
 class Items:
     """A block of items with their pieces and tables."""
 
     def __init__(self, rows: list[tuple[int, str]], rate: float, recall: float, least_words: int):
         rows = sorted(set(rows))
         hashes, bounds = word_hashes(pa.array([t for _, t in rows], pa.large_string()))
-        kept = [k for k in range(len(rows)) if bounds[k + 1] - bounds[k] >= least_words]
+        kept = [k for k in range(len(rows)) if bounds[k + 1] - bounds[k] >= max(least_words, 1)]
+        kept.sort(key=lambda k: int(rate * (bounds[k + 1] - bounds[k])) == 0)
         self.ids = [rows[k][0] for k in kept]
         self.words = [hashes[bounds[k] : bounds[k + 1]] for k in kept]
         self.edits = [int(rate * len(w)) for w in self.words]
         self.lengths = np.array([len(w) for w in self.words], np.int64)
-        pieces: dict[int, list[tuple[int, int, int]]] = {}
+        self.near = sum(d > 0 for d in self.edits)  # those after them match as they are or not at all
+        pieces: dict[bool, dict[int, list[tuple[int, int, int]]]] = {True: {}, False: {}}
         for i, (w, d) in enumerate(zip(self.words, self.edits, strict=True)):
             size = len(w) // (d + 1)
             grams = gram_hashes(w, size)
             for k in range(d + 1):
-                pieces.setdefault(size, []).append((int(grams[k * size]), i, k * size))
-        self.pieces = {}
-        for size, found in pieces.items():
-            found.sort()
-            name, item, offset = (np.array(x, t) for x, t in zip(zip(*found, strict=True), (np.uint64, np.int64, np.int64), strict=True))
-            marked = np.zeros(1 << MARKS, bool)
-            marked[(name & np.uint64((1 << MARKS) - 1)).astype(np.int64)] = True
-            self.pieces[size] = (marked, name, item, offset)
-        longest = int(self.lengths.max()) if self.words else 0
-        self.block = np.zeros((len(self.words), longest), np.uint64)
-        for i, w in enumerate(self.words):
+                pieces[d > 0].setdefault(size, []).append((int(grams[k * size]), i, k * size))
+        self.pieces, self.wholes = self.by_size(pieces[True]), self.by_size(pieces[False])
+        longest = int(self.lengths[: self.near].max()) if self.near else 0
+        self.block = np.zeros((self.near, longest), np.uint64)
+        for i, w in enumerate(self.words[: self.near]):
             self.block[i, : len(w)] = w
-        self.tables = self.enough(recall) if self.words else 0
+        self.tables = self.enough(recall) if self.near else 0
         self.listed = []
         for t in range(self.tables):
-            found = signatures(self.block, self.lengths, t)
+            found = signatures(self.block, self.lengths[: self.near], t)
             order = np.argsort(found)
             self.listed.append((found[order], order))
 
+    @staticmethod
+    def by_size(pieces: dict[int, list[tuple[int, int, int]]]) -> dict[int, tuple[np.ndarray, ...]]:
+        """Pieces in the order of their hashes, with marks of the hashes there are."""
+        sorted_pieces = {}
+        for size, found in pieces.items():
+            found.sort()
+            name, item, offset = (np.array(x, t) for x, t in zip(zip(*found, strict=True), (np.uint64, np.int64, np.int64), strict=True))
+            marked = np.zeros(1 << MARKS, bool)
+            marked[(name & np.uint64((1 << MARKS) - 1)).astype(np.int64)] = True
+            sorted_pieces[size] = (marked, name, item, offset)
+        return sorted_pieces
+
     def enough(self, recall: float, trials: int = 400, seed: int = 5) -> int:
         """Tables that find the wanted share of items with as many random edits as are allowed."""
         rng = np.random.default_rng(seed)
         missed = []
         for _ in range(trials):
-            i = int(rng.integers(len(self.words)))
+            i = int(rng.integers(self.near))
             copy = self.words[i].tolist()
             for _ in range(self.edits[i]):
                 at, kind = int(rng.integers(len(copy))), int(rng.integers(3))
@@ -171,26 +247,16 @@ class Items:
         for t in range(MOST_TABLES):
             if hit.mean() >= recall:
                 return t
-            same = signatures(windows, self.lengths[item], t) == signatures(self.block, self.lengths, t)[item]
+            same = signatures(windows, self.lengths[item], t) == signatures(self.block, self.lengths[: self.near], t)[item]
             hit[trial[same]] = True
         return MOST_TABLES
 
     def starts(self, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Distinct (row, window start, length) that a piece of an item names."""
-        found = []
-        row_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        for size, (marked, name, item, offset) in self.pieces.items():
-            grams = gram_hashes(numbers, size)
-            at = np.flatnonzero(marked[(grams & np.uint64((1 << MARKS) - 1)).astype(np.int64)])
-            lo, hi = np.searchsorted(name, grams[at], "left"), np.searchsorted(name, grams[at], "right")
-            at, lo, many = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-            piece = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            at = np.repeat(at, many)
-            row = row_of[at]
-            inside = at + size <= bounds[row + 1]
-            row, at, piece = row[inside], at[inside], piece[inside]
-            start = at - offset[piece]
-            found.append(np.stack([row, start, self.lengths[item[piece]]], axis=1))
+        found = [
+            np.stack([row, at - offset, self.lengths[item]], axis=1)
+            for _, row, at, item, offset in occurrences(numbers, bounds, self.pieces)
+        ]
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 3), np.int64)
 
     def cut(self, numbers, bounds, row, start, size) -> np.ndarray:
@@ -205,6 +271,10 @@ class Items:
     def matches(self, numbers: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, distance, first word, end) of items that the rows hold; the nearest place of each."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for size, row, at, item, _ in occurrences(numbers, bounds, self.wholes):
+            pairs, first = np.unique(np.stack([row, item], axis=1), axis=0, return_index=True)
+            start = at[first] - bounds[pairs[:, 0]]
+            best.update({(r, i): (0, a, a + size) for (r, i), a in zip(pairs.tolist(), start.tolist(), strict=True)})
         found = self.starts(numbers, bounds)
         for part in range(0, len(found), 4096):
             row, start, size = found[part : part + 4096].T

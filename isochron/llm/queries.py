@@ -90,7 +90,7 @@ FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id"""
 
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least_words=1)
 
 
 @query

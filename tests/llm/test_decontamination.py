@@ -5,7 +5,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from isochron.llm import decontamination as dc
+from isochron.llm.common import shared_folder
+from isochron.llm.queries import queries
 
 
 def plain(text):
@@ -95,6 +98,44 @@ def test_blocks_nulls_clashes(spark, monkeypatch):
     assert dc.contaminated(docs.limit(0), bench).count() == dc.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_short_items(spark):
+    items = [(1, "Yes."), (2, "alpha beta gamma"), (3, "red green blue white black grey"), (4, "--"), (5, "")]
+    docs = [(1, "oh, yes yes"), (2, "x ALPHA beta, gamma"), (3, "alpha beta delta gamma"), (4, "a red green blue wet black grey b")]
+    docs += [(5, "red blue green black white grey"), (6, "-- , yess"), (7, "alpha beta\ngamma alpha beta gamma yes")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(map(tuple, dc.contaminated(df, bench, least_words=1).collect()))
+    assert found == [(1, 1, 0, 1, 2), (2, 2, 0, 1, 4), (4, 3, 1, 1, 7), (7, 1, 0, 6, 7), (7, 2, 0, 0, 3)]
+    assert {(d, i): k for d, i, k, _, _ in found} == brute(docs, items[:3], least=1)
+    assert sorted(r.doc_id for r in dc.without_contaminated(df, bench, least_words=1).collect()) == [3, 5, 6]
+    table = {"benchmark": bench, "documents": df}
+    folder = dc_folder(spark, table)
+    assert sorted(map(tuple, queries["op4_benchmark_decontamination"](spark, folder).collect())) == found
+    assert sorted(r.doc_id for r in corpus_pipeline.decontaminated(spark, df, folder).collect()) == [3, 5, 6]
+
+
+def dc_folder(spark, tables):
+    folder = shared_folder(spark, "tables")
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_scripts_without_spaces(spark):
+    item = "请问下列哪一个城市是中华人民共和国的首都"
+    thai = "ประเทศไทยมีเมืองหลวงชื่อว่าอะไร"
+    items = [(1, item), (2, thai)]
+    docs = [(1, f"前言。{item},后面还有别的文字"), (2, f"เขาถามว่า{thai}ครับ"), (3, "前言" + item[:9] + "GPT" + item[10:] + "吗"), (4, item[10:] + item[:10])]
+    docs += [(5, "请 问 下列哪一个城市 是中华人民共和国 的首都"), (6, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.distance, r.first_word) for r in dc.contaminated(df, bench, least_words=1).collect()}
+    assert {k: v[0] for k, v in found.items()} == {(1, 1): 0, (2, 2): 0, (3, 1): 1, (5, 1): 0} and found[1, 1][1] == 2
+    assert dc.word_hashes(pa.array(["GPT模型 a", "b", "gpt 模 型"]))[1].tolist() == [0, 4, 5, 8]
+    split = dc.word_hashes(pa.array(["GPT模型", "gpt 模 型"]))[0].tolist()
+    assert split[:3] == split[3:]
+
+
 def test_embedding_keeps_near_windows_near():
     rng = np.random.default_rng(2)
     far, near = [], []
