@@ -19,7 +19,7 @@ each block is held against all documents.
 
 Defined results: items with fewer than ``least_words`` words (the registered query and the pipeline ask for 1, so that
 every item with a word counts), or without text, match nothing; equal items (id and text)
-count once; a null text holds nothing; rows that share an id are documents of their own; an empty table gives an empty
+count once; an item without an id counts, with a null ``item_id``, unless its text also stands under an id; a null text holds nothing; rows that share an id are documents of their own; an empty table gives an empty
 one; other columns are ignored.
 """
 
@@ -181,8 +181,8 @@ def occurrences(numbers: np.ndarray, bounds: np.ndarray, pieces: dict[int, tuple
 class Items:
     """A block of items with their pieces and tables."""
 
-    def __init__(self, rows: list[tuple[int, str]], rate: float, recall: float, least_words: int):
-        rows = sorted(set(rows))
+    def __init__(self, rows: list[tuple[int | None, str]], rate: float, recall: float, least_words: int):
+        rows = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         hashes, bounds = word_hashes(pa.array([t for _, t in rows], pa.large_string()))
         kept = [k for k in range(len(rows)) if bounds[k + 1] - bounds[k] >= max(least_words, 1)]
         kept.sort(key=lambda k: int(rate * (bounds[k + 1] - bounds[k])) == 0)
@@ -303,7 +303,10 @@ class Items:
 def item_blocks(benchmark: DataFrame, rate: float, recall: float, least_words: int, item_col: str, text_col: str):
     """The items in blocks of bounded size, each with its tables."""
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    items = items.where("id IS NOT NULL AND text IS NOT NULL")
+    items = items.where("text IS NOT NULL")
+    named = items.where("id IS NOT NULL").select("text").distinct()
+    unnamed = items.where("id IS NULL").distinct().join(named, "text", "left_anti")
+    items = items.where("id IS NOT NULL").unionByName(unnamed)
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = -(-int(size) // BLOCK) or 1
     for k in range(blocks):

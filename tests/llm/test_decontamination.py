@@ -114,6 +114,16 @@ def test_short_items(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.decontaminated(spark, df, folder).collect()) == [3, 5, 6]
 
 
+def test_items_without_an_id(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    other = "one two three four five six seven eight nine ten"
+    df = spark.createDataFrame([(1, f"x {item}"), (2, f"{other} x"), (3, "x")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (None, item), (None, other), (None, other), (None, None)], "item_id long, text string")
+    found = sorted(map(tuple, dc.contaminated(df, bench).collect()))
+    assert found == [(1, 7, 0, 1, 11), (2, None, 0, 0, 10)]
+    assert [r.doc_id for r in dc.without_contaminated(df, bench).collect()] == [3]
+
+
 def dc_folder(spark, tables):
     folder = shared_folder(spark, "tables")
     for name, df in tables.items():
