@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isochron.llm import decontamination, fingerprints, html_text, jaccard, language, substring_dedup, suffix_dedup, warc
+from isochron.llm import (
+    decontamination,
+    divergence,
+    fingerprints,
+    html_text,
+    jaccard,
+    language,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    warc,
+    whitening,
+)
 from isochron.llm.packing import pack
 from isochron.llm.token_counts import count_tokens
 
@@ -139,3 +151,42 @@ kept AS (SELECT words.doc_id, string_agg(x, ' ' ORDER BY words.p) AS t
 n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+oracles["op13_source_divergence_audit"] = """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+dense AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n FROM g JOIN kept ON g.lang = kept.lang
+          LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (SELECT lang, source, term, n, 1 + CAST((1000000000::HUGEINT * (n + 5))
+        // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS BIGINT) AS p FROM dense JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + CAST((1000000000::HUGEINT * (sum(n) + 5))
+        // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v)) AS BIGINT) AS q FROM dense JOIN v USING (lang) GROUP BY lang, term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT p.lang, p.source, 'term', p.term, CAST(p.p - q.q AS BIGINT) FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
+SELECT lang, source, part, item, value, rank FROM k WHERE part = 'pair' OR rank <= 50"""

@@ -15,7 +15,7 @@ def connection():
 
 def test_names():
     assert oracles.keys() <= queries.keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(oracles))
