@@ -41,8 +41,13 @@ def _exported(figures: DataFrame, out: str) -> DataFrame:
 
 
 def analysis(df: DataFrame, num_strata: int = 1, strata_width: int = 1, out: str | None = None) -> DataFrame:
+    """Statistics; with ``out`` they are upserted there, and those of this run appended to ``out/export``."""
     stats = describe_series(df, num_strata, strata_width)
-    return sinks.upsert_table(stats, out, ["series", "stratum"]) if out else stats
+    if not out:
+        return stats
+    stats = sinks.replace_table(stats, f"{out}/run")
+    _exported(stats, out)
+    return sinks.upsert_table(stats, out, ["series", "stratum"])
 
 
 def transform(df: DataFrame, lags: str | Sequence[int] = "1", centered: bool = False, out: str | None = None) -> Result:
