@@ -36,7 +36,7 @@ def year_spec(spec: int | str | None, column: Column) -> Column | None:
         return None
     if isinstance(spec, int):
         return column == spec
-    match = re.match(r"(<=|>=|<|>|=)\s*(\d{4})", spec)
+    match = re.fullmatch(r"(<=|>=|<|>|=)\s*(\d{4})\s*", spec)
     if not match:
         raise ValueError(f"malformed year filter: {spec!r}")
     year = int(match.group(2))

@@ -59,6 +59,13 @@ def reading_time(date_cell: Column, row_key: Column, fmt: str = DATETIME_FORMAT)
     )
 
 
+def shown_time(ts: Column, fmt: str = DATETIME_FORMAT) -> Column:
+    """The time as text. Formats but the usual one go through the session's time zone, which should be UTC then."""
+    if fmt == DATETIME_FORMAT:
+        return F.substring(ts.cast("string"), 1, 19)
+    return F.date_format(ts, fmt)
+
+
 def file_time(text: Column) -> Column:
     """Reading time from the date text of a file. Text of no known form is an error."""
     parsed = F.to_timestamp_ntz(text, F.lit(DATETIME_FORMAT))

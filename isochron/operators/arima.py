@@ -1,9 +1,13 @@
 """AR/MA prediction with given coefficients, after differencing and optional centring.
 
-The error term refers to its own past, e_t = u_t + sum_j theta_j * e_(t-1-j), which no window can
-say. It is linear, so it is computed block by block: the state left behind by a full block started
-from zero is a weighted sum (native aggregation); a small pass per series over those block states
-gives each block's starting state; then every block runs its own recursion from that state.
+The error term refers to its own past, e_t = u_t + sum_j theta_j * e_(t-1-j), which no window can say. Each row block runs
+the recursion by itself, from a state of zero:
+
+* Where errors die away, the block begins some rows earlier (``memory``): what came before them has then shrunk below
+  2**-80 of itself, far beyond the last digit. So it is one pass, like any other operator with a look-back.
+* Where they die away slowly or not at all, the zero-state errors are kept, and by superposition the state that a block
+  takes over from the one before adds a fixed weight of it to each row. The states come from the last errors of each
+  block in a small pass per series, the weights from the powers of the recursion.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from isochron.functions.values import as_float32
 from isochron.operators.differencing import add_levels, first_rows_skipped
 from isochron.operators.metrics import model_metrics
 from isochron.operators.rows import (
+    HALO_SHARE,
     ROWS_PER_BLOCK,
     block_size,
     in_row_block,
@@ -78,7 +83,7 @@ def _values_to_model(blocked: DataFrame, d: int, centered: bool, requantize: boo
         )
         rows = rows.join(spread_over_blocks(means, "last_block"), ["series", "row_block"])
         y = as_float32(y - F.col("mean")) if requantize else y - F.col("mean")
-    return rows.select("series", "ts", "rn", "n", "row_block", "is_copy", y.alias("y"))
+    return rows.select("series", "ts", "rn", "row_block", "is_copy", y.alias("y"))
 
 
 def _without_ar(rows: DataFrame, ar: list[float], c: float, first: int) -> DataFrame:
@@ -86,8 +91,7 @@ def _without_ar(rows: DataFrame, ar: list[float], c: float, first: int) -> DataF
     predicted = F.lit(float(c))
     for i, phi in enumerate(ar):
         predicted = predicted + F.coalesce(F.lag("y", i + 1).over(in_row_block()), F.lit(0.0)) * phi
-    u = F.when(F.col("rn") > first, F.col("y") - predicted)
-    return rows.withColumn("u", u).filter(~F.col("is_copy")).drop("is_copy")
+    return rows.withColumn("u", F.when(F.col("rn") > first, F.col("y") - predicted))
 
 
 def _companion(ma: list[float]) -> np.ndarray:
@@ -99,28 +103,39 @@ def _companion(ma: list[float]) -> np.ndarray:
     return step
 
 
-def _impulse_response(ma: list[float], length: int) -> np.ndarray:
-    """Effect of u_t on the state k steps later, for k = 0..length-1; one row per k."""
+FORGOTTEN = 2.0**-80
+
+
+def memory(ma: list[float], longest: int) -> int | None:
+    """Rows after which nothing of a state is left, or ``None`` if they are more than ``longest``."""
+    step, power = _companion(ma), np.eye(len(ma))
+    for rows in range(longest + 1):
+        if np.abs(power).max(initial=0.0) <= FORGOTTEN:
+            return rows
+        power = power @ step
+    return None
+
+
+def _state_weights(ma: list[float], length: int) -> np.ndarray:
+    """What each number of a block's starting state adds to its k-th error, for k = 0..length-1."""
     step = _companion(ma)
-    state = np.zeros(len(ma))
-    state[0] = 1.0
-    rows = np.empty((length, len(ma)))
-    for k in range(length):
-        rows[k] = state
-        state = step @ state
+    rows, power = np.empty((length, len(ma))), np.eye(len(ma))
+    with np.errstate(over="ignore", invalid="ignore"):
+        for k in range(length):
+            power = power @ step
+            rows[k] = power[0]
     return rows
 
 
 def _segmented_recursion(u: np.ndarray, carried: np.ndarray, position: np.ndarray, step: np.ndarray) -> np.ndarray:
-    """States of s_i = step @ s_(i-1) + (u_i, 0, ..) within runs; ``carried`` is added at each run's start.
+    """States of s_i = step @ s_(i-1) + (u_i, 0, ..) within runs; ``carried`` is the state before the first row.
 
     ``position`` is the index of a row in its run. Doubling: after round r every row holds the
     effect of the last 2^r rows, so the work is log2(run) array operations.
     """
     states = np.zeros((len(u), step.shape[0]))
     states[:, 0] = u
-    starts = position == 0
-    states[starts] += carried[starts] @ step.T
+    states[0] += step @ carried
     power, reach, longest = step, 1, int(position.max(initial=0))
     while reach <= longest:
         moved = states[:-reach] @ power.T
@@ -129,9 +144,13 @@ def _segmented_recursion(u: np.ndarray, carried: np.ndarray, position: np.ndarra
     return states
 
 
+ERRORS = "series string, ts timestamp_ntz, row_block long, rn long, is_copy boolean, actual double, error double"
+
+
 def _error_pass(ma: list[float]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Function for ``mapInArrow`` over rows sorted by (series, row_block, rn)."""
+    """Zero-state errors, for ``mapInArrow`` over rows sorted by (series, row_block, rn)."""
     step, order = _companion(ma), len(ma)
+    names = [c.split()[0] for c in ERRORS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_state, last_rn = np.zeros(order), None
@@ -144,20 +163,15 @@ def _error_pass(ma: list[float]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
             if not np.all(begins | follows):
                 raise ValueError("a row block reached the error pass incomplete or out of order")
             u = pc.fill_null(batch.column("u"), 0.0).to_numpy(zero_copy_only=False)
-            carried = np.column_stack(
-                [pc.fill_null(batch.column(f"carry_{j}"), 0.0).to_numpy(zero_copy_only=False) for j in range(order)]
-            )
-            if not begins[0]:  # the block began in an earlier batch
-                begins[0], carried[0] = True, last_state
+            carried = np.zeros(order) if begins[0] else last_state  # the block may have begun in an earlier batch
             index = np.arange(len(rn))
             position = index - np.maximum.accumulate(np.where(begins, index, 0))
             states = _segmented_recursion(u, carried, position, step)
             last_state, last_rn = states[-1].copy(), rn[-1]
             predicted = pc.is_valid(batch.column("u")).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("series"), batch.column("ts"), batch.column("y"), pa.array(states[:, 0], mask=~predicted)],
-                names=["series", "ts", "actual", "error"],
-            )
+            error = pa.array(states[:, 0], mask=~predicted)
+            kept = [batch.column(n) for n in names[:-2]]
+            yield pa.RecordBatch.from_arrays([*kept, batch.column("y"), error], names=names)
 
     return run
 
@@ -180,28 +194,52 @@ def _carry_pass(ma: list[float], size: int) -> Callable[[pd.DataFrame], pd.DataF
     return run
 
 
-def _start_states(rows: DataFrame, ma: list[float], size: int) -> DataFrame:
-    """Error state at the start of each row block but the first: ``series, row_block, carry_*``.
+def _last_errors(order: int, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The last ``order`` zero-state errors of full blocks, for ``mapInArrow``: they are the block's end state."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block, rn = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("row_block", "rn"))
+            back = (block + 1) * size - 1 - rn
+            own = batch.filter(pa.array(back < order))
+            error = pc.fill_null(own.column("error"), 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [own.column("series"), own.column("row_block"), pa.array(back[back < order]), error],
+                names=["series", "row_block", "back", "error"],
+            )
+
+    return run
+
+
+def _with_carried(zero: DataFrame, ma: list[float], size: int) -> DataFrame:
+    """Errors from zero-state errors: what the block before leaves behind is added, each row by its weight.
 
-    ``rows`` are the rows of blocks that have a successor, so with short series this is empty.
+    Both uses of the rows read one exchange, so that nothing before it runs twice: neither of them lets a filter or a
+    choice of columns pass below.
     """
     order = len(ma)
-    response = _impulse_response(ma, size)
-    weights = rows.sparkSession.createDataFrame(
-        pd.DataFrame({"steps_left": np.arange(size), **{f"w_{j}": response[:, j] for j in range(order)}})
-    )
-    weighed = rows.withColumn("steps_left", (F.col("row_block") + 1) * size - 1 - F.col("rn")).join(
-        F.broadcast(weights),  # one row per position in a block: its size is fixed
-        "steps_left",
-    )
-    ends = weighed.groupBy("series", "row_block").agg(
-        *[F.sum(F.coalesce("u", F.lit(0.0)) * F.col(f"w_{j}")).alias(f"end_{j}") for j in range(order)]
+    rows = zero.repartition("series", "row_block")
+    last = rows.mapInArrow(_last_errors(order, size), "series string, row_block long, back long, error double")
+    ends = last.groupBy("series", "row_block").agg(
+        *[F.max(F.when(F.col("back") == j, F.col("error"))).alias(f"end_{j}") for j in range(order)]
     )
-    # One row per block: a series of hourly rows over years 1 to 9999 has at most ~28,600 of them.
+    # One row per block: a series of hourly rows over years 1 to 9999 has at most ~28,600 of them. The last block of a
+    # series may be full, too; nothing meets the state it leaves.
+    full = ends.filter(F.col("end_0").isNotNull())
     carry_columns = ", ".join(f"carry_{j} double" for j in range(order))
-    return ends.groupBy("series").applyInPandas(
-        _carry_pass(ma, size), f"series string, row_block bigint, {carry_columns}"
+    starts = full.groupBy("series").applyInPandas(_carry_pass(ma, size), f"series string, row_block bigint, {carry_columns}")
+    weights = _state_weights(ma, size)
+    table = zero.sparkSession.createDataFrame(
+        pd.DataFrame({"k": np.arange(size), **{f"w_{j}": weights[:, j] for j in range(order)}})
     )
+    weighed = rows.withColumn("k", F.col("rn") - F.col("row_block") * size).join(
+        F.broadcast(table),  # one row per position in a block: its size is fixed
+        "k",
+    )
+    added = sum((F.col(f"w_{j}") * F.col(f"carry_{j}") for j in range(1, order)), F.col("w_0") * F.col("carry_0"))
+    whole = F.when(F.col("carry_0").isNull(), F.col("error")).otherwise(F.col("error") + added)
+    joined = weighed.join(starts, ["series", "row_block"], "left").filter(~F.col("is_copy"))
+    return joined.select("series", "ts", "actual", whole.alias("error"))
 
 
 def arima_errors(
@@ -222,27 +260,25 @@ def arima_errors(
     ar, ma = _checked(p, q)
     if d < 0:
         raise ValueError("d must not be negative")
-    halo = d + len(ar)
+    back = d + len(ar)
+    early = memory(ma, max(rows_per_block // HALO_SHARE - back, 0)) if ma else 0
+    halo = back + (early or 0)
     size = block_size(halo, rows_per_block)
     first = first_rows_skipped("step", d, d)
-    blocked = row_blocks(index_rows(df).select("series", "ts", "value", "rn", "n"), halo, rows_per_block)
-    values = _values_to_model(blocked, d, centered, requantize)
-    rows = _without_ar(values, ar, c, first)
+    blocked = row_blocks(index_rows(df).select("series", "ts", "value", "rn"), halo, rows_per_block)
+    rows = _without_ar(_values_to_model(blocked, d, centered, requantize), ar, c, first)
     if not ma:
-        return rows.select("series", "ts", F.col("y").alias("actual"), F.col("u").alias("error"))
-    followed = F.col("row_block") < F.floor((F.col("n") - 1) / size)
-    if centered:
-        continued = rows.filter(followed)
-    else:  # dropped before the windows, so that only long series are computed twice
-        continued = _without_ar(_values_to_model(blocked.filter(followed), d, False, requantize), ar, c, first)
-    starts = _start_states(continued, ma, size)
-    is_first = F.col("rn") == F.greatest(F.col("row_block") * size, F.lit(first))
-    return (
-        rows.join(starts, ["series", "row_block"], "left")
-        .select("*", is_first.alias("is_first"))
+        return rows.filter(~F.col("is_copy")).select("series", "ts", F.col("y").alias("actual"), F.col("u").alias("error"))
+    begin = F.greatest(F.col("row_block") * size - (early or 0), F.lit(first))
+    zero = (
+        rows.filter(F.col("rn") >= begin)
+        .select("*", (F.col("rn") == begin).alias("is_first"))
         .sortWithinPartitions("series", "row_block", "rn")
-        .mapInArrow(_error_pass(ma), "series string, ts timestamp_ntz, actual double, error double")
+        .mapInArrow(_error_pass(ma), ERRORS)
     )
+    if early is None:
+        return _with_carried(zero, ma, size)
+    return zero.filter(~F.col("is_copy")).select("series", "ts", "actual", "error")
 
 
 def arima(df: DataFrame, **model) -> DataFrame:

@@ -17,11 +17,11 @@ def checked_spec(spec: str) -> tuple[str, int]:
     return kind, n
 
 
-def first_rows_skipped(kind: str, n: int, level: int) -> int:
-    """Rows without a value at a level: the first reading (or first season) is never a subtrahend."""
+def first_rows_skipped(kind: str, n: int, level: int, skip_first: bool = True) -> int:
+    """Rows without a value at a level: with ``skip_first`` the first reading (or first season) is never a subtrahend."""
     if level == 0:
         return 0
-    return 2 * n if kind == "season" else level + 1
+    return n * (1 + skip_first) if kind == "season" else level + skip_first
 
 
 def add_levels(blocked: DataFrame, kind: str, n: int) -> DataFrame:
@@ -38,25 +38,39 @@ def add_levels(blocked: DataFrame, kind: str, n: int) -> DataFrame:
     return rows
 
 
-def level_columns(df: DataFrame, kind: str, n: int, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def level_columns(
+    df: DataFrame,
+    kind: str,
+    n: int,
+    rows_per_block: int = ROWS_PER_BLOCK,
+    counts: DataFrame | None = None,
+    skip_first: bool = True,
+) -> DataFrame:
     """``series, ts, level_0..``: one row per reading, a level being NULL on the rows it does not reach."""
-    rows = row_blocks(index_rows(df).select("series", "ts", "value", "rn"), n, rows_per_block)
+    rows = row_blocks(index_rows(df, counts=counts).select("series", "ts", "value", "rn"), n, rows_per_block)
     reached = [
-        F.when(F.col("rn") >= first_rows_skipped(kind, n, i), F.col(f"level_{i}")).alias(f"level_{i}")
+        F.when(F.col("rn") >= first_rows_skipped(kind, n, i, skip_first), F.col(f"level_{i}")).alias(f"level_{i}")
         for i in range((1 if kind == "season" else n) + 1)
     ]
     return add_levels(rows, kind, n).filter(~F.col("is_copy")).select("series", "ts", *reached)
 
 
-def difference(df: DataFrame, spec: str = "step,1", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def difference(
+    df: DataFrame,
+    spec: str = "step,1",
+    rows_per_block: int = ROWS_PER_BLOCK,
+    counts: DataFrame | None = None,
+    skip_first: bool = True,
+) -> DataFrame:
     """All levels of ``'step,N'`` (0..N) or ``'season,N'`` (0 and 1); empty or ``'step,0'`` passes through.
 
-    Output: ``series, ts, level, value``.
+    ``counts`` are those of the rows where they are stored. Without ``skip_first`` a level begins at the first row that
+    has something to be subtracted from it. Output: ``series, ts, level, value``.
     """
     kind, n = checked_spec(spec)
     if n == 0:
         return df.select("series", "ts", F.lit(0).alias("level"), "value")
-    levels = level_columns(df, kind, n, rows_per_block)
+    levels = level_columns(df, kind, n, rows_per_block, counts, skip_first)
     listed = [F.struct(F.lit(i).alias("level"), F.col(c).alias("value")) for i, c in enumerate(levels.columns[2:])]
     return levels.select("series", "ts", F.inline(F.array(*listed))).filter(F.col("value").isNotNull())
 

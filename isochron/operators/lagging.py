@@ -7,15 +7,7 @@ from pyspark.sql import functions as F
 
 from isochron.functions.specs import range_spec
 from isochron.functions.timekeys import hours_after
-from isochron.operators.rows import (
-    ROWS_PER_BLOCK,
-    block_size,
-    index_rows,
-    key_rows,
-    number_rows,
-    row_blocks,
-    series_blocks,
-)
+from isochron.operators.rows import ROWS_PER_BLOCK, block_size, index_rows
 
 
 def lag_list(lags: str | int | list[int]) -> list[int]:
@@ -31,21 +23,20 @@ def center(df: DataFrame) -> DataFrame:
     return index_rows(df).select("series", "ts", (F.col("value") - F.col("mean")).alias("value"))
 
 
-def _row_offsets(keyed: DataFrame, blocks: DataFrame, lags: list[int]) -> DataFrame:
-    """Per series, the row offset that stands for each lag: ``series, rows_<lag>..``.
+def _turns(lags: list[int]) -> tuple[Column, Column, Column]:
+    """Whole hours of the previous row and of this one since the series' first, and whether a lag begins between them.
 
-    A lag of h hours is a queue that starts to give values back once h hours have passed, so from
-    then on it trails by a constant number of rows: the rows before ``first_ts + h``. Only the blocks
-    that reach into the longest lag are looked at.
+    A lag of h hours is a queue that starts to give values back once h hours have passed, so from then on it trails by a
+    constant number of rows: the number of the first row that is h hours or more after the series' first one.
     """
-    reached = hours_after(F.col("first_ts"), max(lags))
-    near_start = blocks.filter(F.col("block_min_ts") < reached).select("series", "day_block", "first_ts")
-    early = keyed.select("series", "day_block", "ts").join(near_start, ["series", "day_block"])
-    counts = [F.count_if(F.col("ts") < hours_after(F.col("first_ts"), h)).alias(f"rows_{h}") for h in lags]
-    # With at most one row per hour an offset never exceeds its lag; the row blocks rely on it.
-    too_many = F.raise_error(F.concat(F.lit("more than one row per hour in series "), F.col("series")))
-    checked = [F.when(F.col(f"rows_{h}") <= h, F.col(f"rows_{h}")).otherwise(too_many).alias(f"rows_{h}") for h in lags]
-    return early.groupBy("series").agg(*counts).select("series", *checked)
+
+    def hours_in(ts: str) -> Column:
+        return F.floor(F.timestamp_diff("SECOND", F.col("first_ts"), F.col(ts)) / 3600).cast("int")
+
+    before, now = hours_in("prev_ts"), hours_in("ts")
+    asked = F.array(*map(F.lit, lags))
+    turning = (before < max(lags)) & F.exists(asked, lambda h: (h > before) & (h <= now))
+    return before, now, F.coalesce(turning, F.lit(False))
 
 
 def paired_lags(
@@ -56,38 +47,51 @@ def paired_lags(
     ``lag_0`` is the value itself and a partner is NULL where there is nothing to look back to. With
     ``centered`` all of them are less the mean of the series.
 
-    A row is copied, inside its row block, to the rows it is the past of; copies that meet on a row
-    are its partners. Only the halo of a block crosses the network. The offsets travel with the day
-    blocks, so no row is joined by series.
+    The row at which a lag begins carries the lag's number of rows; it goes to every row block of its series (a row for
+    each lag at most), and each row to its own block and, at the end of it, to the next. A block is gathered into one
+    sorted array, and partners are taken from it by place.
     """
     hours = [h for h in lag_list(lags) if h > 0]
-    keyed = key_rows(df)
-    blocks = series_blocks(keyed)
+    rows = index_rows(df)
     x: Column = F.col("value") - F.col("mean") if centered else F.col("value")
     if not hours:
-        return number_rows(keyed, blocks).select("series", "ts", "mean", x.alias("lag_0"))
-    rows = number_rows(keyed, blocks.join(_row_offsets(keyed, blocks, hours), "series"))
-    rows = rows.select("series", "ts", "mean", "rn", x.alias("x"), *[f"rows_{h}" for h in hours])
-    size = block_size(max(hours), rows_per_block)
-    places = F.array(
-        F.struct(F.lit(0).alias("lag"), F.col("rn").alias("place")),
-        *[F.struct(F.lit(h).alias("lag"), (F.col("rn") + F.col(f"rows_{h}")).alias("place")) for h in hours],
-    )
-    placed = (
-        row_blocks(rows, max(hours), rows_per_block)
-        .repartition("series", "row_block")  # now, so that the copies need no shuffle to meet
-        .select("series", "ts", "mean", "x", "row_block", F.inline(places))
-        .filter(F.floor(F.col("place") / size) == F.col("row_block"))
+        return rows.select("series", "ts", "mean", x.alias("lag_0"))
+    halo = max(hours)
+    size = block_size(halo, rows_per_block)
+    before, now, turning = _turns(hours)
+    home, last = F.floor(F.col("rn") / size), F.floor((F.col("n") - 1) / size)
+    reach = F.least(F.floor((F.col("rn") + halo) / size), last)
+    rows = rows.select(
+        "series", "mean", home.alias("home"), reach.alias("reach"), last.alias("last"), turning.alias("turning"),
+        F.struct(F.col("rn"), F.col("ts"), x.alias("x")).alias("own"),
+        F.struct(before.alias("before"), now.alias("now"), F.col("rn")).alias("turn"),
+    )
+    first, end = F.when(F.col("turning"), 0).otherwise(F.col("home")), F.when(F.col("turning"), F.col("last")).otherwise(F.col("reach"))
+    placed = rows.withColumn("row_block", F.explode(F.sequence(first, end)))
+    in_reach = F.col("row_block").between(F.col("home"), F.col("reach"))
+    blocks = placed.groupBy("series", "row_block").agg(
+        F.array_sort(F.collect_list(F.when(in_reach, F.col("own")))).alias("held"),
+        F.collect_list(F.when(F.col("turning"), F.col("turn"))).alias("turns"),
+        F.max("mean").alias("mean"),
     )
-    own = F.col("lag") == 0
-    partners = [F.max(F.when(F.col("lag") == h, F.col("x"))).alias(f"lag_{h}") for h in hours]
-    met = placed.groupBy("series", "row_block", "place").agg(
-        F.max(F.when(own, F.col("ts"))).alias("ts"),
-        F.max(F.when(own, F.col("mean"))).alias("mean"),
-        F.max(F.when(own, F.col("x"))).alias("lag_0"),
-        *partners,
-    )
-    return met.filter(F.col("ts").isNotNull()).drop("row_block", "place")
+    # With at most one row per hour an offset never exceeds its lag; the halo relies on it.
+    too_many = F.raise_error(F.concat(F.lit("more than one row per hour in series "), F.col("series"))).cast("bigint")
+
+    def offset(h: int) -> Column:
+        here = F.filter("turns", lambda t: (t["before"] < h) & (t["now"] >= h))
+        rows = F.get(here, F.lit(0))["rn"]
+        return F.when(rows <= h, rows).when(rows.isNotNull(), too_many).alias(f"rows_{h}")
+
+    blocks = blocks.select("series", "row_block", "mean", "held", *map(offset, hours))
+
+    def partners(row: Column) -> Column:
+        place = row["rn"] - F.get("held", F.lit(0))["rn"]
+        past = [F.get("held", (place - F.col(f"rows_{h}")).cast("int"))["x"].alias(f"lag_{h}") for h in hours]
+        return F.struct(row["ts"].alias("ts"), row["x"].alias("lag_0"), *past)
+
+    own = F.filter("held", lambda row: row["rn"] >= F.col("row_block") * size)
+    met = blocks.select("series", "mean", F.inline(F.transform(own, partners)))
+    return met.select("series", "ts", "mean", "lag_0", *[f"lag_{h}" for h in hours])
 
 
 def _lags_of(pairs: DataFrame) -> list[int]:
@@ -101,10 +105,38 @@ def lag_rows(pairs: DataFrame) -> DataFrame:
 
 
 def lag_series(df: DataFrame, lags: str | int | list[int] = 1, centered: bool = False) -> DataFrame:
-    """Value ``lag`` hours earlier, for lag 0 and those asked for (see ``_row_offsets`` for gaps)."""
+    """Value ``lag`` hours earlier, for lag 0 and those asked for (see ``_turns`` for gaps)."""
     return lag_rows(paired_lags(df, lags, centered))
 
 
+def exact_lags(df: DataFrame, lags: str | int | list[int] = 1) -> DataFrame:
+    """Value exactly ``lag`` hours earlier, for lag 0 and those asked for; nothing where that hour has no reading.
+
+    Each row goes to the hours it is the past of, and meets the rows there in one shuffle on series and hour.
+    """
+    hours = lag_list(lags)
+    places = F.array(*[F.struct(F.lit(h).alias("lag"), hours_after(F.col("ts"), h).alias("place")) for h in hours])
+    met = df.select("series", "value", F.inline(places)).groupBy("series", F.col("place").alias("ts")).agg(
+        *[F.max(F.when(F.col("lag") == h, F.col("value"))).alias(f"lag_{h}") for h in hours],
+        F.bool_or(F.col("lag") == 0).alias("read"),
+    )
+    return lag_rows(met.filter("read").drop("read"))
+
+
+def textbook_autocovariance(df: DataFrame, lags: str | int | list[int] = 1) -> DataFrame:
+    """``series, lag, autocovariance``: the mean product of centred values, nothing being subtracted after that."""
+    pairs = paired_lags(df, lags, centered=True)
+    hours = _lags_of(pairs)
+    sums = pairs.groupBy("series").agg(
+        *[F.sum(F.col("lag_0") * F.col(f"lag_{h}")).alias(f"product_{h}") for h in hours], F.count(F.lit(1)).alias("n")
+    )
+    per_lag = F.array(
+        *[F.struct(F.lit(h).alias("lag"), F.coalesce(f"product_{h}", F.lit(0.0)).alias("product")) for h in hours]
+    )
+    listed = sums.select("series", "n", F.inline(per_lag))
+    return listed.select("series", "lag", (F.col("product") / F.col("n")).alias("autocovariance"))
+
+
 def correlation(pairs: DataFrame, centered: bool = False) -> DataFrame:
     """Output: ``series, lag, autocorrelation`` and, if centred, ``autocovariance``.
 

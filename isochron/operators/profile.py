@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isochron.functions.values import DECIMAL_MEASURES, WHOLE_MEASURES
-from isochron.operators.gaps import gap_report
+from isochron.operators.gaps import gap_report, line_gaps
 
 # Texts that count as a missing cell.
 NA_TEXTS = (
@@ -88,24 +88,32 @@ def profile_stations(cells: DataFrame) -> DataFrame:
 
 
 def station_gaps(cells: DataFrame) -> DataFrame:
-    """Gaps per station file: ``station, file_type, missing_ts, next_ts``."""
-    times = cells.select("station", "file_type", "ts").distinct()
-    name = F.concat("file_type", F.col("station").cast("string"))
-    gaps = gap_report(times.select(name.alias("series"), "ts", F.lit(0.0).alias("value")))
-    return gaps.select(
+    """Gaps per station file: ``station, file_type, line_no, missing_ts, next_ts``.
+
+    A gap is a line whose time is not one hour after that of the line before, so a repeated or an earlier hour is one,
+    too. Cells without line numbers are compared in the order of time, each time once, and there is no ``line_no``.
+    """
+    name = F.concat("file_type", F.col("station").cast("string")).alias("series")
+    facts = [
         F.regexp_extract("series", r"(\d+)$", 1).cast("int").alias("station"),
         F.regexp_extract("series", r"^([A-Za-z]+)", 1).alias("file_type"),
-        "missing_ts",
-        "next_ts",
-    )
+    ]
+    if "line_no" not in cells.columns:
+        times = cells.select("station", "file_type", "ts").distinct()
+        gaps = gap_report(times.select(name, "ts", F.lit(0.0).alias("value")))
+        return gaps.select(*facts, "missing_ts", "next_ts")
+    lines = cells.filter(F.col("position") == 1).select(name, F.col("line_no").alias("rn"), "ts")  # each line has one such cell
+    return line_gaps(lines).select(*facts, F.col("rn").alias("line_no"), "missing_ts", "next_ts")
 
 
 def profile_rows(profile: DataFrame, gaps: DataFrame, stations: DataFrame) -> DataFrame:
-    """Profile in the layout of its file: station name added, gaps as one text per station file.
+    """Profile in the layout of its file: station name added, gaps as one text per station file, in its line order.
 
     The text grows with the gaps of one file; use :func:`station_gaps` where they are many.
     """
-    texts = F.transform(F.array_sort(F.collect_list("missing_ts")), lambda t: F.substring(t.cast("string"), 1, 19))
+    place = [c for c in ("line_no", "missing_ts") if c in gaps.columns]
+    ordered = F.array_sort(F.collect_list(F.struct(*place)))
+    texts = F.transform(ordered, lambda gap: F.substring(gap["missing_ts"].cast("string"), 1, 19))
     missing = gaps.groupBy(F.col("station").alias("station_id"), F.col("file_type").alias("type")).agg(
         F.array_join(texts, GAP_SEPARATOR).alias("missing_lines")
     )
@@ -139,6 +147,11 @@ def coverage_summary(profile: DataFrame) -> DataFrame:
     )
 
 
+def station_ids(profile: DataFrame) -> DataFrame:
+    """Rows ``type, station_id``: the stations that have a file of a type."""
+    return profile.select("type", "station_id").distinct()
+
+
 def column_holders(profile: DataFrame) -> DataFrame:
     """Rows ``type, column, station_id``: which station has which column."""
     return profile.select("type", F.explode(F.split("columns", COLUMN_SEPARATOR)).alias("column"), "station_id").distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from isochron.functions.timekeys import hour_floor, reading_time
+from isochron.functions.timekeys import DATETIME_FORMAT, hour_floor, reading_time
 from isochron.functions.values import analytic_value, as_float32, decode_cell
 from isochron.operators.filters import columns_matching
 
@@ -26,11 +26,13 @@ def wide_to_series(
     regexes: str | Sequence[str] = ".*",
     type_rules: list[tuple[str, str]] | None = None,
     on_bad: str = "zero",
+    fmt: str = DATETIME_FORMAT,
 ) -> DataFrame:
     """Canonical frame of a stored wide table.
 
-    Numeric columns are taken as they are, others as text. The reading time is the ``date`` cell, else the row key. Empty cells are dropped; cells of a
-    series no type rule matches are dropped; bad text follows ``on_bad``.
+    Numeric columns are taken as they are, others as text. The reading time is the ``date`` cell, written as ``fmt``
+    says, else the row key. Empty cells are dropped; cells of a series no type rule matches are dropped; bad text follows
+    ``on_bad``.
     """
     names = set(wide.columns)
     date_cell = F.col("date").cast("string") if "date" in names else F.lit(None).cast("string")
@@ -38,7 +40,7 @@ def wide_to_series(
         key = F.col("key") if "key" in names else F.lit(None).cast("string")
         if "key" in names:
             wide = wide.filter(~F.col("key").startswith("#"))
-        wide = wide.withColumn("ts", reading_time(date_cell, key))
+        wide = wide.withColumn("ts", reading_time(date_cell, key, fmt))
     chosen = columns_matching(wide.columns, regexes, never=("date", "key", "ts"))
     if not chosen:
         raise ValueError(f"no column matches {regexes!r}")

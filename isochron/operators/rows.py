@@ -8,7 +8,8 @@ of it, however much of the data one series owns:
   frame has one row per series and hour, so a block holds at most
   ``24 * DAYS_PER_BLOCK`` rows. Rows are numbered inside a block; the start of
   each block comes from a prefix sum over the block counts, a table with at most
-  ~21,500 rows per series (years 1 to 9999).
+  ~21,500 rows per series (years 1 to 9999). Stored readings have such counts by
+  month (``sources.tables.read_counts``); given these, rows are not counted anew.
 * *Row blocks* (``row_block``): exactly ``size`` consecutive rows. A look-back of
   ``halo`` rows is served by copying the last ``halo`` rows of a block into the
   next one, so a window inside the block sees what it would see in the series.
@@ -39,20 +40,32 @@ def key_rows(df: DataFrame, days_per_block: int | None = None) -> DataFrame:
     return df.select("series", "ts", "value", _day_block(F.col("ts"), days).alias("day_block"))
 
 
-def series_blocks(keyed: DataFrame) -> DataFrame:
-    """One row per (series, day block): its first row number and the series-wide totals."""
-    blocks = keyed.groupBy("series", "day_block").agg(
+def key_rows_by_month(df: DataFrame) -> DataFrame:
+    return df.select("series", "ts", "value", month_number(F.col("ts")).alias("day_block"))
+
+
+def month_number(ts: Column) -> Column:
+    return (F.year(ts) * 12 + F.month(ts)).cast("bigint")
+
+
+def count_blocks(keyed: DataFrame) -> DataFrame:
+    """Rows, bounds and sum of each (series, day block)."""
+    return keyed.groupBy("series", "day_block").agg(
         F.count(F.lit(1)).alias("block_rows"),
         F.min("ts").alias("block_min_ts"),
         F.max("ts").alias("block_max_ts"),
         F.sum("value").alias("block_sum"),
     )
+
+
+def series_blocks(counted: DataFrame) -> DataFrame:
+    """One row per (series, day block) of :func:`count_blocks`: its first row number and the series-wide totals."""
     whole = Window.partitionBy("series")
     earlier = whole.orderBy("day_block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.select(
+    return counted.select(
         "series",
         "day_block",
-        "block_min_ts",
+        "block_rows",
         F.coalesce(F.sum("block_rows").over(earlier), F.lit(0)).alias("block_start"),
         F.max("block_max_ts").over(earlier).alias("prior_ts"),
         F.sum("block_rows").over(whole).alias("n"),
@@ -61,33 +74,51 @@ def series_blocks(keyed: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(keyed: DataFrame, blocks: DataFrame) -> DataFrame:
+def number_rows(keyed: DataFrame, blocks: DataFrame, stored: bool = False) -> DataFrame:
     """Row number and time of the previous row for each row, with all columns of its block.
 
-    Two rows of one series and hour are an error: their order, and so every result, would be arbitrary.
+    Two rows of one series and hour are an error: their order, and so every result, would be arbitrary. With ``stored``
+    counts it is one, too, if a block has not as many rows as they say.
     """
     twice = F.raise_error(F.concat(F.lit("more than one row per hour in series "), F.col("series")))
     once = lambda c: F.when(F.col("block_prev_ts") == F.col("ts"), twice).otherwise(c)
-    in_block = Window.partitionBy("series", "day_block").orderBy("ts")
-    numbered = keyed.withColumn("block_pos", F.row_number().over(in_block) - 1).withColumn(
-        "block_prev_ts", F.lag("ts").over(in_block)
+    block = Window.partitionBy("series", "day_block")
+    numbered = keyed.withColumn("block_pos", F.row_number().over(block.orderBy("ts")) - 1).withColumn(
+        "block_prev_ts", F.lag("ts").over(block.orderBy("ts"))
     )
+    place = F.col("block_start") + F.col("block_pos")
+    if stored:
+        numbered = numbered.withColumn("found", F.count(F.lit(1)).over(block))
+        stale = F.raise_error(F.concat(F.lit("stored counts do not fit the rows of series "), F.col("series")))
+        place = F.when(F.col("found").eqNullSafe(F.col("block_rows")), place).otherwise(stale)
     return (
-        numbered.join(blocks, ["series", "day_block"])
-        .withColumn("rn", once(F.col("block_start") + F.col("block_pos")))
+        numbered.join(blocks, ["series", "day_block"], "left" if stored else "inner")
+        .withColumn("rn", once(place))
         .withColumn("prev_ts", once(F.coalesce("block_prev_ts", "prior_ts")))
-        .drop("block_pos", "block_prev_ts", "block_start", "prior_ts", "block_min_ts", "day_block")
+        .drop("block_pos", "block_prev_ts", "block_start", "block_rows", "found", "prior_ts", "day_block")
     )
 
 
-def index_rows(df: DataFrame, days_per_block: int | None = None) -> DataFrame:
+def index_rows(df: DataFrame, days_per_block: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Add the 0-based row number in time order and per-series facts to each row.
 
     Output: ``series, ts, value, rn, prev_ts, n, first_ts, mean``. Columns nobody reads are pruned
-    by Catalyst, so asking for ``rn`` alone costs no sum or mean.
+    by Catalyst, so asking for ``rn`` alone costs no sum or mean. With the ``counts`` of these rows by month, which a
+    readings table keeps, the rows are read once; else once more, to be counted.
     """
+    if counts is not None:
+        return number_rows(key_rows_by_month(df), series_blocks(counts), stored=True)
     keyed = key_rows(df, days_per_block)
-    return number_rows(keyed, series_blocks(keyed))
+    return number_rows(keyed, series_blocks(count_blocks(keyed)))
+
+
+def leading_rows(df: DataFrame, limit: int, counts: DataFrame | None = None) -> DataFrame:
+    """The first ``limit`` rows of each series in time order; only blocks that hold some of them are sorted."""
+    keyed = key_rows(df) if counts is None else key_rows_by_month(df)
+    blocks = series_blocks(count_blocks(keyed) if counts is None else counts).filter(F.col("block_start") < limit)
+    needed = keyed.join(blocks.select("series", "day_block", "block_start"), ["series", "day_block"])
+    place = F.row_number().over(Window.partitionBy("series", "day_block").orderBy("ts"))
+    return needed.withColumn("rn", F.col("block_start") + place - 1).filter(F.col("rn") < limit).select("series", "ts", "value")
 
 
 def block_size(halo: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:

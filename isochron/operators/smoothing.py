@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isochron.functions.specs import range_spec
+from isochron.functions.timekeys import DATETIME_FORMAT, shown_time
 from isochron.operators.metrics import error_sums, model_figures, model_metrics
 from isochron.operators.rows import ROWS_PER_BLOCK, in_row_block, index_rows, row_blocks
 
@@ -45,25 +46,32 @@ def _sizes(windows: str | int | list[int]) -> list[int]:
     return sizes
 
 
-def moving_averages(df: DataFrame, sizes: list[int], rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def moving_averages(
+    df: DataFrame, sizes: list[int], rows_per_block: int = ROWS_PER_BLOCK, counts: DataFrame | None = None
+) -> DataFrame:
     """``series, ts, value, ma_<size>..``: one row per reading; all sizes share one shuffle and one sort."""
-    rows = row_blocks(index_rows(df).select("series", "ts", "value", "rn"), max(sizes) - 1, rows_per_block)
+    rows = row_blocks(index_rows(df, counts=counts).select("series", "ts", "value", "rn"), max(sizes) - 1, rows_per_block)
     so_far = in_row_block().rowsBetween(Window.unboundedPreceding, 0)
     rows = _doubled(rows.withColumn("readings", F.count("value").over(so_far)), max(sizes))
     averaged = rows.select("*", *[_moving_average(n).alias(f"ma_{n}") for n in sizes])
     return averaged.filter(~F.col("is_copy")).select("series", "ts", "value", *[f"ma_{n}" for n in sizes])
 
 
-def sma(df: DataFrame, windows: str | int | list[int] = 5, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def sma(
+    df: DataFrame,
+    windows: str | int | list[int] = 5,
+    rows_per_block: int = ROWS_PER_BLOCK,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Moving average over the last ``n`` rows (fewer during warm-up) for every window size asked for.
 
-    Output: ``series, ts, window_size, actual, moving_avg, error, sq_error``.
+    ``counts`` are those of the rows where they are stored; see :func:`isochron.operators.rows.index_rows`. Output: ``series, ts, window_size, actual, moving_avg, error, sq_error``.
     """
     sizes = _sizes(windows)
     per_size = [F.struct(F.lit(n).alias("window_size"), F.col(f"ma_{n}").alias("moving_avg")) for n in sizes]
     error = F.col("value") - F.col("moving_avg")
     return (
-        moving_averages(df, sizes, rows_per_block)
+        moving_averages(df, sizes, rows_per_block, counts)
         .select("series", "ts", "value", F.inline(F.array(*per_size)))
         .select(
             "series",
@@ -102,11 +110,10 @@ def _named_size() -> Column:
     return F.concat(F.lit("windowSize="), F.col("window_size"))
 
 
-def sma_text(points: DataFrame) -> DataFrame:
-    """Text line per point: ``name<TAB>time: actual: .. moving avg: .. error .. sq error ..``."""
+def sma_text(points: DataFrame, fmt: str = DATETIME_FORMAT) -> DataFrame:
+    """Text line per point: ``name<TAB>time: actual: .. moving avg: .. error .. sq error ..``, the time as ``fmt`` says."""
     # Fixed value: the line format.
     line = "%s\t%s: actual: %5.2f  moving avg: %5.2f  error %5.2f  sq error %5.2f"
-    shown_time = F.substring(F.col("ts").cast("string"), 1, 19)
     return points.select(
-        F.format_string(line, "series", shown_time, "actual", "moving_avg", "error", "sq_error").alias("value")
+        F.format_string(line, "series", shown_time(F.col("ts"), fmt), "actual", "moving_avg", "error", "sq_error").alias("value")
     )

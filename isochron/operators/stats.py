@@ -37,19 +37,21 @@ def series_stats(df: DataFrame) -> DataFrame:
     return df.groupBy("series").agg(*stat_aggregates())
 
 
-def with_stratum(df: DataFrame, num_strata: int, strata_width: int) -> DataFrame:
-    """Stratum of a row: ``floor(row number / width) mod num_strata``."""
+def with_stratum(df: DataFrame, num_strata: int, strata_width: int, counts: DataFrame | None = None) -> DataFrame:
+    """Stratum of a row: ``floor(row number / width) mod num_strata``; ``counts`` are those of the rows where stored."""
     if num_strata < 1 or strata_width < 1:
         raise ValueError("num_strata and strata_width must be at least 1")
     stratum = F.pmod(F.floor(F.col("rn") / strata_width), F.lit(num_strata)).cast("int")
-    return index_rows(df).select("series", "ts", "value", stratum.alias("stratum"))
+    return index_rows(df, counts=counts).select("series", "ts", "value", stratum.alias("stratum"))
 
 
-def describe_series(df: DataFrame, num_strata: int = 1, strata_width: int = 1) -> DataFrame:
+def describe_series(
+    df: DataFrame, num_strata: int = 1, strata_width: int = 1, counts: DataFrame | None = None
+) -> DataFrame:
     """Statistics per series (``stratum`` NULL) and, for more than one stratum, per (series, stratum)."""
     if num_strata <= 1:
         return series_stats(df).withColumn("stratum", F.lit(None).cast("int"))
-    strata = with_stratum(df, num_strata, strata_width)
+    strata = with_stratum(df, num_strata, strata_width, counts)
     return strata.groupingSets([["series"], ["series", "stratum"]], "series", "stratum").agg(*stat_aggregates())
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isochron.functions.timekeys import hour_floor, hour_key, ntz_literal
 from isochron.functions.values import as_float32
-from isochron.operators.rows import index_rows
+from isochron.operators.rows import count_blocks, key_rows_by_month, leading_rows
 
 
 def to_series(df: DataFrame, series: Column, ts: Column, value: Column, scale: int | None) -> DataFrame:
@@ -116,6 +116,33 @@ def with_key(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn("key", hour_key(F.col(ts)))
 
 
-def first_rows(df: DataFrame, limit: int) -> DataFrame:
+def first_rows(df: DataFrame, limit: int, counts: DataFrame | None = None) -> DataFrame:
     """The first ``limit`` rows of each series in time order (a cap per series, not on the whole)."""
-    return index_rows(df).filter(F.col("rn") < limit).select("series", "ts", "value")
+    return leading_rows(df, limit, counts)
+
+
+COUNTS_SCHEMA = "series string, block_rows long, block_min_ts timestamp_ntz, block_max_ts timestamp_ntz, block_sum double, month string"
+
+
+def counts_path(path: str) -> str:
+    """Where a readings table keeps its counts; Spark passes over folders that begin so when it reads the table."""
+    return f"{path.rstrip('/')}/_counts"
+
+
+def read_counts(spark: SparkSession, path: str, start: str | None = None, stop: str | None = None) -> DataFrame:
+    """Counts by series and month of what :func:`read_series` gives for the same range, for the operators' ``counts``.
+
+    They are stored with the readings. Only months that the range cuts into are counted anew.
+    """
+    stored = spark.read.schema(COUNTS_SCHEMA).parquet(counts_path(path))
+    year, month = (F.split_part("month", F.lit("-"), F.lit(i)).cast("bigint") for i in (1, 2))
+    cut = sorted({bound[:7] for bound in (start, stop) if bound})
+    if start:
+        stored = stored.filter(F.col("month") > start[:7])
+    if stop:
+        stored = stored.filter(F.col("month") < stop[:7])
+    whole = stored.select("series", (year * 12 + month).alias("day_block"), "block_rows", "block_min_ts", "block_max_ts", "block_sum")
+    if not cut:
+        return whole
+    edges = time_range(spark.read.parquet(path).filter(F.col("month").isin(cut)), start, stop)
+    return whole.unionByName(count_blocks(key_rows_by_month(edges)))

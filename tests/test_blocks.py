@@ -1,5 +1,6 @@
 """Operators over many small blocks give what a sequential pass over the series gives."""
 
+import math
 import random
 from collections import defaultdict
 
@@ -9,7 +10,7 @@ from conftest import hour
 from pyspark.sql import functions as F
 
 from isochron.operators import rows
-from isochron.operators.arima import arima, arima_errors, arima_metrics, coefficients
+from isochron.operators.arima import arima, arima_errors, arima_metrics, coefficients, memory
 from isochron.operators.differencing import difference
 from isochron.operators.gaps import gap_report
 from isochron.operators.lagging import correlation, lag_rows, paired_lags
@@ -200,6 +201,34 @@ def test_arima(df, model, block):
         assert got[name] == pytest.approx(wanted[name], rel=1e-7, abs=1e-7)
 
 
+LONG = [(h + h // 700, math.sin(h / 9) * 10 + h % 7) for h in range(2500)]
+
+
+@pytest.mark.parametrize("q", ["0.5", "0.4,-0.3", "0.9", "0.999", "1.0", "-0.97"])
+def test_states_are_handed_on(spark, frame, q):
+    """Blocks that warm up on the rows before them, and blocks that take over a state, give what one block gives."""
+    model = {"p": "0.5,0.2", "q": q, "d": 1}
+    forgets = memory(coefficients(q), 1024 // 4 - 3)
+    assert (forgets is not None) == (q in ("0.5", "0.4,-0.3"))
+    df = frame({"a": LONG, "b": LONG[:1024], "c": LONG[:1026], "d": LONG[:3]})
+    got = {(r["series"], r["ts"]): r["error"] for r in arima(df, rows_per_block=1024, **model).collect()}
+    for name, n in (("a", 2500), ("b", 1024), ("c", 1026), ("d", 3)):
+        skipped, y = modelled([v for _, v in LONG[:n]], model)
+        wanted = folds.arma_errors(y, [0.5, 0.2], coefficients(q))
+        own = [got.pop((name, hour(LONG[t + skipped][0])), None) for t in range(len(y))]
+        assert own[:1] == wanted[:1] and own[1:] == pytest.approx(wanted[1:], rel=1e-9, abs=1e-9)
+    assert not got
+
+
+def test_levels_run_once_where_states_are_handed_on(spark, frame):
+    """Both uses of the zero-state errors read one exchange."""
+    df = arima_errors(frame({"a": LONG}), q="0.999", rows_per_block=1024)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert "ReusedExchange" in final or final.count("MapInArrow") <= 3
+
+
 @pytest.mark.parametrize("block", [9, 4096])
 def test_centred_arima(df, block):
     model = {"p": "0.9,0.1", "q": "0.5", "d": 1}
