@@ -18,8 +18,9 @@ from isochron.operators.profile import (
     profile_rows,
     profile_stations,
     station_gaps,
+    station_ids,
 )
-from isochron.sources.station_files import file_lines, line_cells, list_files, open_files, preferred_files
+from isochron.sources.station_files import file_lines, line_cells, list_files, preferred_files
 from isochron.sources.tables import date_range, latest_per_hour
 
 
@@ -32,11 +33,14 @@ class StationProfile(NamedTuple):
 
 
 def station_cells(
-    spark: SparkSession, folder: str, stations: DataFrame, max_rows: int | None = None
+    spark: SparkSession, folders: str | Sequence[str], stations: DataFrame, max_rows: int | None = None
 ) -> DataFrame:
-    """Cells of the chosen stations' files. Files of other stations are not opened."""
-    files = list_files(spark, folder).join(stations.select("station"), "station", "left_semi")
-    return line_cells(file_lines(open_files(preferred_files(files)), max_rows=max_rows))
+    """Cells of the chosen stations' files; of several ``folders``, a station's file is taken from the first that has one.
+
+    Files of other stations are not opened.
+    """
+    files = list_files(spark, folders).join(stations.select("station"), "station", "left_semi")
+    return line_cells(file_lines(preferred_files(files), max_rows=max_rows))
 
 
 def load_readings(
@@ -74,5 +78,7 @@ def profile(cells: DataFrame, stations: DataFrame, out: str | None = None) -> St
     )
     if out:
         sinks.append_profile_csv(found.profile, f"{out}/profile")
-        sinks.write_summary(found.coverage, found.availability, found.partial_holders, f"{out}/summary")
+        sinks.write_summary(
+            found.coverage, found.availability, found.partial_holders, station_ids(files), f"{out}/summary"
+        )
     return found

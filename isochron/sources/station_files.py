@@ -1,6 +1,7 @@
 """Zipped readings files: ``hly<station>.zip`` or ``dly<station>.zip``, each holding one CSV.
 
-Python only unzips and finds the header. Lines are split and typed by Spark.
+Files are listed by name, at any number of locations, and chosen on names alone. Each chosen file is then opened by the
+task that reads it. Python only unzips and finds the header; lines are split and typed by Spark.
 """
 
 from __future__ import annotations
@@ -9,8 +10,12 @@ import io
 import re
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from typing import BinaryIO
 
 import pandas as pd
+import pyarrow.fs as pafs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +33,8 @@ HOURLY_COLUMNS = (
 DAILY_COLUMNS = ("date", "irain", "rain")
 HOURLY_SKIP = 23
 DAILY_SKIP = 9
+
+# Measures of the standard layout in which a blank cell reads as 0.
 BLANK_IS_ZERO = ("vappr", "rhum", "wddir")
 
 CHUNK = 1 << 20
@@ -44,8 +51,8 @@ def _is_preamble(line: str) -> bool:
 def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None, chunk: int) -> Callable:
     """``mapInPandas`` function: header and text of each zip, cut at line ends into chunks of some ``chunk`` letters."""
 
-    def chunks_of(content: bytes, name: str, file_type: str) -> Iterator[tuple[str, int, str]]:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(f"{name}.csv") as stream:
+    def chunks_of(packed: BinaryIO, name: str, file_type: str) -> Iterator[tuple[str, int, str]]:
+        with zipfile.ZipFile(packed) as archive, archive.open(f"{name}.csv") as stream:
             text = io.TextIOWrapper(stream, encoding="utf-8")
             if known_header is not None:
                 skip, header = known_header[file_type]
@@ -68,43 +75,84 @@ def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
             for file in files.itertuples(index=False):
-                for part in chunks_of(file.content, f"{file.file_type}{file.station}", file.file_type):
-                    out = (file.path, file.station, file.file_type, *part)
-                    yield pd.DataFrame([out], columns=[c.split()[0] for c in _CHUNK_SCHEMA.split(", ")])
+                packed = io.BytesIO(file.content) if hasattr(file, "content") else opened(file.path)
+                with packed:
+                    for part in chunks_of(packed, f"{file.file_type}{file.station}", file.file_type):
+                        out = (file.path, file.station, file.file_type, *part)
+                        yield pd.DataFrame([out], columns=[c.split()[0] for c in _CHUNK_SCHEMA.split(", ")])
 
     return run
 
 
+def opened(path: str) -> BinaryIO:
+    """A file by its full path, on any file system that Arrow knows (local, HDFS, object stores), for random access."""
+    system, name = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return system.open_input_file(name)
+
+
 def with_file_facts(files: DataFrame) -> DataFrame:
-    """Add ``file_type`` and ``station``, read off the ``<type><station>.zip`` path."""
-    name = F.regexp_extract("path", r"([A-Za-z]+\d+)\.zip$", 1)
-    return (
-        files.withColumn("file_type", F.regexp_extract(name, r"^([A-Za-z]+)", 1))
-        .withColumn("station", F.regexp_extract(name, r"(\d+)$", 1).try_cast("int"))
-        .filter(F.col("station").isNotNull() & F.col("file_type").isin(*FILE_TYPES))
-    )
+    """Add ``file_type`` and ``station``, read off the ``<type><station>.zip`` path; both null for other names."""
+    name = F.regexp_extract("path", r"(?:^|/)([A-Za-z]+\d+)\.zip$", 1)
+    station = F.regexp_extract(name, r"(\d+)$", 1).try_cast("int")
+    kind = F.regexp_extract(name, r"^([A-Za-z]+)", 1)
+    known = station.isNotNull() & kind.isin(*FILE_TYPES)
+    return files.withColumns({"file_type": F.when(known, kind), "station": F.when(known, station)})
 
 
 def preferred_files(files: DataFrame) -> DataFrame:
-    """Of each station's files, those of the type it has that comes first in ``FILE_TYPES``.
+    """The one file of each station: at the first location that has any, of the type that comes first in ``FILE_TYPES``.
 
-    The choice is made on names alone; file contents are read for the chosen ones only.
+    The choice is made on names alone; file contents are read for the chosen ones only. Of two files of one station,
+    type and location the one whose path sorts first is taken.
     """
     rank = F.array_position(F.array(*map(F.lit, FILE_TYPES)), F.col("file_type"))
-    best = files.groupBy("station").agg(F.min_by("file_type", rank).alias("file_type"))
-    return files.join(best, ["station", "file_type"], "left_semi")
-
+    location = F.col("location") if "location" in files.columns else F.lit(0)
+    order = [location.alias("location"), rank.alias("rank"), *(F.col(c) for c in ("path",) if c in files.columns)]
+    others = [c for c in files.columns if c not in ("station", "path")]
+    best = files.groupBy("station").agg(F.min(F.struct(*order, F.struct(*others).alias("file"))).alias("best"))
+    names = {"station": F.col("station"), "path": F.col("best.path") if "path" in files.columns else None}
+    return best.select(*(names.get(c, F.col(f"best.file.{c}")).alias(c) for c in files.columns))
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Zipped readings files of a folder (or glob) by name, not opened: ``path, file_type, station``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
-    return with_file_facts(files.select("path"))
 
+def list_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
+    """Zipped readings files by name, not opened: ``path, file_type, station, location``.
 
-def open_files(files: DataFrame) -> DataFrame:
-    """Listed files with their ``content``. Only these are read, and no content is shuffled.
-
-    The paths pass through the driver, which keeps the listing of every file read anyway.
+    ``folders`` are folders or globs in order of preference; ``location`` numbers them from 0. One that does not exist
+    has no files, as long as any of them exists. Files of other names are left out; see :func:`unknown_files`.
+    """
+    return _listed(spark, folders).filter(F.col("station").isNotNull())
+
+
+def unknown_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
+    """Zips that are no readings files by their name: ``path, location, reason``."""
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    numbered = name.rlike(rf"^(?:{'|'.join(FILE_TYPES)})\d+\.zip$")
+    reason = F.when(numbered, "station number is too large").otherwise("neither a type nor a station in the name")
+    return _listed(spark, folders).filter(F.col("station").isNull()).select("path", "location", reason.alias("reason"))
+
+
+def _listed(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
+    found, absent = [], None
+    for location, folder in enumerate([folders] if isinstance(folders, str) else folders):
+        try:
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            absent = missing
+            continue
+        found.append(files.select("path", F.lit(location).alias("location")))
+    if not found:
+        raise absent or ValueError("no folder given")
+    listed = with_file_facts(reduce(DataFrame.unionByName, found))
+    return listed.select("path", "file_type", "station", "location")
+
+
+def contents(files: DataFrame) -> DataFrame:
+    """Listed files with their ``content``, for file systems that only Spark can read.
+
+    The paths pass through the driver, which keeps the listing of every file that Spark reads anyway. Elsewhere give the
+    listed files to :func:`file_lines` as they are: each task then opens its own.
     """
     spark = files.sparkSession
     paths = [row.path for row in files.select("path").collect()]
@@ -120,13 +168,18 @@ def file_lines(
 
     The header is the first line that is not preamble (empty, starting in upper case, or a
     ``name: - meaning`` legend line), however far down it stands; a file without one is an error. With
-    ``fixed_layout`` the number of lines to skip and the columns are those of the standard files. Python unzips and looks
-    for the header; chunks are split into lines by Spark.
+    ``fixed_layout`` the number of lines to skip and the columns are those of the standard files. Files without a
+    ``content`` are opened by path, spread over tasks by it. Python unzips and looks for the header; chunks are split into
+    lines by Spark.
     """
     known = None
     if fixed_layout:
         known = {"hly": (HOURLY_SKIP, ",".join(HOURLY_COLUMNS)), "dly": (DAILY_SKIP, ",".join(DAILY_COLUMNS))}
-    chunks = files.select("path", "station", "file_type", "content").mapInPandas(_unzip(known, max_rows, chunk), _CHUNK_SCHEMA)
+    if "content" in files.columns:
+        given = files.select("path", "station", "file_type", "content")
+    else:
+        given = files.select("path", "station", "file_type").repartition("path")
+    chunks = given.mapInPandas(_unzip(known, max_rows, chunk), _CHUNK_SCHEMA)
     lines = F.transform(F.split("chunk", "\n"), lambda line: F.trim(line, F.lit(_BLANKS)))
     numbered = chunks.select("*", F.posexplode(F.filter(lines, lambda line: line != "")).alias("nth", "line"))
     line_no = F.col("first_line") + F.col("nth")

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from isochron.functions.specs import year_spec
 
-# The columns of the station file, in order, and the year that stands for "still open".
+# The columns of the station file, in order, the year that stands for "still open", and the title by
+# which the header line is known.
 STATION_SCHEMA = (
     "county STRING, station INT, name STRING, height DOUBLE, easting DOUBLE, northing DOUBLE, "
     "latitude DOUBLE, longitude DOUBLE, open_year INT, close_year INT"
 )
 NOT_CLOSED = 9999
+STATION_TITLE = "Station Number"
 
 
 class Correction(NamedTuple):
@@ -40,16 +42,49 @@ def corrected(stations: DataFrame, corrections: Sequence[Correction] = KNOWN_COR
     return out.withColumn("name", F.translate("name", ",", ""))
 
 
+class CheckedStations(NamedTuple):
+    """Stations, and what was wrong with the file: ``file, line, column, reason``, one row for each fault."""
+
+    stations: DataFrame
+    faults: DataFrame
+
+
 def read_stations(spark: SparkSession, path: str, corrections: Sequence[Correction] = KNOWN_CORRECTIONS) -> DataFrame:
-    """Read the station file: a title row, a header row, one row per station.
+    """Read the station file: a title row, a header row, one row per station; see :func:`read_stations_checked`."""
+    return read_stations_checked(spark, path, corrections).stations
+
+
+def read_stations_checked(
+    spark: SparkSession, path: str, corrections: Sequence[Correction] = KNOWN_CORRECTIONS
+) -> CheckedStations:
+    """Stations of the file, and its faults.
 
-    Title and header are the lines whose station number is not a number.
+    The title is the line without a separator, the header that with the title of the station column. A row without a
+    usable station number is left out, other cells that are no numbers read as missing; both are faults, and so is a row
+    that has not as many cells as there are columns.
     """
-    as_text = ", ".join(f"{c.split()[0]} STRING" for c in STATION_SCHEMA.split(", "))
-    cells = spark.read.text(path).select(F.from_csv("value", as_text).alias("row")).select("row.*")
-    typed = [F.trim(F.col(c.split()[0])).try_cast(c.split()[1]).alias(c.split()[0]) for c in STATION_SCHEMA.split(", ")]
-    rows = cells.filter(F.trim("station").rlike(r"^\d+$")).select(*typed)
-    return corrected(rows, corrections)
+    columns = [tuple(c.split()) for c in STATION_SCHEMA.split(", ")]
+    as_text = ", ".join(f"{name} STRING" for name, _ in columns)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = lines.filter((F.trim("value") != "") & F.col("value").contains(","))
+    cells = lines.select("file", "value", F.from_csv("value", as_text).alias("row"))
+    rows = cells.select("file", "value", "row.*").filter(~F.trim("station").eqNullSafe(STATION_TITLE))
+    parsed = {name: F.trim(name).try_cast(kind) for name, kind in columns}
+    parsed["station"] = F.when(F.trim("station").rlike(r"^\d+$"), parsed["station"])
+    faults = []
+    for name, kind in columns:
+        if kind != "STRING":
+            given = F.coalesce(F.trim(name), F.lit(""))
+            broken = parsed[name].isNull() & ((given != "") | F.lit(name == "station"))
+            whole = F.when(given.rlike(r"^\d+$"), "number too large").otherwise(F.when(given == "", "missing").otherwise("not a number"))
+            faults.append(F.when(broken, F.struct(F.lit(name).alias("column"), whole.alias("reason"))))
+    length = F.size(F.split("value", ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1))
+    uneven = F.when(length < len(columns), "too few cells").when(length > len(columns), "too many cells")
+    faults.append(F.when(uneven.isNotNull(), F.struct(F.lit("").alias("column"), uneven.alias("reason"))))
+    listed = F.filter(F.array(*faults), lambda fault: fault.isNotNull())
+    found = rows.select("file", F.col("value").alias("line"), F.inline(listed))
+    usable = rows.filter(parsed["station"].isNotNull())
+    return CheckedStations(corrected(usable.select(*[c.alias(name) for name, c in parsed.items()]), corrections), found)
 
 
 def choose_stations(

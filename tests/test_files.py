@@ -5,9 +5,11 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from isochron.operators.gaps import line_gaps, missing_hours
+from isochron.operators.profile import station_gaps
 from isochron.plans.stations import load_readings, profile, station_cells
-from isochron.sources.station_files import file_lines, fixed_rows, line_cells, list_files, open_files, preferred_files
-from isochron.sources.stations import choose_stations, read_stations
+from isochron.sources.station_files import contents, file_lines, fixed_rows, line_cells, list_files, preferred_files, unknown_files
+from isochron.sources.stations import choose_stations, read_stations, read_stations_checked
 
 STATION_TEXT = """Station details: extracted 2020
 County,Station Number,name,Height (m),Easting,Northing,Latitude,Longitude,Open Year,Close Year
@@ -119,7 +121,7 @@ def test_load(cells):
 
 
 def test_row_cap(spark, folder):
-    files = open_files(preferred_files(list_files(spark, str(folder))))
+    files = contents(preferred_files(list_files(spark, str(folder))))
     assert file_lines(files, max_rows=1).groupBy("station").count().agg(F.max("count")).first()[0] == 1
 
 
@@ -128,7 +130,7 @@ def test_fixed_layout(spark, tmp_path):
     columns = "date," + ",".join(f"c{i}" for i in range(20))
     line = "2020-01-01 05:00:00,0,1.5,0,9.5,0,8.5,7.5,10.1,80,1010.5,0,5,0,270,2,11,0.5,30000,999,4"
     put(tmp_path, "hly8", "Legend\n" * 23 + columns + "\n" + line + "\n")
-    lines = file_lines(open_files(list_files(spark, str(tmp_path))), fixed_layout=True)
+    lines = file_lines(contents(list_files(spark, str(tmp_path))), fixed_layout=True)
     found = line_cells(lines).collect()
     raw = {r["series"]: r["raw"] for r in found if r["line_no"] == 0}
     assert raw["rain_7"] == "2.5" and raw["irain_7"] == "0"
@@ -141,7 +143,7 @@ def test_fixed_layout(spark, tmp_path):
 
 def test_header_below_a_long_legend(spark, tmp_path):
     put(tmp_path, "hly5", "Legend\n" * 150 + "date,rain\n2020-01-01 00:00:00,1\n\n 2020-01-01 01:00:00,2")
-    lines = file_lines(open_files(list_files(spark, str(tmp_path)))).collect()
+    lines = file_lines(contents(list_files(spark, str(tmp_path)))).collect()
     assert [(r["header"], r["line_no"], r["line"]) for r in lines] == [
         ("date,rain", 0, "2020-01-01 00:00:00,1"), ("date,rain", 1, "2020-01-01 01:00:00,2")
     ]
@@ -149,24 +151,24 @@ def test_header_below_a_long_legend(spark, tmp_path):
 
 def test_cells_beyond_the_header_are_an_error(spark, tmp_path):
     put(tmp_path, "hly5", "date,rain\n2020-01-01 00:00:00,1,\n")
-    files = open_files(list_files(spark, str(tmp_path)))
+    files = contents(list_files(spark, str(tmp_path)))
     assert [r["raw"] for r in line_cells(file_lines(files)).collect()] == ["1"]
     put(tmp_path, "hly6", "date,rain\n2020-01-01 00:00:00,1,2\n")
     with pytest.raises(Exception, match="more cells than the header has"):
-        line_cells(file_lines(open_files(list_files(spark, str(tmp_path))))).collect()
+        line_cells(file_lines(contents(list_files(spark, str(tmp_path))))).collect()
 
 
 def test_no_header_is_an_error(spark, tmp_path):
     put(tmp_path, "hly5", "Legend\n" * 150)
     with pytest.raises(Exception, match="hly5.zip has no header line"):
-        file_lines(open_files(list_files(spark, str(tmp_path)))).collect()
+        file_lines(contents(list_files(spark, str(tmp_path)))).collect()
 
 
 def test_chunks_are_cut_at_line_ends(spark, tmp_path):
     rows = [f"2020-01-{d:02d} 00:00:00,{d}" for d in range(1, 29)]
     put(tmp_path, "hly5", "Legend\ndate,rain\r\n" + "\r\n\r\n".join(rows))
     for cap in (None, 5):
-        found = file_lines(open_files(list_files(spark, str(tmp_path))), max_rows=cap, chunk=7).orderBy("line_no").collect()
+        found = file_lines(contents(list_files(spark, str(tmp_path))), max_rows=cap, chunk=7).orderBy("line_no").collect()
         assert [(r["line_no"], r["line"]) for r in found] == list(enumerate(rows[:cap]))
 
 
@@ -176,6 +178,74 @@ def test_files_of_other_stations_stay_closed(spark, folder, stations, tmp_path):
     assert station_cells(spark, str(tmp_path), stations).select("station").distinct().count() == 1
 
 
+def test_locations(spark, folder, stations, tmp_path):
+    """The first location that has any file of a station counts, whatever its type; one that is not there has none."""
+    near = tmp_path / "near"
+    near.mkdir()
+    put(near, "dly3904", DAILY.replace("1.5", "9.5"))
+    put(near, "hly42", HOURLY)
+    chosen = preferred_files(list_files(spark, [str(tmp_path / "absent"), str(near), str(folder)])).collect()
+    assert {(r["station"], r["file_type"], r["location"]) for r in chosen} == {(3904, "dly", 1), (42, "hly", 1), (575, "dly", 2)}
+    assert all(r["path"].endswith(f"{r['file_type']}{r['station']}.zip") for r in chosen)
+    cells = station_cells(spark, [str(near), str(folder)], stations)
+    assert {(r["series"], r["raw"]) for r in cells.filter("measure = 'rain' AND line_no = 0").collect()} == {
+        ("rain_3904", "9.5"), ("rain_575", "1.5"),
+    }
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        list_files(spark, [str(tmp_path / "absent")])
+
+
+def test_names_that_are_no_readings_files(spark, tmp_path):
+    for name in ("hly1", "xyz1", "hly99999999999", "readme", "hly1x"):
+        put(tmp_path, name, "date,rain\n")
+    found = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in unknown_files(spark, str(tmp_path)).collect()}
+    assert found == {
+        "xyz1.zip": "neither a type nor a station in the name", "readme.zip": "neither a type nor a station in the name",
+        "hly1x.zip": "neither a type nor a station in the name", "hly99999999999.zip": "station number is too large",
+    }
+    assert [r["station"] for r in list_files(spark, str(tmp_path)).collect()] == [1]
+
+
+def test_faults_of_the_station_file(spark, tmp_path):
+    broken = """Cork,39x4,BAD NUMBER,1,2,3,4,5,1867,
+Cork,,NO NUMBER,1,2,3,4,5,1867,
+Cork,-5,NEGATIVE,1,2,3,4,5,1867,
+Cork,7,HIGH,tall,2,3,4,5,18.67,
+Cork,8,"A, B",1,2,3,4,5,1867,1990,more
+Cork,9,SHORT,1
+
+"""
+    (tmp_path / "stations.csv").write_text(STATION_TEXT + broken)
+    found = read_stations_checked(spark, str(tmp_path / "stations.csv"))
+    rows = {r["station"]: r for r in found.stations.collect()}
+    assert set(rows) == {3904, 4000, 575, 99, 7, 8, 9}
+    assert rows[7]["height"] is None and rows[8]["name"] == "A B" and rows[9]["close_year"] == 9999
+    faults = {(r["line"].split(",")[2], r["column"], r["reason"]) for r in found.faults.collect()}
+    assert faults == {
+        ("BAD NUMBER", "station", "not a number"), ("NO NUMBER", "station", "missing"), ("NEGATIVE", "station", "not a number"),
+        ("HIGH", "height", "not a number"), ("HIGH", "open_year", "not a number"), ('"A', "", "too many cells"), ("SHORT", "", "too few cells"),
+    }
+
+
+def test_gaps_in_the_order_of_lines(spark, tmp_path):
+    hours = [0, 1, 1, 3, 2, 4, 5, 30, 6]
+    stamps = [f"2020-01-{1 + h // 24:02d} {h % 24:02d}:00:00" for h in hours]
+    put(tmp_path, "hly5", "date,ind,rain\n" + "".join(f"{s},0,1\n" for s in stamps))
+    cells = station_cells(spark, str(tmp_path), spark.createDataFrame([(5,)], "station int"))
+    gaps = sorted((r["line_no"], str(r["missing_ts"])[5:16], str(r["next_ts"])[5:16]) for r in station_gaps(cells).collect())
+    at = lambda h: f"01-{1 + h // 24:02d} {h % 24:02d}:00"
+    assert gaps == [(i, at(a + 1), at(b)) for i, (a, b) in enumerate(zip(hours, hours[1:]), 1) if b != a + 1]
+    named = station_gaps(cells).select(F.lit("hly5").alias("series"), "missing_ts", "next_ts")
+    assert {str(r["ts"])[5:16] for r in missing_hours(named).collect()} == {at(2), *map(at, range(6, 30))}
+
+
+def test_long_files_are_compared_block_by_block(spark):
+    lines = spark.range(20_000).selectExpr(
+        "'a' AS series", "id AS rn", "TIMESTAMP_NTZ '2020-01-01 00:00:00' + make_dt_interval(0, CAST(id + id div 3072 AS INT), 0, 0) AS ts"
+    )
+    assert sorted(r["rn"] for r in line_gaps(lines).collect()) == [3072 * k for k in range(1, 7)]
+
+
 def test_profile(spark, cells, stations):
     result = profile(cells, stations)
     rows = {r["station_id"]: r for r in result.profile.collect()}
@@ -184,7 +254,7 @@ def test_profile(spark, cells, stations):
     assert first["columns"] == "date;ind_rain;rain;ind_temp;temp;w"
     assert first["col_na_count"] == "date=0;ind_rain_3904=0;rain_3904=0;ind_temp_3904=1;temp_3904=0;w_3904=0"
     assert first["col_null_count"] == first["col_na_count"]
-    assert first["missing_lines"] == "2020-01-01 02:00:00"
+    assert first["missing_lines"] == "2020-01-01 02:00:00|2020-01-01 05:00:00"  # the second is a line that comes twice
     assert rows[575]["missing_lines"] == "2020-01-01 01:00:00"
     coverage = {r["type"]: r for r in result.coverage.collect()}
     assert str(coverage["hly"]["common_end"]) == "2020-01-01 04:00:00"
