@@ -26,7 +26,7 @@ from catalog.frames import (
 from isochron.operators.arima import arima, arima_metrics
 from isochron.operators.differencing import difference, level_stats
 from isochron.operators.gaps import gap_report
-from isochron.operators.lagging import autocorrelation, center, lag_series
+from isochron.operators.lagging import autocorrelation, center, exact_lags, lag_series, textbook_autocovariance
 from isochron.operators.reshape import lag_name, level_name, to_wide
 from isochron.operators.smoothing import sma, sma_text, sweep_metrics
 from isochron.operators.stats import describe_series, series_stats, wide_stats, with_stratum
@@ -288,6 +288,22 @@ register(
     + " FROM pairs GROUP BY ts",
 )
 
+register(
+    "lag_exact",
+    on("hourly", partial(exact_lags, lags="1,24")),
+    f"""WITH {SQL_OF["hourly"]}, l(lag) AS (VALUES (0), (1), (24))
+SELECT a.series, a.ts, l.lag, b.value FROM hourly a, l JOIN hourly b ON b.series = a.series AND b.ts = a.ts - l.lag * INTERVAL 1 HOUR""",
+)
+register(
+    "autocov_textbook",
+    on("daily", lambda df: rounded(textbook_autocovariance(df, "24,168"), ["autocovariance"])),
+    f"""WITH {lag_sql("daily", [24, 168], True)},
+c AS (SELECT series, count(*) AS n FROM x GROUP BY series),
+s AS (SELECT series, lag, sum(x * lag_value) AS prod FROM pairs GROUP BY series, lag)
+SELECT m.series, m.lag, {r("coalesce(prod, 0) / n", "autocovariance")}
+FROM m JOIN c USING (series) LEFT JOIN s ON s.series = m.series AND s.lag = m.lag""",
+)
+
 # --- differencing ---------------------------------------------------------------------------------
 
 
@@ -341,6 +357,21 @@ register(
 )
 
 
+for spec, where in (("step,2", "level <= 2 AND t >= level"), ("season,24", "t >= 24 * level")):
+    kind, size = spec.split(",")
+    register(
+        f"diff_all_{kind}",
+        on("hourly", lambda df, s=spec: rounded(difference(df, s, skip_first=False), ["value"])),
+        f"""WITH {numbered("hourly")},
+v AS (SELECT series, ts, t, value, lag(value) OVER w AS a, lag(value, 2) OVER w AS b, lag(value, 24) OVER w AS y FROM n
+      WINDOW w AS (PARTITION BY series ORDER BY t)),
+levels AS (SELECT series, ts, t, 0 AS level, value FROM v UNION ALL
+           SELECT series, ts, t, 1, {"value - a" if kind == "step" else "value - y"} FROM v
+           {"UNION ALL SELECT series, ts, t, 2, value - a - (a - b) FROM v" if kind == "step" else ""})
+SELECT series, ts, level, {r("value", "value")} FROM levels WHERE {where}""",
+    )
+
+
 def diff_wide(df: DataFrame) -> DataFrame:
     named = difference(df, "season,24").select(level_name("season").alias("series"), "ts", off_tie_round("value", 6).alias("value"))
     return to_wide(named, [f"{e}_season_{i}" for e in EVENT_TYPES for i in (0, 1)])

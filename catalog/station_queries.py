@@ -354,6 +354,17 @@ register(
     lambda spark, sf_dir: wide_to_series(stored_rows(spark, sf_dir), ".*"),
     f"WITH {HOURLY} SELECT * FROM hourly",
 )
+register(
+    "wide_other_dates",
+    lambda spark, sf_dir: wide_to_series(
+        to_wide(hourly(spark, sf_dir), EVENT_TYPES)
+        .withColumn("date", F.expr("format_string('%02d/%02d/%04d %02dh', day(ts), month(ts), year(ts), hour(ts))"))
+        .drop("ts"),
+        "cl.*,view",
+        fmt="dd/MM/yyyy HH'h'",
+    ),
+    f"WITH {HOURLY} SELECT * FROM hourly WHERE series IN ('click', 'view')",
+)
 register(
     "without_stat_rows",
     lambda spark, sf_dir: without_stat_rows(stored_rows(spark, sf_dir)).select("key"),
@@ -542,10 +553,13 @@ def _zip_file(own: pd.DataFrame, fixed_layout: bool, legend: int = 0) -> pd.Data
         header, preamble = ",".join(columns), ["Legend"] * (23 if kind == "hly" else 9)
         empty = "," * (len(columns) - 3)
         lines = own["stamp"] + ",0," + own["rain"] + empty
-    text = "\n".join([*preamble, header, *lines.loc[own["stamp"].sort_values().index]]) + "\n"
+    return zip_of(kind, station, [*preamble, header, *lines.loc[own["stamp"].sort_values().index]])
+
+
+def zip_of(kind: str, station: int, lines: list[str]) -> pd.DataFrame:
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-        archive.writestr(f"{kind}{station}.csv", text)
+        archive.writestr(f"{kind}{station}.csv", "\n".join(lines) + "\n")
     return pd.DataFrame(
         {"path": [f"{kind}{station}.zip"], "file_type": [kind], "station": [station], "content": [packed.getvalue()]}
     )
