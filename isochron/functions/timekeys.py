@@ -48,7 +48,7 @@ def hour_key(ts: Column) -> Column:
 
 def month_of(ts: Column) -> Column:
     """``yyyy-MM``, by which stored readings are partitioned."""
-    return F.format_string("%04d-%02d", F.year(ts), F.month(ts))
+    return F.substring(ts.cast("string"), 1, 7)
 
 
 def reading_time(date_cell: Column, row_key: Column, fmt: str = DATETIME_FORMAT) -> Column:

@@ -12,9 +12,15 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", checkpoint_dir: str | None = None
+) -> SparkSession:
+    """A session of one machine; intermediate tables go below ``checkpoint_dir``, else below the warehouse."""
+    builder = SparkSession.builder
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("isochron")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

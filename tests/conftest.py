@@ -12,8 +12,8 @@ START = dt.datetime(2020, 1, 1)
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, shuffle_partitions=4, memory="4g")
+def spark(tmp_path_factory):
+    session = local_session(4, shuffle_partitions=4, memory="4g", checkpoint_dir=f"file://{tmp_path_factory.mktemp('shared')}")
     yield session
     session.stop()
 
