@@ -8,7 +8,12 @@ their distance in the tree. The minimum cut, found by maximum flow, separates co
 own cost outweighs all their edges are settled first, which does not change the cut.
 
 White space is what Unicode calls so. ``<br>`` and every block element end a block. Scripts, styles, titles, comments,
-form fields and hidden elements never give blocks.
+form fields and hidden elements never give blocks; an embedded element (frame, drawing, list of choices, ..) without an
+end tag of its own is passed over, but not what comes after it.
+
+One word in a name says little. Where all words of a name are of page furniture (``cookie-notice``, ``sidebar``) it counts
+in full; a name that merely contains one (``social-history``), or that stands at a paragraph, counts little below an
+article or main element, so that sentences outweigh it there.
 
 Defined results: a null or empty page, and one without content, has an empty text; broken and cut-off markup is read as
 far as it goes; equal rows give equal rows; an empty table gives an empty one; other columns are ignored.
@@ -35,9 +40,11 @@ MARKUP = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+)))?""")
-SKIPPED = frozenset("script style title template noscript textarea select iframe object svg math canvas audio video".split())
-"""Elements passed over to their end tag."""
-UNSEEN = frozenset("head option optgroup datalist".split())
+SKIPPED = frozenset("script style title textarea".split())
+"""Elements whose content is no markup, passed over to their end tag."""
+EMBEDDED = frozenset("template noscript select option optgroup datalist iframe object svg math canvas audio video".split())
+"""Elements passed over to the end tag that belongs to them, if there is one."""
+UNSEEN = frozenset({"head"})
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span "
@@ -45,7 +52,7 @@ INLINE = frozenset(
 )
 ENDS_ITSELF = {
     "p": frozenset({"p"}), "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}),
-    "tr": frozenset({"tr", "td", "th"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}),
+    "body": frozenset({"head"}), "tr": frozenset({"tr", "td", "th"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}),
 }
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
@@ -68,10 +75,18 @@ BOILERPLATE = frozenset(
     "signup skip social sponsor sponsored subscribe subscription tags toolbar topbar tracking widget widgets alert "
     "contentinfo complementary search searchbox".split()
 )
+FURNITURE = BOILERPLATE | frozenset(
+    "area bar block bottom box container content global inner item items label left link links list main message outer "
+    "page panel post primary region right row secondary section site slot text the title top unit wrap wrapper".split()
+)
+"""Words that take nothing from a name of page furniture."""
 ASIDES = frozenset("ad advert comment comments promo promoted recommended related replies reply respond sponsored".split())
 """Words that make even an article element no main text."""
 CONTENT = frozenset("article articlebody body content entry main post story text".split())
 HIDDEN_WEIGHT, BOILERPLATE_WEIGHT, CONTENT_WEIGHT = -20.0, -8.0, 1.5
+HINT_WEIGHT = -2.0
+RUNNING = frozenset("p li dd dt blockquote pre h1 h2 h3 h4 h5 h6".split())
+"""Elements of running text."""
 WORDS_WEIGHT, SHORT_WEIGHT, LINKS_WEIGHT, SENTENCE_WEIGHT, RIGHTS_WEIGHT, PRIOR = 1.6, -0.8, -4.0, 0.4, -3.0, -0.6
 RIGHTS = re.compile(r"©|\(c\)\s*\d{4}|all rights reserved", re.I)
 SAME_ELEMENT, SAME_PARENT, FARTHER, SIBLING = 2.0, 1.5, 0.4, 0.5
@@ -98,10 +113,11 @@ class Block:
 
 
 @lru_cache(1 << 14)
-def attributes_weight(tag: str, source: str) -> float:
-    """What class, id, role and visibility add for an element."""
+def attributes_weight(tag: str, source: str, inside: bool = False) -> float:
+    """What class, id, role and visibility add for an element, which may be ``inside`` an article."""
     total = 0.0
     named: set[str] = set()
+    names: list[set[str]] = []
     for name, *values in ATTRIBUTE.findall(source):
         value = next((v for v in values if v), "").lower()
         name = name.lower()
@@ -110,8 +126,10 @@ def attributes_weight(tag: str, source: str) -> float:
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             total += HIDDEN_WEIGHT
         elif name in ("class", "id", "role", "itemprop", "aria-label"):
-            named.update(w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value)) if w)
+            names += [{w for w in re.split(r"[^a-z]+", n) if w} for n in value.split()]
+            named.update(*names)
     against = named & BOILERPLATE
+    whole = any(n & against and n <= FURNITURE for n in names)
     if tag in ("html", "body", "main"):
         against = set()
     elif tag == "article":
@@ -119,14 +137,27 @@ def attributes_weight(tag: str, source: str) -> float:
     elif named & CONTENT:
         against -= {"header"}  # the heading of the article
     if against:
-        total += BOILERPLATE_WEIGHT
+        hint = inside and (tag in RUNNING or not whole)
+        total += HINT_WEIGHT if hint else BOILERPLATE_WEIGHT
     elif named & CONTENT:
         total += CONTENT_WEIGHT
     return total
 
 
+def own_ends(page: str, tag: str) -> dict[int, int]:
+    """Where each element of a tag ends, by the place after its start tag; elements without an end tag are left out."""
+    found, opened = {}, []
+    for m in re.finditer(rf"<(/?){tag}\b[^>]*(?:>|\Z)", page, re.I):
+        if not m[1]:
+            opened.append(m.end())
+        elif opened:
+            found[opened.pop()] = m.end()
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of running text in page order."""
+    ends: dict[str, dict[int, int]] = {}
     found: list[Block] = []
     root = Node(0, "", -1, 0.0, False, False)
     stack, number = [root], 0
@@ -190,17 +221,23 @@ def blocks(page: str) -> list[Block]:
             after = re.compile(rf"</{tag}[^>]*(?:>|\Z)", re.I).search(page, at)
             at = after.end() if after else end
             continue
+        if tag in EMBEDDED:
+            if tag not in ends:
+                ends[tag] = own_ends(page, tag)
+            if not m[3].rstrip().endswith("/"):
+                at = ends[tag].get(at, at)
+            continue
         if tag in CLOSES_P or tag in ENDS_ITSELF:
-            ends = ENDS_ITSELF.get(tag, frozenset()) | ({"p"} if tag in CLOSES_P else set())
+            closed = ENDS_ITSELF.get(tag, frozenset()) | ({"p"} if tag in CLOSES_P else set())
             for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in ends:
+                if stack[depth].tag in closed:
                     close(depth)
                     break
                 if stack[depth].tag in HOLDS:
                     break
         above = stack[-1]
         number += 1
-        own = ELEMENT.get(tag, 0.0) + (attributes_weight(tag, m[3]) if m[3] else 0.0)
+        own = ELEMENT.get(tag, 0.0) + (attributes_weight(tag, m[3], above.inside) if m[3] else 0.0)
         if tag == "header" and above.inside:
             own += 5.5  # the heading of the article, not of the page
         inside = above.inside or tag in ("article", "main")

@@ -29,6 +29,20 @@ PAGES = {
     <p>More &eacute;t&eacute;.</p></article><section class="comments"><article class="comment"><p>I do not agree with what was said
     here, and would like to say so at length, if I may.</p></article></section></main>""":
         "Title here\nSome text of the article that is long enough to count as such.\nMore été.",
+    # embedded elements without an end tag, and one in another
+    """<article><h1>Frames</h1><p>Before the frame.</p><iframe src="x"><p>After the frame comes more text.</p><select><option>a
+    <p>And a list of choices that never ends.</p><svg><path d=""><p>Drawings end nothing either.</p><noscript>x<noscript>y</noscript>
+    z</noscript><p>Last.</p><select><option>one</select><video>no sound</video><textarea>typed <p></textarea></article>""":
+        "Frames\nBefore the frame.\nAfter the frame comes more text.\na\nAnd a list of choices that never ends.\n"
+        "Drawings end nothing either.\nLast.",
+    # words of page furniture as names of what is in the article
+    """<main><article><h1>The guild</h1><p class="notice">The guild gave notice to the town in the spring of that year.</p>
+    <div class="social-history"><p>Its social history has been told by several hands, and at some length.</p></div>
+    <section id="trade-related-rules"><p>Trade was ruled by the seven elders of the guild.</p></section>
+    <div class="share"><a href="#">Tweet</a></div><div class="cookie-notice"><p>This site sets cookies, as every site does.</p></div>
+    <ul class="social links"><li><a href="/a">On the other network</a></li></ul></article></main>""":
+        "The guild\nThe guild gave notice to the town in the spring of that year.\n"
+        "Its social history has been told by several hands, and at some length.\nTrade was ruled by the seven elders of the guild.",
     "": "", "   ": "", "<p": "", "<!-- only <p>this</p>": "",
     "<article><p>cut off in the mid": "cut off in the mid",
     "<article><p>a < b and c &am": "a < b and c &am",
