@@ -66,6 +66,7 @@ class RankMerger:
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
         self.library = Tokenizer.from_file(path)
         special = [t["content"] for t in spec["added_tokens"]]
+        self.strings = special
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         self.memo: dict[str, int] = {}
 
@@ -123,7 +124,7 @@ class RankMerger:
         found, fixed = [], []
         for text in texts:
             marks = 0
-            if "<|" in text:
+            if any(s in text for s in self.strings):
                 parts = self.special.split(text)
                 marks = len(parts) - 1
                 found.append([p for part in parts if part for p in self.pieces(part)])

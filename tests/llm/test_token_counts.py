@@ -1,3 +1,5 @@
+import json
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -21,6 +23,26 @@ def test_counts_are_the_librarys():
     assert RankMerger(PATH).count(TEXTS) == expected(TEXTS)
 
 
+def test_long_texts():
+    """Far beyond the longest pre-token of the tables, in one piece and in many."""
+    long = ["ab" * 60_000, "word " * 30_000, "Ünï-" * 20_000 + "<|endoftext|>" + "x" * 50_000]
+    assert RankMerger(PATH).count(long) == expected(long)
+
+
+def test_special_strings_are_those_of_the_file(tmp_path):
+    """A vocabulary whose special strings look like ordinary words."""
+    spec = json.load(open(PATH, encoding="utf-8"))
+    for token, name in zip(spec["added_tokens"], ("[sep]", "END")):
+        spec["model"]["vocab"][name] = spec["model"]["vocab"].pop(token["content"])
+        token["content"] = name
+    path = str(tmp_path / "vocabulary.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    texts = ["a [sep] b", "[sep][sep]", "the END", "ENDED", "<|endoftext|>", "end [SEP]"]
+    library = Tokenizer.from_file(path)
+    assert RankMerger(path).count(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001"])
 def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
