@@ -114,32 +114,51 @@ def fingerprint(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
 def with_next(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """Rows in buckets of consecutive ids, each bucket followed by the row that comes after it.
 
-    ``bucket, role, kid, doc_id, text``; role 1 marks the copied row. Bounds of the buckets are quantiles of the ids, so
-    texts are shuffled once; besides them only one row for each bucket is looked up.
+    ``bucket, part, role, kid, khash, doc_id, text``; role 1 marks the copied row. Bounds of the buckets are quantiles of
+    the ids, so texts are shuffled once; besides them only one row for each bucket is looked up. Rows under one id are in
+    the order of their texts' hashes; an id with more rows than a bucket should have gets a bucket of its own, which is
+    cut into parts by these hashes.
     """
     spark = docs.sparkSession
-    given = keyed(docs, id_col, text_col).drop("khash")
+    given = keyed(docs, id_col, text_col)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = given.groupBy("kid").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
+        return given.withColumns({"bucket": F.lit(0), "part": F.lit(0), "role": F.lit(0)})
+    share = -(-total // buckets)
+    hot = {r.kid: -(-r.n // share) for r in counts.where(F.col("n") > max(share, 1)).collect()}  # as many as buckets at most
     ids = docs.select(F.col(id_col).cast("double").alias("id"))
     cuts = ids.approxQuantile("id", [i / buckets for i in range(1, buckets)], 0.2 / buckets)
-    splits = [float("-inf"), *sorted({0.0, *cuts}), float("inf")]
+    around = {float(x) for kid in hot for x in (kid, kid + 1)}
+    splits = [float("-inf"), *sorted({0.0, *cuts, *around}), float("inf")]
     given = given.withColumn("place", F.col("kid").cast("double"))
     dealt = Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(given)
     dealt = dealt.withColumn("bucket", F.col("bucket").cast("int")).drop("place")
-    heads = sorted((r.kid, r.bucket) for r in dealt.groupBy("bucket").agg(F.min("kid").alias("kid")).collect())
-    if not heads:
-        return dealt.withColumn("role", F.lit(0))
-    before = [heads[i - 1][1] for i in range(len(heads))]  # the first row follows the last bucket
-    peeks = spark.createDataFrame([(k, b) for (k, _), b in zip(heads, before, strict=True)], "kid long, target int")
+    parts = F.lit(1)
+    for kid, n in hot.items():
+        parts = F.when(F.col("kid") == kid, n).otherwise(parts)
+    # the hash, as the order has it, counted from the least one: its first 31 bits give the part
+    upper = F.shiftright("khash", 33) + (1 << 30)
+    dealt = dealt.withColumn("part", F.shiftright(upper * parts, 31).cast("int"))
+    least = dealt.groupBy("bucket", "part").agg(F.min(F.struct("kid", "khash")).alias("head")).collect()
+    heads = sorted((r.bucket, r.part, r["head"].kid, r["head"].khash) for r in least)
+    before = [heads[i - 1][:2] for i in range(len(heads))]  # the first row follows the last bucket
+    peeks = spark.createDataFrame(
+        [(kid, khash, *to) for (*_, kid, khash), to in zip(heads, before, strict=True)],
+        "kid long, khash long, target int, target_part int",
+    )
     copies = (
-        dealt.select("kid", "doc_id", "text")
-        .join(F.broadcast(peeks), "kid")  # one row for each bucket
-        .groupBy("target", "kid", "doc_id")
+        dealt.select("kid", "khash", "doc_id", "text")
+        .join(F.broadcast(peeks), ["kid", "khash"])  # one row for each bucket
+        .groupBy("target", "target_part", "kid", "khash", "doc_id")
         .agg(F.min("text").alias("text"))
-        .select("doc_id", "text", "kid", F.col("target").alias("bucket"), F.lit(1).alias("role"))
+        .select(
+            "doc_id", "text", "kid", "khash", F.col("target").alias("bucket"), F.col("target_part").alias("part"), F.lit(1).alias("role")
+        )
     )
     rows = dealt.withColumn("role", F.lit(0)).unionByName(copies)
-    return rows.repartition("bucket").sortWithinPartitions("bucket", "role", "kid", "text")
+    return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "role", "kid", "khash", "text")
 
 
 def edited_likeness(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:

@@ -65,3 +65,20 @@ def test_nulls_ties_repeats(spark):
     assert fp.edited_likeness(docs.limit(0)).count() == 0
     assert fp.edited_likeness(docs.where("doc_id = 7")).first().near_next == 1.0
     assert fp.fingerprint(docs).count() == 6
+
+
+def test_many_rows_under_one_id(spark):
+    """A third of the rows share an id, others have none: they are dealt to several buckets, and each has its next row."""
+    rows = [(5, f"text {i}") for i in range(400)] + [(None, f"none {i}") for i in range(300)] + [(i, f"own {i}") for i in range(6, 506)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    dealt = fp.with_next(docs).where("role = 0").groupBy("bucket", "part").count().collect()
+    assert max(r["count"] for r in dealt) < 400 / 3
+    found = fp.edited_likeness(docs).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.n_chars) for r in found) == sorted((i is None, i, len(t)) for i, t in rows)
+    order = {None: 2, 5: 0}
+    edited = {r.edited_sha256 for r in found}
+    # of the rows under one id the order is that of hashes; the row after the last of them is known
+    texts = [t for i, t in sorted(rows, key=lambda r: (order.get(r[0], 1), r[0] or 0))]
+    for a, b in zip(texts[401:899], texts[402:900]):  # ids of their own
+        assert hashlib.sha256((a[: len(a) - len(a) // 2] + b[: len(a) // 2]).encode()).hexdigest() in edited
+    assert len(fp.with_next(docs).where("role = 1").collect()) == len(dealt)
