@@ -98,6 +98,17 @@ def test_blocks_nulls_clashes(spark, monkeypatch):
     assert dc.contaminated(docs.limit(0), bench).count() == dc.contaminated(docs, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 1])
+def test_without_enough_tables_every_named_window_is_verified(spark, monkeypatch, most):
+    """Recall is not given up where the tables would be too many: what pieces name is verified, and nothing is missed."""
+    monkeypatch.setattr(dc, "MOST_TABLES", most)
+    docs, items = planted(7)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([*items, *items[:3]], "item_id long, text string")
+    rows = dc.contaminated(df, bench).collect()
+    assert {(r.doc_id, r.item_id): r.distance for r in rows} == brute(docs, items) and len(rows) == len(brute(docs, items))
+
+
 def test_short_items(spark):
     items = [(1, "Yes."), (2, "alpha beta gamma"), (3, "red green blue white black grey"), (4, "--"), (5, "")]
     docs = [(1, "oh, yes yes"), (2, "x ALPHA beta, gamma"), (3, "alpha beta delta gamma"), (4, "a red green blue wet black grey b")]
