@@ -4,9 +4,13 @@ A text is cut into windows of ``WINDOW`` bytes, the last one padded with zeros.
 widths run over them, each filter's largest response in the window is kept, and a softmax layer gives the languages'
 probabilities. A text's probabilities are the mean over all its windows, weighted by their bytes.
 
-The network is fitted on the driver on a bounded sample: about ``ROWS_PER_LANG`` labelled rows of each language, drawn
-by a hash of the row, and at most ``SLICE`` characters from a place that the hash draws as well. Predictions use
-nothing but the text, and cover every window of every text.
+The network is fitted on the driver on a bounded sample: at most ``ROWS_PER_LANG`` labelled rows of each language, and
+one at least, drawn by a hash of id and text, and at most ``SLICE`` characters from a place that the hash draws as well.
+Predictions use nothing but the text, and cover every window of every text.
+
+To sort out what is no language at all, a network can be fitted with one more class, learned from the sample itself
+torn up: its letters shuffled, its bytes in base64 or as digits, and random letters of other scripts. A text is rejected
+where that class has half of its probability or more; texts in several languages are not.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; so is every text when no row is
 labelled. Equal texts get equal predictions; an empty table gives an empty one; other columns are ignored.
@@ -14,12 +18,13 @@ labelled. Equal texts get equal predictions; an empty table gives an empty one;
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isochron.llm.common import tidy
@@ -65,6 +70,10 @@ class ByteNetwork:
             own = slice(i, i + 128)
             np.add.at(total, row[own], self.probabilities(windows[own]) * size[own, None])
         mean = total / np.bincount(row, size, len(texts))[:, None]
+        if UNKNOWN in self.langs:  # the likeliest of the languages, and the probability of any language
+            junk = mean[:, self.langs.index(UNKNOWN)].copy()
+            mean[:, self.langs.index(UNKNOWN)] = -1
+            return mean.argmax(axis=1), np.clip(1 - junk, 0, 1)
         return mean.argmax(axis=1), np.clip(mean.max(axis=1), 0, 1)
 
 
@@ -150,22 +159,55 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", rows_per_lang: int = ROWS_PER_LANG) -> ByteNetwork | None:
-    """Learn from labelled rows that are not held out; None if there are none."""
+def fit(
+    docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", rows_per_lang: int = ROWS_PER_LANG, junk: bool = False
+) -> ByteNetwork | None:
+    """Learn from labelled rows that are not held out; None if there are none. With ``junk`` also what no language is."""
     known = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where(F.col("id").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & ~held_out("id"))
     counts = known.groupBy("lang").count()
-    drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     longest = F.greatest(F.char_length("text") - F.lit(SLICE), F.lit(0)) + 1
-    start = (F.pmod(F.xxhash64("id", F.lit(1)), longest) + 1).cast("int")
-    sample = (
-        known.join(F.broadcast(counts), "lang")  # one row for each language
-        .where(drawn < F.lit(float(rows_per_lang)) / F.col("count"))
-        .select("lang", F.substring("text", start, F.lit(SLICE)).alias("text"))
-    )
-    rows = sorted((r.lang, r.text) for r in sample.collect())
-    return train([t for _, t in rows], [x for x, _ in rows]) if rows else None
+    start = (F.pmod(F.xxhash64("id", "text", F.lit(1)), longest) + 1).cast("int")
+    part = F.substring("text", start, F.lit(SLICE)).alias("text")
+    drawn = known.select("lang", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)).alias("drawn"), part)
+    # somewhat more than are wanted, then the first of them: a bounded number, whatever ids and texts they have
+    share = F.lit(1.5 * rows_per_lang + 100) / F.col("count") * F.lit(float(1 << 30))
+    some = drawn.join(F.broadcast(counts), "lang").where(F.col("drawn") < share)  # one row for each language
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("drawn", "text"))
+    some = some.select("lang", "text", place.alias("place")).where(F.col("place") <= rows_per_lang).select("lang", "text")
+    first = drawn.groupBy("lang").agg(F.min(F.struct("drawn", "text"))["text"].alias("text"))
+    rows = sorted((r.lang, r.text) for r in some.unionByName(first.join(some, ["lang", "text"], "left_anti")).collect())
+    if not rows:
+        return None
+    if junk:
+        rows += [(UNKNOWN, t) for t in torn([t for _, t in rows], rows_per_lang)]
+    return train([t for _, t in rows], [x for x, _ in rows])
+
+
+def torn(texts: list[str], most: int, seed: int = 11) -> list[str]:
+    """Texts that are no language, made from the sample: as many as a language has, of each kind a share."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in rng.permutation(len(texts))[:most].tolist():
+        text, kind = texts[i], len(out) % 6
+        raw = text.encode("utf-8")[: SLICE]
+        if kind == 0:
+            made = "".join(rng.permutation(list(text)).tolist())
+        elif kind == 1:
+            made = base64.b64encode(bytes(rng.permutation(list(raw)).tolist())).decode()
+        elif kind == 2:
+            made = raw[: SLICE // 2].hex()
+        elif kind == 3:  # letters at random, in words of random length
+            letters = sorted({c for c in text.lower() if c.isalpha()}) or ["x"]
+            made = "".join(rng.choice([*letters, " "], len(text)).tolist())
+        elif kind == 4:
+            first = int(rng.choice([0x370, 0x400, 0x5D0, 0x620, 0x900, 0xE00, 0x3040, 0x4E00, 0xAC00]))
+            made = "".join(chr(first + int(x)) for x in rng.integers(0, 60, min(len(text), 300)))
+        else:
+            made = "".join(chr(int(x)) for x in rng.integers(33, 127, len(text)))
+        out.append(made)
+    return out
 
 
 def lettered(text: Column) -> Column:
@@ -203,7 +245,10 @@ def predict(docs: DataFrame, network: ByteNetwork | None, id_col="doc_id", text_
 
 
 def keep_identified(docs: DataFrame, network: ByteNetwork | None, least: float = 0.5, text_col="text") -> DataFrame:
-    """Rows whose language is identified with at least this score, with all their columns; nothing is shuffled."""
+    """Rows whose language is identified with more than this score, with all their columns; nothing is shuffled.
+
+    Of a network that knows junk, the score is the probability of any language.
+    """
     lettered_col = "__lettered"
     while lettered_col in docs.columns:
         lettered_col += "_"
@@ -211,7 +256,7 @@ def keep_identified(docs: DataFrame, network: ByteNetwork | None, least: float =
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, lang, score in identify(batches, network, lettered_col):
-            good = (lang != UNKNOWN) & (score >= least)
+            good = (lang != UNKNOWN) & (score > least)
             yield part.drop_columns([lettered_col]).filter(pa.array(good, pa.bool_()))
 
     given = docs.withColumn(lettered_col, lettered(F.col(text_col).cast("string")))

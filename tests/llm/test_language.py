@@ -1,3 +1,5 @@
+import base64
+import random
 import zlib
 
 import numpy as np
@@ -60,3 +62,57 @@ def test_no_labels(spark):
     assert language.fit(docs) is None
     assert language.predict(docs, None).first().lang_pred == "und"
     assert language.keep_identified(docs, None).count() == 0
+
+
+def test_plain_forward_pass(network):
+    """A whole prediction with plain loops: embedding, filters, largest response, softmax, mean over windows by bytes."""
+    texts = ["Der Hund lief über die Straße. " * 3, "the " * 90]
+    for text in texts:
+        raw, total = text.encode(), np.zeros(len(network.langs))
+        for at in range(0, len(raw), language.WINDOW):
+            window = raw[at : at + language.WINDOW]
+            x = np.zeros((language.WINDOW + 3, language.EMBEDDING))
+            for t, b in enumerate(window):
+                x[t] = network.embedding[b]
+            hidden = []
+            for f in range(network.filters.shape[2]):
+                responses = [
+                    sum(float(x[t + k] @ network.filters[k, :, f]) for k in range(4)) for t in range(language.WINDOW)
+                ]
+                hidden.append(max(max(responses) + float(network.bias[f]), 0.0))
+            logits = np.array(hidden) @ network.dense + network.dense_bias
+            e = np.exp(logits - logits.max())
+            total += e / e.sum() * len(window)
+        best, score = network.identify([raw])
+        assert best[0] == total.argmax() and score[0] == pytest.approx(total.max() / len(raw), abs=1e-4)
+
+
+def test_junk_goes_and_languages_stay(docs):
+    """Shares that the stage keeps: of clean, mixed and shuffled texts, and of what is no text at all."""
+    network, rng = language.fit(docs, junk=True), random.Random(3)
+    held = [(r.text, r.lang) for r in docs.where(language.held_out()).collect() if r.text and any(c.isalpha() for c in r.text)]
+    long = [t for t, _ in held if len(t) > 200]
+    by = {lang: [t for t, x in held if x == lang and len(t) > 100] for lang in {x for _, x in held}}
+
+    def kept(texts):
+        return np.mean(network.identify([t.encode() for t in texts])[1] > 0.5)
+
+    assert kept([t for t, _ in held]) == 1.0
+    assert kept([f"{a[:300]} {b[:300]}" for x in by for y in by if x < y for a, b in zip(by[x][:20], by[y])]) > 0.98
+    assert kept([base64.b64encode(t.encode()).decode() for t in long]) == 0.0
+    assert kept([t.encode().hex() for t in long]) == 0.0
+    assert kept(["".join(rng.sample(t, len(t))) for t in long]) < 0.02
+    assert kept(["".join(chr(0x400 + ord(c) * 7 % 64) if c.isalpha() else c for c in t) for t in long]) < 0.02
+    assert kept(["".join(chr(rng.randrange(33, 127)) for _ in range(300)) for _ in range(50)]) == 0.0
+
+
+def test_sample_is_bounded_and_has_every_language(spark, monkeypatch):
+    """Thousands of rows under one id, equal texts, and a language of one row."""
+    rows = [(9, f"the text number {i}", "en") for i in range(3000)] + [(11, "le même texte", "fr")] * 2000
+    rows += [(13, "ein einziger Satz", "de")] + [(None, "no id", "es"), (14, None, "it"), (15, "123", "pt")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    seen = {}
+    monkeypatch.setattr(language, "train", lambda texts, langs: seen.update(n={x: langs.count(x) for x in set(langs)}))
+    language.fit(docs, rows_per_lang=200)
+    expected = {"en", "fr", "de"} - {x for i, x in ((9, "en"), (11, "fr"), (13, "de")) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert seen["n"].keys() == expected and max(seen["n"].values()) <= 200
