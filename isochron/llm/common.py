@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import functools
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -35,14 +34,8 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where the setting is absent (one-machine sessions) a local folder is made once per session.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("isochron.scratch", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="isochron-")
-        spark.conf.set("isochron.scratch", root)
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share, or else below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
