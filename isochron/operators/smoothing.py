@@ -90,14 +90,14 @@ def sma_metrics(points: DataFrame) -> DataFrame:
     return model_metrics(points, 1, _named_size(), by=("series", "window_size"))
 
 
-def sweep_metrics(df: DataFrame, windows: str | int | list[int] = "1-10") -> DataFrame:
+def sweep_metrics(df: DataFrame, windows: str | int | list[int] = "1-10", counts: DataFrame | None = None) -> DataFrame:
     """What :func:`sma_metrics` gives of :func:`sma`, without a row for each reading and size.
 
     The sums of every size are taken in one aggregation; only a row per series is then spread over the sizes.
     """
     sizes = _sizes(windows)
     sums = {n: error_sums(F.col("value"), F.col("value") - F.col(f"ma_{n}")) for n in sizes}
-    found = moving_averages(df, sizes).groupBy("series").agg(
+    found = moving_averages(df, sizes, counts=counts).groupBy("series").agg(
         *[c.alias(f"{name}_{n}") for n, own in sums.items() for name, c in own.items()]
     )
     per_size = [

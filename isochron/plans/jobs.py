@@ -1,5 +1,8 @@
 """The five analyses. Each takes stored readings and returns its result tables.
 
+Analysis, differencing and moving average also take the ``counts`` that are kept with a readings table
+(``sources.tables.read_counts``), and then read its rows once.
+
 With ``out`` the point table is written first and the figures derived from it are computed from the
 stored rows, so that nothing is computed twice and a lost executor costs no earlier step. Figures are also appended as
 CSV below ``out/export``, one row for each model or lag.
@@ -13,6 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from isochron import sinks
+from isochron.functions.timekeys import DATETIME_FORMAT
 from isochron.operators import arima as arima_ops
 from isochron.operators.differencing import difference, difference_stats
 from isochron.operators.lagging import correlation, lag_rows, paired_lags
@@ -40,9 +44,11 @@ def _exported(figures: DataFrame, out: str) -> DataFrame:
     return figures
 
 
-def analysis(df: DataFrame, num_strata: int = 1, strata_width: int = 1, out: str | None = None) -> DataFrame:
+def analysis(
+    df: DataFrame, num_strata: int = 1, strata_width: int = 1, out: str | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """Statistics; with ``out`` they are upserted there, and those of this run appended to ``out/export``."""
-    stats = describe_series(df, num_strata, strata_width)
+    stats = describe_series(df, num_strata, strata_width, counts)
     if not out:
         return stats
     stats = sinks.replace_table(stats, f"{out}/run")
@@ -61,8 +67,10 @@ def transform(df: DataFrame, lags: str | Sequence[int] = "1", centered: bool = F
     )
 
 
-def differencing(df: DataFrame, spec: str = "step,1", out: str | None = None) -> Result:
-    levels = difference(df, spec)
+def differencing(
+    df: DataFrame, spec: str = "step,1", out: str | None = None, counts: DataFrame | None = None, skip_first: bool = True
+) -> Result:
+    levels = difference(df, spec, counts=counts, skip_first=skip_first)
     if out:
         levels = sinks.replace_table(levels, f"{out}/points")
     stats = difference_stats(levels)
@@ -70,15 +78,20 @@ def differencing(df: DataFrame, spec: str = "step,1", out: str | None = None) ->
 
 
 def moving_average(
-    df: DataFrame, windows: str | Sequence[int] = "5", out: str | None = None, text: bool = False
+    df: DataFrame,
+    windows: str | Sequence[int] = "5",
+    out: str | None = None,
+    text: bool = False,
+    fmt: str = DATETIME_FORMAT,
+    counts: DataFrame | None = None,
 ) -> Result:
-    """With ``text`` the points are also written as lines of text below ``out/text``."""
-    points = sma(df, windows)
+    """With ``text`` the points are also written as lines of text below ``out/text``, their times as ``fmt`` says."""
+    points = sma(df, windows, counts=counts)
     if not out:
-        return Result(points, sweep_metrics(df, windows))
+        return Result(points, sweep_metrics(df, windows, counts))
     points = sinks.replace_table(points, f"{out}/points")
     if text:
-        sinks.write_sma_text(points, f"{out}/text")
+        sinks.write_sma_text(points, f"{out}/text", fmt)
     return Result(points, _exported(sinks.replace_table(sma_metrics(points), f"{out}/figures"), out))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isochron import monthly
-from isochron.functions.timekeys import month_of
+from isochron.functions.timekeys import DATETIME_FORMAT, month_of
 from isochron.operators.profile import PROFILE_COLUMNS
 from isochron.operators.reshape import merge_wide, upsert_rows
 from isochron.operators.rows import count_blocks
@@ -88,8 +88,8 @@ def read_wide(spark: SparkSession, path: str, start: str | None = None, stop: st
     return monthly.read(spark, path, start, stop)
 
 
-def write_sma_text(points: DataFrame, path: str) -> None:
-    sma_text(points).write.mode("overwrite").text(path)
+def write_sma_text(points: DataFrame, path: str, fmt: str = DATETIME_FORMAT) -> None:
+    sma_text(points, fmt).write.mode("overwrite").text(path)
 
 
 HEADER_FILE = "000000-header.csv"

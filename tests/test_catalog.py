@@ -110,7 +110,7 @@ def test_stored_counts_save_a_scan(spark, frame, tmp_path):
     rows, counts = read_series(spark, path), read_counts(spark, path)
     for op in (lambda df, counts: sma(df, "2,5", counts=counts), lambda df, counts: differences(df, "step,2", counts=counts)):
         scans = _lines(op(rows, counts), "FileScan")
-        assert len(scans) == 2 and sum("_counts" in line for line in scans) == 1
+        assert len(scans) == 2 and sum("block_rows" in line for line in scans) == 1
         assert sorted(map(tuple, op(rows, counts).collect())) == sorted(map(tuple, op(rows, None).collect()))
     assert [r["value"] for r in first_rows(rows, 3, counts).orderBy("ts").collect()] == [0.0, 1.0, 2.0]
     part = read_series(spark, path, "2020-01-20 00:00:00", "2020-03-05 00:00:00")

@@ -236,7 +236,7 @@ def test_gaps_in_the_order_of_lines(spark, tmp_path):
     at = lambda h: f"01-{1 + h // 24:02d} {h % 24:02d}:00"
     assert gaps == [(i, at(a + 1), at(b)) for i, (a, b) in enumerate(zip(hours, hours[1:]), 1) if b != a + 1]
     named = station_gaps(cells).select(F.lit("hly5").alias("series"), "missing_ts", "next_ts")
-    assert {str(r["ts"])[5:16] for r in missing_hours(named).collect()} == {at(2), *map(at, range(6, 30))}
+    assert {str(r["ts"])[5:16] for r in missing_hours(named).collect()} == {at(2), at(3), *map(at, range(6, 30))}
 
 
 def test_long_files_are_compared_block_by_block(spark):
