@@ -9,8 +9,8 @@ one at least, drawn by a hash of id and text, and at most ``SLICE`` characters f
 Predictions use nothing but the text, and cover every window of every text.
 
 To sort out what is no language at all, a network can be fitted with one more class, learned from the sample itself
-torn up: its letters shuffled, its bytes in base64 or as digits, and random letters of other scripts. A text is rejected
-where that class has half of its probability or more; texts in several languages are not.
+torn up: its letters shuffled, its bytes in base64 or as digits, and random letters of other scripts. The score of a text
+is then the probability of any language, which texts in several languages have as well.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; so is every text when no row is
 labelled. Equal texts get equal predictions; an empty table gives an empty one; other columns are ignored.
