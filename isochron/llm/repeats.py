@@ -35,7 +35,6 @@ from isochron.llm.common import MULTIPLIER, as_long, gram_hashes, mix, stored, t
 
 GROUP = 4096
 SETTLED, OPEN, WITNESS = 0, 1, 2
-TAG = (1 << 24) - 1
 INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
 
 
@@ -106,9 +105,9 @@ def runs_in_parts(numbers: np.ndarray, bounds: np.ndarray, sampling: Sampling) -
         at = after
 
 
-def pack(start: np.ndarray, count: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    """First window, number of windows and the text's tag in one number."""
-    return start.astype(np.int64) << 32 | count.astype(np.int64) << 24 | tag
+def pack(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """First window and number of windows in one number."""
+    return start.astype(np.int64) << 8 | count.astype(np.int64)
 
 
 def slices(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -122,12 +121,12 @@ def slices(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -
                 yield batch.slice(a, b - a)
 
 
-MARK = "kind int, k long, c long, kid long, place long"
+MARK = "kind int, k long, c long, kid long, tag long, place long"
 
 
-def mark_batch(kind, k, c, kid, place) -> pa.RecordBatch:
-    columns = [pa.array(np.asarray(kind, np.int32)), *(pa.array(np.asarray(x, np.int64)) for x in (k, c, kid, place))]
-    return pa.RecordBatch.from_arrays(columns, names=["kind", "k", "c", "kid", "place"])
+def mark_batch(kind, *columns) -> pa.RecordBatch:
+    arrays = [pa.array(np.asarray(kind, np.int32)), *(pa.array(np.asarray(x, np.int64)) for x in columns)]
+    return pa.RecordBatch.from_arrays(arrays, names=["kind", "k", "c", "kid", "tag", "place"])
 
 
 Numbers = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -135,7 +134,7 @@ Numbers = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 def sketch(docs: DataFrame, numbers: Numbers, sampling: Sampling, earlier: bool) -> DataFrame:
-    """Runs of every document of ``docs`` (``text, kid, tag``)."""
+    """Runs of every document of ``docs`` (``text, kid, tag``): ``tag`` tells rows with one ``kid`` apart by their texts."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,10 +143,10 @@ def sketch(docs: DataFrame, numbers: Numbers, sampling: Sampling, earlier: bool)
                 yield marks_of(*found, part["kid"].to_numpy(), part["tag"].to_numpy())
 
     def marks_of(key, cls, row, start, count, kids, tags) -> pa.RecordBatch:
-        kid, place = kids[row], pack(start, count, tags[row])
+        kid, tag, place = kids[row], tags[row], pack(start, count)
         k, c = as_long(key), as_long(cls)
-        order = np.lexsort((place, kid, c, k))
-        k, c, kid, place = k[order], c[order], kid[order], place[order]
+        order = np.lexsort((place, tag, kid, c, k))
+        k, c, kid, tag, place = (x[order] for x in (k, c, kid, tag, place))
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]) if len(k) else np.empty(0, bool)
         group = np.cumsum(new) - 1
         kind = np.full(len(k), OPEN)
@@ -157,10 +156,10 @@ def sketch(docs: DataFrame, numbers: Numbers, sampling: Sampling, earlier: bool)
             several = np.bincount(group, minlength=1)[group] > 1
             kind[several] = SETTLED
             extra = new & several
-            k, c, kid, place = (np.concatenate([x, x[extra]]) for x in (k, c, kid, place))
+            k, c, kid, tag, place = (np.concatenate([x, x[extra]]) for x in (k, c, kid, tag, place))
             kind = np.concatenate([kind, np.full(extra.sum(), WITNESS)])
-        spread = as_long(mix(place.view(np.uint64) ^ mix(kid.view(np.uint64))))
-        return mark_batch(kind, np.where(kind == SETTLED, spread, k), c, kid, place)
+        spread = as_long(mix(place.view(np.uint64) ^ mix(kid.view(np.uint64) ^ tag.view(np.uint64))))
+        return mark_batch(kind, np.where(kind == SETTLED, spread, k), c, kid, tag, place)
 
     return docs.select("text", "kid", "tag").mapInArrow(run, MARK)
 
@@ -193,29 +192,28 @@ def classify(runs: DataFrame, earlier: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, before = None, None
         for batch in batches:
-            rows = [batch[n].to_numpy() for n in ("kind", "k", "c", "kid", "place")]
+            rows = [batch[n].to_numpy() for n in ("kind", "k", "c", "kid", "tag", "place")]
             if held is not None:
                 rows = [np.concatenate([a, b]) for a, b in zip(held, rows, strict=True)]
             if len(rows[0]) < 2:
                 held = rows if len(rows[0]) else None
                 continue
             held = [x[-1:] for x in rows]
-            kind, k, c, kid, place = (x[:-1] for x in rows)
+            kind, k, c, kid, *rest = (x[:-1] for x in rows)
             out, least, shown = decide(k, c, kid, kind, before, (held[1][0], held[2][0]))
             before = (k[-1], c[-1], least)
-            yield kept(out, shown, k, c, kid, place)
+            yield kept(out, shown, k, c, kid, *rest)
         if held is not None:
-            kind, k, c, kid, place = held
+            kind, k, c, kid, *rest = held
             out, _, shown = decide(k, c, kid, kind, before, None)
-            yield kept(out, shown, k, c, kid, place)
+            yield kept(out, shown, k, c, kid, *rest)
 
-    def kept(out, shown, k, c, kid, place):
-        rows = (k, c, kid, place)
+    def kept(out, shown, *rows):
         keep = out >= 0
         both = [np.concatenate([x[keep], x[shown]]) for x in rows]
         return mark_batch(np.concatenate([out[keep], np.full(shown.sum(), WITNESS)]), *both)
 
-    return runs.repartition("k").sortWithinPartitions("k", "c", "kid", "place").mapInArrow(run, MARK)
+    return runs.repartition("k").sortWithinPartitions("k", "c", "kid", "tag", "place").mapInArrow(run, MARK)
 
 
 def repeated_spans(
@@ -240,8 +238,8 @@ def repeated_spans(
     sizes = sizes.where(F.col("differ") & (F.col("apart") | F.lit(not earlier))).select("k", (F.col("runs") > group).alias("wide"))
     needed = (
         open_.join(sizes, "k")
-        .groupBy("kid", (F.col("place").bitwiseAND(TAG)).alias("tag"))
-        .agg(F.collect_list(F.struct("k", "place", (F.col("kind") == WITNESS).alias("witness"), "wide")).alias("needs"))
+        .groupBy("kid", "tag")  # a set, since equal rows ask for the same
+        .agg(F.collect_set(F.struct("k", "place", (F.col("kind") == WITNESS).alias("witness"), "wide")).alias("needs"))
     )
     w = sampling.window
 
@@ -249,12 +247,14 @@ def repeated_spans(
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, sampling.slice):
             take = cut(part["text"])
-            out = {"k": [], "kid": [], "place": [], "witness": [], "wide": [], "content": []}
-            for row, (kid, needs) in enumerate(zip(part["kid"].to_pylist(), part["needs"].to_pylist(), strict=True)):
+            out = {"k": [], "kid": [], "tag": [], "place": [], "witness": [], "wide": [], "content": []}
+            owners = zip(*(part[n].to_pylist() for n in ("kid", "tag", "needs")), strict=True)
+            for row, (kid, tag, needs) in enumerate(owners):
                 for need in needs:
-                    first, count = need["place"] >> 32, need["place"] >> 24 & 255
+                    first, count = need["place"] >> 8, need["place"] & 255
                     out["k"].append(need["k"])
                     out["kid"].append(kid)
+                    out["tag"].append(tag)
                     out["place"].append(need["place"])
                     out["witness"].append(need["witness"])
                     out["wide"].append(need["wide"])
@@ -262,16 +262,16 @@ def repeated_spans(
             for at in range(0, len(out["k"]), 8192):
                 yield pa.RecordBatch.from_pydict(
                     {n: v[at : at + 8192] for n, v in out.items()},
-                    pa.schema([("k", pa.int64()), ("kid", pa.int64()), ("place", pa.int64()), ("witness", pa.bool_()), ("wide", pa.bool_()), ("content", pa.binary())]),
+                    pa.schema([*((n, pa.int64()) for n in ("k", "kid", "tag", "place")), ("witness", pa.bool_()), ("wide", pa.bool_()), ("content", pa.binary())]),
                 )
 
-    found = docs.select("kid", "tag", "text").join(needed, ["kid", "tag"]).select("kid", "text", "needs")
-    schema = "k long, kid long, place long, witness boolean, wide boolean, content binary"
+    found = docs.select("kid", "tag", "text").join(needed, ["kid", "tag"]).select("kid", "tag", "text", "needs")
+    schema = "k long, kid long, tag long, place long, witness boolean, wide boolean, content binary"
     runs = stored(found.mapInArrow(contents, schema), "open-runs")
-    span_schema = "kid long, tag int, first int, end int"
+    span_schema = "kid long, tag long, first int, end int"
 
     def span_batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         columns = list(zip(*rows, strict=True)) or [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], ["kid", "tag", "first", "end"])
 
@@ -280,12 +280,12 @@ def repeated_spans(
         current, members, rows = None, [], []
 
         def finish() -> None:
-            for i, a, b in resolve(*([m[x] for m in members] for x in (0, 2, 3))):
-                place = members[i][1]
-                rows.append((members[i][0], place & TAG, (place >> 32) + a, (place >> 32) + b))
+            for i, a, b in resolve(*([m[x] for m in members] for x in (0, 3, 4))):
+                kid, tag, place, *_ = members[i]
+                rows.append((kid, tag, (place >> 8) + a, (place >> 8) + b))
 
         for batch in batches:
-            names = ("k", "kid", "place", "content", "witness")
+            names = ("k", "kid", "tag", "place", "content", "witness")
             for k, *member in zip(*(batch[n].to_pylist() for n in names), strict=True):
                 if k != current and members:
                     finish()
@@ -299,8 +299,8 @@ def repeated_spans(
             finish()
         yield span_batch(rows)
 
-    narrow = runs.where(~F.col("wide")).select("k", "kid", "place", "content", "witness")
-    compared = narrow.repartition("k").sortWithinPartitions("k", "kid", "place").mapInArrow(compare, span_schema)
+    narrow = runs.where(~F.col("wide")).select("k", "kid", "tag", "place", "content", "witness")
+    compared = narrow.repartition("k").sortWithinPartitions("k", "kid", "tag", "place").mapInArrow(compare, span_schema)
 
     @tidy
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,15 +315,15 @@ def repeated_spans(
                 nth = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
                 at_ = bounds[row] + nth
                 hashed = [as_long(gram_hashes(mix(values + np.uint64(s)), w)[at_]) for s in (1, 2)]
-                kid, place = part["kid"].to_numpy()[row], part["place"].to_numpy()[row]
-                first = (place >> 32) + nth
+                kid, tag, place = (part[n].to_numpy()[row] for n in ("kid", "tag", "place"))
+                first = (place >> 8) + nth
                 yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, hashed), pa.array(kid), pa.array((place & TAG).astype(np.int32)), pa.array(first.astype(np.int32))],
+                    [*map(pa.array, hashed), pa.array(kid), pa.array(tag), pa.array(first.astype(np.int32))],
                     names=["h1", "h2", "kid", "tag", "first"],
                 )
 
-    single = runs.where("wide").select("kid", "place", "content").mapInArrow(
-        windows, "h1 long, h2 long, kid long, tag int, first int"
+    single = runs.where("wide").select("kid", "tag", "place", "content").mapInArrow(
+        windows, "h1 long, h2 long, kid long, tag long, first int"
     )
     totals = single.groupBy("h1", "h2").agg(F.min("kid").alias("least"), F.count("*").alias("n"))
     repeated = F.col("kid") > F.col("least") if earlier else F.col("n") > 1
@@ -334,12 +334,13 @@ def repeated_spans(
     )
     settled = marks.where(F.col("kind") == SETTLED).select(
         "kid",
-        F.col("place").bitwiseAND(TAG).cast("int").alias("tag"),
-        F.shiftright("place", 32).cast("int").alias("first"),
-        (F.shiftright("place", 32) + F.shiftright("place", 24).bitwiseAND(255) + (w - 1)).cast("int").alias("end"),
+        "tag",
+        F.shiftright("place", 8).cast("int").alias("first"),
+        (F.shiftright("place", 8) + F.col("place").bitwiseAND(255) + (w - 1)).cast("int").alias("end"),
     )
     spans = settled.unionByName(compared).unionByName(by_window)
-    return spans.groupBy("kid", "tag").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    # a set, since equal rows have the same spans: its size is bounded by the text, not by how often the row is there
+    return spans.groupBy("kid", "tag").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:

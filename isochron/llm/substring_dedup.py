@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isochron.llm.common import hash_words, keyed, tidy, words
-from isochron.llm.repeats import GROUP, TAG, Sampling, merged, repeated_spans, slices
+from isochron.llm.repeats import GROUP, Sampling, merged, repeated_spans, slices
 
 WINDOW = 13
 SAMPLING = Sampling(WINDOW, span=10, gram=1)
@@ -126,7 +126,7 @@ def without_earlier_passages(
     docs: DataFrame, id_col="doc_id", text_col="text", sampling: Sampling = SAMPLING, group: int = GROUP
 ) -> DataFrame:
     """``doc_id, n_words, n_removed, removed, kept``: removed spans of words, and the words that stay."""
-    given = keyed(docs, id_col, text_col).withColumn("tag", F.col("khash").bitwiseAND(TAG).cast("int"))
+    given = keyed(docs, id_col, text_col).withColumnRenamed("khash", "tag")
     found = repeated_spans(given, word_numbers, sampling, True, resolve(sampling.window), word_cutter, group)
     spans = "array<struct<first: int, end: int>>"
 

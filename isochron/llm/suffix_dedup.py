@@ -30,11 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from isochron.llm.common import NO_ID, gram_hashes, keyed, tidy
-from isochron.llm.repeats import GROUP, TAG, Sampling, merged, repeated_spans, slices
+from isochron.llm.repeats import GROUP, Sampling, merged, repeated_spans, slices
 
 WINDOW = 400
 SHALLOW = 64
 SAMPLING = Sampling(WINDOW, span=200, gram=8, width="u1", slice=1 << 20)
+PASSAGES = Sampling(240, span=150, gram=8, width="u1", slice=1 << 20)
+"""For passages of some 50 words, which have 300 bytes or so: every one of them covers whole windows."""
 
 
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -190,7 +192,7 @@ def without_repeated_bytes(
     docs: DataFrame, id_col="doc_id", text_col="text", sampling: Sampling = SAMPLING, group: int = GROUP
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, removed, kept``: removed spans of bytes, and the bytes that stay."""
-    given = keyed(docs, id_col, text_col).withColumn("tag", F.col("khash").bitwiseAND(TAG).cast("int"))
+    given = keyed(docs, id_col, text_col).withColumnRenamed("khash", "tag")
     found = repeated_bytes(given, sampling, group)
     spans = "array<struct<first: int, end: int>>"
 
@@ -229,19 +231,30 @@ def whole_characters(text: bytes, cuts: list[tuple[int, int]]) -> str:
     return b"".join([*kept, text[at:]]).decode("utf-8")
 
 
+def long_enough(text: bytes, cuts: list[tuple[int, int]], least_words: int, enough: int) -> list[tuple[int, int]]:
+    """The cuts that hold ``least_words`` words or more, or ``enough`` bytes, as in scripts without spaces."""
+    return [(a, b) for a, b in cuts if b - a >= enough or len(text[a:b].split()) >= least_words]
+
+
 def with_unique_texts(
-    docs: DataFrame, id_col="doc_id", text_col="text", sampling: Sampling = SAMPLING, group: int = GROUP
+    docs: DataFrame,
+    id_col="doc_id",
+    text_col="text",
+    sampling: Sampling = SAMPLING,
+    group: int = GROUP,
+    least_words: int = 0,
 ) -> DataFrame:
     """Rows of ``docs`` with all their columns, repeated bytes taken out of the text as whole characters.
 
-    A text of which nothing stays is empty; a null text stays null.
+    Repeated runs of fewer than ``least_words`` words stay where they are, unless they have ``WINDOW`` bytes or more. A
+    text of which nothing stays is empty; a null text stays null.
     """
     text = F.col(text_col).cast("string")
     given = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.coalesce(text, F.lit("")).alias("text"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("kid"),
-        F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(TAG).cast("int").alias("tag"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("tag"),
     )
     found = repeated_bytes(given.select("kid", "tag", "text"), sampling, group)
     others = [c for c in docs.columns if c != text_col]
@@ -250,7 +263,8 @@ def with_unique_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, sampling.slice):
             texts = part["text"].cast(pa.binary()).to_pylist()
-            made = [whole_characters(t, merged(s)) if s else t.decode("utf-8") for t, s in zip(texts, part["spans"].to_pylist(), strict=True)]
+            cuts = [long_enough(t, merged(s), least_words, WINDOW) for t, s in zip(texts, part["spans"].to_pylist(), strict=True)]
+            made = [whole_characters(t, own) if own else t.decode("utf-8") for t, own in zip(texts, cuts, strict=True)]
             yield pa.RecordBatch.from_arrays([part["row"], part["empty"], pa.array(made, pa.string())], names=["row", "empty", "text"])
 
     rest = F.struct(*(F.col(f"row.`{c}`").alias(c) for c in others)) if others else F.struct(F.lit(1).alias("none"))

@@ -1,5 +1,7 @@
 """Every stage against a plain version of it, on the rows that the stage before left."""
 
+import random
+
 import public_tokenizers
 import pytest
 import test_decontamination
@@ -37,8 +39,8 @@ def test_names_and_columns(results):
 
 def test_language(results):
     given, kept = rows(results[0]), rows(results[1])
-    said = rows(language.predict(results[0], language.fit(results[0])))
-    assert kept == {i: r for i, r in given.items() if said[i].lang_pred != "und" and said[i].score >= pipeline.LEAST_SCORE}
+    said = rows(language.predict(results[0], language.fit(results[0], junk=True)))
+    assert kept == {i: r for i, r in given.items() if said[i].lang_pred != "und" and said[i].score > pipeline.LEAST_SCORE}
     assert len(kept) > 0.9 * len(given)
 
 
@@ -48,24 +50,58 @@ def test_near_copies(results):
     assert kept == {i: given[i] for i, n, c in classes if i == c} and len(kept) < len(given)
 
 
-def test_unique_texts(results):
-    given, kept = rows(results[2]), rows(results[3])
+def plain_cuts(raw, window):
+    """Maximal runs of bytes that windows starting twice or more cover, of each text."""
     starts = {}
-    raw = {i: r.text.encode() for i, r in given.items()}
-    for x in raw.values():
-        for a in range(len(x) - 399):
-            k = hash(x[a : a + 400])
+    for x in raw:
+        for a in range(len(x) - window + 1):
+            k = hash(x[a : a + window])
             starts[k] = starts.get(k, 0) + 1
-    assert kept.keys() == given.keys()
-    for i, x in raw.items():
+    found = []
+    for x in raw:
         cuts = []
-        for a in range(len(x) - 399):
-            if starts[hash(x[a : a + 400])] > 1:
+        for a in range(len(x) - window + 1):
+            if starts[hash(x[a : a + window])] > 1:
                 if cuts and a <= cuts[-1][1]:
-                    cuts[-1] = (cuts[-1][0], a + 400)
+                    cuts[-1] = (cuts[-1][0], a + window)
                 else:
-                    cuts.append((a, a + 400))
-        assert kept[i].text == whole_characters(x, cuts) and kept[i].n_chars == len(kept[i].text)
+                    cuts.append((a, a + window))
+        found.append(cuts)
+    return found
+
+
+def test_unique_texts(results):
+    given, kept = rows(results[2]), rows(results[3])
+    raw = {i: r.text.encode() for i, r in given.items()}
+    assert kept.keys() == given.keys()
+    for (i, x), cuts in zip(raw.items(), plain_cuts(list(raw.values()), 240), strict=True):
+        long = [(a, b) for a, b in cuts if len(x[a:b].split()) >= 50 or b - a >= 400]
+        assert kept[i].text == whole_characters(x, long) and kept[i].n_chars == len(kept[i].text)
+
+
+def test_passages_of_over_fifty_words_go(spark):
+    """Passages that several documents share, each among words of its own; shorter ones stay."""
+    rng = random.Random(1)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.choice([2, 3, 4, 5, 6, 7, 9]))) for _ in range(n)]
+
+    passages = [words(n) for n in (51, 52, 55, 60, 80, 200)]
+    short = words(40)
+    documents, own = [], []
+    for i in range(60):
+        before, after = words(rng.randint(0, 150)), words(rng.randint(5, 150))
+        middle = passages[i % 7] if i % 7 < 6 else short
+        documents.append((i, " ".join([*before, *middle, *after]), "en", "s", 0))
+        own.append((before, after))
+    docs = spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.text for r in pipeline.unique_texts(spark, docs, SF_DIR).collect()}
+    for i, (before, after) in enumerate(own):
+        if i % 7 == 6:
+            assert found[i] == documents[i][1]
+        else:
+            assert found[i].split() == [*before, *after] or abs(len(found[i]) - len(" ".join([*before, *after]))) < 12
+            assert " ".join(passages[i % 7][2:-2]) not in found[i]
 
 
 def test_decontaminated(spark, results):

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from isochron.llm import substring_dedup as sub
 from isochron.llm import suffix_dedup as suf
@@ -99,6 +100,42 @@ def test_nulls_ties_repeats(spark):
     assert word_rows(sub.without_earlier_passages(empty)) == byte_rows(suf.without_repeated_bytes(empty)) == []
 
 
+def test_rows_without_id_whose_hashes_nearly_agree(spark):
+    """Two texts of one null id, hashes alike in their last 24 bits: what is found in one is not cut from the other."""
+    common = "the same words again and again " * 40
+
+    def tag(text):
+        return xxhash.xxh64_intdigest(text, 42) & 0xFFFFFF
+
+    seen, i = {}, 0
+    while True:
+        a, b = f"{i} {common}", " ".join(f"{i}.{k}" for k in range(300))
+        seen.setdefault(tag(a), [None, None])[0] = a
+        seen.setdefault(tag(b), [None, None])[1] = b
+        both = next((p for t in (tag(a), tag(b)) if all(p := seen[t])), None)
+        if both:
+            break
+        i += 1
+    rows = [(None, both[0]), (None, both[1]), (1, common)]
+    assert byte_rows(suf.without_repeated_bytes(frame(spark, rows))) == brute_bytes(rows, 400)
+    rows = [(1, common), (None, both[0]), (None, both[1])]
+    assert word_rows(sub.without_earlier_passages(frame(spark, rows))) == brute_words(rows, 13)
+
+
+def test_many_rows_without_id(spark):
+    """20,000 rows under one null id, some equal: nothing that is gathered for a text grows with the rows equal to it."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcde ", k=60)) for _ in range(400)]
+    rows = [(None, rng.choice(texts) + rng.choice(["", "", " " + rng.choice(texts)])) for _ in range(20_000)]
+    rows += [(None, "x" * 30 + " one text that very many rows hold " + "y" * 30)] * 20_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = byte_rows(suf.without_repeated_bytes(docs, sampling=BYTES))
+    assert found == brute_bytes(rows, 12)
+    small = rows[:600] + rows[-600:]
+    docs = spark.createDataFrame(small, "doc_id long, text string").repartition(4)
+    assert word_rows(sub.without_earlier_passages(docs, sampling=WORDS)) == brute_words(small, 5)
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
