@@ -14,9 +14,10 @@ the one shingle, without words the set is empty and links with nothing. Sets lin
 
 Equal sets are one node. Each list has a centre (a star), every node is checked against the few centres it shares most
 lists with, and components are formed; this is done ``ROUNDS`` times, for what is outside of its list's main component.
-Lists that then still hold several components are scanned whole: members outside of their list's main component meet all others, and the pairs that share as many lists as linked
-sets must, and that sizes and a parity sketch allow (all are bounds, no estimates), are checked exactly. So no link
-between different components is lost, and no pairs within a group of copies are made.
+Lists that then still hold several components are scanned whole: members outside of their list's main component meet all
+others, and the pairs that sizes and parity sketches allow (both are bounds, no estimates) are checked exactly. Pairs
+that share many lists come out of the scan in the least of those among the first ``FIRST`` of both, not in every one. So
+no link between different components is lost, and no pairs within a group of copies are made.
 
 Checks read whole texts. The members of a centre are spread over as many tasks as they need (``MEMBERS`` each), and each
 task meets the centre once.
@@ -28,9 +29,9 @@ id is its smallest id, null only if no member has one; an empty table gives an e
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 from itertools import combinations
 from math import comb, exp
 
@@ -47,10 +48,10 @@ from isochron.llm.repeats import slices
 SLICE = 1 << 21
 MEMBERS = 256
 LIST_COST = 4
-FEW = 50_000
 ROUNDS = 3
 STARS = 4
-PARITY = 4
+PARITY = 16
+FIRST = 4
 
 
 @dataclass(frozen=True)
@@ -151,7 +152,7 @@ def set_ids(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def parity(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """For each set 256 bits, each telling whether an odd number of elements falls to it."""
+    """For each set 64 * ``PARITY`` bits, each telling whether an odd number of elements falls to it."""
     n = len(bounds) - 1
     row = np.repeat(np.arange(n), np.diff(bounds))
     bit = (h & np.uint64(64 * PARITY - 1)).astype(np.int64)
@@ -205,8 +206,9 @@ def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.nd
     return np.concatenate(rows), np.concatenate(names), own_parts
 
 
-LISTS = "list long, sid long, kid long, tag long, n long, parts long, p1 long, p2 long, p3 long, p4 long"
-PARITIES = ["p1", "p2", "p3", "p4"]
+PARITIES = [f"p{i + 1}" for i in range(PARITY)]
+CARRIED = ["q1", "q2", "q3", "q4"]
+LISTS = ", ".join(f"{c} long" for c in ("list", "sid", "kid", "tag", "n", "parts", *PARITIES))
 FACTS = ["kid", "tag", "n", "parts", *PARITIES]
 
 
@@ -301,9 +303,7 @@ def checked(docs: DataFrame, facts: DataFrame, pairs: DataFrame, scheme: Scheme)
         .groupBy(F.col("doc.kid").alias("kid"), F.col("doc.tag").alias("tag"))
         .agg(F.collect_set(F.struct("centre", "task", "role", "sid")).alias("calls"))
     )
-    wanted = stored(wanted, "wanted")
-    if wanted.count() <= FEW:  # some MB; beyond that the texts are shuffled
-        wanted = F.broadcast(wanted)
+    wanted = stored(wanted, "wanted")  # so that Spark knows its bytes, and broadcasts it only where these are few
     sent = (
         docs.select("kid", "tag", "text")
         .join(wanted, ["kid", "tag"])
@@ -338,9 +338,14 @@ def checked(docs: DataFrame, facts: DataFrame, pairs: DataFrame, scheme: Scheme)
     return stored(ordered.select("text", "centre", "task", "role", "sid").mapInArrow(run, "a long, b long"), "links")
 
 
-def near_parity(scheme: Scheme, a: dict[str, Column], b: dict[str, Column]) -> Column:
+def folded(words: list[str], i: int) -> Column:
+    """Word ``i`` of the parity with ``len(CARRIED)`` words: every bit of it stands for several of the longer one."""
+    return reduce(Column.bitwiseXOR, [F.col(w) for w in words[i :: len(CARRIED)]])
+
+
+def near_parity(scheme: Scheme, a: dict[str, Column], b: dict[str, Column], words: list[str]) -> Column:
     """No more odd bits apart than linked sets of these sizes can differ in elements."""
-    apart = sum(F.bit_count(a[p].bitwiseXOR(b[p])) for p in PARITIES)
+    apart = sum(F.bit_count(a[p].bitwiseXOR(b[p])) for p in words)
     return apart * (100 + scheme.least) <= (a["n"] + b["n"]) * (100 - scheme.least)
 
 
@@ -351,7 +356,7 @@ def possible(scheme: Scheme, a: dict[str, Column], b: dict[str, Column], shared:
     """
     differing = F.floor((a["n"] + b["n"]) * (100 - scheme.least) / (100 + scheme.least))
     parts = F.when(a["n"] > b["n"], a["parts"]).when(a["n"] < b["n"], b["parts"]).otherwise(F.least(a["parts"], b["parts"]))
-    return near_parity(scheme, a, b) & (shared >= parts - differing)
+    return near_parity(scheme, a, b, CARRIED) & (shared >= parts - differing)
 
 
 def open_lists(entries: DataFrame, sets: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -406,41 +411,49 @@ def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id"
     facts = rows.where(F.col("kid").isNotNull()).select("sid", *FACTS)
     entries = rows.where(F.col("kid").isNull()).select("list", "sid")
     sets = stored(facts.groupBy("sid").agg(*(F.first(c).alias(c) for c in FACTS[2:])), "sets")
+    short = sets.select("sid", "n", "parts", *(folded(PARITIES, i).alias(p) for i, p in enumerate(CARRIED)))
 
-    def of(x: str) -> DataFrame:
-        return sets.select(F.col("sid").alias(f"{x}_sid"), *(F.col(c).alias(f"{x}_{c}") for c in FACTS[2:]))
+    def with_facts(pairs: DataFrame, given: DataFrame, can_link: Callable[[dict, dict], Column]) -> DataFrame:
+        """The pairs ``centre, sid`` whose facts, as ``given``, allow a link."""
+        names = given.columns[1:]
+
+        def of(x: str) -> DataFrame:
+            return given.select(F.col("sid").alias(f"{x}_sid"), *(F.col(c).alias(f"{x}_{c}") for c in names))
 
-    def with_facts(pairs: DataFrame, least: int) -> DataFrame:
-        """``centre, sid, shared`` with the facts of both, where linked sets can have ``least`` times as many lists."""
         both = pairs.join(of("a"), F.col("centre") == F.col("a_sid")).join(of("b"), F.col("sid") == F.col("b_sid"))
-        columns = ({c: F.col(f"{x}_{c}") for c in FACTS[2:]} for x in "ab")
-        return both.where(possible(scheme, *columns, F.col("shared") * least))
+        columns = ({c: F.col(f"{x}_{c}") for c in names} for x in "ab")
+        return both.where(can_link(*columns))
 
     links, tried = None, 0
     member = open_lists(entries, sets, None)
     while tried < ROUNDS:  # a short cut: what stars do not link has its turn below
         tried += 1
-        found = checked(given, facts, stored(with_facts(stars(member), 2).select("centre", "sid"), "stars"), scheme)
+        # a component as a whole may share twice as many lists with a set as one of its sets does
+        likely = with_facts(stars(member), short, lambda x, y: possible(scheme, x, y, F.col("shared") * 2))
+        found = checked(given, facts, stored(likely.select("centre", "sid"), "stars"), scheme)
         links = links.unionByName(found) if links else found
         member = open_lists(entries, sets, components(links))
         if found.isEmpty():
             break
-    # the parity goes with the rows, so that pairs which merely share a passage end within the join
-    member = member.join(sets.select("sid", *PARITIES), "sid")
+    # A shorter parity goes with the rows, so that pairs which merely share a passage end within the join; so do the
+    # first of a set's lists, since two sets share many lists but need to meet in one.
+    own = F.slice(F.array_sort(F.collect_list("list")), 1, FIRST).alias("first")  # a set's lists, no more
+    member = member.join(short.select("sid", *CARRIED), "sid").join(member.groupBy("sid").agg(own), "sid")
     a, b = member.where("component != main").alias("a"), member.alias("b")
     apart = (F.col("a.component") != F.col("b.component")) & (
         (F.col("b.component") == F.col("b.main")) | (F.col("a.sid") < F.col("b.sid"))
     )
-    columns = lambda x: {c: F.col(f"{x}{c}") for c in ("n", *PARITIES)}
+    columns = lambda x: {c: F.col(f"{x}{c}") for c in ("n", *CARRIED)}
     sizes = (100 * F.col("a.n") >= scheme.least * F.col("b.n")) & (100 * F.col("b.n") >= scheme.least * F.col("a.n"))
-    pairs = (
-        a.join(b, (F.col("a.list") == F.col("b.list")) & apart & sizes & near_parity(scheme, columns("a."), columns("b.")))
-        .groupBy(F.least("a.sid", "b.sid").alias("centre"), F.greatest("a.sid", "b.sid").alias("sid"))
-        .agg(F.count("*").alias("shared"))
-    )
-    more = checked(given, facts, stored(with_facts(pairs, 1).select("centre", "sid"), "pairs"), scheme)
-    whole = components(links.unionByName(more))
-    placed = facts.join(whole.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
+    met_before = F.array_min(F.array_intersect("a.first", "b.first")) < F.col("a.list")
+    once = F.when(near_parity(scheme, columns("a."), columns("b."), CARRIED), ~F.coalesce(met_before, F.lit(False))).otherwise(F.lit(False))
+    met = a.join(b, (F.col("a.list") == F.col("b.list")) & apart & sizes & once)
+    pairs = met.select(F.least("a.sid", "b.sid").alias("centre"), F.greatest("a.sid", "b.sid").alias("sid")).distinct()
+    whole = sets.select("sid", "n", *PARITIES)
+    pairs = with_facts(pairs, whole, lambda x, y: near_parity(scheme, x, y, PARITIES)).select("centre", "sid")
+    more = checked(given, facts, stored(pairs, "pairs"), scheme)
+    classes = components(links.unionByName(more))
+    placed = facts.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left").select(
         "kid", "tag", "n", F.coalesce("component", "sid").alias("node")
     )
     least = placed.where("n > 0").groupBy("node").agg(F.min("kid").alias("least"))
