@@ -19,12 +19,12 @@ from isochron.llm.common import shared_folder
 from isochron.llm.decontamination import without_contaminated
 from isochron.llm.jaccard import Scheme, one_of_each
 from isochron.llm.packing import pack
-from isochron.llm.suffix_dedup import with_unique_texts
+from isochron.llm.suffix_dedup import PASSAGES, with_unique_texts
 from isochron.session import ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-LEAST_SCORE = 0.3
-"""Hardly above chance. Texts in two languages, and short ones among numbers, score about 0.4 to 0.5 and stay."""
+LEAST_SCORE = 0.25
+"""Of being in any language, by a network that also knows what is in none; texts that are half junk pass."""
 
 
 def with_code(stage: Stage) -> Stage:
@@ -41,7 +41,7 @@ def with_code(stage: Stage) -> Stage:
 @with_code
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without a letter, or like no language, go."""
-    return language.keep_identified(docs, language.fit(docs), LEAST_SCORE)
+    return language.keep_identified(docs, language.fit(docs, junk=True), LEAST_SCORE)
 
 
 @with_code
@@ -52,8 +52,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 @with_code
 def unique_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 400 bytes that stand elsewhere, too; ``n_chars`` follows."""
-    return with_unique_texts(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Texts without the passages of 50 words or more (or 400 bytes) that stand elsewhere, too; ``n_chars`` follows."""
+    return with_unique_texts(docs, sampling=PASSAGES, least_words=50).withColumn("n_chars", F.length("text").cast("long"))
 
 
 @with_code
