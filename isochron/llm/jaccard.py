@@ -48,6 +48,8 @@ from isochron.llm.repeats import slices
 SLICE = 1 << 21
 MEMBERS = 256
 LIST_COST = 4
+CALL_BYTES, BROADCAST_BYTES = 48, 8 << 20
+"""Bytes of a call or a row of them, as Spark lays them out, and as many as are broadcast."""
 ROUNDS = 3
 STARS = 4
 PARITY = 16
@@ -303,7 +305,10 @@ def checked(docs: DataFrame, facts: DataFrame, pairs: DataFrame, scheme: Scheme)
         .groupBy(F.col("doc.kid").alias("kid"), F.col("doc.tag").alias("tag"))
         .agg(F.collect_set(F.struct("centre", "task", "role", "sid")).alias("calls"))
     )
-    wanted = stored(wanted, "wanted")  # so that Spark knows its bytes, and broadcasts it only where these are few
+    wanted = stored(wanted, "wanted")
+    calls, texts = wanted.agg(F.coalesce(F.sum(F.size("calls")), F.lit(0)), F.count("*")).first()
+    if CALL_BYTES * (calls + texts) <= BROADCAST_BYTES:  # beyond that the texts are shuffled
+        wanted = F.broadcast(wanted)
     sent = (
         docs.select("kid", "tag", "text")
         .join(wanted, ["kid", "tag"])
