@@ -36,7 +36,7 @@ def _number(raw: Column, spark_type: str = "float") -> Column:
     spellings NaN and Infinity are numbers here. Words can only give a result that is not finite, so
     no other cell is searched for them."""
     text = F.trim(raw)
-    number = text.try_cast(spark_type)
+    number = F.when(text != "", text.try_cast(spark_type))  # a blank would fail by an exception in each cell
     if spark_type not in ("float", "double"):
         return number.cast("double")
     number = number.cast("double")

@@ -261,3 +261,18 @@ def test_profile(spark, cells, stations):
     assert (coverage["hly"]["estimated_rows"], coverage["dly"]["estimated_rows"]) == (0, None)
     assert all(r["is_common"] for r in result.availability.collect())
     assert result.partial_holders.count() == 0
+
+
+def test_a_line_in_the_standard_layout_is_split_once(spark, folder):
+    rows = fixed_rows(file_lines(list_files(spark, str(folder)), fixed_layout=True), "hly")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(line") == 1
+
+
+def test_blank_cells_are_not_tried(spark):
+    rows = spark.createDataFrame([("hly", ",".join(["2020-01-01 00:00:00", "1", "0.5", *[""] * 18]))], "file_type string, line string")
+    rows = fixed_rows(rows.withColumn("station", F.lit(1)), "hly")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(") == plan.count("THEN try_cast(") + plan.count("ELSE try_cast(")
+    found = rows.first()
+    assert (found["irain"], found["rain"], found["temp"], found["vappr"], found["rhum"], found["ww"]) == (1, 0.5, None, 0.0, 0, None)
