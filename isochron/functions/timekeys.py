@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 # The date-time format of a reading and the row-key format.
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+USUAL_LENGTH = len(DATETIME_FORMAT)
 KEY_HOUR_FORMAT = "yyyyMMddHH"
 KEY_PREFIX = "r-"
 
@@ -68,10 +69,12 @@ def shown_time(ts: Column, fmt: str = DATETIME_FORMAT) -> Column:
 
 def file_time(text: Column) -> Column:
     """Reading time from the date text of a file. Text of no known form is an error."""
-    parsed = F.to_timestamp_ntz(text, F.lit(DATETIME_FORMAT))
+    usual = F.to_timestamp_ntz(text, F.lit(DATETIME_FORMAT))
+    parsed = usual
     for pattern, fmt in reversed(FILE_DATE_FORMS):
         parsed = F.when(text.rlike(pattern), F.to_timestamp_ntz(text, F.lit(fmt))).otherwise(parsed)
-    return parsed
+    # None of the forms is as long as the usual one, which then needs no patterns.
+    return F.when(F.length(text) == USUAL_LENGTH, usual).otherwise(parsed)
 
 
 def ntz_literal(moment: datetime | str) -> Column:

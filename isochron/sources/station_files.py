@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from typing import BinaryIO
 
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +39,7 @@ BLANK_IS_ZERO = ("vappr", "rhum", "wddir")
 
 CHUNK = 1 << 20
 _CHUNK_SCHEMA = "path string, station int, file_type string, header string, first_line bigint, chunk string"
+_CHUNK_TYPES = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string())
 _BLANKS = " \t\r\n\x0b\x0c"
 _LEGEND = re.compile(r":\s+-")  # fixed value: a legend line says ``name: - meaning``
 _FULL_LINE = re.compile(rf"^[{_BLANKS}]*[^{_BLANKS}]", re.M)
@@ -49,7 +50,10 @@ def _is_preamble(line: str) -> bool:
 
 
 def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None, chunk: int) -> Callable:
-    """``mapInPandas`` function: header and text of each zip, cut at line ends into chunks of some ``chunk`` letters."""
+    """``mapInArrow`` function: header and text of each zip, cut at line ends into chunks of some ``chunk`` letters.
+
+    Small files share a batch, which is handed on as soon as it holds ``chunk`` letters.
+    """
 
     def chunks_of(packed: BinaryIO, name: str, file_type: str) -> Iterator[tuple[str, int, str]]:
         with zipfile.ZipFile(packed) as archive, archive.open(f"{name}.csv") as stream:
@@ -72,18 +76,31 @@ def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None
             if rest and (max_rows is None or number < max_rows):
                 yield header, number, rest
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, letters = [], 0
         for files in batches:
-            for file in files.itertuples(index=False):
-                packed = io.BytesIO(file.content) if hasattr(file, "content") else opened(file.path)
+            names = [files.schema.names.index(n) for n in ("path", "station", "file_type")]
+            for i in range(files.num_rows):
+                path, station, file_type = (files.column(n)[i].as_py() for n in names)
+                packed = io.BytesIO(files["content"][i].as_py()) if "content" in files.schema.names else opened(path)
                 with packed:
-                    for part in chunks_of(packed, f"{file.file_type}{file.station}", file.file_type):
-                        out = (file.path, file.station, file.file_type, *part)
-                        yield pd.DataFrame([out], columns=[c.split()[0] for c in _CHUNK_SCHEMA.split(", ")])
+                    for part in chunks_of(packed, f"{file_type}{station}", file_type):
+                        held.append((path, station, file_type, *part))
+                        letters += len(part[2])
+                        if letters >= chunk:
+                            yield _batch(held)
+                            held, letters = [], 0
+        if held:
+            yield _batch(held)
 
     return run
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _CHUNK_TYPES, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _CHUNK_SCHEMA.split(", ")])
+
+
 def opened(path: str) -> BinaryIO:
     """A file by its full path, on any file system that Arrow knows (local, HDFS, object stores), for random access."""
     system, name = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
@@ -169,8 +186,10 @@ def file_lines(
     The header is the first line that is not preamble (empty, starting in upper case, or a
     ``name: - meaning`` legend line), however far down it stands; a file without one is an error. With
     ``fixed_layout`` the number of lines to skip and the columns are those of the standard files. Files without a
-    ``content`` are opened by path, spread over tasks by it. Python unzips and looks for the header; chunks are split into
-    lines by Spark.
+    ``content`` are opened by path, spread over tasks by it: as many as there are shuffle partitions, however short the
+    list of paths is. Python unzips and looks for the header; chunks are split into lines by Spark.
+
+    ``measures`` are the names of the columns, which a file has once and its lines share.
     """
     known = None
     if fixed_layout:
@@ -178,15 +197,22 @@ def file_lines(
     if "content" in files.columns:
         given = files.select("path", "station", "file_type", "content")
     else:
-        given = files.select("path", "station", "file_type").repartition("path")
-    chunks = given.mapInPandas(_unzip(known, max_rows, chunk), _CHUNK_SCHEMA)
+        # With a number: else adaptive execution would see a short list of names and open every file in one task.
+        given = files.select("path", "station", "file_type").repartition(_tasks(files.sparkSession), "path")
+    chunks = given.mapInArrow(_unzip(known, max_rows, chunk), _CHUNK_SCHEMA)
+    chunks = chunks.withColumn("measures", _column_names(F.col("header")))
     lines = F.transform(F.split("chunk", "\n"), lambda line: F.trim(line, F.lit(_BLANKS)))
     numbered = chunks.select("*", F.posexplode(F.filter(lines, lambda line: line != "")).alias("nth", "line"))
     line_no = F.col("first_line") + F.col("nth")
-    found = numbered.select("path", "station", "file_type", "header", line_no.alias("line_no"), "line")
+    found = numbered.select("path", "station", "file_type", "header", "measures", line_no.alias("line_no"), "line")
     return found if max_rows is None else found.filter(F.col("line_no") < max_rows)
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Tasks that open files: never fewer than twice the cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def _column_names(header: Column) -> Column:
     """Measure names from a header: an ``ind`` column is named ``ind_<the column after it>``."""
     names = F.split(header, ",")
@@ -203,7 +229,7 @@ def line_cells(lines: DataFrame) -> DataFrame:
     ``series`` is ``<measure>_<station>``; blank cells of the numeric measures read as 0. A cell that is not blank
     beyond the header's columns is an error.
     """
-    names = _column_names(F.col("header"))
+    names = F.col("measures")
     cells = F.arrays_zip(
         F.sequence(F.lit(0), F.size(names) - 1).alias("position"),
         names.alias("measure"),

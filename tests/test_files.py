@@ -2,13 +2,15 @@
 
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from isochron.functions.timekeys import file_time
 from isochron.operators.gaps import line_gaps, missing_hours
 from isochron.operators.profile import station_gaps
 from isochron.plans.stations import load_readings, profile, station_cells
-from isochron.sources.station_files import contents, file_lines, fixed_rows, line_cells, list_files, preferred_files, unknown_files
+from isochron.sources.station_files import _unzip, contents, file_lines, fixed_rows, line_cells, list_files, preferred_files, unknown_files
 from isochron.sources.stations import choose_stations, read_stations, read_stations_checked
 
 STATION_TEXT = """Station details: extracted 2020
@@ -263,6 +265,14 @@ def test_profile(spark, cells, stations):
     assert result.partial_holders.count() == 0
 
 
+def test_files_are_opened_by_many_tasks(spark, tmp_path):
+    """A list of names is short, so adaptive execution would have all files opened by one task."""
+    for n in range(40):
+        put(tmp_path, f"hly{n + 1}", HOURLY)
+    lines = file_lines(list_files(spark, str(tmp_path)).drop("location"))
+    assert lines.select(F.spark_partition_id().alias("task")).distinct().count() > 2
+
+
 def test_a_line_in_the_standard_layout_is_split_once(spark, folder):
     rows = fixed_rows(file_lines(list_files(spark, str(folder)), fixed_layout=True), "hly")
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
@@ -276,3 +286,24 @@ def test_blank_cells_are_not_tried(spark):
     assert plan.count("try_cast(") == plan.count("THEN try_cast(") + plan.count("ELSE try_cast(")
     found = rows.first()
     assert (found["irain"], found["rain"], found["temp"], found["vappr"], found["rhum"], found["ww"]) == (1, 0.5, None, 0.0, 0, None)
+
+
+def test_small_files_share_a_batch(tmp_path):
+    for n in range(5):
+        put(tmp_path, f"hly{n}", HOURLY)
+    paths = pa.array([f"{tmp_path}/hly{n}.zip" for n in range(5)])
+    files = pa.RecordBatch.from_arrays([paths, pa.array(range(5), pa.int32()), pa.array(["hly"] * 5)], names=["path", "station", "file_type"])
+    whole = list(_unzip(None, None, 1 << 20)(iter([files])))
+    assert [b.num_rows for b in whole] == [5]
+    apart = list(_unzip(None, None, 64)(iter([files])))
+    assert len(apart) == 5
+    for n in range(5):
+        text = ["\n".join(r["chunk"] for b in found for r in b.to_pylist() if r["station"] == n).split() for found in (whole, apart)]
+        assert text[0] == text[1]
+
+
+def test_usual_times_need_no_patterns(spark):
+    texts = ["2020-01-02 03:04:05", "2020-01-02 03:04", "2020-01-02", "02-jan-2020 03:04", "02-Jan-2020"]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", file_time(F.col("t")).alias("ts"))
+    times = [str(r["ts"]) for r in found.orderBy("i").collect()]
+    assert times == ["2020-01-02 03:04:05", "2020-01-02 03:04:00", "2020-01-02 00:00:00", "2020-01-02 03:04:00", "2020-01-02 00:00:00"]
