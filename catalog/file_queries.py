@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,16 +22,16 @@ from isochron.sources.stations import STATION_SCHEMA, STATION_TITLE, read_statio
 def write_files(files: DataFrame, folder: str) -> str:
     """Files ``path, content`` written below a folder, each by the task that holds it; gives the folder."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
+        system.create_dir(root, recursive=True)  # where tasks have a file system of their own
         for batch in batches:
-            for file in batch.itertuples(index=False):
-                system, name = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", f"{folder}/{file.path}"))
-                system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-                with system.open_output_stream(name) as stream:
-                    stream.write(file.content)
-            yield batch[["path"]]
-
-    files.select("path", "content").mapInPandas(run, "path string").write.mode("overwrite").format("noop").save()
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                with system.open_output_stream(f"{root}/{path.as_py()}") as stream:
+                    stream.write(content.as_buffer())
+            yield batch.select(["path"])
+
+    files.select("path", "content").mapInArrow(run, "path string").write.mode("overwrite").format("noop").save()
     return folder
 
 
@@ -81,16 +81,10 @@ def disordered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = F.when(F.col("n") % 7 == 3, 10 * F.col("n") + 5)
     moment = F.expr("TIMESTAMP_NTZ '2020-01-01 00:00:00' + make_dt_interval(0, hour, 0, 0)")
     lines = numbered.select("station", moment.alias("ts"), F.explode(F.array(here, again)).alias("place")).where("place IS NOT NULL")
-    cells = lines.select(
-        "station", F.lit("hly").alias("file_type"), F.substring(F.col("ts").cast("string"), 1, 19).alias("stamp"), "place"
-    )
-
-    def packed(own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values("place")
-        rows = (own["stamp"] + ",0,1.5").tolist()
-        return station.zip_of("hly", int(own["station"].iloc[0]), ["Station Name: supplier", "", "date,ind,rain", *rows])
-
-    return cells.groupBy("station").applyInPandas(packed, station._FILE_SCHEMA)
+    rows = F.sort_array(F.collect_list(F.struct("place", F.concat(F.substring(F.col("ts").cast("string"), 1, 19), F.lit(",0,1.5")).alias("line"))))
+    files = lines.groupBy("station").agg(F.array_join(rows["line"], "\n").alias("body"))
+    text = F.concat(F.lit("Station Name: supplier\n\ndate,ind,rain\n"), "body", F.lit("\n"))
+    return station.zip_files(files.select("station", F.lit("hly").alias("file_type"), text.alias("text")))
 
 
 @job(f"WITH {FILE_ORDER} SELECT station, 'hly' AS file_type, line_no, missing_ts, ts AS next_ts FROM gaps")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -543,26 +543,33 @@ _FILE_SCHEMA = "path string, file_type string, station int, content binary"
 _PREAMBLE = ["Station Name: supplier", "", "date:  -  Date and Time (utc)", "rain:  -  Precipitation Amount (mm)"]
 
 
-def _zip_file(own: pd.DataFrame, fixed_layout: bool, legend: int = 0) -> pd.DataFrame:
-    station, kind = int(own["station"].iloc[0]), own["file_type"].iloc[0]
-    if not fixed_layout:
-        header, preamble = "date,ind,rain,ind,temp", [*_PREAMBLE, *["Legend"] * legend]
-        lines = own["stamp"] + ",0," + own["rain"] + "," + own["mark"] + "," + own["temp"]
-    else:
-        columns = HOURLY_COLUMNS if kind == "hly" else DAILY_COLUMNS
-        header, preamble = ",".join(columns), ["Legend"] * (23 if kind == "hly" else 9)
-        empty = "," * (len(columns) - 3)
-        lines = own["stamp"] + ",0," + own["rain"] + empty
-    return zip_of(kind, station, [*preamble, header, *lines.loc[own["stamp"].sort_values().index]])
-
-
-def zip_of(kind: str, station: int, lines: list[str]) -> pd.DataFrame:
+def zip_of(kind: str, station: int, text: str) -> bytes:
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-        archive.writestr(f"{kind}{station}.csv", "\n".join(lines) + "\n")
-    return pd.DataFrame(
-        {"path": [f"{kind}{station}.zip"], "file_type": [kind], "station": [station], "content": [packed.getvalue()]}
-    )
+        archive.writestr(f"{kind}{station}.csv", text)
+    return packed.getvalue()
+
+
+def zip_files(texts: DataFrame) -> DataFrame:
+    """A zipped file for each row ``station, file_type, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stations, kinds = batch["station"].to_pylist(), batch["file_type"].to_pylist()
+            paths = [f"{k}{s}.zip" for k, s in zip(kinds, stations, strict=True)]
+            packed = [zip_of(k, s, t.as_py()) for k, s, t in zip(kinds, stations, batch["text"], strict=True)]
+            columns = [pa.array(paths, pa.string()), batch["file_type"], batch["station"], pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "file_type", "station", "content"])
+
+    return texts.select("station", "file_type", "text").mapInArrow(run, _FILE_SCHEMA)
+
+
+def _start(kind: str, fixed_layout: bool, legend: int) -> tuple[str, str]:
+    """What stands above the lines of a file, and what ends each line."""
+    if not fixed_layout:
+        return "\n".join([*_PREAMBLE, *["Legend"] * legend, "date,ind,rain,ind,temp", ""]), ""
+    columns = HOURLY_COLUMNS if kind == "hly" else DAILY_COLUMNS
+    return "\n".join([*["Legend"] * (23 if kind == "hly" else 9), ",".join(columns), ""]), "," * (len(columns) - 3)
 
 
 def supplier_files(spark: SparkSession, sf_dir: str, fixed_layout: bool = False, legend: int = 0) -> DataFrame:
@@ -570,17 +577,21 @@ def supplier_files(spark: SparkSession, sf_dir: str, fixed_layout: bool = False,
     days = lines.groupBy(F.col("l_suppkey").cast("int").alias("station"), F.col("l_shipdate").alias("ts")).agg(
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"), F.count(F.lit(1)).alias("n")
     )
+    cells = [F.coalesce(F.substring(F.col("ts").cast("string"), 1, 19), F.lit("")), F.lit("0")]
+    cells.append(F.coalesce(F.col("quantity").cast("string"), F.lit("")))
+    if not fixed_layout:
+        cells.append(F.when(F.col("n") > 1, F.col("n").cast("string")).otherwise(""))
+        cells.append(F.when(F.col("n") > 2, F.lit("  ")).otherwise(F.col("n").cast("string")))
+    # A file holds one line per calendar day, so its size does not grow with the table. Lines begin with their time.
+    ordered = F.sort_array(F.collect_list(F.concat_ws(",", *cells)))
+    bodies = days.groupBy("station").agg(F.concat(F.array_join(ordered, "\n"), F.lit("\n")).alias("body"))
     kinds = F.when(F.col("station") % 2 == 0, F.array(F.lit("hly"), F.lit("dly"))).otherwise(F.array(F.lit("dly")))
-    days = days.select(
-        "station",
-        F.explode(kinds).alias("file_type"),
-        F.substring(F.col("ts").cast("string"), 1, 19).alias("stamp"),
-        F.col("quantity").cast("string").alias("rain"),
-        F.when(F.col("n") > 1, F.col("n").cast("string")).otherwise("").alias("mark"),
-        F.when(F.col("n") > 2, F.lit("  ")).otherwise(F.col("n").cast("string")).alias("temp"),
-    )
-    # A file holds one line per calendar day, so its size does not grow with the table.
-    return days.groupBy("station", "file_type").applyInPandas(lambda own: _zip_file(own, fixed_layout, legend), _FILE_SCHEMA)
+    text = {}
+    for kind in ("hly", "dly"):
+        above, end = _start(kind, fixed_layout, legend)
+        text[kind] = F.concat(F.lit(above), F.replace("body", F.lit("\n"), F.lit(end + "\n")) if end else F.col("body"))
+    files = bodies.select("station", "body", F.explode(kinds).alias("file_type"))
+    return zip_files(files.withColumn("text", F.when(F.col("file_type") == "hly", text["hly"]).otherwise(text["dly"])))
 
 
 SUPPLIER_DAYS = """days AS (
