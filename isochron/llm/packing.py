@@ -38,20 +38,23 @@ from isochron.llm.token_counts import PLAIN, byte_symbols
 
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 """Fixed value: the split pattern of the vocabulary file, for plain texts."""
-MEMO = 120_000
-"""Units whose ids a worker keeps, the first that it meets; later ones are encoded once a slice."""
+MEMO = 400_000
+"""Units and pre-tokens whose ids a worker keeps, the first that it meets; later ones are encoded once a slice."""
 SLICE = 1 << 22
 
 
 class PieceIds(dict):
-    """Ids of the pre-tokens of plain texts, asked of the library's model; the first ``MEMO`` met are kept."""
+    """Ids of the pre-tokens of plain texts, asked of the library's model, and of units made of them.
+
+    The first ``MEMO`` met are kept. A unit that is one pre-token has its ids, so both are kept under their text.
+    """
 
     def __init__(self, model):
         self.model = model
         self.shown = byte_symbols()
 
     def __missing__(self, piece: str) -> bytes:
-        shown = piece.encode("utf-8").decode("latin-1").translate(self.shown)
+        shown = (piece if piece.isascii() else piece.encode("utf-8").decode("latin-1")).translate(self.shown)
         ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         if len(self) < MEMO:
             self[piece] = ids
@@ -70,7 +73,6 @@ class IdEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
         self.pieces = PieceIds(self.library.model)
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -92,13 +94,12 @@ class IdEncoder:
         marked = pc.replace_substring(pa.array(texts, pa.large_string()), " ", "\0 ")
         units = pc.split_pattern(marked, "\0").cast(pa.large_list(pa.large_string()))
         bounds, coded = units.offsets.to_numpy(), units.flatten().dictionary_encode()
-        names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        found = list(map(self.memo.get, names))
-        unknown = [i for i, x in enumerate(found) if x is None]
-        for i in unknown:
+        names, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        found = list(map(self.pieces.get, names))
+        for i in [i for i, x in enumerate(found) if x is None]:
             found[i] = b"".join(map(self.pieces.__getitem__, PIECES.findall(names[i])))
-        if len(self.memo) < MEMO:
-            self.memo.update((names[i], found[i]) for i in unknown)
+            if len(self.pieces) < MEMO:
+                self.pieces[names[i]] = found[i]
         flat = np.frombuffer(b"".join(found), "<u4")
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         first = (np.cumsum(size) - size)[codes]

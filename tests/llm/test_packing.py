@@ -93,3 +93,22 @@ def test_spaces_do_not_matter(spark):
     texts = [" a", "a ", "a  b", "a \n b", "a\n b", "a \nb", "a\n\n b c\t d", "\n", " ", "a\x0bb c", "don't 'll 've", "end.\nNext one"]
     found = IdEncoder(PATH)(texts)
     assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x[:-1] for x in library_ids(texts)]
+
+
+def test_a_word_is_asked_of_the_library_once():
+    """Of words in plenty, too; a unit that is one pre-token and the pre-token in a longer unit are one word."""
+    encode, asked = IdEncoder(PATH), []
+    model = encode.pieces.model
+
+    class Counted:
+        def tokenize(self, shown):
+            asked.append(shown)
+            return model.tokenize(shown)
+
+    encode.pieces.model = Counted()
+    names = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100 % 6]}{chr(97 + i // 600 % 26)}{chr(97 + i // 15600)}" for i in range(150_000)]
+    first = encode(["x " + " ".join(names)])
+    assert len(asked) == len(set(asked)) == 150_001
+    assert encode(["x " + " ".join(names)]) == first and len(asked) == 150_001
+    text = f"x {names[-1]}, {names[-2]}. x"
+    assert encode([text]) == encode.ids([text]) and len(asked) <= 150_004
