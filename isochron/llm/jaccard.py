@@ -15,9 +15,14 @@ the one shingle, without words the set is empty and links with nothing. Sets lin
 Equal sets are one node. Each list has a centre (a star), every node is checked against the few centres it shares most
 lists with, and components are formed; this is done ``ROUNDS`` times, for what is outside of its list's main component.
 Lists that then still hold several components are scanned whole: members outside of their list's main component meet all
-others, and the pairs that sizes and parity sketches allow (both are bounds, no estimates) are checked exactly. Pairs
-that share many lists come out of the scan in the least of those among the first ``FIRST`` of both, not in every one. So
-no link between different components is lost, and no pairs within a group of copies are made.
+others, and the pairs that sizes and parity sketches allow (both are bounds, no estimates) are checked exactly.
+
+A set also knows how many lists of a class it must share with any linked one: its filled parts, less as many as linked
+sets can differ in elements. A set with fewer lists than that has no link there, and one with more may leave out its
+longest ones, all but one of those it must share: linked sets meet in what is left. Most documents that merely have a
+passage in common share a few long lists and so do not meet. Pairs that share many lists come out of the scan in the least
+of those among the first ``FIRST`` of both, not in every one. So no link between different components is lost, and no
+pairs within a group of copies are made.
 
 Checks read whole texts. The members of a centre are spread over as many tasks as they need (``MEMBERS`` each), and each
 task meets the centre once.
@@ -38,7 +43,7 @@ from math import comb, exp
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isochron.llm.common import NO_ID, as_long, gram_hashes, hash_words, keyed, mix, stored, tidy, words
@@ -53,7 +58,7 @@ CALL_BYTES, BROADCAST_BYTES = 48, 8 << 20
 ROUNDS = 3
 STARS = 4
 PARITY = 16
-FIRST = 4
+FIRST = 12
 
 
 @dataclass(frozen=True)
@@ -71,6 +76,11 @@ class Scheme:
         """Elements of a set of n that a linked set can lack."""
         return n - -(-self.least * n // 100)
 
+    def shared(self, n: int, filled: int, c: int) -> int:
+        """Fewest lists of class c that a set of n with so many filled parts has in common with a linked set there."""
+        other = min(100 * n // self.least, self.bounds[c + 1] - 1)
+        return max(filled - (n + other) * (100 - self.least) // (100 + self.least), 1)
+
     def subsets(self, n: int) -> int:
         return sum(comb(n, d) for d in range(self.missing(n) + 1))
 
@@ -162,11 +172,15 @@ def parity(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(n, -1), axis=1, bitorder="little").view("<i8")
 
 
-def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row of each list entry, and the list's name; and for each row its filled parts in its own class, at least 0."""
+def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, ...]:
+    """Row of each list entry, the list's name and kind; and for each row its filled parts in its own class, at least 0.
+
+    A kind is 0 where one list in common may be all, else the class and, below it, ``Scheme.shared`` in 32 bits.
+    """
     size = np.diff(bounds)
     spread = mix(h ^ np.uint64(0x2545F4914F6CDD1D))
     rows, names, own_parts = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], np.zeros(len(size), np.int64)
+    kinds = [np.empty(0, np.int64)]
     with np.errstate(over="ignore"):
         for i in np.flatnonzero((size > 0) & (size <= scheme.light)):
             own = spread[bounds[i] : bounds[i + 1]]
@@ -176,6 +190,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.nd
                 left = whole - np.array(without, np.uint64) + np.uint64(len(own) - d)
                 names.append(mix(left))
                 rows.append(np.full(len(left), i))
+                kinds.append(np.zeros(len(left), np.int64))
         # sets that a heavy one can link with are listed the heavy way, too
         heavy = np.flatnonzero(100 * size >= scheme.least * (scheme.light + 1))
         entries = [(i, c, k == 0) for i in heavy for k, c in enumerate(scheme.classes(int(size[i])))]
@@ -199,23 +214,28 @@ def signatures(h: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> tuple[np.nd
             rows.append(row[of][filled > 0])
             names.append(name[filled > 0])
             full = np.add.reduceat((filled > 0).astype(np.int64), offset)
+            facts = zip(size[row].tolist(), full.tolist(), cls.tolist(), strict=True)
+            kind = np.array([(c + 1) << 32 | scheme.shared(n, f, c) for n, f, c in facts], np.int64)
+            kinds.append(kind[of][filled > 0])
             own = (first == 1) & (size[row] > scheme.light)
             own_parts[row[own]] = full[own]
             for i in np.unique(row[parts - full > slack]):  # too few parts to rely on
                 prefix = h[bounds[i] : bounds[i] + scheme.missing(int(size[i])) + 1]
                 names.append(mix(prefix ^ np.uint64(0x9E6C63D0876A9A47)))
                 rows.append(np.full(len(prefix), i))
-    return np.concatenate(rows), np.concatenate(names), own_parts
+                kinds.append(np.zeros(len(prefix), np.int64))
+    return np.concatenate(rows), np.concatenate(names), np.concatenate(kinds), own_parts
 
 
 PARITIES = [f"p{i + 1}" for i in range(PARITY)]
 CARRIED = ["q1", "q2", "q3", "q4"]
-LISTS = ", ".join(f"{c} long" for c in ("list", "sid", "kid", "tag", "n", "parts", *PARITIES))
+LISTS = ", ".join(f"{c} long" for c in ("list", "sid", "kind", "kid", "tag", "n", "parts", *PARITIES))
 FACTS = ["kid", "tag", "n", "parts", *PARITIES]
+NEED = "(kind & 4294967295)"
 
 
 def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """Two kinds of rows: ``list, sid`` for each list entry, and the facts of each document with a random list."""
+    """Two kinds of rows: ``list, sid, kind`` for each list entry, and the facts of each document with a random list."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,13 +250,13 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
             anywhere = as_long(mix(kid.view(np.uint64) + tag.view(np.uint64)))
             _, one, of = np.unique(sid, return_index=True, return_inverse=True)  # equal sets of the slice are listed once
             listed, held = h_of(h, bounds, one)
-            row, name, full = signatures(listed, held, scheme)
-            facts = [anywhere, as_long(sid), kid, tag, size, full[of], *bits.T]
+            row, name, kind, full = signatures(listed, held, scheme)
+            facts = [anywhere, as_long(sid), np.zeros(len(sid), np.int64), kid, tag, size, full[of], *bits.T]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in facts], names=names)
             for at in range(0, len(row), 1 << 18):
                 own = slice(at, at + (1 << 18))
-                columns = [pa.array(as_long(name[own])), pa.array(as_long(sid[one][row[own]]))]
-                nulls = [pa.nulls(len(columns[0]), pa.int64()) for _ in names[2:]]
+                columns = [pa.array(as_long(name[own])), pa.array(as_long(sid[one][row[own]])), pa.array(kind[own])]
+                nulls = [pa.nulls(len(columns[0]), pa.int64()) for _ in names[3:]]
                 yield pa.RecordBatch.from_arrays([*columns, *nulls], names=names)
 
     return docs.select("text", "kid", "tag").mapInArrow(run, LISTS)
@@ -265,25 +285,25 @@ def lists_of_several(rows: DataFrame) -> DataFrame:
             facts = batch.filter(fact)
             if facts.num_rows:
                 yield facts
-            name, sid = (x.to_numpy() for x in batch.filter(pc.invert(fact)).columns[:2])
+            name, sid, kind = (x.to_numpy() for x in batch.filter(pc.invert(fact)).columns[:3])
             if held is not None:
-                name, sid = np.concatenate([held[0], name]), np.concatenate([held[1], sid])
+                name, sid, kind = (np.concatenate(x) for x in zip(held, (name, sid, kind), strict=True))
             if len(name) < 2:
-                held = (name, sid) if len(name) else None
+                held = (name, sid, kind) if len(name) else None
                 continue
-            held = name[-1:], sid[-1:]
-            yield several(name[:-1], sid[:-1], before, name[-1])
+            held = name[-1:], sid[-1:], kind[-1:]
+            yield several(name[:-1], sid[:-1], kind[:-1], before, name[-1])
             before = name[-2], sid[-2]
         if held is not None:
             yield several(*held, before, None)
 
-    def several(name, sid, before, after):
+    def several(name, sid, kind, before, after):
         same = np.concatenate([[before is not None and before[0] == name[0]], name[1:] == name[:-1]])
         again = same & np.concatenate([[before is not None and before[1] == sid[0]], sid[1:] == sid[:-1]])
         more = np.append(same[1:], after is not None and after == name[-1])
         keep = (same | more) & ~again
-        columns = [pa.array(name[keep]), pa.array(sid[keep])]
-        nulls = [pa.nulls(len(columns[0]), pa.int64()) for _ in names[2:]]
+        columns = [pa.array(name[keep]), pa.array(sid[keep]), pa.array(kind[keep])]
+        nulls = [pa.nulls(len(columns[0]), pa.int64()) for _ in names[3:]]
         return pa.RecordBatch.from_arrays([*columns, *nulls], names=names)
 
     return rows.repartition("list").sortWithinPartitions("list", "sid").mapInArrow(run, LISTS)
@@ -364,26 +384,43 @@ def possible(scheme: Scheme, a: dict[str, Column], b: dict[str, Column], shared:
     return near_parity(scheme, a, b, CARRIED) & (shared >= parts - differing)
 
 
+def listed_enough(entries: DataFrame) -> DataFrame:
+    """Entries of the sets that stand in as many lists of a kind as they must share with a linked one."""
+    held = F.count("*").over(Window.partitionBy("sid", "kind"))  # a set's lists, no more
+    return entries.withColumn("held", held).where(f"held >= {NEED}").drop("held")
+
+
+def shortest_lists(member: DataFrame) -> DataFrame:
+    """Entries without the longest lists of each set and kind, all but one of those that it must share."""
+    own = Window.partitionBy("sid", "kind")
+    ranked = member.withColumns({"nth": F.row_number().over(own.orderBy("length", "list")), "held": F.count("*").over(own)})
+    return ranked.where(f"nth <= held - greatest({NEED}, 1) + 1").drop("nth", "held")
+
+
 def open_lists(entries: DataFrame, sets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Entries of the lists that hold several components: ``list, sid, component, n, main``, stored.
+    """Entries of the lists that hold several components: ``list, sid, kind, component, n, main, length``, stored.
 
-    ``main`` is the component with most members in the list, of equal ones the one with the largest name.
+    ``main`` is the component with most members in the list, of equal ones the one with the largest name; ``length``
+    counts its entries, also those of sets in too few open lists, which are left out.
     """
-    member = entries.select("list", "sid")
+    member = entries.select("list", "sid", "kind")
     if labels is None:
         member = member.withColumn("component", F.col("sid"))
     else:
         member = member.join(labels.select(F.col("node").alias("sid"), "component"), "sid", "left")
-        member = member.select("list", "sid", F.coalesce("component", "sid").alias("component"))
+        member = member.select("list", "sid", "kind", F.coalesce("component", "sid").alias("component"))
     main = (
         member.groupBy("list", "component")
         .agg(F.count("*").alias("size"))
         .groupBy("list")
-        .agg(F.max(F.struct("size", "component"))["component"].alias("main"), F.count("*").alias("components"))
+        .agg(
+            F.max(F.struct("size", "component"))["component"].alias("main"), F.count("*").alias("components"),
+            F.sum("size").alias("length"),
+        )
         .where("components > 1")
-        .select("list", "main")
-    )
-    return stored(member.join(main, "list").join(sets.select("sid", "n"), "sid"), "open-lists")
+        .select("list", "main", "length")
+    )
+    return stored(listed_enough(member.join(main, "list").join(sets.select("sid", "n"), "sid")), "open-lists")
 
 
 def stars(member: DataFrame) -> DataFrame:
@@ -405,6 +442,26 @@ def stars(member: DataFrame) -> DataFrame:
     )
 
 
+def scanned(member: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """Pairs ``centre, sid`` of different components that share a list and may link by sizes and parities.
+
+    The parities go with the rows, so that pairs which cannot link end within the join; so do the first of a set's lists,
+    since two sets share many lists but need to meet in one. A few pairs still come out of several lists.
+    """
+    own = F.slice(F.array_sort(F.collect_list("list")), 1, FIRST).alias("first")  # a set's lists, no more
+    member = member.join(sets.select("sid", *PARITIES), "sid").join(member.groupBy("sid").agg(own), "sid")
+    a, b = member.where("component != main").alias("a"), member.alias("b")
+    apart = (F.col("a.component") != F.col("b.component")) & (
+        (F.col("b.component") == F.col("b.main")) | (F.col("a.sid") < F.col("b.sid"))
+    )
+    columns = lambda x: {c: F.col(f"{x}{c}") for c in ("n", *PARITIES)}
+    sizes = (100 * F.col("a.n") >= scheme.least * F.col("b.n")) & (100 * F.col("b.n") >= scheme.least * F.col("a.n"))
+    met_before = F.array_min(F.array_intersect("a.first", "b.first")) < F.col("a.list")
+    once = F.when(near_parity(scheme, columns("a."), columns("b."), PARITIES), ~F.coalesce(met_before, F.lit(False))).otherwise(F.lit(False))
+    met = a.join(b, (F.col("a.list") == F.col("b.list")) & apart & sizes & once)
+    return met.select(F.least("a.sid", "b.sid").alias("centre"), F.greatest("a.sid", "b.sid").alias("sid"))
+
+
 def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id", text_col="text") -> DataFrame:
     """``kid, tag, n, component, node`` of each row: its set's size, and the smallest id of the documents it is linked with.
 
@@ -414,7 +471,7 @@ def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id"
     given = keyed(docs, id_col, text_col).withColumnRenamed("khash", "tag")
     rows = stored(lists_of_several(sketch(given, scheme)), "lists")
     facts = rows.where(F.col("kid").isNotNull()).select("sid", *FACTS)
-    entries = rows.where(F.col("kid").isNull()).select("list", "sid")
+    entries = rows.where(F.col("kid").isNull()).select("list", "sid", "kind")
     sets = stored(facts.groupBy("sid").agg(*(F.first(c).alias(c) for c in FACTS[2:])), "sets")
     short = sets.select("sid", "n", "parts", *(folded(PARITIES, i).alias(p) for i, p in enumerate(CARRIED)))
 
@@ -440,22 +497,7 @@ def linked_documents(docs: DataFrame, scheme: Scheme = Scheme(), id_col="doc_id"
         member = open_lists(entries, sets, components(links))
         if found.isEmpty():
             break
-    # A shorter parity goes with the rows, so that pairs which merely share a passage end within the join; so do the
-    # first of a set's lists, since two sets share many lists but need to meet in one.
-    own = F.slice(F.array_sort(F.collect_list("list")), 1, FIRST).alias("first")  # a set's lists, no more
-    member = member.join(short.select("sid", *CARRIED), "sid").join(member.groupBy("sid").agg(own), "sid")
-    a, b = member.where("component != main").alias("a"), member.alias("b")
-    apart = (F.col("a.component") != F.col("b.component")) & (
-        (F.col("b.component") == F.col("b.main")) | (F.col("a.sid") < F.col("b.sid"))
-    )
-    columns = lambda x: {c: F.col(f"{x}{c}") for c in ("n", *CARRIED)}
-    sizes = (100 * F.col("a.n") >= scheme.least * F.col("b.n")) & (100 * F.col("b.n") >= scheme.least * F.col("a.n"))
-    met_before = F.array_min(F.array_intersect("a.first", "b.first")) < F.col("a.list")
-    once = F.when(near_parity(scheme, columns("a."), columns("b."), CARRIED), ~F.coalesce(met_before, F.lit(False))).otherwise(F.lit(False))
-    met = a.join(b, (F.col("a.list") == F.col("b.list")) & apart & sizes & once)
-    pairs = met.select(F.least("a.sid", "b.sid").alias("centre"), F.greatest("a.sid", "b.sid").alias("sid")).distinct()
-    whole = sets.select("sid", "n", *PARITIES)
-    pairs = with_facts(pairs, whole, lambda x, y: near_parity(scheme, x, y, PARITIES)).select("centre", "sid")
+    pairs = scanned(stored(shortest_lists(member), "shortest-lists"), sets, scheme).distinct()
     more = checked(given, facts, stored(pairs, "pairs"), scheme)
     classes = components(links.unionByName(more))
     placed = facts.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left").select(

@@ -1,11 +1,15 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from isochron.llm.components import components
-from isochron.llm.jaccard import Scheme, near_duplicates, one_of_each, shingle_sets
+from isochron.llm.common import keyed
+from isochron.llm.jaccard import (
+    Scheme, lists_of_several, near_duplicates, one_of_each, open_lists, scanned, shingle_sets, shortest_lists, signatures, sketch,
+)
 
 
 def shingles(text, k):
@@ -114,6 +118,46 @@ def test_scheme(least):
             assert any(a + b - 2 * low <= scheme.differing(c) < scheme.parts(c) for c in shared)
 
 
+@pytest.mark.parametrize("least", [80, 90])
+def test_linked_sets_share_the_lists_they_must(least):
+    """Also after each of them has left out as many lists as it may, whatever the order."""
+    scheme, rng = Scheme(least), np.random.default_rng(least)
+    for _ in range(300):
+        n = int(rng.integers(20, 900))
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = a[int(rng.integers(0, n * (100 - least) // 100 + 1)) :]
+        b = np.concatenate([b, rng.integers(0, 1 << 63, int(rng.integers(0, n * (100 - least) // 100 + 1))).astype(np.uint64)])
+        if not scheme.linked(len(np.intersect1d(a, b)), len(a), len(b)):
+            continue
+        rows, names, kinds, _ = signatures(np.concatenate([np.sort(a), np.sort(b)]), np.array([0, n, n + len(b)]), scheme)
+        lists = [{(k, x) for k, x in zip(kinds[rows == i].tolist(), names[rows == i].tolist(), strict=True)} for i in (0, 1)]
+        classes = [{k >> 32: k & 0xFFFFFFFF for k, _ in x if k} for x in lists]
+        names = [{c: [x for k, x in y if k and k >> 32 == c] for c in z} for y, z in zip(lists, classes, strict=True)]
+        for c in set(classes[0]) & set(classes[1]):
+            need = max(classes[0][c], classes[1][c])
+            common = set(names[0][c]) & set(names[1][c])
+            assert len(common) >= need or need == 1
+            left = [set(sorted(names[i][c])[: len(names[i][c]) - classes[i][c] + 1]) for i in (0, 1)]
+            assert not common or left[0] & left[1]
+
+
+def test_a_passage_in_common_makes_no_pairs(spark):
+    """Documents that share half of their words stand in the same lists, and any two of them would leave the scan."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    passage = [word() for _ in range(500)]
+    texts = [" ".join(passage + [word() for _ in range(500)]) for _ in range(60)]
+    near = [" ".join(texts[i].split()[:-40]) for i in range(4)]
+    rows = list(enumerate(texts + near))
+    scheme, docs = Scheme(80, 5), frame(spark, rows)
+    found = lists_of_several(sketch(keyed(docs, "doc_id", "text").withColumnRenamed("khash", "tag"), scheme)).cache()
+    sets = found.where("kid IS NOT NULL").drop("list", "kind", "kid", "tag")
+    member = open_lists(found.where("kid IS NULL").select("list", "sid", "kind"), sets, None)
+    met = scanned(shortest_lists(member), sets, scheme)
+    assert met.distinct().count() >= 4 and met.count() < 60
+    assert rows_of(near_duplicates(docs, scheme)) == brute(rows, 5, 80)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
