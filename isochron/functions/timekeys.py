@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 # The date-time format of a reading and the row-key format.
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-USUAL_LENGTH = len(DATETIME_FORMAT)
 KEY_HOUR_FORMAT = "yyyyMMddHH"
 KEY_PREFIX = "r-"
 
 # The date forms met in readings files, each with the pattern that tells it.
+USUAL_FORM = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"  # DATETIME_FORMAT
 FILE_DATE_FORMS = (
     (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
     (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
@@ -73,8 +73,8 @@ def file_time(text: Column) -> Column:
     parsed = usual
     for pattern, fmt in reversed(FILE_DATE_FORMS):
         parsed = F.when(text.rlike(pattern), F.to_timestamp_ntz(text, F.lit(fmt))).otherwise(parsed)
-    # None of the forms is as long as the usual one, which then needs no patterns.
-    return F.when(F.length(text) == USUAL_LENGTH, usual).otherwise(parsed)
+    # In the usual form a cast reads the same, at a fraction of what a formatter costs.
+    return F.when(text.rlike(USUAL_FORM), text.cast("timestamp_ntz")).otherwise(parsed)
 
 
 def ntz_literal(moment: datetime | str) -> Column:

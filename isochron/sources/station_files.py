@@ -1,7 +1,7 @@
 """Zipped readings files: ``hly<station>.zip`` or ``dly<station>.zip``, each holding one CSV.
 
 Files are listed by name, at any number of locations, and chosen on names alone. Each chosen file is then opened by the
-task that reads it. Python only unzips and finds the header; lines are split and typed by Spark.
+task that reads it. Python unzips, finds the header and cuts the text into lines; Spark splits and types them.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from typing import BinaryIO
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +42,7 @@ BLANK_IS_ZERO = ("vappr", "rhum", "wddir")
 CHUNK = 1 << 20
 _CHUNK_SCHEMA = "path string, station int, file_type string, header string, first_line bigint, chunk string"
 _CHUNK_TYPES = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string())
+_LINES_SCHEMA = "path string, station int, file_type string, header string, first_line bigint, lines array<string>"
 _BLANKS = " \t\r\n\x0b\x0c"
 _LEGEND = re.compile(r":\s+-")  # fixed value: a legend line says ``name: - meaning``
 _FULL_LINE = re.compile(rf"^[{_BLANKS}]*[^{_BLANKS}]", re.M)
@@ -67,14 +70,19 @@ def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None
                 header = next((line for line in lines if not _is_preamble(line)), None)
                 if header is None:
                     raise ValueError(f"{name}.zip has no header line")
-            number, rest = 0, ""
+            number, before, rest = 0, "", ""
             while block := text.read(chunk):
                 whole, end, rest = (rest + block).rpartition("\n")
-                if end and (max_rows is None or number < max_rows):
+                if end:
+                    number += len(_FULL_LINE.findall(before))  # only of chunks that another follows
+                    if max_rows is not None and number >= max_rows:
+                        return
                     yield header, number, whole
-                    number += len(_FULL_LINE.findall(whole))
-            if rest and (max_rows is None or number < max_rows):
-                yield header, number, rest
+                    before = whole
+            if rest:
+                number += len(_FULL_LINE.findall(before))
+                if max_rows is None or number < max_rows:
+                    yield header, number, rest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, letters = [], 0
@@ -96,6 +104,24 @@ def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None
     return run
 
 
+def _unzip_lines(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None, chunk: int) -> Callable:
+    """``mapInArrow`` function: as :func:`_unzip`, each chunk as the array of its lines that are not blank, trimmed."""
+    unzip = _unzip(known_header, max_rows, chunk)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in unzip(batches):
+            cut = pc.split_pattern(batch["chunk"], "\n")
+            lines = pc.utf8_trim(cut.flatten(), characters=_BLANKS)
+            kept = pc.not_equal(lines, "").to_numpy(zero_copy_only=False)
+            starts = cut.offsets.to_numpy()
+            before = np.concatenate([[0], np.cumsum(kept)])  # lines kept before each line of the batch
+            lists = pa.ListArray.from_arrays(pa.array(before[starts], pa.int32()), lines.filter(pa.array(kept)))
+            names = [c.split()[0] for c in _LINES_SCHEMA.split(", ")]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=names)
+
+    return run
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _CHUNK_TYPES, strict=True)]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _CHUNK_SCHEMA.split(", ")])
@@ -187,9 +213,10 @@ def file_lines(
     ``name: - meaning`` legend line), however far down it stands; a file without one is an error. With
     ``fixed_layout`` the number of lines to skip and the columns are those of the standard files. Files without a
     ``content`` are opened by path, spread over tasks by it: as many as there are shuffle partitions, however short the
-    list of paths is. Python unzips and looks for the header; chunks are split into lines by Spark.
+    list of paths is. Python unzips, looks for the header and cuts chunks into lines; Spark makes rows of them.
 
-    ``measures`` are the names of the columns, which a file has once and its lines share.
+    ``measures`` has ``position``, ``measure`` (its name) and ``series`` of each column: made once a chunk, its lines
+    share them.
     """
     known = None
     if fixed_layout:
@@ -199,10 +226,9 @@ def file_lines(
     else:
         # With a number: else adaptive execution would see a short list of names and open every file in one task.
         given = files.select("path", "station", "file_type").repartition(_tasks(files.sparkSession), "path")
-    chunks = given.mapInArrow(_unzip(known, max_rows, chunk), _CHUNK_SCHEMA)
-    chunks = chunks.withColumn("measures", _column_names(F.col("header")))
-    lines = F.transform(F.split("chunk", "\n"), lambda line: F.trim(line, F.lit(_BLANKS)))
-    numbered = chunks.select("*", F.posexplode(F.filter(lines, lambda line: line != "")).alias("nth", "line"))
+    chunks = given.mapInArrow(_unzip_lines(known, max_rows, chunk), _LINES_SCHEMA)
+    chunks = chunks.withColumn("measures", _columns(F.col("header"), F.col("station")))
+    numbered = chunks.select("*", F.posexplode("lines").alias("nth", "line"))
     line_no = F.col("first_line") + F.col("nth")
     found = numbered.select("path", "station", "file_type", "header", "measures", line_no.alias("line_no"), "line")
     return found if max_rows is None else found.filter(F.col("line_no") < max_rows)
@@ -213,13 +239,19 @@ def _tasks(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
-def _column_names(header: Column) -> Column:
-    """Measure names from a header: an ``ind`` column is named ``ind_<the column after it>``."""
+def _columns(header: Column, station: Column) -> Column:
+    """Columns of a header: an ``ind`` column is named ``ind_<the column after it>``, its series ``<name>_<station>``."""
     names = F.split(header, ",")
-    return F.transform(
+    named = F.transform(
         names,
         lambda name, i: F.when(name == "ind", F.concat(F.lit("ind_"), F.get(names, i + 1))).otherwise(name),
     )
+    return F.transform(
+        named,
+        lambda name, i: F.struct(
+            i.alias("position"), name.alias("measure"), F.concat_ws("_", name, station).alias("series")
+        ),
+    )
 
 
 def line_cells(lines: DataFrame) -> DataFrame:
@@ -229,28 +261,29 @@ def line_cells(lines: DataFrame) -> DataFrame:
     ``series`` is ``<measure>_<station>``; blank cells of the numeric measures read as 0. A cell that is not blank
     beyond the header's columns is an error.
     """
-    names = F.col("measures")
-    cells = F.arrays_zip(
-        F.sequence(F.lit(0), F.size(names) - 1).alias("position"),
-        names.alias("measure"),
-        F.split("line", ",", -1).alias("raw"),
-    )
-    surplus = F.raise_error(F.concat(F.lit("more cells than the header has: "), F.col("raw"))).cast("boolean")
-    beyond = F.when(F.trim("raw") != "", surplus).otherwise(F.lit(False))
-    stamped = lines.withColumn("ts", file_time(F.trim(F.split_part("line", F.lit(","), F.lit(1)))))
-    return (
-        stamped.select("station", "file_type", "line_no", "ts", F.inline(cells))
-        .filter(F.coalesce(F.col("measure") != "date", beyond))
-        .select(
-            "station",
-            "file_type",
-            "line_no",
-            "ts",
-            "position",
-            "measure",
-            F.concat_ws("_", "measure", "station").alias("series"),
-            blank_to_zero(F.col("raw"), F.col("measure")).alias("raw"),
-        )
+    cells, measures = F.col("cells"), F.col("measures")
+
+    def surplus(text: Column) -> Column:
+        return F.raise_error(F.concat(F.lit("more cells than the header has: "), text))
+
+    extra = F.slice(cells, F.size(measures) + 1, F.size(cells))
+    beyond = (F.size(cells) > F.size(measures)) & (F.trim(F.array_join(extra, "")) != "")
+    # Split once, as a column of its own; a line then gives each column of its file one row that takes its cell.
+    split = lines.select("station", "file_type", "line_no", "measures", F.split("line", ",", -1).alias("cells"))
+    stamped = split.withColumn("ts", file_time(F.trim(F.get(cells, F.lit(0)))))
+    named = F.inline(F.when(beyond, surplus(F.array_join(extra, ","))).otherwise(measures))
+    rows = stamped.select("station", "file_type", "line_no", "ts", "cells", named)
+    raw = F.get(cells, F.col("position"))
+    unnamed = F.when(F.trim(raw) != "", surplus(raw).cast("boolean")).otherwise(F.lit(False))
+    return rows.filter(F.coalesce(F.col("measure") != "date", unnamed)).select(
+        "station",
+        "file_type",
+        "line_no",
+        "ts",
+        "position",
+        "measure",
+        "series",
+        blank_to_zero(raw, F.col("measure")).alias("raw"),
     )
 
 

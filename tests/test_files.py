@@ -319,3 +319,36 @@ def test_supplier_files_need_no_group_in_python(spark):
         assert "FlatMapGroupsInPandas" not in files._jdf.queryExecution().optimizedPlan().toString()
         names = [f"{r['file_type']}{r['station']}.zip" for r in files.collect()]
         assert names and len(names) == len(set(names))
+
+
+def test_lines_come_cut_from_arrow(spark, tmp_path):
+    put(tmp_path, "hly5", "Legend\ndate,rain\r\n \t2020-01-01 00:00:00,1 \r\n\x0b\x0c\n\n2020-01-02 00:00:00,\u00a02\u00a0\n\n")
+    put(tmp_path, "hly6", "date,rain\n")
+    put(tmp_path, "hly7", "date,rain\n2020-01-01 00:00:00,7")
+    for chunk in (1 << 20, 5):
+        lines = file_lines(list_files(spark, str(tmp_path)), chunk=chunk)
+        assert "posexplode(lines#" in lines._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted((r["station"], r["line_no"], r["line"]) for r in lines.collect()) == [
+            (5, 0, "2020-01-01 00:00:00,1"), (5, 1, "2020-01-02 00:00:00,\u00a02\u00a0"), (7, 0, "2020-01-01 00:00:00,7")
+        ]
+
+
+def test_cells_are_taken_from_a_line_split_once(spark, tmp_path):
+    put(tmp_path, "hly5", "date,rain,w,ind\n2020-01-01 00:00:00,1\n2020-01-02 00:00:00, ,x, ,  ,\n")
+    cells = line_cells(file_lines(list_files(spark, str(tmp_path))))
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(line") == 1 and "stringsplitsql" not in plan and "arrays_zip" not in plan
+    found = sorted((r["line_no"], r["position"], r["measure"], r["series"], r["raw"]) for r in cells.collect())
+    assert found == [(0, 1, "rain", "rain_5", "1"), (0, 2, "w", "w_5", None), (1, 1, "rain", "rain_5", "0"), (1, 2, "w", "w_5", "x")]
+
+
+def test_usual_times_are_cast(spark):
+    def times(*texts):
+        return spark.createDataFrame([(t,) for t in texts], "t string").select(file_time(F.col("t")).alias("ts"))
+
+    usual = times("2020-02-29 23:59:59", "0000-01-01 00:00:00")
+    assert "as timestamp_ntz)" in usual._jdf.queryExecution().optimizedPlan().toString()
+    assert [str(r[0]) for r in usual.select(F.col("ts").cast("string")).collect()] == ["2020-02-29 23:59:59", "0000-01-01 00:00:00"]
+    for text in ("2020-01-02T03:04:05", "2020-02-30 00:00:00", "2020-01-02 24:00:00", "2020-1-02 03:04:05Z", "2020-01-02 03:04:5."):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+            times(text).collect()
