@@ -37,6 +37,7 @@ from isochron.sources.station_files import (
     DAILY_COLUMNS,
     HOURLY_COLUMNS,
     file_lines,
+    file_tasks,
     fixed_rows,
     line_cells,
     measure_type,
@@ -577,6 +578,8 @@ def supplier_files(spark: SparkSession, sf_dir: str, fixed_layout: bool = False,
     days = lines.groupBy(F.col("l_suppkey").cast("int").alias("station"), F.col("l_shipdate").alias("ts")).agg(
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"), F.count(F.lit(1)).alias("n")
     )
+    # With a number: adaptive execution sees how short the days are, and not how long it takes to zip the files.
+    days = days.repartition(file_tasks(spark), "station")
     cells = [F.coalesce(F.substring(F.col("ts").cast("string"), 1, 19), F.lit("")), F.lit("0")]
     cells.append(F.coalesce(F.col("quantity").cast("string"), F.lit("")))
     if not fixed_layout:

@@ -225,7 +225,7 @@ def file_lines(
         given = files.select("path", "station", "file_type", "content")
     else:
         # With a number: else adaptive execution would see a short list of names and open every file in one task.
-        given = files.select("path", "station", "file_type").repartition(_tasks(files.sparkSession), "path")
+        given = files.select("path", "station", "file_type").repartition(file_tasks(files.sparkSession), "path")
     chunks = given.mapInArrow(_unzip_lines(known, max_rows, chunk), _LINES_SCHEMA)
     chunks = chunks.withColumn("measures", _columns(F.col("header"), F.col("station")))
     numbered = chunks.select("*", F.posexplode("lines").alias("nth", "line"))
@@ -234,7 +234,7 @@ def file_lines(
     return found if max_rows is None else found.filter(F.col("line_no") < max_rows)
 
 
-def _tasks(spark: SparkSession) -> int:
+def file_tasks(spark: SparkSession) -> int:
     """Tasks that open files: never fewer than twice the cores."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 

@@ -352,3 +352,9 @@ def test_usual_times_are_cast(spark):
     for text in ("2020-01-02T03:04:05", "2020-02-30 00:00:00", "2020-01-02 24:00:00", "2020-1-02 03:04:05Z", "2020-01-02 03:04:5."):
         with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
             times(text).collect()
+
+
+def test_supplier_files_are_zipped_by_many_tasks(spark):
+    """Days are short, so adaptive execution would have all of their files zipped by one task."""
+    files = station_queries.supplier_files(spark, SF, fixed_layout=True)
+    assert files.select(F.spark_partition_id().alias("task")).distinct().count() > 2
