@@ -115,6 +115,11 @@ def _unzip_lines(known_header: dict[str, tuple[int, str]] | None, max_rows: int
             kept = pc.not_equal(lines, "").to_numpy(zero_copy_only=False)
             starts = cut.offsets.to_numpy()
             before = np.concatenate([[0], np.cumsum(kept)])  # lines kept before each line of the batch
+            if max_rows is not None:
+                chunk_of = np.repeat(np.arange(len(cut)), np.diff(starts))
+                line_no = batch["first_line"].to_numpy()[chunk_of] + before[:-1] - before[starts[:-1]][chunk_of]
+                kept &= line_no < max_rows
+                before = np.concatenate([[0], np.cumsum(kept)])
             lists = pa.ListArray.from_arrays(pa.array(before[starts], pa.int32()), lines.filter(pa.array(kept)))
             names = [c.split()[0] for c in _LINES_SCHEMA.split(", ")]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=names)
@@ -152,6 +157,9 @@ def preferred_files(files: DataFrame) -> DataFrame:
     location = F.col("location") if "location" in files.columns else F.lit(0)
     order = [location.alias("location"), rank.alias("rank"), *(F.col(c) for c in ("path",) if c in files.columns)]
     others = [c for c in files.columns if c not in ("station", "path")]
+    if "content" in files.columns:
+        # With a number: adaptive execution sees how short the zips are, and not how long it takes to read them.
+        files = files.repartition(file_tasks(files.sparkSession), "station")
     best = files.groupBy("station").agg(F.min(F.struct(*order, F.struct(*others).alias("file"))).alias("best"))
     names = {"station": F.col("station"), "path": F.col("best.path") if "path" in files.columns else None}
     return best.select(*(names.get(c, F.col(f"best.file.{c}")).alias(c) for c in files.columns))
@@ -230,8 +238,7 @@ def file_lines(
     chunks = chunks.withColumn("measures", _columns(F.col("header"), F.col("station")))
     numbered = chunks.select("*", F.posexplode("lines").alias("nth", "line"))
     line_no = F.col("first_line") + F.col("nth")
-    found = numbered.select("path", "station", "file_type", "header", "measures", line_no.alias("line_no"), "line")
-    return found if max_rows is None else found.filter(F.col("line_no") < max_rows)
+    return numbered.select("path", "station", "file_type", "header", "measures", line_no.alias("line_no"), "line")
 
 
 def file_tasks(spark: SparkSession) -> int:

@@ -358,3 +358,23 @@ def test_supplier_files_are_zipped_by_many_tasks(spark):
     """Days are short, so adaptive execution would have all of their files zipped by one task."""
     files = station_queries.supplier_files(spark, SF, fixed_layout=True)
     assert files.select(F.spark_partition_id().alias("task")).distinct().count() > 2
+
+
+def test_chosen_files_with_contents_are_read_by_many_tasks(spark, tmp_path):
+    for n in range(40):
+        put(tmp_path, f"hly{n + 1}", HOURLY)
+        put(tmp_path, f"dly{n + 1}", DAILY)
+    lines = file_lines(preferred_files(contents(list_files(spark, str(tmp_path)))))
+    assert [r[0] for r in lines.select("file_type").distinct().collect()] == ["hly"]
+    assert lines.select(F.spark_partition_id().alias("task")).distinct().count() > 2
+
+
+def test_row_cap_leaves_lines_out_before_they_are_rows(spark, tmp_path):
+    rows = [f"2020-01-{d:02d} 00:00:00,{d}" for d in range(1, 29)]
+    for n in (3, 5, 28):
+        put(tmp_path, f"hly{n}", "Legend\ndate,rain\n" + "\n\n \n".join(rows[:n]) + "\n\n")
+    for cap, chunk in ((0, 100), (1, 100), (4, 7), (4, 100), (5, 1 << 20), (28, 100), (99, 1 << 20)):
+        lines = file_lines(list_files(spark, str(tmp_path)), max_rows=cap, chunk=chunk)
+        assert "Filter ((first_line#" not in lines._jdf.queryExecution().optimizedPlan().toString()
+        found = sorted((r["station"], r["line_no"], r["line"]) for r in lines.collect())
+        assert found == [(n, *pair) for n in (3, 5, 28) for pair in enumerate(rows[: min(n, cap)])]
