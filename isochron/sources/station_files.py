@@ -75,10 +75,10 @@ def _unzip(known_header: dict[str, tuple[int, str]] | None, max_rows: int | None
                 whole, end, rest = (rest + block).rpartition("\n")
                 if end:
                     number += len(_FULL_LINE.findall(before))  # only of chunks that another follows
-                    if max_rows is not None and number >= max_rows:
-                        return
-                    yield header, number, whole
-                    before = whole
+                    before = ""
+                    if max_rows is None or number < max_rows:
+                        yield header, number, whole
+                        before = whole
             if rest:
                 number += len(_FULL_LINE.findall(before))
                 if max_rows is None or number < max_rows:

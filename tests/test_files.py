@@ -378,3 +378,12 @@ def test_row_cap_leaves_lines_out_before_they_are_rows(spark, tmp_path):
         assert "Filter ((first_line#" not in lines._jdf.queryExecution().optimizedPlan().toString()
         found = sorted((r["station"], r["line_no"], r["line"]) for r in lines.collect())
         assert found == [(n, *pair) for n in (3, 5, 28) for pair in enumerate(rows[: min(n, cap)])]
+
+
+def test_files_are_read_to_their_end_under_a_row_cap(spark, tmp_path):
+    put(tmp_path, "hly5", "date,rain\n2020-01-01 00:00:00,1\n2020-01-02 00:00:00,2\n" + "2020-01-03 00:00:00,3\n" * 9)
+    packed = (tmp_path / "hly5.zip").read_bytes()  # stored, not deflated
+    at = packed.rindex(b",3\n") + 1
+    (tmp_path / "hly5.zip").write_bytes(packed[:at] + b"4" + packed[at + 1 :])
+    with pytest.raises(Exception, match="Bad CRC-32"):
+        file_lines(list_files(spark, str(tmp_path)), max_rows=1, chunk=40).collect()
